@@ -17,6 +17,7 @@ from envtrack import schema as S
 from envtrack.functions.cells import is_missing, parse_bool, parse_epoch, parse_float
 from envtrack.functions.numeric import round_even
 from envtrack.functions.timecols import utc_ntz
+from envtrack.operators import health as H
 from envtrack.operators import quality, validate
 from envtrack.operators.batches import assign_batches
 from envtrack.operators.dedupe import dedupe_readings
@@ -418,4 +419,126 @@ def q_highest_smoke(spark, sf_dir):
     return Q.highest_smoke(readings(spark, sf_dir))
 
 
+# --- health: time buckets, baselines, sequences ---------------------------------------------
+
+def _bucket_sql(seconds: int, col: str = "timestamp") -> str:
+    w = seconds * 1_000_000
+    return f"make_timestamp(CAST(floor(epoch_us({col}) / {w}) AS BIGINT) * {w})"
+
+
+@register("hourly_by_device", O.with_readings(
+    f"SELECT device, {_bucket_sql(3600)} AS bucket, count(*) AS readings, {O.round_even('avg(temp)', 4)} AS avg_temp, "
+    f"min(temp) AS min_temp, max(temp) AS max_temp, {O.round_even('avg(humidity)', 4)} AS avg_humidity, "
+    "max(smoke) AS max_smoke, max(co) AS max_co, max(lpg) AS max_lpg FROM rd GROUP BY ALL"))
+def q_hourly_by_device(spark, sf_dir):
+    return H.hourly_by_device(readings(spark, sf_dir))
+
+
+@register("flags_per_device", O.with_readings(
+    "SELECT device, flag, count(*) AS occurrences FROM (SELECT device, unnest(flags) AS flag FROM rd) GROUP BY ALL"))
+def q_flags_per_device(spark, sf_dir):
+    return H.flags_per_device(readings(spark, sf_dir))
+
+
+@register("device_baselines", O.with_readings(
+    "SELECT device, count(*) AS readings, " + ", ".join(
+        f"quantile_disc({f}, 0.5) AS {f}_p50, quantile_disc({f}, 0.9) AS {f}_p90" for f in Q.THRESHOLD_FIELDS)
+    + " FROM rd GROUP BY device"))
+def q_device_baselines(spark, sf_dir):
+    return H.device_baselines(readings(spark, sf_dir))
+
+
+@register("spread_by_device", O.with_readings(" UNION ALL ".join(
+    f"SELECT device, '{f}' AS field, min({f}) AS min, max({f}) AS max, max({f}) - min({f}) AS range, "
+    f"{O.round_even(f'stddev_samp({f})', 6)} AS stddev FROM rd GROUP BY device" for f in H.SPREAD_FIELDS)))
+def q_spread_by_device(spark, sf_dir):
+    return H.spread_by_device(readings(spark, sf_dir))
+
+
+_LATEST_ORDER = ("timestamp DESC, timestamp_unix DESC, " + ", ".join(
+    f"{f} DESC NULLS LAST" for f in Q.MEASUREMENT_ORDER))
+
+
+@register("downsample", O.with_readings(
+    f"SELECT device, bucket, timestamp, {LIFT_SQL}, readings FROM (SELECT *, "
+    "count(*) OVER (PARTITION BY device, bucket) AS readings, "
+    f"row_number() OVER (PARTITION BY device, bucket ORDER BY {_LATEST_ORDER}) AS rn "
+    f"FROM (SELECT *, {_bucket_sql(6 * 3600)} AS bucket FROM rd)) WHERE rn = 1"))
+def q_downsample(spark, sf_dir):
+    return H.downsample(readings(spark, sf_dir))
+
+
+@register("latest_per_device", O.with_readings(
+    f"SELECT device, timestamp, timestamp_unix, {LIFT_SQL} FROM (SELECT *, "
+    f"row_number() OVER (PARTITION BY device ORDER BY {_LATEST_ORDER}) AS rn FROM rd) WHERE rn = 1"))
+def q_latest_per_device(spark, sf_dir):
+    return H.latest_per_device(readings(spark, sf_dir))
+
+
+GAPS_SQL = ("g AS (SELECT device, timestamp, lag(timestamp) OVER w AS prev_ts, "
+            "(epoch_us(timestamp) - lag(epoch_us(timestamp)) OVER w) / 1e6 AS gap_seconds FROM rd "
+            "WINDOW w AS (PARTITION BY device ORDER BY timestamp, timestamp_unix))")
+
+
+@register("reading_gaps", O.with_readings(
+    ", " + GAPS_SQL + " SELECT device, prev_ts AS gap_start, timestamp AS gap_end, gap_seconds FROM g "
+    "WHERE gap_seconds > 3600.0"))
+def q_reading_gaps(spark, sf_dir):
+    return H.reading_gaps(readings(spark, sf_dir))
+
+
+@register("silent_devices", O.with_readings(
+    ", " + GAPS_SQL + ", per AS (SELECT device, max(timestamp) AS last, quantile_disc(gap_seconds, 0.5) AS med "
+    "FROM g GROUP BY device), bounds AS (SELECT max(timestamp) AS a FROM rd) "
+    "SELECT device, last AS last_timestamp, med AS median_interval_seconds, "
+    "(epoch_us(a) - epoch_us(last)) / 1e6 AS silence_seconds, "
+    "coalesce((epoch_us(a) - epoch_us(last)) / 1e6 > 3.0 * med, FALSE) AS is_silent FROM per, bounds"))
+def q_silent_devices(spark, sf_dir):
+    return H.silent_devices(readings(spark, sf_dir))
+
+
+@register("sparse_devices", O.with_readings(
+    ", per AS (SELECT device, count(*) AS readings FROM rd GROUP BY device), m AS (SELECT avg(readings) AS mean FROM per) "
+    f"SELECT device, readings, {O.round_even('mean', 2)} AS mean_readings, "
+    f"{O.round_even('readings / mean', 4)} AS ratio_to_mean, readings < 0.5 * mean AS is_sparse FROM per, m"))
+def q_sparse_devices(spark, sf_dir):
+    return H.sparse_devices(readings(spark, sf_dir))
+
+
+@register("dense_bursts", O.with_readings(
+    f"SELECT device, {_bucket_sql(60)} AS window_start, count(*) AS readings FROM rd GROUP BY ALL "
+    "HAVING count(*) >= 10"))
+def q_dense_bursts(spark, sf_dir):
+    return H.dense_bursts(readings(spark, sf_dir))
+
+
+@register("device_burst_density", O.with_readings(
+    "SELECT device, max(n) AS max_readings_per_window, count(*) AS windows_with_readings FROM "
+    f"(SELECT device, {_bucket_sql(60)} AS w, count(*) AS n FROM rd GROUP BY ALL) GROUP BY device"))
+def q_device_burst_density(spark, sf_dir):
+    return H.device_burst_density(readings(spark, sf_dir))
+
+
+_SEQ_ORDER = "PARTITION BY device ORDER BY timestamp, timestamp_unix, v ASC NULLS FIRST"
+
+
+@register("elevated_periods", O.with_readings(
+    f", x AS (SELECT device, timestamp, timestamp_unix, smoke AS v, coalesce(smoke >= {_thr_sql('smoke')}, FALSE) AS hi "
+    f"FROM rd), p AS (SELECT *, coalesce(lag(hi) OVER ({_SEQ_ORDER}), FALSE) AS prev_hi FROM x), "
+    "s AS (SELECT *, sum(CASE WHEN hi AND NOT prev_hi THEN 1 ELSE 0 END) OVER "
+    f"({_SEQ_ORDER} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS period FROM p) "
+    "SELECT device, min(timestamp) AS period_start, max(timestamp) AS period_end, count(*) AS readings, "
+    "max(v) AS max_value FROM s WHERE hi GROUP BY device, period"))
+def q_elevated_periods(spark, sf_dir):
+    return H.elevated_periods(readings(spark, sf_dir))
+
+
+@register("device_relative_alerts", O.with_readings(
+    ", b AS (SELECT device, quantile_disc(smoke, 0.9) AS device_p90 FROM rd GROUP BY device) "
+    "SELECT rd.device, rd.timestamp, rd.smoke AS value, b.device_p90 FROM rd JOIN b USING (device) "
+    "WHERE rd.smoke >= b.device_p90"))
+def q_device_relative_alerts(spark, sf_dir):
+    return H.device_relative_alerts(readings(spark, sf_dir))
+
+
 __all__ = ["ORACLE", "QUERIES", "classified", "flat", "loaded", "readings", "round_even", "parse_epoch"]

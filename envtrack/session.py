@@ -26,6 +26,7 @@ def build_session(master: str = "local[*]", app: str = "envtrack", shuffle_parti
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
     )
     for key, value in (extra or {}).items():
