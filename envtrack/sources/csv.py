@@ -34,11 +34,13 @@ def check_columns(columns: Sequence[str]) -> None:
 
 
 def header_of(spark: SparkSession, path: str) -> list[str]:
-    """Column names of one CSV file's header line (reads only the first line)."""
-    first = spark.read.text(path).limit(1).collect()  # one line, not data
+    """Column names of one CSV file's header line (reads only the first line of that file)."""
+    import csv as _csv
+
+    first = spark.read.text(path).limit(1).collect()  # the header line only, not data
     if not first:
         return []
-    return spark.read.option("header", True).csv(path).columns
+    return [name.strip() for name in next(_csv.reader([first[0][0]]))]
 
 
 def text_schema(columns: Sequence[str]) -> T.StructType:

@@ -172,18 +172,24 @@ def load_readings(spark: SparkSession, source: str, table: str, state: str | Non
         classified = classify_rows(batch, ingested_at, keep=["_file"]).persist()
         rows = docs_n = None
         try:
-            status = batch_quality_status(classified.withColumn("batch_number", F.lit(batch_number).cast("bigint")))
-            status_row = status.first()
-            rows = status_row["rows_read"] if status_row else 0
-            docs_n = status_row["documents_built"] if status_row else 0
+            # one job: the batch's counters (A1) and the days it touches
+            row = classified.agg(
+                F.count("*").alias("rows_read"),
+                F.count_if(F.col("rejection_reason").isNull()).alias("documents_built"),
+                F.count_if(F.col("rejection_reason").isNotNull()).alias("invalid_rows"),
+                F.count_if(F.col("rejection_reason").isNull() & ~F.col("quality.is_valid")).alias("rows_with_quality_flags"),
+                F.collect_set("event_date").alias("days"),  # distinct days of one batch: small
+            ).first()
+            rows, docs_n = row["rows_read"], row["documents_built"]
+            status_row = (batch_number, rows, docs_n, row["invalid_rows"], row["rows_with_quality_flags"])
             docs = accepted_readings(classified)
             existing = spark.read.parquet(table) if table_exists(spark, table) else None
             counts = upsert_counts(docs, existing).first()
-            _with_retry(lambda: merge_into_table(spark, docs, table), max_attempts, delay_seconds)
+            _with_retry(lambda: merge_into_table(spark, docs, table, days=list(row["days"])),
+                        max_attempts, delay_seconds)
             write_batch_partition(rejected_rows(classified), paths.rejected, batch_id)
-            if status_row is None:
-                status = spark.createDataFrame([(batch_number, 0, 0, 0, 0)], S.BATCH_STATUS_SCHEMA)
-            write_batch_partition(status.coalesce(1), paths.batch_status, batch_id)
+            write_batch_partition(spark.createDataFrame([status_row], S.BATCH_STATUS_SCHEMA).coalesce(1),
+                                  paths.batch_status, batch_id)
             files = classified.select(F.col("_file").alias("path")).distinct()
             write_batch_partition(listing.join(files, "path", "inner").coalesce(1), paths.manifest, batch_id)
         except StopLoad:
