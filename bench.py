@@ -7,7 +7,7 @@ Steps (only the timed ones count):
    scratch folder -- the loader's input format;
 2. ``load``: the resumable streaming load of those files into the day-partitioned readings table
    (parse, flag, id, dedupe-merge, rejected rows, batch status, manifest);
-   (after an untimed warm-up load of sf0.001, so JIT and codegen caches are warm);
+   (after a first load of the sf0.01 input, reported apart as ``load_cold_sf0.01``);
 3. ``transform_from_events``: the same parse/flag/id/dedupe as one batch plan straight from Parquet;
 4. every report and query over the loaded table, each written to the ``noop`` sink after one
    warm-up pass (so JIT and file listing caches are warm, as in a long-running service).
@@ -61,11 +61,15 @@ def main() -> None:
      .drop("_part", "_seq").write.option("header", True).csv(src))
     n_rows = raw.count()
 
-    # warm-up (untimed): one small load so JIT and codegen caches are warm, as in a running service
+    # first (cold) load of a smaller input: JIT and codegen caches warm up, as in a running service;
+    # reported separately as load_cold_sf0.01, not part of the total
     warm = os.path.join(scratch, "warm_csv")
-    raw_readings(spark, "/root/testdata/sf0.001").write.option("header", True).csv(warm)
+    warm_sf = os.path.join(os.path.dirname(sf_dir), "sf0.01")
+    raw_readings(spark, warm_sf if os.path.isdir(warm_sf) else sf_dir).write.option("header", True).csv(warm)
+    t_cold = time.perf_counter()
     load_readings(spark, warm, os.path.join(scratch, "warm_table"), os.path.join(scratch, "warm_state"),
                   files_per_batch=n_files, delay_seconds=0)
+    cold = time.perf_counter() - t_cold
 
     times: dict[str, float] = {}
     table = os.path.join(scratch, "readings")
@@ -112,6 +116,8 @@ def main() -> None:
         "sf": os.path.basename(sf_dir).replace("sf", ""),
         "raw_rows": n_rows,
         "load_rows_per_sec": round(n_rows / times["load"], 1) if times["load"] > 0 else None,
+        "load_steps": summary.step_seconds,
+        "load_cold_sf0.01": round(cold, 3),
         "rows_loaded": summary.rows_loaded,
         "table_rows": readings.count(),
         "cpus": cpus,

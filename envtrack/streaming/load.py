@@ -13,7 +13,7 @@ Mapping of the reference's loader onto Spark:
 * failure: one failure record is appended, the exception propagates, the commit is not written;
 * idempotency: the merge is a pure function of (table, batch), and per-batch outputs overwrite their
   own ``batch_id`` partition, so a replay leaves the same state;
-* reset: a new *generation* of state folders (checkpoint, rejected, status, failures, manifest) is
+* reset: a new *generation* of state folders (checkpoint, rejected rows, batch log, failures) is
   started; the readings table is kept. Nothing is deleted.
 * changed source: files already loaded must keep their size and modification time.
 
@@ -72,6 +72,7 @@ class LoadSummary:
     start_time: str
     end_time: str
     duration_seconds: float
+    step_seconds: dict | None = None
 
     def as_dict(self) -> dict:
         return asdict(self)
@@ -92,16 +93,14 @@ class LoadPaths:
         return f"{self.base}/rejected"
 
     @property
-    def batch_status(self) -> str:
-        return f"{self.base}/batch_status"
+    def batch_log(self) -> str:
+        """One row per committed batch: counters (A1) and the files it consumed (S3)."""
+        return f"{self.base}/batch_log"
 
     @property
     def failures(self) -> str:
         return f"{self.base}/failures"
 
-    @property
-    def manifest(self) -> str:
-        return f"{self.base}/manifest"
 
 
 GEN_SCHEMA = T.StructType([T.StructField("generation", T.IntegerType()),
@@ -152,16 +151,27 @@ def load_readings(spark: SparkSession, source: str, table: str, state: str | Non
     paths = resolve_paths(spark, state, table, reset, checkpoint_path)
     ingested_at = ingested_at or start
 
+    steps: dict[str, float] = {}
+
+    def tick(name: str, since: float) -> float:
+        now = time.perf_counter()
+        steps[name] = round(steps.get(name, 0.0) + now - since, 3)
+        return now
+
+    t_setup = time.perf_counter()
     listing = source_manifest(spark, source, pattern)
-    guard_unchanged(listing, read_or_none(spark, paths.manifest))
+    guard_unchanged(listing, manifest_table(spark, paths))
     first = listing.select(F.min("path")).first()[0]
     columns = header_of(spark, first) if first else list(S.REQUIRED_COLUMNS)
     check_columns(columns)
 
+    tick("setup", t_setup)
     stream = (spark.readStream.options(**csv_options()).schema(text_schema(columns))
               .option("maxFilesPerTrigger", files_per_batch).option("pathGlobFilter", pattern)
               .csv(source))
-    stream = stream.select(*S.REQUIRED_COLUMNS, F.col("_metadata.file_path").alias("_file"))
+    stream = stream.select(*S.REQUIRED_COLUMNS, F.struct(
+        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("length"),
+        F.col("_metadata.file_modification_time").alias("modificationTime")).alias("_file"))
 
     run = {"batches": 0, "upserted": 0, "last": None}
 
@@ -171,6 +181,7 @@ def load_readings(spark: SparkSession, source: str, table: str, state: str | Non
         batch_number = batch_id + 1
         classified = classify_rows(batch, ingested_at, keep=["_file"]).persist()
         rows = docs_n = None
+        t = time.perf_counter()
         try:
             # one job: the batch's counters (A1) and the days it touches
             row = classified.agg(
@@ -179,19 +190,23 @@ def load_readings(spark: SparkSession, source: str, table: str, state: str | Non
                 F.count_if(F.col("rejection_reason").isNotNull()).alias("invalid_rows"),
                 F.count_if(F.col("rejection_reason").isNull() & ~F.col("quality.is_valid")).alias("rows_with_quality_flags"),
                 F.collect_set("event_date").alias("days"),  # distinct days of one batch: small
+                F.collect_set("_file").alias("files"),  # at most files_per_batch entries
             ).first()
+            t = tick("classify_and_count", t)
             rows, docs_n = row["rows_read"], row["documents_built"]
-            status_row = (batch_number, rows, docs_n, row["invalid_rows"], row["rows_with_quality_flags"])
+            log_row = (batch_number, rows, docs_n, row["invalid_rows"], row["rows_with_quality_flags"],
+                       [tuple(f) for f in row["files"]])
             docs = accepted_readings(classified)
             existing = spark.read.parquet(table) if table_exists(spark, table) else None
             counts = upsert_counts(docs, existing).first()
+            t = tick("upsert_counts", t)
             _with_retry(lambda: merge_into_table(spark, docs, table, days=list(row["days"])),
                         max_attempts, delay_seconds)
+            t = tick("merge", t)
             write_batch_partition(rejected_rows(classified), paths.rejected, batch_id)
-            write_batch_partition(spark.createDataFrame([status_row], S.BATCH_STATUS_SCHEMA).coalesce(1),
-                                  paths.batch_status, batch_id)
-            files = classified.select(F.col("_file").alias("path")).distinct()
-            write_batch_partition(listing.join(files, "path", "inner").coalesce(1), paths.manifest, batch_id)
+            t = tick("rejected", t)
+            write_batch_partition(spark.createDataFrame([log_row], BATCH_LOG_SCHEMA), paths.batch_log, batch_id)
+            t = tick("batch_log", t)
         except StopLoad:
             raise
         except Exception as exc:
@@ -219,7 +234,9 @@ def load_readings(spark: SparkSession, source: str, table: str, state: str | Non
         if query.isActive:
             query.stop()
 
+    t_end = time.perf_counter()
     totals = cumulative_report(spark, paths).first()
+    tick("report", t_end)
     end = _dt.datetime.now(_dt.timezone.utc)
     return LoadSummary(
         batches_processed_this_run=run["batches"], last_batch_id=run["last"],
@@ -227,7 +244,7 @@ def load_readings(spark: SparkSession, source: str, table: str, state: str | Non
         rows_rejected=int(totals["rows_rejected"]), rows_with_quality_flags=int(totals["rows_with_quality_flags"]),
         total_inserted_or_updated_this_run=run["upserted"], stopped_early=stopped, reset_checkpoint=reset,
         generation=paths.generation, start_time=start.isoformat(), end_time=end.isoformat(),
-        duration_seconds=round(time.perf_counter() - t0, 3))
+        duration_seconds=round(time.perf_counter() - t0, 3), step_seconds=steps)
 
 
 def _with_retry(fn, max_attempts: int, delay_seconds: float):
@@ -244,13 +261,31 @@ def _with_retry(fn, max_attempts: int, delay_seconds: float):
     raise last
 
 
+BATCH_LOG_SCHEMA = T.StructType(S.BATCH_STATUS_SCHEMA.fields + [T.StructField("files", T.ArrayType(T.StructType([
+    T.StructField("path", T.StringType()), T.StructField("length", T.LongType()),
+    T.StructField("modificationTime", T.TimestampType())])))])
+
+
+def batch_log_table(spark: SparkSession, paths: LoadPaths) -> DataFrame | None:
+    return read_or_none(spark, paths.batch_log)
+
+
 def batch_status_table(spark: SparkSession, paths: LoadPaths) -> DataFrame:
-    df = read_or_none(spark, paths.batch_status)
+    """A1 table of the current generation: one row per committed batch."""
+    df = batch_log_table(spark, paths)
     if df is None:
         return spark.createDataFrame([], S.BATCH_STATUS_SCHEMA)
     return df.select(*[f.name for f in S.BATCH_STATUS_SCHEMA.fields])
 
 
+def manifest_table(spark: SparkSession, paths: LoadPaths) -> DataFrame | None:
+    """S3 as recorded: path, size and modification time of every file a batch consumed."""
+    df = batch_log_table(spark, paths)
+    if df is None:
+        return None
+    return df.select(F.explode("files").alias("f")).select("f.*")
+
+
 def cumulative_report(spark: SparkSession, paths: LoadPaths) -> DataFrame:
     """A5 over the current generation's batch-status table."""
     return quality_report(batch_status_table(spark, paths))
@@ -295,5 +330,5 @@ def assign_file_batches(df: DataFrame, batch_size: int) -> DataFrame:
     return assign_batches(with_file_order(df), ["_file", "_block"], ["_scan_seq"], batch_size)
 
 
-__all__ = ["LoadFailed", "LoadSummary", "StopLoad", "assign_file_batches", "batch_status_table",
+__all__ = ["LoadFailed", "LoadSummary", "StopLoad", "assign_file_batches", "batch_status_table", "manifest_table",
            "cumulative_report", "load_readings", "load_state", "split_into_batch_files"]
