@@ -419,6 +419,29 @@ def q_highest_smoke(spark, sf_dir):
     return Q.highest_smoke(readings(spark, sf_dir))
 
 
+# --- T: the resumable load, end to end ------------------------------------------------------
+
+@register("resumable_load", O.with_readings(f"SELECT {FLAT_SQL} FROM rd"))
+def q_resumable_load(spark, sf_dir):
+    """Raw rows -> one CSV file per 1,000-row batch (W9) -> streaming load, one file per trigger
+    (T1) -> the table it leaves behind. Same rows as ``dedupe_readings``.
+
+    Side effect: writes the input files, the table and the load state to a new folder under the
+    session's shared state folder (``spark.checkpoint.dir``).
+    """
+    import uuid
+
+    from envtrack.session import state_path
+    from envtrack.streaming.load import load_readings, write_batch_files
+
+    root = state_path(spark, "registry", f"resumable_load-{uuid.uuid4().hex}")
+    raw = raw_readings(spark, sf_dir, keep_order=True)
+    write_batch_files(raw, f"{root}/input", ["_part", (F.col("_seq") / SEQ_BUCKET).cast("bigint")], ["_seq"])
+    load_readings(spark, f"{root}/input", f"{root}/readings", f"{root}/state", files_per_batch=1,
+                  delay_seconds=0, ingested_at=REGISTRY_INGESTED_AT)
+    return flat(spark.read.parquet(f"{root}/readings"))
+
+
 # --- health: time buckets, baselines, sequences ---------------------------------------------
 
 def _bucket_sql(seconds: int, col: str = "timestamp") -> str:

@@ -297,28 +297,35 @@ def load_state(spark: SparkSession, table: str, state: str | None = None,
     return resolve_paths(spark, state, table, False, checkpoint_path)
 
 
-def split_into_batch_files(spark: SparkSession, source: str, dest: str, batch_size: int = S.DEFAULT_BATCH_SIZE) -> None:
-    """W9 applied: rewrite CSV input as one file per ``batch_size`` rows, in file order.
-
-    Positions come from ``assign_batches`` over (file, split) groups, so no task ever holds more
-    than one split. Output: ``dest/batch_number=N/part-*.csv`` with a header; a file stream over
-    ``dest`` then yields one batch per original chunk (``maxFilesPerTrigger=1``).
+def write_batch_files(raw: DataFrame, dest: str, coarse: list, fine: list,
+                      batch_size: int = S.DEFAULT_BATCH_SIZE) -> None:
+    """W9 applied: write rows as one CSV file per ``batch_size`` rows, in (coarse, fine) order.
+
+    Output: ``dest/batch_number=N/part-*.csv`` with a header. Positions come from
+    ``assign_batches`` (no global window); every batch is at most ``batch_size`` rows, so the
+    shuffle on ``batch_number`` that makes one file per batch has bounded groups. A file stream
+    with ``maxFilesPerTrigger=1`` over ``dest`` then replays the reference's row-count batches.
     """
-    from envtrack.sources.csv import read_raw_csv  # local import to keep the module light
-
-    raw = with_file_order(read_raw_csv_with_meta(spark, source, read_raw_csv))
-    positioned = assign_batches(raw, ["_file", "_block"], ["_scan_seq"], batch_size)
-    (positioned.repartition("batch_number").sortWithinPartitions("position")
+    positioned = assign_batches(raw, coarse, fine, batch_size)
+    (positioned.repartition("batch_number").sortWithinPartitions("batch_number", "position")
      .select("batch_number", *S.REQUIRED_COLUMNS)
      .write.mode("overwrite").option("header", True).partitionBy("batch_number").csv(dest))
 
 
-def read_raw_csv_with_meta(spark: SparkSession, source: str, reader) -> DataFrame:
-    listing = source_manifest(spark, source)
+def split_into_batch_files(spark: SparkSession, source: str, dest: str,
+                           batch_size: int = S.DEFAULT_BATCH_SIZE, pattern: str = "*.csv") -> None:
+    """W9 for CSV input: cut every file under ``source`` into ``batch_size``-row files in file order.
+
+    File order = (file path, split start, scan position); the scan position is taken right at the
+    scan, before any shuffle.
+    """
+    listing = source_manifest(spark, source, pattern)
     first = listing.select(F.min("path")).first()[0]
     cols = header_of(spark, first)
     check_columns(cols)
-    return spark.read.options(**csv_options()).schema(text_schema(cols)).csv(source)
+    scan = (spark.read.options(**csv_options()).schema(text_schema(cols)).option("pathGlobFilter", pattern)
+            .csv(source))
+    write_batch_files(with_file_order(scan), dest, ["_file", "_block"], ["_scan_seq"], batch_size)
 
 
 def rejected_table(spark: SparkSession, paths: LoadPaths) -> DataFrame | None:
@@ -331,4 +338,5 @@ def assign_file_batches(df: DataFrame, batch_size: int) -> DataFrame:
 
 
 __all__ = ["LoadFailed", "LoadSummary", "StopLoad", "assign_file_batches", "batch_status_table", "manifest_table",
+           "split_into_batch_files", "write_batch_files",
            "cumulative_report", "load_readings", "load_state", "split_into_batch_files"]
