@@ -171,7 +171,7 @@ def elevated_periods(readings: DataFrame, field: str = "smoke", threshold=None,
     x = r.select("device", "timestamp", "timestamp_unix", _m(field).alias("v"),
                  F.coalesce(_m(field) >= threshold, F.lit(False)).alias("_hi"))
     p = with_previous(x, "device", "timestamp", ["timestamp", "timestamp_unix", "v"], ["_hi"],
-                      chunk_seconds=chunk_seconds)
+                      chunk_seconds=chunk_seconds, keep_chunk=True)
     starts = p.withColumn("_start", (F.col("_hi") & ~F.coalesce(F.col("prev__hi"), F.lit(False))).cast("int"))
     numbered = with_running_sum(starts, "device", "timestamp", ["timestamp", "timestamp_unix", "v"], "_start",
                                 "period", chunk_seconds=chunk_seconds)

@@ -26,40 +26,48 @@ DEFAULT_CHUNK_SECONDS = 3600
 
 
 def _chunked(df: DataFrame, ts: str, chunk_seconds: int) -> DataFrame:
+    if "_chunk" in df.columns:  # already chunked by a previous sequence step: keep its partitioning
+        return df
     return df.withColumn("_chunk", F.floor(micros(F.col(ts)) / (chunk_seconds * 1_000_000)))
 
 
 def with_previous(df: DataFrame, key: str, ts: str, order: list[str], cols: list[str],
-                  chunk_seconds: int = DEFAULT_CHUNK_SECONDS, prefix: str = "prev_") -> DataFrame:
+                  chunk_seconds: int = DEFAULT_CHUNK_SECONDS, prefix: str = "prev_",
+                  keep_chunk: bool = False) -> DataFrame:
     """Add ``prev_<c>`` for each ``c`` in ``cols``: its value on the previous row of the same key.
 
     ``order`` names columns sorted ascending; the first must be ``ts`` (it defines the chunks).
+    The chunk summary (each chunk's last row) is read off the windowed frame itself, so it shares
+    the scan and the shuffle with the main branch instead of scanning again.
     """
     c = _chunked(df, ts, chunk_seconds)
-    w = Window.partitionBy(key, "_chunk").orderBy(*order)
-    c = c.withColumn("_rn", F.row_number().over(w))
-    for col in cols:
-        c = c.withColumn(f"_in_{col}", F.lag(col).over(w))
-    # last row of each chunk: greatest ordering tuple; carried values ride along in the struct
-    order_exprs = [F.col(o).alias(f"_o{i}") for i, o in enumerate(order)]
-    last = c.groupBy(key, "_chunk").agg(F.max(F.struct(*order_exprs, *[F.col(x).alias(x) for x in cols])).alias("_last"))
+    part = Window.partitionBy(key, "_chunk")
+    w = part.orderBy(*order)
+    c = c.select("*", F.row_number().over(w).alias("_rn"), F.count(F.lit(1)).over(part).alias("_cn"),
+                 *[F.lag(x).over(w).alias(f"_in_{x}") for x in cols])
+    last = c.where(F.col("_rn") == F.col("_cn")).select(key, "_chunk", F.struct(*cols).alias("_last"))
     prev_last = last.select(key, "_chunk", F.lag("_last").over(Window.partitionBy(key).orderBy("_chunk")).alias("_pl"))
-    j = c.join(prev_last, [key, "_chunk"], "left")
-    out = j
+    out = c.join(prev_last, [key, "_chunk"], "left")
     for col in cols:
         out = out.withColumn(f"{prefix}{col}", F.when(F.col("_rn") == 1, F.col(f"_pl.{col}"))
                              .otherwise(F.col(f"_in_{col}")))
-    return out.drop("_chunk", "_rn", "_pl", *[f"_in_{x}" for x in cols])
+    drop = ["_rn", "_cn", "_pl", *[f"_in_{x}" for x in cols]] + ([] if keep_chunk else ["_chunk"])
+    return out.drop(*drop)
 
 
 def with_running_sum(df: DataFrame, key: str, ts: str, order: list[str], value: str, out: str,
-                     chunk_seconds: int = DEFAULT_CHUNK_SECONDS) -> DataFrame:
-    """Add ``out`` = running sum of ``value`` over the key's rows in order (inclusive)."""
+                     chunk_seconds: int = DEFAULT_CHUNK_SECONDS, keep_chunk: bool = False) -> DataFrame:
+    """Add ``out`` = running sum of ``value`` over the key's rows in order (inclusive).
+
+    Chunk totals are the running sums on each chunk's last row (same windowed frame, no rescan).
+    """
     c = _chunked(df, ts, chunk_seconds)
-    w = Window.partitionBy(key, "_chunk").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    c = c.withColumn("_in", F.sum(value).over(w))
-    totals = c.groupBy(key, "_chunk").agg(F.sum(value).alias("_t"))
+    part = Window.partitionBy(key, "_chunk")
+    w = part.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    c = c.select("*", F.sum(value).over(w).alias("_in"), F.row_number().over(part.orderBy(*order)).alias("_rn"),
+                 F.count(F.lit(1)).over(part).alias("_cn"))
+    totals = c.where(F.col("_rn") == F.col("_cn")).select(key, "_chunk", F.col("_in").alias("_t"))
     offsets = totals.select(key, "_chunk", F.coalesce(F.sum("_t").over(
         Window.partitionBy(key).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
-    j = c.join(offsets, [key, "_chunk"], "left")
-    return j.withColumn(out, F.col("_in") + F.col("_off")).drop("_chunk", "_in", "_off")
+    res = c.join(offsets, [key, "_chunk"], "left").withColumn(out, F.col("_in") + F.col("_off"))
+    return res.drop("_in", "_off", "_rn", "_cn", *([] if keep_chunk else ["_chunk"]))
