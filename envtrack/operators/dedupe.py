@@ -43,15 +43,18 @@ def upsert_counts(batch: DataFrame, existing: DataFrame | None) -> DataFrame:
     """One row: ``inserted``, ``updated``, ``inserted_or_updated`` for a batch against a table.
 
     inserted = distinct ids of the batch absent from the table; updated = ids present whose stored
-    copy differs (other ingest time or flags). Identical repeats count as neither.
+    copy differs (other ingest time or flags). Identical repeats count as neither. ``existing`` should
+    be restricted to the batch's days (an id's day is fixed), so the join reads only those partitions.
     """
-    ids = dedupe_readings(batch).select("reading_id", "ingested_at", F.col("quality.flags").alias("flags"))
+    ids = dedupe_readings(batch).select("event_date", "reading_id", "ingested_at",
+                                        F.col("quality.flags").alias("flags"))
     if existing is None:
         return ids.agg(F.count("*").alias("inserted"), F.lit(0).cast("bigint").alias("updated")) \
             .withColumn("inserted_or_updated", F.col("inserted") + F.col("updated"))
-    old = existing.select("reading_id", F.col("ingested_at").alias("_old_at"),
+    old = existing.select("event_date", "reading_id", F.col("ingested_at").alias("_old_at"),
                           F.col("quality.flags").alias("_old_flags"))
-    joined = ids.join(old, "reading_id", "left")
+    # (day, id) keys: the caller passes only the touched day partitions of the table
+    joined = ids.join(old, ["event_date", "reading_id"], "left")
     return joined.agg(
         F.count_if(F.col("_old_at").isNull()).alias("inserted"),
         F.count_if(F.col("_old_at").isNotNull() & ((F.col("_old_at") != F.col("ingested_at"))

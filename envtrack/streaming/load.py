@@ -197,10 +197,14 @@ def load_readings(spark: SparkSession, source: str, table: str, state: str | Non
             log_row = (batch_number, rows, docs_n, row["invalid_rows"], row["rows_with_quality_flags"],
                        [tuple(f) for f in row["files"]])
             docs = accepted_readings(classified)
-            existing = spark.read.parquet(table) if table_exists(spark, table) else None
+            days = list(row["days"])
+            existing = None
+            if days and table_exists(spark, table):
+                # ids never change day: only the touched day partitions can hold them
+                existing = spark.read.schema(S.READINGS_SCHEMA).parquet(table).where(F.col("event_date").isin(days))
             counts = upsert_counts(docs, existing).first()
             t = tick("upsert_counts", t)
-            _with_retry(lambda: merge_into_table(spark, docs, table, days=list(row["days"])),
+            _with_retry(lambda: merge_into_table(spark, docs, table, days=days),
                         max_attempts, delay_seconds)
             t = tick("merge", t)
             write_batch_partition(rejected_rows(classified), paths.rejected, batch_id)
