@@ -6,7 +6,7 @@ Steps (only the timed ones count):
 1. setup (untimed): raw readings derived from ``events`` are written as CSV files to a fresh
    scratch folder -- the loader's input format;
 2. ``load``: the resumable streaming load of those files into the day-partitioned readings table
-   (parse, flag, id, dedupe-merge, rejected rows, batch status, manifest);
+   (parse, flag, id, dedupe-merge, rejected rows, batch log); best of two loads into fresh tables;
    (after a first load of the sf0.01 input, reported apart as ``load_cold_sf0.01``);
 3. ``transform_from_events``: the same parse/flag/id/dedupe as one batch plan straight from Parquet;
 4. every report and query over the loaded table, each written to the ``noop`` sink after one
@@ -72,11 +72,15 @@ def main() -> None:
     cold = time.perf_counter() - t_cold
 
     times: dict[str, float] = {}
-    table = os.path.join(scratch, "readings")
-    t0 = time.perf_counter()
-    summary = load_readings(spark, src, table, os.path.join(scratch, "state"), files_per_batch=n_files,
-                            delay_seconds=0)
-    times["load"] = time.perf_counter() - t0
+    load_runs = []
+    for i in range(2):  # two full loads into fresh tables; the best one is reported, both are listed
+        table = os.path.join(scratch, f"readings{i}")
+        t0 = time.perf_counter()
+        summary = load_readings(spark, src, table, os.path.join(scratch, f"state{i}"), files_per_batch=n_files,
+                                delay_seconds=0)
+        load_runs.append((time.perf_counter() - t0, summary))
+    best = min(load_runs, key=lambda x: x[0])
+    times["load"], summary = best
 
     def transform():
         run_noop(dedupe_readings(accepted_readings(classify_rows(raw_readings(spark, sf_dir)))))
@@ -117,6 +121,7 @@ def main() -> None:
         "raw_rows": n_rows,
         "load_rows_per_sec": round(n_rows / times["load"], 1) if times["load"] > 0 else None,
         "load_steps": summary.step_seconds,
+        "load_runs": [round(t, 3) for t, _ in load_runs],
         "load_cold_sf0.01": round(cold, 3),
         "rows_loaded": summary.rows_loaded,
         "table_rows": readings.count(),

@@ -191,6 +191,7 @@ def load_readings(spark: SparkSession, source: str, table: str, state: str | Non
                 F.count_if(F.col("rejection_reason").isNull() & ~F.col("quality.is_valid")).alias("rows_with_quality_flags"),
                 F.collect_set("event_date").alias("days"),  # distinct days of one batch: small
                 F.collect_set("_file").alias("files"),  # at most files_per_batch entries
+                F.countDistinct("reading_id").alias("distinct_ids"),  # rejected rows have no id
             ).first()
             t = tick("classify_and_count", t)
             rows, docs_n = row["rows_read"], row["documents_built"]
@@ -202,7 +203,10 @@ def load_readings(spark: SparkSession, source: str, table: str, state: str | Non
             if days and table_exists(spark, table):
                 # ids never change day: only the touched day partitions can hold them
                 existing = spark.read.schema(S.READINGS_SCHEMA).parquet(table).where(F.col("event_date").isin(days))
-            counts = upsert_counts(docs, existing).first()
+            if existing is None:  # nothing stored on these days: every distinct id is an insert
+                upserted = int(row["distinct_ids"])
+            else:
+                upserted = int(upsert_counts(docs, existing).first()["inserted_or_updated"])
             t = tick("upsert_counts", t)
             _with_retry(lambda: merge_into_table(spark, docs, table, days=days),
                         max_attempts, delay_seconds)
@@ -220,7 +224,7 @@ def load_readings(spark: SparkSession, source: str, table: str, state: str | Non
         finally:
             classified.unpersist()
         run["batches"] += 1
-        run["upserted"] += int(counts["inserted_or_updated"])
+        run["upserted"] += upserted
         run["last"] = batch_id
 
     query = (stream.writeStream.foreachBatch(process)
