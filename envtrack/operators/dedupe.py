@@ -62,6 +62,17 @@ def upsert_counts(batch: DataFrame, existing: DataFrame | None) -> DataFrame:
     ).withColumn("inserted_or_updated", F.col("inserted") + F.col("updated"))
 
 
+def merge_frames(current: DataFrame | None, batch: DataFrame) -> DataFrame:
+    """K1 as a frame operation: the stored rows (of the touched days) upserted with a batch.
+
+    Replace semantics: for an id present in both, the newer ingest wins (see ``dedupe_readings``).
+    """
+    combined = batch.select(*S.READING_COLUMNS)
+    if current is not None:
+        combined = current.select(*S.READING_COLUMNS).unionByName(combined)
+    return dedupe_readings(combined)
+
+
 def merge_into_table(spark: SparkSession, batch: DataFrame, table_path: str,
                      days: list | None = None, partitions: int | None = None) -> None:
     """Upsert ``batch`` (readings schema) into the day-partitioned Parquet table at ``table_path``.
@@ -81,11 +92,10 @@ def merge_into_table(spark: SparkSession, batch: DataFrame, table_path: str,
     """
     if days is None:
         days = [r[0] for r in batch.select("event_date").distinct().collect()]  # distinct days only
-    combined = batch.select(*S.READING_COLUMNS)
+    current = None
     if days and table_exists(spark, table_path):
         current = spark.read.schema(S.READINGS_SCHEMA).parquet(table_path).where(F.col("event_date").isin(days))
-        combined = current.select(*S.READING_COLUMNS).unionByName(combined)
-    merged = dedupe_readings(combined)
+    merged = merge_frames(current, batch)
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     (merged.repartitionByRange(n, "event_date", "device", "timestamp")
      .sortWithinPartitions("event_date", "device", "timestamp")

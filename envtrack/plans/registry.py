@@ -419,6 +419,27 @@ def q_highest_smoke(spark, sf_dir):
     return Q.highest_smoke(readings(spark, sf_dir))
 
 
+@register("upsert_merge", O.with_readings(f"SELECT {FLAT_SQL} FROM rd"))
+def q_upsert_merge(spark, sf_dir):
+    """K1: a table built from load batches 1-5 (1,000 rows each), then the remaining batches merged
+    into it with replace semantics; the result is the table a single full load leaves behind."""
+    from envtrack.operators.dedupe import merge_frames
+
+    c = classified(spark, sf_dir, with_batches=True)
+    docs = accepted_readings(c, keep=["batch_number"])
+    first = dedupe_readings(docs.where(F.col("batch_number") <= 5).drop("batch_number"))
+    rest = docs.where(F.col("batch_number") > 5).drop("batch_number")
+    return flat(merge_frames(first, rest))
+
+
+@register("source_manifest", None)
+def q_source_manifest(spark, sf_dir):
+    """S3: path, size and modification time of the input table files (rows-only check)."""
+    from envtrack.sources.manifest import source_manifest
+
+    return source_manifest(spark, sf_dir, "*.parquet")
+
+
 # --- T: the resumable load, end to end ------------------------------------------------------
 
 @register("resumable_load", O.with_readings(f"SELECT {FLAT_SQL} FROM rd"))
