@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from envtrack.functions.numeric import round_even
 from envtrack.functions.timecols import bucket_start, micros, utc_ntz
-from envtrack.operators.sequence import DEFAULT_CHUNK_SECONDS, with_previous, with_running_sum
+from envtrack.operators.sequence import DEFAULT_CHUNK_SECONDS, with_islands, with_previous
 from envtrack.plans.queries import MEASUREMENT_ORDER, THRESHOLD_FIELDS, alert_thresholds, base
 
 BASELINE_ACCURACY = 10_000
@@ -170,11 +170,8 @@ def elevated_periods(readings: DataFrame, field: str = "smoke", threshold=None,
         threshold = F.lit(float(threshold))
     x = r.select("device", "timestamp", "timestamp_unix", _m(field).alias("v"),
                  F.coalesce(_m(field) >= threshold, F.lit(False)).alias("_hi"))
-    p = with_previous(x, "device", "timestamp", ["timestamp", "timestamp_unix", "v"], ["_hi"],
-                      chunk_seconds=chunk_seconds, keep_chunk=True)
-    starts = p.withColumn("_start", (F.col("_hi") & ~F.coalesce(F.col("prev__hi"), F.lit(False))).cast("int"))
-    numbered = with_running_sum(starts, "device", "timestamp", ["timestamp", "timestamp_unix", "v"], "_start",
-                                "period", chunk_seconds=chunk_seconds)
+    numbered = with_islands(x, "device", "timestamp", ["timestamp", "timestamp_unix", "v"], "_hi", "period",
+                            chunk_seconds=chunk_seconds)
     return (numbered.where(F.col("_hi")).groupBy("device", "period")
             .agg(utc_ntz(F.min("timestamp")).alias("period_start"), utc_ntz(F.max("timestamp")).alias("period_end"),
                  F.count("*").alias("readings"), F.max("v").alias("max_value"))

@@ -71,3 +71,34 @@ def with_running_sum(df: DataFrame, key: str, ts: str, order: list[str], value:
         Window.partitionBy(key).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
     res = c.join(offsets, [key, "_chunk"], "left").withColumn(out, F.col("_in") + F.col("_off"))
     return res.drop("_in", "_off", "_rn", "_cn", *([] if keep_chunk else ["_chunk"]))
+
+
+def with_islands(df: DataFrame, key: str, ts: str, order: list[str], flag: str, out: str,
+                 chunk_seconds: int = DEFAULT_CHUNK_SECONDS) -> DataFrame:
+    """Number the maximal runs of consecutive rows (per key, in order) where ``flag`` is true.
+
+    ``out`` is 1, 2, ... per key for flagged rows (null elsewhere). One chunk window gives, per
+    row, the run starts counted inside its chunk (the chunk's first flagged row counts as a start);
+    a frame with one row per chunk then removes that provisional start where the run continues
+    from the previous non-empty chunk, and adds the starts of all earlier chunks.
+    """
+    c = _chunked(df, ts, chunk_seconds)
+    part = Window.partitionBy(key, "_chunk")
+    w = part.orderBy(*order)
+    hi = F.coalesce(F.col(flag), F.lit(False))
+    c = c.select("*", F.lag(hi).over(w).alias("_pf"), F.row_number().over(w).alias("_rn"),
+                 F.count(F.lit(1)).over(part).alias("_cn"))
+    c = c.withColumn("_cs", F.sum((hi & ~F.coalesce(F.col("_pf"), F.lit(False))).cast("long"))
+                     .over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    edges = (c.where((F.col("_rn") == 1) | (F.col("_rn") == F.col("_cn")))
+             .groupBy(key, "_chunk").agg(
+                 F.max(F.when(F.col("_rn") == 1, hi)).alias("_first"),
+                 F.max(F.when(F.col("_rn") == F.col("_cn"), hi)).alias("_last"),
+                 F.max(F.when(F.col("_rn") == F.col("_cn"), F.col("_cs"))).alias("_total")))
+    wk = Window.partitionBy(key).orderBy("_chunk")
+    edges = edges.withColumn("_corr", (F.col("_first") & F.coalesce(F.lag("_last").over(wk), F.lit(False))).cast("long"))
+    edges = edges.select(key, "_chunk", "_corr", F.coalesce(F.sum(F.col("_total") - F.col("_corr")).over(
+        wk.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
+    res = c.join(edges, [key, "_chunk"], "left")
+    return res.withColumn(out, F.when(hi, F.col("_off") + F.col("_cs") - F.col("_corr"))) \
+        .drop("_chunk", "_pf", "_rn", "_cn", "_cs", "_corr", "_off")

@@ -1,7 +1,7 @@
 """Row transformation: raw text rows -> accepted readings and rejected rows.
 
-The whole classification is one ``select`` of native expressions (whole-stage codegen, no Python
-in the data path). ``classify_rows`` adds a ``rejection_reason`` column (null = accepted) next to
+The whole classification is a chain of projections of native expressions (whole-stage codegen,
+no Python in the data path). ``classify_rows`` adds a ``rejection_reason`` column (null = accepted) next to
 the parsed reading; ``accepted_readings`` and ``rejected_rows`` are two filters over it, so a caller
 that needs both persists the classified frame once.
 
@@ -36,23 +36,6 @@ def rejection_reason(ts: Column, device: Column) -> Column:
     )
 
 
-def measurement_columns(row_cols: dict[str, Column]) -> tuple[Column, Column]:
-    """(measurements struct, flags array) for the seven measurement cells."""
-    values: dict[str, Column] = {}
-    flags: list[Column] = []
-    for name in S.FLOAT_FIELDS:
-        v, issue = parse_float(row_cols[name])
-        values[name] = v
-        flags.append(F.when(issue.isNotNull(), F.concat(issue, F.lit("_" + name))))
-    for name in S.BOOL_FIELDS:
-        v, issue = parse_bool(row_cols[name])
-        values[name] = v
-        flags.append(F.when(issue.isNotNull(), F.concat(issue, F.lit("_" + name))))
-    # struct fields in sorted name order (also the key order of the canonical id text)
-    measurements = F.struct(*[values[n].alias(n) for n in sorted(values)])
-    return measurements, F.array_compact(F.array(*flags))
-
-
 def source_struct(url: str | None = None) -> Column:
     return F.struct(F.lit(S.SOURCE_DATASET).alias("dataset"), F.lit(S.SOURCE_PLATFORM).alias("platform"),
                     F.lit(url).cast("string").alias("url"))
@@ -182,5 +165,5 @@ def transform_readings(raw: DataFrame, ingested_at: _dt.datetime | None = None)
     return accepted_readings(classify_rows(raw, ingested_at))
 
 
-__all__ = ["accepted_readings", "classify_rows", "clean_text", "measurement_columns", "rejected_rows",
+__all__ = ["accepted_readings", "classify_rows", "clean_text", "rejected_rows",
            "rejection_reason", "source_struct", "transform_readings"]

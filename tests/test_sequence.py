@@ -41,3 +41,20 @@ def test_gaps_and_periods_independent_of_chunk(spark, readings):
     # each period's count equals the number of elevated readings overall
     thr = readings.agg(F.percentile_approx("measurements.smoke", 0.9, 1000000)).first()[0]
     assert sum(r["readings"] for r in p1) == readings.where(F.col("measurements.smoke") >= round(thr, 6)).count()
+
+
+@pytest.mark.parametrize("chunk", [60, 3600, 86400 * 40])
+def test_islands_match_plain_gaps_and_islands(spark, readings, chunk):
+    from envtrack.operators.sequence import with_islands
+
+    x = readings.select("device", "timestamp", "timestamp_unix",
+                        (F.col("measurements.smoke") >= 0.05).alias("hi"))
+    order = ["timestamp", "timestamp_unix"]
+    got = with_islands(x, "device", "timestamp", order, "hi", "island", chunk_seconds=chunk)
+    w = Window.partitionBy("device").orderBy(*order)
+    starts = x.withColumn("s", (F.coalesce("hi", F.lit(False))
+                                & ~F.coalesce(F.lag(F.coalesce("hi", F.lit(False))).over(w), F.lit(False))).cast("long"))
+    want = starts.withColumn("island", F.when(F.coalesce("hi", F.lit(False)),
+                                              F.sum("s").over(w.rowsBetween(Window.unboundedPreceding, 0))))
+    cols = ["device", "timestamp_unix", "island"]
+    assert sorted(got.select(*cols).collect()) == sorted(want.select(*cols).collect())
