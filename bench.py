@@ -23,8 +23,6 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from pyspark.sql import functions as F  # noqa: E402
-
 from envtrack.operators import health as H  # noqa: E402
 from envtrack.operators import validate as V  # noqa: E402
 from envtrack.operators.dedupe import dedupe_readings  # noqa: E402

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from envtrack import schema as S
 from envtrack.functions.cells import (
     bool_from_parts, clean_text, epoch_in_range, epoch_number, epoch_to_micros, float_from_parts, is_missing,
-    issue_from_parts, missing_from_clean, parse_bool, parse_epoch, parse_float, strict_number,
+    issue_from_parts, missing_from_clean, parse_epoch, strict_number,
 )
 from envtrack.functions.identity import reading_id
 from envtrack.functions.timecols import MICROS_PER_DAY

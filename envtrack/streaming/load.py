@@ -36,7 +36,7 @@ from pyspark.sql import types as T
 from envtrack import schema as S
 from envtrack.operators.batches import assign_batches
 from envtrack.operators.dedupe import merge_into_table, table_exists, upsert_counts
-from envtrack.operators.quality import batch_quality_status, quality_report
+from envtrack.operators.quality import quality_report
 from envtrack.operators.transform import accepted_readings, classify_rows, rejected_rows
 from envtrack.session import state_path
 from envtrack.sources.csv import check_columns, csv_options, header_of, text_schema, with_file_order

@@ -5,7 +5,6 @@ import os
 
 from pyspark.sql import functions as F
 
-from envtrack import schema as S
 from envtrack.operators.dedupe import merge_into_table
 from envtrack.operators.transform import accepted_readings, classify_rows
 from envtrack.plans import jobs

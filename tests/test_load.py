@@ -5,7 +5,6 @@ import os
 import time
 
 import pytest
-from pyspark.sql import functions as F
 
 from envtrack import schema as S
 from envtrack.operators.dedupe import dedupe_readings
