@@ -2,8 +2,8 @@
 
 The reference issues one server request per statistic; here the whole table-wide part is one scan
 with one wide aggregate (A6-A9, A12), plus one ``groupBy(device)`` for distinct devices and
-density (A10, A11). The verdicts (A14, A15) are column expressions over those two one-row frames,
-joined on a constant key.
+density (A10, A11). The full report (A14-A16) is a two-level aggregate -- per-device partials,
+then one global row -- with the verdicts as column expressions on that row; no joins.
 """
 
 from __future__ import annotations
@@ -123,11 +123,24 @@ def validation_report(readings: DataFrame) -> DataFrame:
     has_fields = set(EXPECTED_MEASUREMENT_FIELDS).issubset(fields)
     schema_ok = has_fields and {"device", "timestamp", "measurements"}.issubset(set(readings.columns))
 
-    t = table_metrics(readings).withColumn("_k", F.lit(1))
-    # one groupBy(device) gives both the distinct-device count (A10) and the density
-    per = readings.groupBy("device").agg(F.count("*").alias("readings"))
-    d = _density_from_counts(per).withColumn("_k", F.lit(1))
-    j = t.join(d, "_k")  # two one-row frames
+    # two-level aggregate, no join: per-device partials (map-side combined), then one global row
+    per = readings.groupBy("device").agg(
+        F.count("*").alias("n"), F.min("timestamp").alias("first"), F.max("timestamp").alias("last"),
+        F.count_if(F.col("quality").isNotNull()).alias("q"),
+        F.count_if(F.col("quality.is_valid") == F.lit(False)).alias("inv"),
+        F.count_if(F.size(F.col("quality.flags")) > 0).alias("fl"))
+    named = F.col("device").isNotNull() & (F.col("device") != "")
+    j = per.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("total_documents"),
+        F.count_if(F.col("device").isNotNull()).alias("unique_devices"),
+        F.min("first").alias("_first"), F.max("last").alias("_latest"),
+        F.coalesce(F.sum("q"), F.lit(0)).cast("bigint").alias("documents_with_quality_field"),
+        F.coalesce(F.sum("inv"), F.lit(0)).cast("bigint").alias("documents_with_quality_is_valid_false"),
+        F.coalesce(F.sum("fl"), F.lit(0)).cast("bigint").alias("documents_with_quality_flags"),
+        F.coalesce(F.min(F.when(named, F.col("n"))), F.lit(0)).cast("bigint").alias("min_readings_per_device"),
+        F.coalesce(F.max(F.when(named, F.col("n"))), F.lit(0)).cast("bigint").alias("max_readings_per_device"),
+        F.coalesce(round_even(F.avg(F.when(named, F.col("n"))), 2), F.lit(0.0)).alias("avg_readings_per_device"),
+    )
 
     total = F.col("total_documents")
     first, latest = F.col("_first"), F.col("_latest")
