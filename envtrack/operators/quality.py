@@ -58,11 +58,24 @@ def quality_report(batch_status: DataFrame) -> DataFrame:
     )
 
 
+def _as_map(counts: DataFrame, key: str, value: str) -> DataFrame:
+    """One row, one map column -- only for vocabularies of fixed, small size (flags, reasons)."""
+    return counts.agg(F.coalesce(F.map_from_entries(F.collect_list(F.struct(F.col(key), F.col(value)))),
+                                 F.create_map().cast("map<string,bigint>")).alias("m"))
+
+
 def quality_report_full(classified: DataFrame, batch_status: DataFrame) -> dict[str, DataFrame]:
-    """The whole report as frames: totals (with the consequences text), and the three breakdowns."""
+    """The whole report as frames: totals (with the consequences text and the two bounded maps --
+    flag counts and rejection reasons, at most 14 and 4 keys), and the breakdowns as frames. Counts
+    per device stay a frame: their size grows with the number of devices."""
     readings = classified.where(F.col("rejection_reason").isNull())
+    flags = _as_map(flag_counts(readings), "flag", "occurrences").select(F.col("m").alias("invalid_measurement_values"))
+    reasons = _as_map(rejected_reasons(classified), "rejection_reason", "rows").select(F.col("m").alias("rejected_reasons"))
+    totals = (quality_report(batch_status).withColumn("consequences", F.lit(QUALITY_CONSEQUENCES))
+              .select("*", flags.scalar().alias("invalid_measurement_values"),
+                      reasons.scalar().alias("rejected_reasons")))
     return {
-        "totals": quality_report(batch_status).withColumn("consequences", F.lit(QUALITY_CONSEQUENCES)),
+        "totals": totals,
         "invalid_measurement_values": flag_counts(readings),
         "rejected_reasons": rejected_reasons(classified),
         "device_counts": device_counts_loaded(readings),

@@ -67,3 +67,17 @@ def test_plan_shapes(spark, scratch):
         p = df._jdf.queryExecution().executedPlan().toString()
         assert "PythonUDF" not in p and "ArrowEvalPython" not in p and "BatchEvalPython" not in p
         assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
+
+
+def test_quality_report_maps(spark):
+    from envtrack.operators.batches import assign_batches
+    from envtrack.operators.quality import batch_quality_status, quality_report_full
+
+    raw = assign_batches(raw_readings(spark, SF_SMALL, keep_order=True), ["_part"], ["_seq"], 1000)
+    c = classify_rows(raw, keep=["batch_number"])
+    rep = quality_report_full(c, batch_quality_status(c))
+    t = rep["totals"].first()
+    assert (t["total_rows_seen"], t["rows_loaded"], t["rows_rejected"], t["batches"]) == (1015, 970, 45, 2)
+    assert t["rejected_reasons"] == {"missing_ts": 12, "invalid_ts": 11, "missing_device": 22}
+    assert t["invalid_measurement_values"]["invalid_numeric_lpg"] == 12
+    assert rep["device_counts"].count() == 15

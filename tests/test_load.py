@@ -224,3 +224,9 @@ def test_split_into_batch_files_keeps_file_order(spark, scratch, raw_pdf):
         want = expected.iloc[i * 100:(i + 1) * 100].reset_index(drop=True)
         assert len(got) == len(want)
         assert (got["ts"].tolist(), got["smoke"].tolist()) == (want["ts"].tolist(), want["smoke"].tolist())
+
+
+def test_empty_source(spark, scratch):
+    os.makedirs(f"{scratch}/src")
+    s = L.load_readings(spark, f"{scratch}/src", f"{scratch}/t", f"{scratch}/s", delay_seconds=0)
+    assert s.batches_processed_this_run == 0 and s.total_rows_seen == 0
