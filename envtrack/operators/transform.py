@@ -123,7 +123,8 @@ def _build_stages(keep: list[str]) -> list[list[Column]]:
         for f in S.FLOAT_FIELDS + S.BOOL_FIELDS]))
     # struct fields in sorted name order (also the key order of the canonical id text)
     measurements = F.struct(*[F.col(f"_v_{n}").alias(n) for n in sorted(S.FLOAT_FIELDS + S.BOOL_FIELDS)])
-    s4 = [*keep_names, "row", "rejection_reason",
+    # the raw snapshot is kept for rejected rows only (accepted rows carry the parsed reading)
+    s4 = [*keep_names, F.when(~ok, F.col("row")).alias("row"), "rejection_reason",
                    F.when(ok, F.col("_ts_raw")).alias("timestamp_unix"),
                    F.when(ok, F.col("_device")).alias("device"),
                    F.when(ok, measurements).alias("measurements"),

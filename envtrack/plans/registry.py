@@ -139,8 +139,14 @@ def q_parse_bool(spark, sf_dir):
     "SELECT ts, timestamp_unix, timestamp, timestamp_unix > 1e12 AS is_millis "
     "FROM acc JOIN raw USING (_part, _seq)"))
 def q_epoch_parse(spark, sf_dir):
-    c = classified(spark, sf_dir).where(F.col("rejection_reason").isNull())
-    return c.select(F.col("row.ts").alias("ts"), "timestamp_unix", utc_ntz(F.col("timestamp")).alias("timestamp"),
+    from envtrack.functions.cells import epoch_to_micros
+    from envtrack.operators.transform import rejection_reason
+
+    raw = raw_readings(spark, sf_dir)
+    ok = raw.where(rejection_reason(F.col("ts"), F.col("device")).isNull())
+    x = ok.select("ts", parse_epoch(F.col("ts")).alias("timestamp_unix"))
+    return x.select("ts", "timestamp_unix",
+                    utc_ntz(F.timestamp_micros(epoch_to_micros(F.col("timestamp_unix")))).alias("timestamp"),
                     (F.col("timestamp_unix") > S.MILLIS_CUTOFF).alias("is_millis"))
 
 
