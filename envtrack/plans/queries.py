@@ -171,6 +171,45 @@ def readings_in_window(readings: DataFrame, devices: Iterable[str] | None = None
                     *_lifted(), F.col("quality.is_valid").alias("is_valid"))
 
 
+def page_readings(readings: DataFrame, size: int = 100, after: tuple | None = None,
+                  valid_only: bool = False) -> DataFrame:
+    """One page of readings in time order, for API responses (keyset pagination).
+
+    ``after`` is the key of the previous page's last row, ``(cursor_us, device, timestamp_unix,
+    reading_id)``; a prefix is allowed, and the first item may also be an aware ``datetime``. Each
+    page is a pushed, partition-pruned range filter plus a top-k, so page N costs the same as page 1
+    (no global offset, no sort of the table). ``cursor_us`` (epoch microseconds, independent of the
+    session zone) and the other key columns are returned for the next call.
+    """
+    import datetime as _dt
+
+    if size < 1:
+        raise ValueError("page size must be >= 1")
+    r = base(readings, valid_only)
+    if after:
+        t0 = after[0]
+        if isinstance(t0, int):  # epoch microseconds, converted exactly
+            t0 = _dt.datetime(1970, 1, 1, tzinfo=_dt.timezone.utc) + _dt.timedelta(microseconds=t0)
+        elif isinstance(t0, _dt.datetime) and t0.tzinfo is None:
+            t0 = t0.replace(tzinfo=_dt.timezone.utc)  # naive cursor values are UTC wall clock
+        ts = F.col("timestamp")
+        cond = ts > F.lit(t0)
+        rest = [(F.col("device"), 1), (F.col("timestamp_unix"), 2), (F.col("reading_id"), 3)]
+        tie = None
+        for col, i in reversed(rest):
+            if len(after) > i:
+                step = col > F.lit(after[i])
+                tie = step if tie is None else (step | ((col == F.lit(after[i])) & tie))
+        if tie is not None:
+            cond = cond | ((ts == F.lit(t0)) & tie)
+        day = t0.astimezone(_dt.timezone.utc).date() if isinstance(t0, _dt.datetime) else t0
+        r = r.where((F.col("event_date") >= F.lit(day)) & (ts >= F.lit(t0)) & cond)
+    return (r.orderBy("timestamp", "device", "timestamp_unix", "reading_id").limit(size)
+            .select("device", utc_ntz(F.col("timestamp")).alias("timestamp"), "timestamp_unix", *_lifted(),
+                    F.col("quality.is_valid").alias("is_valid"), F.unix_micros("timestamp").alias("cursor_us"),
+                    "reading_id"))
+
+
 def run_all(readings: DataFrame, valid_only: bool = False) -> dict[str, DataFrame]:
     """Q11: every published query plus the thresholds used, as lazy DataFrames."""
     thresholds = alert_thresholds(readings, valid_only)

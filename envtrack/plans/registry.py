@@ -204,6 +204,17 @@ def q_readings_in_window(spark, sf_dir):
     return Q.readings_in_window(readings(spark, sf_dir), None, WINDOW_START, WINDOW_END)
 
 
+PAGE_AFTER = _dt.datetime(2024, 1, 15, tzinfo=_dt.timezone.utc)
+
+
+@register("page_readings", O.with_readings(
+    "SELECT device, timestamp, timestamp_unix, co, humidity, lpg, smoke, temp, light, motion, is_valid FROM rd "
+    f"WHERE timestamp > TIMESTAMP '{PAGE_AFTER:%Y-%m-%d %H:%M:%S}' ORDER BY timestamp, device, timestamp_unix LIMIT 100"))
+def q_page_readings(spark, sf_dir):
+    """One 100-row page of readings after a cursor instant (keyset pagination)."""
+    return Q.page_readings(readings(spark, sf_dir), 100, (PAGE_AFTER,)).drop("cursor_us", "reading_id")
+
+
 # --- A: load-quality counters -------------------------------------------------------------------
 
 @register("assign_batches", O.with_parsed(
