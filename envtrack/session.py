@@ -37,20 +37,26 @@ def build_session(master: str = "local[*]", app: str = "envtrack", shuffle_parti
 def shared_dir(spark: SparkSession) -> str:
     """Root of the shared folder for checkpoints and state.
 
-    Reads ``spark.checkpoint.dir`` from the session. Only when it is unset (tests on one machine)
-    a scratch folder is created and registered, so later calls agree on it.
+    Reads ``spark.checkpoint.dir`` from the session. When only an RDD checkpoint folder was set on
+    the context, that one is used. Only when neither is set (tests on one machine) a scratch folder
+    is created once per process and registered, so later calls agree on it.
     """
     global _LOCAL_FALLBACK
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    jsc_dir = spark.sparkContext.getCheckpointDir()
-    if jsc_dir:
-        return jsc_dir.rstrip("/")
-    if _LOCAL_FALLBACK is None:
-        _LOCAL_FALLBACK = tempfile.mkdtemp(prefix="envtrack-state-")
+    if _LOCAL_FALLBACK is not None:
+        return _LOCAL_FALLBACK
+    context_dir = spark.sparkContext.getCheckpointDir()
+    if context_dir:
+        _LOCAL_FALLBACK = context_dir.rstrip("/")
+        return _LOCAL_FALLBACK
+    _LOCAL_FALLBACK = tempfile.mkdtemp(prefix="envtrack-state-")
     spark.sparkContext.setCheckpointDir(os.path.join(_LOCAL_FALLBACK, "rdd"))
-    spark.conf.set("spark.checkpoint.dir", _LOCAL_FALLBACK)
+    try:
+        spark.conf.set("spark.checkpoint.dir", _LOCAL_FALLBACK)
+    except Exception:  # some deployments reject runtime changes of core settings; the module keeps it
+        pass
     return _LOCAL_FALLBACK
 
 
