@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import datetime as _dt
 import time
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import asdict, dataclass
 
 from pyspark.errors import StreamingQueryException
@@ -208,13 +209,20 @@ def load_readings(spark: SparkSession, source: str, table: str, state: str | Non
             else:
                 upserted = int(upsert_counts(docs, existing).first()["inserted_or_updated"])
             t = tick("upsert_counts", t)
-            _with_retry(lambda: merge_into_table(spark, docs, table, days=days),
-                        max_attempts, delay_seconds)
-            t = tick("merge", t)
-            write_batch_partition(rejected_rows(classified), paths.rejected, batch_id)
-            t = tick("rejected", t)
-            write_batch_partition(spark.createDataFrame([log_row], BATCH_LOG_SCHEMA), paths.batch_log, batch_id)
-            t = tick("batch_log", t)
+            # the three writes read the persisted batch, go to different paths and are each
+            # replay-idempotent, so they run as concurrent Spark jobs; all must finish before the
+            # callback returns (only then does Spark commit the batch)
+            with ThreadPoolExecutor(max_workers=3) as pool:
+                jobs = [
+                    pool.submit(_with_retry, lambda: merge_into_table(spark, docs, table, days=days),
+                                max_attempts, delay_seconds),
+                    pool.submit(write_batch_partition, rejected_rows(classified), paths.rejected, batch_id),
+                    pool.submit(write_batch_partition, spark.createDataFrame([log_row], BATCH_LOG_SCHEMA),
+                                paths.batch_log, batch_id),
+                ]
+                for job in jobs:
+                    job.result()  # re-raises the first failure
+            t = tick("writes", t)
         except StopLoad:
             raise
         except Exception as exc:
