@@ -19,7 +19,7 @@ from envtrack.functions.numeric import round_even
 from envtrack.functions.timecols import utc_ntz
 from envtrack.operators import health as H
 from envtrack.operators import quality, validate
-from envtrack.operators.batches import assign_batches
+from envtrack.operators.batches import assign_batches, sequence_group
 from envtrack.operators.dedupe import dedupe_readings
 from envtrack.operators.transform import accepted_readings, classify_rows, rejected_rows
 from envtrack.plans import oracle as O
@@ -31,7 +31,6 @@ REGISTRY_INGESTED_AT = _dt.datetime(2024, 2, 1, tzinfo=_dt.timezone.utc)
 SAMPLE_ROWS = 100
 WINDOW_START = _dt.date(2024, 1, 8)
 WINDOW_END = _dt.date(2024, 1, 15)
-SEQ_BUCKET = 1 << 16
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -52,8 +51,7 @@ def classified(spark: SparkSession, sf_dir: str, with_batches: bool = False) ->
     raw = raw_readings(spark, sf_dir, keep_order=with_batches)
     keep = None
     if with_batches:
-        raw = assign_batches(raw, ["_part", (F.col("_seq") / SEQ_BUCKET).cast("bigint")], ["_seq"],
-                             S.DEFAULT_BATCH_SIZE)
+        raw = assign_batches(raw, sequence_group("_part", "_seq"), ["_seq"], S.DEFAULT_BATCH_SIZE)
         keep = ["batch_number"]
     return classify_rows(raw, REGISTRY_INGESTED_AT, keep=keep)
 
@@ -474,7 +472,7 @@ def q_resumable_load(spark, sf_dir):
 
     root = state_path(spark, "registry", f"resumable_load-{uuid.uuid4().hex}")
     raw = raw_readings(spark, sf_dir, keep_order=True)
-    write_batch_files(raw, f"{root}/input", ["_part", (F.col("_seq") / SEQ_BUCKET).cast("bigint")], ["_seq"])
+    write_batch_files(raw, f"{root}/input", sequence_group("_part", "_seq"), ["_seq"])
     load_readings(spark, f"{root}/input", f"{root}/readings", f"{root}/state", files_per_batch=1,
                   delay_seconds=0, ingested_at=REGISTRY_INGESTED_AT)
     return flat(spark.read.parquet(f"{root}/readings"))

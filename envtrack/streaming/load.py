@@ -313,27 +313,31 @@ def load_state(spark: SparkSession, table: str, state: str | None = None,
     return resolve_paths(spark, state, table, False, checkpoint_path)
 
 
-def write_batch_files(raw: DataFrame, dest: str, coarse: list, fine: list,
-                      batch_size: int = S.DEFAULT_BATCH_SIZE) -> None:
-    """W9 applied: write rows as one CSV file per ``batch_size`` rows, in (coarse, fine) order.
-
-    Output: ``dest/batch_number=N/part-*.csv`` with a header. Positions come from
-    ``assign_batches`` (no global window); every batch is at most ``batch_size`` rows, so the
-    shuffle on ``batch_number`` that makes one file per batch has bounded groups. A file stream
-    with ``maxFilesPerTrigger=1`` over ``dest`` then replays the reference's row-count batches.
+def write_batch_files(raw: DataFrame, dest: str, group, fine: list,
+                      batch_size: int = S.DEFAULT_BATCH_SIZE, within: list[str] | None = None,
+                      partition_by: list[str] | None = None) -> None:
+    """W9 applied: write rows as one CSV file per ``batch_size`` rows, in (group, fine) order.
+
+    Output: ``dest/[partition_by=.../]batch_number=N/part-*.csv`` with a header. Positions come from
+    ``assign_batches`` (no global window, see ``operators.batches``); every batch holds at most
+    ``batch_size`` rows, so the shuffle that makes one file per batch has bounded groups. A file
+    stream with ``maxFilesPerTrigger=1`` over ``dest`` then replays row-count batches.
     """
-    positioned = assign_batches(raw, coarse, fine, batch_size)
-    (positioned.repartition("batch_number").sortWithinPartitions("batch_number", "position")
-     .select("batch_number", *S.REQUIRED_COLUMNS)
-     .write.mode("overwrite").option("header", True).partitionBy("batch_number").csv(dest))
+    within = list(within or [])
+    parts = list(partition_by or []) + ["batch_number"]
+    positioned = assign_batches(raw, group, fine, batch_size, within=within)
+    (positioned.repartition(*parts).sortWithinPartitions(*parts, "position")
+     .select(*parts, *S.REQUIRED_COLUMNS)
+     .write.mode("overwrite").option("header", True).partitionBy(*parts).csv(dest))
 
 
 def split_into_batch_files(spark: SparkSession, source: str, dest: str,
                            batch_size: int = S.DEFAULT_BATCH_SIZE, pattern: str = "*.csv") -> None:
     """W9 for CSV input: cut every file under ``source`` into ``batch_size``-row files in file order.
 
-    File order = (file path, split start, scan position); the scan position is taken right at the
-    scan, before any shuffle.
+    Numbering restarts per file, as the reference numbered the batches of one file. File order =
+    (split start, scan position), taken right at the scan, before any shuffle. Output:
+    ``dest/source_file=<file name>/batch_number=N/part-*.csv``.
     """
     listing = source_manifest(spark, source, pattern)
     first = listing.select(F.min("path")).first()[0]
@@ -341,7 +345,9 @@ def split_into_batch_files(spark: SparkSession, source: str, dest: str,
     check_columns(cols)
     scan = (spark.read.options(**csv_options()).schema(text_schema(cols)).option("pathGlobFilter", pattern)
             .csv(source))
-    write_batch_files(with_file_order(scan), dest, ["_file", "_block"], ["_scan_seq"], batch_size)
+    ordered = with_file_order(scan).withColumn("source_file", F.regexp_extract("_file", "[^/]+$", 0))
+    write_batch_files(ordered, dest, "_block", ["_scan_seq"], batch_size, within=["_file"],
+                      partition_by=["source_file"])
 
 
 def rejected_table(spark: SparkSession, paths: LoadPaths) -> DataFrame | None:
@@ -349,8 +355,8 @@ def rejected_table(spark: SparkSession, paths: LoadPaths) -> DataFrame | None:
 
 
 def assign_file_batches(df: DataFrame, batch_size: int) -> DataFrame:
-    """Batch numbers for rows of a CSV scan in file order (see ``operators.batches``)."""
-    return assign_batches(with_file_order(df), ["_file", "_block"], ["_scan_seq"], batch_size)
+    """Batch numbers per file for rows of a CSV scan, in file order (see ``operators.batches``)."""
+    return assign_batches(with_file_order(df), "_block", ["_scan_seq"], batch_size, within=["_file"])
 
 
 __all__ = ["LoadFailed", "LoadSummary", "StopLoad", "assign_file_batches", "batch_status_table", "manifest_table",

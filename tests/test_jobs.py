@@ -70,10 +70,10 @@ def test_plan_shapes(spark, scratch):
 
 
 def test_quality_report_maps(spark):
-    from envtrack.operators.batches import assign_batches
+    from envtrack.operators.batches import assign_batches, sequence_group
     from envtrack.operators.quality import batch_quality_status, quality_report_full
 
-    raw = assign_batches(raw_readings(spark, SF_SMALL, keep_order=True), ["_part"], ["_seq"], 1000)
+    raw = assign_batches(raw_readings(spark, SF_SMALL, keep_order=True), sequence_group("_part", "_seq"), ["_seq"], 1000)
     c = classify_rows(raw, keep=["batch_number"])
     rep = quality_report_full(c, batch_quality_status(c))
     t = rep["totals"].first()

@@ -212,6 +212,7 @@ def test_split_into_batch_files_keeps_file_order(spark, scratch, raw_pdf):
         L.split_into_batch_files(spark, src, dest, batch_size=100)
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    dest = f"{dest}/source_file=all.csv"
     dirs = sorted((d for d in os.listdir(dest) if d.startswith("batch_number=")), key=lambda d: int(d.split("=")[1]))
     assert len(dirs) == 11
     import pandas as pd

@@ -58,3 +58,17 @@ def test_islands_match_plain_gaps_and_islands(spark, readings, chunk):
                                               F.sum("s").over(w.rowsBetween(Window.unboundedPreceding, 0))))
     cols = ["device", "timestamp_unix", "island"]
     assert sorted(got.select(*cols).collect()) == sorted(want.select(*cols).collect())
+
+
+def test_positions_tree_matches_row_number(spark):
+    """The prefix-sum tree gives the global row number, also across sparse, far-apart group keys."""
+    from envtrack.operators.batches import with_positions
+
+    rows = [(p, s) for p in (0, 1) for s in list(range(0, 300)) + [70_000, 70_001, 5_000_000_000, 2**40 + 7]]
+    df = spark.createDataFrame(rows, "part int, seq bigint")
+    got = with_positions(df, F.shiftleft(F.col("part").cast("bigint"), 48) + F.shiftright("seq", 4), ["seq"])
+    want = sorted(rows)
+    assert [(r["part"], r["seq"]) for r in got.orderBy("position").collect()] == want
+    assert [r["position"] for r in got.orderBy("position").collect()] == list(range(1, len(want) + 1))
+    per_part = with_positions(df, F.shiftright("seq", 4), ["seq"], within=["part"])
+    assert sorted(r["position"] for r in per_part.where("part = 1").collect()) == list(range(1, 305))
