@@ -96,8 +96,11 @@ def merge_into_table(spark: SparkSession, batch: DataFrame, table_path: str,
     if days and table_exists(spark, table_path):
         current = spark.read.schema(S.READINGS_SCHEMA).parquet(table_path).where(F.col("event_date").isin(days))
     merged = merge_frames(current, batch)
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    (merged.repartitionByRange(n, "event_date", "device", "timestamp")
+    # without an explicit count AQE sizes the range partitions (advisory partition size); a caller
+    # can pin the number with ``partitions``
+    keys = ["event_date", "device", "timestamp"]
+    ranged = merged.repartitionByRange(partitions, *keys) if partitions else merged.repartitionByRange(*keys)
+    (ranged
      .sortWithinPartitions("event_date", "device", "timestamp")
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("event_date").parquet(table_path))
