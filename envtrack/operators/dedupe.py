@@ -39,6 +39,24 @@ def table_exists(spark: SparkSession, path: str) -> bool:
         return False
 
 
+def read_days(spark: SparkSession, table_path: str, days: list) -> DataFrame | None:
+    """The stored readings of some days, listing only those day folders (None when none exists).
+
+    A brace glob over ``event_date=<day>`` folders with ``basePath`` keeps partition discovery (the
+    ``event_date`` column) while the file listing touches the named days only, not the whole table.
+    """
+    if not days:
+        return None
+    pattern = f"{table_path.rstrip('/')}/event_date={{{','.join(str(d) for d in sorted(days))}}}"
+    try:
+        df = (spark.read.schema(S.READINGS_SCHEMA).option("basePath", table_path)
+              .parquet(pattern).where(F.col("event_date").isin(days)))
+        df.schema  # noqa: B018 - resolves the listing of the matched folders
+        return df
+    except Exception:  # no folder matched: nothing stored on these days yet
+        return None
+
+
 def upsert_counts(batch: DataFrame, existing: DataFrame | None) -> DataFrame:
     """One row: ``inserted``, ``updated``, ``inserted_or_updated`` for a batch against a table.
 
@@ -92,9 +110,7 @@ def merge_into_table(spark: SparkSession, batch: DataFrame, table_path: str,
     """
     if days is None:
         days = [r[0] for r in batch.select("event_date").distinct().collect()]  # distinct days only
-    current = None
-    if days and table_exists(spark, table_path):
-        current = spark.read.schema(S.READINGS_SCHEMA).parquet(table_path).where(F.col("event_date").isin(days))
+    current = read_days(spark, table_path, days)
     merged = merge_frames(current, batch)
     # without an explicit count AQE sizes the range partitions (advisory partition size); a caller
     # can pin the number with ``partitions``

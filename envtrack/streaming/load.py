@@ -36,7 +36,7 @@ from pyspark.sql import types as T
 
 from envtrack import schema as S
 from envtrack.operators.batches import assign_batches
-from envtrack.operators.dedupe import merge_into_table, table_exists, upsert_counts
+from envtrack.operators.dedupe import merge_into_table, read_days, upsert_counts
 from envtrack.operators.quality import quality_report
 from envtrack.operators.transform import accepted_readings, classify_rows, rejected_rows
 from envtrack.session import state_path
@@ -200,10 +200,8 @@ def load_readings(spark: SparkSession, source: str, table: str, state: str | Non
                        [tuple(f) for f in row["files"]])
             docs = accepted_readings(classified)
             days = list(row["days"])
-            existing = None
-            if days and table_exists(spark, table):
-                # ids never change day: only the touched day partitions can hold them
-                existing = spark.read.schema(S.READINGS_SCHEMA).parquet(table).where(F.col("event_date").isin(days))
+            # ids never change day: only the touched day folders can hold them (and only they are listed)
+            existing = read_days(spark, table, days)
             if existing is None:  # nothing stored on these days: every distinct id is an insert
                 upserted = int(row["distinct_ids"])
             else:
