@@ -26,6 +26,8 @@ def _parser() -> argparse.ArgumentParser:
     load.add_argument("--reset-checkpoint", action="store_true", help="start a new state generation; keep the table")
     load.add_argument("--checkpoint-path", default=None, help="stream checkpoint folder")
     load.add_argument("--files-per-batch", type=int, default=1, help="files per micro-batch")
+    load.add_argument("--batch-size", type=int, default=None,
+                      help="cut the CSV file(s) into batches of this many rows (staged once), one batch per trigger")
     load.add_argument("--summary", default=None, help="write the load summary as JSON to this folder")
 
     val = sub.add_parser("validate", help="validation report of the readings table")
@@ -47,12 +49,17 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     if args.command == "load":
         from envtrack.sources.csv import MissingColumnsError
         from envtrack.sources.manifest import SourceChangedError
-        from envtrack.streaming.load import LoadFailed, load_readings
+        from envtrack.streaming.load import LoadFailed, load_in_row_batches, load_readings
 
         try:
-            summary = load_readings(spark, args.source, args.table, args.state, max_batches=args.max_batches,
-                                    reset=args.reset_checkpoint, checkpoint_path=args.checkpoint_path,
-                                    files_per_batch=args.files_per_batch)
+            if args.batch_size is not None:
+                summary = load_in_row_batches(spark, args.source, args.table, args.state,
+                                              batch_size=args.batch_size, max_batches=args.max_batches,
+                                              reset=args.reset_checkpoint, checkpoint_path=args.checkpoint_path)
+            else:
+                summary = load_readings(spark, args.source, args.table, args.state, max_batches=args.max_batches,
+                                        reset=args.reset_checkpoint, checkpoint_path=args.checkpoint_path,
+                                        files_per_batch=args.files_per_batch)
         except (LoadFailed, SourceChangedError, MissingColumnsError, ValueError) as exc:
             print(f"ERROR: {exc}", file=sys.stderr)
             return 1

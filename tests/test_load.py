@@ -231,3 +231,27 @@ def test_empty_source(spark, scratch):
     os.makedirs(f"{scratch}/src")
     s = L.load_readings(spark, f"{scratch}/src", f"{scratch}/t", f"{scratch}/s", delay_seconds=0)
     assert s.batches_processed_this_run == 0 and s.total_rows_seen == 0
+
+
+def test_row_batches_from_one_csv_like_the_reference(spark, scratch, raw_pdf):
+    """One CSV cut into 300-row batches: 2 + 2 + rest, batch counters per 300 rows, changed file refused."""
+    src, table, state = f"{scratch}/src", f"{scratch}/readings", f"{scratch}/state"
+    os.makedirs(src)
+    raw_pdf[S.REQUIRED_COLUMNS].to_csv(f"{src}/all.csv", index=False)
+    at = dt.datetime(2026, 1, 1, tzinfo=dt.timezone.utc)
+    s1 = L.load_in_row_batches(spark, src, table, state, batch_size=300, max_batches=2, delay_seconds=0, ingested_at=at)
+    assert s1.batches_processed_this_run == 2 and s1.stopped_early and s1.total_rows_seen == 600
+    s2 = L.load_in_row_batches(spark, src, table, state, batch_size=300, max_batches=2, delay_seconds=0, ingested_at=at)
+    assert s2.batches_processed_this_run == 2 and s2.total_rows_seen == 1015
+    s3 = L.load_in_row_batches(spark, src, table, state, batch_size=300, delay_seconds=0, ingested_at=at)
+    assert s3.batches_processed_this_run == 0
+    status = L.batch_status_table(spark, L.load_state(spark, table, state))
+    assert sorted(r["rows_read"] for r in status.collect()) == [115, 300, 300, 300]
+    assert spark.read.parquet(table).count() == 956
+    time.sleep(1.1)
+    with open(f"{src}/all.csv", "a") as fh:
+        fh.write("1594512094.0,dev-x,1,1,true,1,true,1,1\n")
+    with pytest.raises(SourceChangedError):
+        L.load_in_row_batches(spark, src, table, state, batch_size=300, delay_seconds=0)
+    s4 = L.load_in_row_batches(spark, src, table, state, batch_size=300, reset=True, delay_seconds=0)
+    assert s4.total_rows_seen == 1016 and s4.batches_processed_this_run == 4
