@@ -7,7 +7,7 @@ device, dense = at least 10 readings in one minute, gap = more than one hour. Th
 silence is the table's newest timestamp, never the wall clock, so results are reproducible.
 
 All aggregations combine map-side; per-device sequence work goes through ``sequence`` (chunked by
-time, so a hot device is spread over many tasks); percentiles use bounded-memory sketches.
+time, so a hot device is spread over many tasks); percentiles are exact, by distributed selection.
 """
 
 from __future__ import annotations
@@ -17,12 +17,10 @@ from pyspark.sql import functions as F
 
 from envtrack.functions.numeric import round_even
 from envtrack.functions.timecols import bucket_start, micros, utc_ntz
+from envtrack.operators.quantiles import exact_quantiles
 from envtrack.operators.sequence import DEFAULT_CHUNK_SECONDS, with_islands, with_previous
 from envtrack.plans.queries import MEASUREMENT_ORDER, THRESHOLD_FIELDS, alert_thresholds, base
 
-BASELINE_ACCURACY = 10_000
-
-
 def _m(f: str):
     return F.col(f"measurements.{f}")
 
@@ -51,13 +49,17 @@ def flags_per_device(readings: DataFrame) -> DataFrame:
 
 
 def device_baselines(readings: DataFrame, fields=tuple(THRESHOLD_FIELDS), valid_only: bool = False) -> DataFrame:
-    """Per-device median and p90 of each field (sketch-based, bounded memory per device)."""
+    """Per-device median and p90 of each field, exact, all in one set of selection passes
+    (group = device, field, p), then pivoted to ``<field>_p50`` / ``<field>_p90`` columns."""
     r = base(readings, valid_only)
-    aggs = [F.count("*").alias("readings")]
-    for f in fields:
-        aggs += [F.percentile_approx(_m(f), 0.5, BASELINE_ACCURACY).alias(f"{f}_p50"),
-                 F.percentile_approx(_m(f), 0.9, BASELINE_ACCURACY).alias(f"{f}_p90")]
-    return r.groupBy("device").agg(*aggs)
+    counts = r.groupBy("device").agg(F.count("*").alias("readings"))
+    stacked = r.select("device", F.explode(F.array(*[
+        F.struct(F.lit(f"{f}_{tag}").alias("_name"), F.lit(p).alias("_p"), _m(f).alias("_x"))
+        for f in fields for tag, p in (("p50", 0.5), ("p90", 0.9))])).alias("_r")).select("device", "_r.*")
+    q = exact_quantiles(stacked, ["device", "_name", "_p"], "_x", "_p")
+    names = [f"{f}_{tag}" for f in fields for tag in ("p50", "p90")]
+    wide = q.groupBy("device").pivot("_name", names).agg(F.first("value"))
+    return counts.join(wide, "device", "left").select("device", "readings", *names)
 
 
 SPREAD_FIELDS = ["temp", "humidity", "co", "lpg", "smoke"]
@@ -120,10 +122,9 @@ def silent_devices(readings: DataFrame, factor: float = 3.0, chunk_seconds: int
     """Per device, last reading, median interval and silence up to the table's newest reading;
     ``is_silent`` when the silence exceeds ``factor`` x the median interval."""
     g = _with_gaps(readings, chunk_seconds)
-    per = g.groupBy("device").agg(
-        F.max("timestamp").alias("_last"),
-        F.percentile_approx("gap_seconds", 0.5, BASELINE_ACCURACY).alias("median_interval_seconds"),
-    )
+    last = g.groupBy("device").agg(F.max("timestamp").alias("_last"))
+    median = exact_quantiles(g, ["device"], "gap_seconds", 0.5, out="median_interval_seconds")
+    per = last.join(median, "device", "left")
     as_of = readings.agg(F.max("timestamp")).scalar()
     silence = (micros(as_of) - micros(F.col("_last"))) / 1e6
     return per.select(
@@ -185,6 +186,6 @@ def device_relative_alerts(readings: DataFrame, field: str = "smoke", valid_only
     when its measured size is under the broadcast threshold, and shuffles otherwise.
     """
     r = base(readings, valid_only)
-    b = (r.groupBy("device").agg(F.percentile_approx(_m(field), 0.9, BASELINE_ACCURACY).alias("device_p90")))
+    b = exact_quantiles(r, ["device"], _m(field), 0.9, out="device_p90")
     return (r.join(b, "device").where(_m(field) >= F.col("device_p90"))
             .select("device", utc_ntz(F.col("timestamp")).alias("timestamp"), _m(field).alias("value"), "device_p90"))

@@ -30,7 +30,6 @@ from envtrack.functions.timecols import bucket_start, utc_ntz
 
 MEASUREMENT_ORDER = ["co", "humidity", "lpg", "smoke", "temp", "light", "motion"]
 THRESHOLD_FIELDS = ["smoke", "co", "lpg"]
-PERCENTILE_ACCURACY = 1_000_000
 
 
 def m(field: str) -> Column:
@@ -48,13 +47,18 @@ def _lifted() -> list[Column]:
 def alert_thresholds(readings: DataFrame, valid_only: bool = False,
                      percentile: float = S.ALERT_PERCENTILE) -> DataFrame:
     """One row ``smoke, co, lpg``: p90 of each field over non-null values, rounded to 6 places,
-    or the fixed fallback when the field has no values. One pass for the three fields."""
+    or the fixed fallback when the field has no values.
+
+    The percentile is exact (the value at rank ceil(0.9 * n)) and computed by distributed selection
+    over the three fields at once (``operators.quantiles``): counts per value bucket, never a
+    sketch funnelled into one task.
+    """
+    from envtrack.operators.quantiles import exact_quantile_columns
+
     r = base(readings, valid_only)
-    return r.agg(*[
-        F.coalesce(round_even(F.percentile_approx(m(f), percentile, PERCENTILE_ACCURACY), 6),
-                   F.lit(S.DEFAULT_THRESHOLDS[f])).alias(f)
-        for f in THRESHOLD_FIELDS
-    ])
+    q = exact_quantile_columns(r, {f: m(f) for f in THRESHOLD_FIELDS}, percentile)
+    return q.select(*[F.coalesce(round_even(F.col(f), 6), F.lit(S.DEFAULT_THRESHOLDS[f])).alias(f)
+                      for f in THRESHOLD_FIELDS])
 
 
 def latest_readings(readings: DataFrame, limit: int = 5, valid_only: bool = False) -> DataFrame:
