@@ -5,16 +5,17 @@ its partial buffers all travel to the one task that owns the group: for a global
 large table that is every task's buffer in one reducer. Selection needs only counts:
 
 1. per group: ``n``, target rank ``k = max(1, ceil(p * n))``, and the value range ``[lo, hi]``;
-2. each pass counts the group's values inside ``[lo, hi]`` per equal-width bucket (2^16 buckets),
-   keeping each bucket's real min and max; a window per group over its (at most 2^16) bucket rows
+2. each pass counts the group's values inside ``[lo, hi]`` per equal-width bucket (2^20 buckets),
+   keeping each bucket's real min and max; a window per group over its (at most 2^20) bucket rows
    finds the bucket that holds rank ``k``, which becomes the new ``[lo, hi]`` and ``k`` the rank
    inside it. Counting combines map-side, so a value held by a huge share of rows costs nothing
    special;
-3. after three passes (one absorbs an outlier scale, since each bucket keeps its real min/max; two
-   narrow by 2^32) a range still holding several values is finished by counting its distinct
-   values (map-side combined) and ranking those: about n / 2^32 of them per group, a few hundred
-   even at 10^12 values. Never a window over rows. (Adversarial data with many nested outlier
-   scales only makes that last ranking larger; the result stays exact.)
+3. after two passes (the first may be spent on an outlier scale, since each bucket keeps its real
+   min/max; the second narrows by 2^20) a range still holding several values is finished by
+   counting its distinct values (map-side combined) and ranking those: at most about n / 2^20 of
+   them per group, so no window ever sees more than about a million rows even at 10^12 values per
+   group. Never a window over rows. (Adversarial data with many nested outlier scales only makes
+   that last ranking larger; the result stays exact.)
 
 Every step is an aggregate or a join on the group key, all lazy; the state after each pass is used
 once, so the plan grows linearly with the number of passes. Equal to DuckDB's ``quantile_disc`` and
@@ -23,11 +24,13 @@ to ``percentile_approx`` at full accuracy.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BUCKET_BITS = 16
-PASSES = 3
+BUCKET_BITS = 20
+PASSES = 2
 
 
 def _keys(n: int) -> list[str]:
@@ -100,3 +103,64 @@ def exact_quantile_columns(df: DataFrame, fields: dict[str, Column], p: float, p
         .select("_r._f", "_r._x")
     q = exact_quantiles(stacked, ["_f"], "_x", p, passes=passes)
     return q.groupBy().pivot("_f", names).agg(F.first("value"))
+
+
+GLOBAL_BUCKET_BITS = 20
+
+
+def exact_quantile_values(df: DataFrame, fields: dict[str, Column], p: float,
+                          max_passes: int = 8, bucket_bits: int = GLOBAL_BUCKET_BITS) -> dict[str, float | None]:
+    """Global exact quantile of a few columns, returned as numbers (like ``approxQuantile``).
+
+    Same selection as ``exact_quantiles``, but the per-field state (one row per field: a proven
+    bound) goes through the driver between passes, so each pass is one job that filters by literal
+    bounds and counts per bucket, and the loop stops as soon as every field is down to one value.
+    With 2^20 buckets (the window per field sees at most that many non-empty buckets) one pass
+    usually isolates the value. Only the chosen bucket of each field comes back.
+    """
+    if not 0.0 <= p <= 1.0:
+        raise ValueError("p must be in [0, 1]")
+    names = list(fields)
+    stacked = df.select(F.explode(F.array(*[
+        F.struct(F.lit(n).alias("_f"), c.cast("double").alias("_v")) for n, c in fields.items()])).alias("_r")) \
+        .select("_r._f", "_r._v").where(F.col("_v").isNotNull())
+    first = {r["_f"]: r for r in stacked.groupBy("_f").agg(
+        F.count("*").alias("n"), F.min("_v").alias("lo"), F.max("_v").alias("hi")).collect()}  # <= len(fields) rows
+    state = {f: [max(1, math.ceil(p * r["n"])), r["lo"], r["hi"]] for f, r in first.items()}
+    n_buckets = 1 << bucket_bits
+    for _ in range(max_passes):
+        open_fields = [f for f, (k, lo, hi) in state.items() if lo < hi]
+        if not open_fields:
+            break
+        lo_c = F.lit(None).cast("double")
+        hi_c = F.lit(None).cast("double")
+        k_c = F.lit(None).cast("bigint")
+        for f in open_fields:
+            k, lo, hi = state[f]
+            lo_c = F.when(F.col("_f") == f, F.lit(lo)).otherwise(lo_c)
+            hi_c = F.when(F.col("_f") == f, F.lit(hi)).otherwise(hi_c)
+            k_c = F.when(F.col("_f") == f, F.lit(k)).otherwise(k_c)
+        x = stacked.where(F.col("_f").isin(open_fields)).select("_f", "_v", lo_c.alias("_lo"), hi_c.alias("_hi"),
+                                                               k_c.alias("_k"))
+        x = x.where(F.col("_v").between(F.col("_lo"), F.col("_hi")))
+        bucket = F.least(F.floor((F.col("_v") - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * n_buckets),
+                         F.lit(n_buckets - 1)).cast("int")
+        hist = x.groupBy("_f", "_k", bucket.alias("_b")).agg(F.count("*").alias("_c"), F.min("_v").alias("_bl"),
+                                                           F.max("_v").alias("_bh"))
+        w = Window.partitionBy("_f").orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
+        hist = hist.withColumn("_cum", F.sum("_c").over(w))
+        chosen = hist.where((F.col("_cum") - F.col("_c") < F.col("_k")) & (F.col("_cum") >= F.col("_k"))) \
+            .select("_f", (F.col("_k") - (F.col("_cum") - F.col("_c"))).alias("_k"), "_bl", "_bh").collect()
+        for r in chosen:  # one row per open field
+            state[r["_f"]] = [r["_k"], r["_bl"], r["_bh"]]
+    out: dict[str, float | None] = {f: None for f in names}
+    for f, (k, lo, hi) in state.items():
+        if lo == hi:
+            out[f] = lo
+        else:  # not isolated after max_passes: rank the distinct values left in the range
+            rest = (stacked.where((F.col("_f") == f) & F.col("_v").between(lo, hi))
+                    .groupBy("_v").agg(F.count("*").alias("_c")))
+            wd = Window.orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+            out[f] = rest.withColumn("_cum", F.sum("_c").over(wd)) \
+                .where((F.col("_cum") - F.col("_c") < k) & (F.col("_cum") >= k)).first()["_v"]
+    return out

@@ -50,15 +50,18 @@ def alert_thresholds(readings: DataFrame, valid_only: bool = False,
     or the fixed fallback when the field has no values.
 
     The percentile is exact (the value at rank ceil(0.9 * n)) and computed by distributed selection
-    over the three fields at once (``operators.quantiles``): counts per value bucket, never a
-    sketch funnelled into one task.
+    over the three fields at once (``operators.quantiles.exact_quantile_values``): counts per value
+    bucket, never a sketch funnelled into one task. Like ``approxQuantile`` it runs when called (a
+    few small jobs); the returned one-row frame then carries the values as literals, so queries
+    filtering on a threshold get a plain pushed-down comparison.
     """
-    from envtrack.operators.quantiles import exact_quantile_columns
+    from envtrack.operators.quantiles import exact_quantile_values
 
     r = base(readings, valid_only)
-    q = exact_quantile_columns(r, {f: m(f) for f in THRESHOLD_FIELDS}, percentile)
-    return q.select(*[F.coalesce(round_even(F.col(f), 6), F.lit(S.DEFAULT_THRESHOLDS[f])).alias(f)
-                      for f in THRESHOLD_FIELDS])
+    values = exact_quantile_values(r, {f: m(f) for f in THRESHOLD_FIELDS}, percentile)
+    one = readings.sparkSession.range(1)
+    return one.select(*[F.coalesce(round_even(F.lit(values[f]).cast("double"), 6),
+                                   F.lit(S.DEFAULT_THRESHOLDS[f])).alias(f) for f in THRESHOLD_FIELDS])
 
 
 def latest_readings(readings: DataFrame, limit: int = 5, valid_only: bool = False) -> DataFrame:

@@ -66,3 +66,16 @@ def test_extreme_outliers_stay_exact(spark):
 
         k = max(1, math.ceil(p * len(vals)))
         assert exact_quantiles(df, ["g"], "v", p).first()["value"] == srt[k - 1]
+
+
+def test_eager_values_match_lazy(spark, data):
+    from envtrack.operators.quantiles import exact_quantile_values
+
+    df = spark.createDataFrame(data, "g string, v double, w double")
+    for p in (0.0, 0.5, 0.9, 1.0):
+        got = exact_quantile_values(df, {"v": F.col("v"), "w": F.col("w"), "none": F.lit(None)}, p)
+        lazy = exact_quantile_columns(df, {"v": F.col("v"), "w": F.col("w")}, p).first()
+        assert got == {"v": lazy["v"], "w": lazy["w"], "none": None}
+    vals = [0.5] * 1000 + [1e300, -1e300]
+    odd = spark.createDataFrame([(v,) for v in vals], "v double")
+    assert exact_quantile_values(odd, {"v": F.col("v")}, 0.9)["v"] == 0.5
