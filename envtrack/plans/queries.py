@@ -8,7 +8,8 @@ Plan notes:
 
 * top-k (sort + limit) plans as ``TakeOrderedAndProject``: each task keeps its k best rows and
   only those reach the driver, so no global sort or shuffle of the table;
-* the threshold is a scalar subquery (one aggregate, evaluated once), not a join;
+* thresholds are exact p90 values found by distributed selection when the query is built; they
+  enter the filter as a one-row scalar (no join), so the comparison is pushed to the Parquet scan;
 * filters on nested measurement fields reach the Parquet scan as pushed filters, and nested-schema
   pruning reads only the fields a query uses;
 * ``valid_only=True`` keeps readings without quality flags (also for threshold derivation).
@@ -107,7 +108,7 @@ def high_metric_readings(readings: DataFrame, field: str, threshold: float | Col
                          limit: int = 20, valid_only: bool = False) -> DataFrame:
     """Q5-Q7: readings at or above the threshold (``>=``), highest first.
 
-    Without an explicit threshold the p90 of ``alert_thresholds`` is used, as a scalar subquery.
+    Without an explicit threshold the exact p90 of ``alert_thresholds`` is used.
     """
     r = base(readings, valid_only)
     if threshold is None:
