@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 
 from envtrack import schema as S
 from envtrack.functions.cells import is_missing, parse_bool, parse_epoch, parse_float
-from envtrack.functions.numeric import round_even
 from envtrack.functions.timecols import utc_ntz
 from envtrack.operators import health as H
 from envtrack.operators import quality, validate
@@ -600,4 +599,4 @@ def q_device_relative_alerts(spark, sf_dir):
     return H.device_relative_alerts(readings(spark, sf_dir))
 
 
-__all__ = ["ORACLE", "QUERIES", "classified", "flat", "loaded", "readings", "round_even", "parse_epoch"]
+__all__ = ["ORACLE", "QUERIES", "classified", "flat", "loaded", "readings"]
