@@ -255,3 +255,11 @@ def test_row_batches_from_one_csv_like_the_reference(spark, scratch, raw_pdf):
         L.load_in_row_batches(spark, src, table, state, batch_size=300, delay_seconds=0)
     s4 = L.load_in_row_batches(spark, src, table, state, batch_size=300, reset=True, delay_seconds=0)
     assert s4.total_rows_seen == 1016 and s4.batches_processed_this_run == 4
+
+
+def test_files_in_nested_folders_are_loaded(spark, scratch, raw_pdf):
+    src, table, state = f"{scratch}/src", f"{scratch}/readings", f"{scratch}/state"
+    write_parts(raw_pdf, f"{src}/day1", n=2)
+    write_parts(raw_pdf, f"{src}/day2/late", n=1)
+    s = L.load_readings(spark, src, table, state, files_per_batch=3, delay_seconds=0)
+    assert s.total_rows_seen == 2 * 1015 and spark.read.parquet(table).count() == 956
