@@ -48,7 +48,9 @@ def text_schema(columns: Sequence[str]) -> T.StructType:
 
 
 def csv_options() -> dict[str, str]:
-    return {"header": "true", "enforceSchema": "false", "mode": "PERMISSIVE", "multiLine": "false"}
+    # recursiveFileLookup: every reader sees the same files as the manifest listing, at any depth
+    return {"header": "true", "enforceSchema": "false", "mode": "PERMISSIVE", "multiLine": "false",
+            "recursiveFileLookup": "true"}
 
 
 def read_raw_csv(spark: SparkSession, path: str, header_from: str | None = None) -> DataFrame:

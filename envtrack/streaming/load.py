@@ -169,7 +169,6 @@ def load_readings(spark: SparkSession, source: str, table: str, state: str | Non
     tick("setup", t_setup)
     stream = (spark.readStream.options(**csv_options()).schema(text_schema(columns))
               .option("maxFilesPerTrigger", files_per_batch).option("pathGlobFilter", pattern)
-              .option("recursiveFileLookup", "true")  # same files as the manifest listing, at any depth
               .csv(source))
     stream = stream.select(*S.REQUIRED_COLUMNS, F.struct(
         F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("length"),

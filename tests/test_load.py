@@ -263,3 +263,11 @@ def test_files_in_nested_folders_are_loaded(spark, scratch, raw_pdf):
     write_parts(raw_pdf, f"{src}/day2/late", n=1)
     s = L.load_readings(spark, src, table, state, files_per_batch=3, delay_seconds=0)
     assert s.total_rows_seen == 2 * 1015 and spark.read.parquet(table).count() == 956
+
+
+def test_row_batches_from_nested_source(spark, scratch, raw_pdf):
+    src, table, state = f"{scratch}/src", f"{scratch}/readings", f"{scratch}/state"
+    os.makedirs(f"{src}/a/b")
+    raw_pdf[S.REQUIRED_COLUMNS].to_csv(f"{src}/a/b/all.csv", index=False)
+    s = L.load_in_row_batches(spark, src, table, state, batch_size=500, delay_seconds=0)
+    assert s.batches_processed_this_run == 3 and s.total_rows_seen == 1015
