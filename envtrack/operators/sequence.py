@@ -1,14 +1,19 @@
-"""Per-device sequence operators (previous row, running sum) that split hot devices.
+"""Per-device sequence operators (previous row, running sum, islands) that split hot devices.
 
 ``Window.partitionBy("device")`` puts every reading of a device into one task; one busy device can
 hold a large share of the table. Here the window runs per (device, time chunk) instead, and chunk
-boundaries are stitched through a small frame with one row per (device, chunk):
+boundaries are stitched through a small frame with one row per (device, chunk), read off the
+windowed frame itself (each chunk's first / last row is where ``row_number`` is 1 / the chunk size):
 
 * previous row: inside a chunk ``lag``; for a chunk's first row, the last row of the device's
-  previous non-empty chunk (``max(struct(order..., values...))`` per chunk, then ``lag`` over the
-  chunk frame);
+  previous non-empty chunk (``lag`` over the chunk frame);
 * running sum: inside a chunk a running ``sum``; plus the total of all earlier chunks of the device
-  (window over the chunk frame).
+  (window over the chunk frame);
+* islands (runs of flagged rows): run starts counted inside each chunk, corrected where a run
+  continues across a chunk boundary, offset by the starts of earlier chunks -- one pass.
+
+The chunk width (``chunk_seconds``, one hour by default) bounds what one window partition holds:
+pick it so that one device-chunk fits a task.
 
 Chunk boundaries follow the ordering timestamp, so all rows of chunk k precede chunk k+1 and the
 result equals the unsplit window. The join back is on (device, chunk), the same keys the chunk
