@@ -69,9 +69,10 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         return 0
 
     if args.command == "validate":
-        report = jobs.validate(spark, args.table)
+        reports = jobs.validation_reports(spark, args.table)
+        report = reports["validation_report"]
         if args.out:
-            jobs.write_reports({"validation_report": report}, args.out)
+            jobs.write_reports(reports, args.out)
         row = report.first().asDict()
         print(json.dumps(row, default=str))
         return 0 if jobs.is_ready(report) else 1

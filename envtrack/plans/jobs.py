@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from envtrack import schema as S
+from envtrack.functions.timecols import utc_ntz
 from envtrack.operators import validate as V
 from envtrack.plans import queries as Q
 from envtrack.streaming.sinks import write_json_report
@@ -30,6 +31,17 @@ def validate(spark: SparkSession, table: str) -> DataFrame:
     return V.validation_report(read_table(spark, table))
 
 
+def validation_reports(spark: SparkSession, table: str) -> dict[str, DataFrame]:
+    """J3 with its attachments: the one-row report and one example reading (S7, smallest id),
+    its timestamps as UTC text and measurements nested as stored."""
+    readings = read_table(spark, table)
+    example = V.example_document(readings).select(
+        "reading_id", F.date_format(utc_ntz(F.col("timestamp")), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("timestamp"),
+        "timestamp_unix", "device", "measurements", "quality", "source",
+        F.date_format(utc_ntz(F.col("ingested_at")), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("ingested_at"))
+    return {"validation_report": V.validation_report(readings), "example_document": example}
+
+
 def is_ready(report: DataFrame) -> bool:
     """Exit-status rule of the validation job: data present and ready for queries."""
     row = report.select("data_present", "ready_for_queries").first()

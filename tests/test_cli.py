@@ -18,6 +18,7 @@ def test_load_validate_queries(spark, scratch):
     assert cli.main(["load", src, table, "--state", f"{scratch}/state", "--summary", f"{scratch}/sum"], spark) == 0
     assert os.path.isdir(f"{scratch}/sum/load_summary")
     assert cli.main(["validate", table, "--out", f"{scratch}/v"], spark) == 0
+    assert os.path.isdir(f"{scratch}/v/example_document") and os.path.isdir(f"{scratch}/v/validation_report")
     assert cli.main(["queries", table, "--out", f"{scratch}/q"], spark) == 0
     assert os.path.isdir(f"{scratch}/q/high_smoke_readings")
     assert spark.read.parquet(table).count() == 956
