@@ -74,6 +74,9 @@ class LoadSummary:
     end_time: str
     duration_seconds: float
     step_seconds: dict | None = None
+    source: str | None = None
+    table: str | None = None
+    checkpoint_path: str | None = None
 
     def as_dict(self) -> dict:
         return asdict(self)
@@ -258,7 +261,8 @@ def load_readings(spark: SparkSession, source: str, table: str, state: str | Non
         rows_rejected=int(totals["rows_rejected"]), rows_with_quality_flags=int(totals["rows_with_quality_flags"]),
         total_inserted_or_updated_this_run=run["upserted"], stopped_early=stopped, reset_checkpoint=reset,
         generation=paths.generation, start_time=start.isoformat(), end_time=end.isoformat(),
-        duration_seconds=round(time.perf_counter() - t0, 3), step_seconds=steps)
+        duration_seconds=round(time.perf_counter() - t0, 3), step_seconds=steps, source=source, table=table,
+        checkpoint_path=paths.checkpoint)
 
 
 def _with_retry(fn, max_attempts: int, delay_seconds: float):
