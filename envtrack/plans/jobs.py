@@ -26,6 +26,25 @@ def read_table(spark: SparkSession, table: str) -> DataFrame:
         return spark.createDataFrame([], S.READINGS_SCHEMA)
 
 
+def read_window(spark: SparkSession, table: str, start, end, devices=None) -> DataFrame:
+    """P25 on a table path: readings of ``[start, end)`` (dates or aware datetimes), listing only
+    the day folders of the window (``operators.dedupe.read_days``) instead of the whole table."""
+    import datetime as _dt
+
+    from envtrack.operators.dedupe import read_days
+
+    def day(v):
+        return v.astimezone(_dt.timezone.utc).date() if isinstance(v, _dt.datetime) and v.tzinfo else \
+            (v.date() if isinstance(v, _dt.datetime) else v)
+
+    first, last = day(start), day(end)
+    days = [first + _dt.timedelta(days=i) for i in range((last - first).days + 1)]
+    stored = read_days(spark, table, days)
+    if stored is None:
+        stored = spark.createDataFrame([], S.READINGS_SCHEMA)
+    return Q.readings_in_window(stored, devices, start, end)
+
+
 def validate(spark: SparkSession, table: str) -> DataFrame:
     """The one-row validation report."""
     return V.validation_report(read_table(spark, table))

@@ -100,3 +100,21 @@ def test_keyset_pages_cover_every_reading_once(spark, scratch):
         after = (last["cursor_us"], last["device"], last["timestamp_unix"], last["reading_id"])
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     assert len(seen) == len(set(seen)) == 956
+
+
+def test_read_window_lists_only_window_days(spark, scratch):
+    import datetime as dt
+
+    from envtrack.plans import queries as Q
+
+    table = f"{scratch}/t"
+    merge_into_table(spark, accepted_readings(classify_rows(raw_readings(spark, SF_SMALL))), table)
+    start, end = dt.date(2024, 1, 8), dt.date(2024, 1, 15)
+    got = jobs.read_window(spark, table, start, end)
+    want = Q.readings_in_window(spark.read.parquet(table), None, start, end)
+    assert sorted(got.collect()) == sorted(want.collect()) and got.count() > 0
+    import re
+
+    days = {re.search(r"event_date=([0-9-]+)", f).group(1) for f in got.inputFiles()}
+    assert days and all("2024-01-08" <= d <= "2024-01-15" for d in days)  # only the window's folders
+    assert jobs.read_window(spark, table, dt.date(2030, 1, 1), dt.date(2030, 1, 2)).count() == 0
