@@ -72,3 +72,36 @@ def test_positions_tree_matches_row_number(spark):
     assert [r["position"] for r in got.orderBy("position").collect()] == list(range(1, len(want) + 1))
     per_part = with_positions(df, F.shiftright("seq", 4), ["seq"], within=["part"])
     assert sorted(r["position"] for r in per_part.where("part = 1").collect()) == list(range(1, 305))
+
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+_events = st.lists(st.tuples(st.sampled_from(["a", "b", "c"]), st.integers(0, 20_000), st.booleans()),
+                   min_size=1, max_size=80)
+
+
+@settings(max_examples=12, deadline=None)
+@given(_events, st.sampled_from([1, 7, 60, 3600]))
+def test_islands_and_previous_property(spark, events, chunk):
+    """Random per-device sequences (ties on time broken by a unique sequence number)."""
+    import datetime as dt
+
+    from envtrack.operators.sequence import with_islands
+
+    base = dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc)
+    rows = [(d, base + dt.timedelta(seconds=s), i, hi) for i, (d, s, hi) in enumerate(events)]
+    df = spark.createDataFrame(rows, "device string, ts timestamp, seq long, hi boolean")
+    got = with_islands(df, "device", "ts", ["ts", "seq"], "hi", "island", chunk_seconds=chunk)
+    got = with_previous(got, "device", "ts", ["ts", "seq"], ["seq"], chunk_seconds=chunk)
+    result = {r["seq"]: (r["island"], r["prev_seq"]) for r in got.collect()}
+    want = {}
+    for d in {r[0] for r in rows}:
+        seq_rows = sorted((r for r in rows if r[0] == d), key=lambda r: (r[1], r[2]))
+        island, prev_hi, prev_seq = 0, False, None
+        for _, _, s, hi in seq_rows:
+            if hi and not prev_hi:
+                island += 1
+            want[s] = (island if hi else None, prev_seq)
+            prev_hi, prev_seq = hi, s
+    assert result == want
