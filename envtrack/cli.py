@@ -28,6 +28,8 @@ def _parser() -> argparse.ArgumentParser:
     load.add_argument("--files-per-batch", type=int, default=1, help="files per micro-batch")
     load.add_argument("--batch-size", type=int, default=None,
                       help="cut the CSV file(s) into batches of this many rows (staged once), one batch per trigger")
+    load.add_argument("--batches-per-trigger", type=int, default=1,
+                      help="with --batch-size and without --max-batches: row batches per micro-batch")
     load.add_argument("--summary", default=None, help="write the load summary as JSON to this folder")
 
     val = sub.add_parser("validate", help="validation report of the readings table")
@@ -55,7 +57,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
             if args.batch_size is not None:
                 summary = load_in_row_batches(spark, args.source, args.table, args.state,
                                               batch_size=args.batch_size, max_batches=args.max_batches,
-                                              reset=args.reset_checkpoint, checkpoint_path=args.checkpoint_path)
+                                              reset=args.reset_checkpoint, checkpoint_path=args.checkpoint_path,
+                                              batches_per_trigger=args.batches_per_trigger)
             else:
                 summary = load_readings(spark, args.source, args.table, args.state, max_batches=args.max_batches,
                                         reset=args.reset_checkpoint, checkpoint_path=args.checkpoint_path,

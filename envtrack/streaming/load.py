@@ -140,9 +140,14 @@ def resolve_paths(spark: SparkSession, state: str | None, table: str, reset: boo
 def load_readings(spark: SparkSession, source: str, table: str, state: str | None = None, *,
                   max_batches: int | None = None, reset: bool = False, checkpoint_path: str | None = None,
                   files_per_batch: int = 1, max_attempts: int = 3, delay_seconds: float = 2.0,
-                  pattern: str = "*.csv", ingested_at: _dt.datetime | None = None) -> LoadSummary:
+                  pattern: str = "*.csv", ingested_at: _dt.datetime | None = None,
+                  batch_number_pattern: str | None = None) -> LoadSummary:
     """Load every CSV file under ``source`` into the Parquet readings table at ``table``.
 
+    ``batch_number_pattern``: a regex whose group 1 reads a batch number from each file's path; the
+    batch log then gets one row per such batch (several may share a micro-batch) instead of one
+    row per micro-batch.
+
     Returns a summary; raises ``LoadFailed`` when a batch failed (re-run to retry it),
     ``SourceChangedError`` when a loaded file changed, ``MissingColumnsError`` on a bad header.
     """
@@ -199,8 +204,17 @@ def load_readings(spark: SparkSession, source: str, table: str, state: str | Non
             ).first()
             t = tick("classify_and_count", t)
             rows, docs_n = row["rows_read"], row["documents_built"]
-            log_row = (batch_number, rows, docs_n, row["invalid_rows"], row["rows_with_quality_flags"],
-                       [tuple(f) for f in row["files"]])
+            if batch_number_pattern:  # one log row per file-level batch (at most files_per_batch)
+                per = classified.groupBy(F.regexp_extract("_file.path", batch_number_pattern, 1)
+                                         .cast("bigint").alias("_bn")).agg(
+                    F.count("*").alias("r"), F.count_if(F.col("rejection_reason").isNull()).alias("d"),
+                    F.count_if(F.col("rejection_reason").isNotNull()).alias("i"),
+                    F.count_if(F.col("rejection_reason").isNull() & ~F.col("quality.is_valid")).alias("q"),
+                    F.collect_set("_file").alias("f")).collect()
+                log_rows = [(x["_bn"], x["r"], x["d"], x["i"], x["q"], [tuple(f) for f in x["f"]]) for x in per]
+            else:
+                log_rows = [(batch_number, rows, docs_n, row["invalid_rows"], row["rows_with_quality_flags"],
+                             [tuple(f) for f in row["files"]])]
             docs = accepted_readings(classified)
             days = list(row["days"])
             # ids never change day: only the touched day folders can hold them (and only they are listed)
@@ -218,7 +232,7 @@ def load_readings(spark: SparkSession, source: str, table: str, state: str | Non
                     pool.submit(_with_retry, lambda: merge_into_table(spark, docs, table, days=days),
                                 max_attempts, delay_seconds),
                     pool.submit(write_batch_partition, rejected_rows(classified), paths.rejected, batch_id),
-                    pool.submit(write_batch_partition, spark.createDataFrame([log_row], BATCH_LOG_SCHEMA),
+                    pool.submit(write_batch_partition, spark.createDataFrame(log_rows, BATCH_LOG_SCHEMA),
                                 paths.batch_log, batch_id),
                 ]
                 for job in jobs:
@@ -366,14 +380,20 @@ def source_fingerprint(spark: SparkSession, source: str, pattern: str = "*.csv")
 def load_in_row_batches(spark: SparkSession, source: str, table: str, state: str | None = None, *,
                         batch_size: int = S.DEFAULT_BATCH_SIZE, max_batches: int | None = None,
                         reset: bool = False, checkpoint_path: str | None = None, pattern: str = "*.csv",
-                        **kwargs) -> LoadSummary:
+                        batches_per_trigger: int = 1, **kwargs) -> LoadSummary:
     """J1 with the reference's batch granularity: cut the CSV file(s) into ``batch_size``-row batch
     files once (W9), then load them one file per trigger with resume / stop-after-N / retry.
 
     The cut is staged under the state folder, keyed by the source fingerprint, and reused by later
     runs. A source whose fingerprint differs from the one recorded for the current state
     generation is refused (``SourceChangedError``) unless ``reset``.
+
+    ``batches_per_trigger`` > 1 processes several row batches per micro-batch (far fewer Spark jobs);
+    the batch log still has one row per row batch. With ``max_batches`` one row batch per trigger
+    is used, so the run stops after exactly that many.
     """
+    if batches_per_trigger < 1:
+        raise ValueError("batches_per_trigger must be >= 1")
     from envtrack.sources.manifest import SourceChangedError
 
     if batch_size < 1:
@@ -397,9 +417,10 @@ def load_in_row_batches(spark: SparkSession, source: str, table: str, state: str
         spark.createDataFrame([(fp, batch_size)], fp_schema).coalesce(1).write.mode("overwrite") \
             .parquet(f"{paths.base}/source_fingerprint")
     # reset was applied above (new generation); the load itself continues in that generation
+    per_trigger = 1 if max_batches is not None else batches_per_trigger
     return load_readings(spark, f"{staged}/files", table, paths.root, max_batches=max_batches,
                          checkpoint_path=paths.checkpoint if checkpoint_path else None,
-                         files_per_batch=1, **kwargs)
+                         files_per_batch=per_trigger, batch_number_pattern=r"batch_number=([0-9]+)", **kwargs)
 
 
 def rejected_table(spark: SparkSession, paths: LoadPaths) -> DataFrame | None:

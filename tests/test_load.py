@@ -271,3 +271,14 @@ def test_row_batches_from_nested_source(spark, scratch, raw_pdf):
     raw_pdf[S.REQUIRED_COLUMNS].to_csv(f"{src}/a/b/all.csv", index=False)
     s = L.load_in_row_batches(spark, src, table, state, batch_size=500, delay_seconds=0)
     assert s.batches_processed_this_run == 3 and s.total_rows_seen == 1015
+
+
+def test_row_batches_several_per_trigger(spark, scratch, raw_pdf):
+    src, table, state = f"{scratch}/src", f"{scratch}/readings", f"{scratch}/state"
+    os.makedirs(src)
+    raw_pdf[S.REQUIRED_COLUMNS].to_csv(f"{src}/all.csv", index=False)
+    s = L.load_in_row_batches(spark, src, table, state, batch_size=300, batches_per_trigger=4, delay_seconds=0)
+    assert s.batches_processed_this_run == 1 and s.total_rows_seen == 1015 and s.rows_loaded == 970
+    status = L.batch_status_table(spark, L.load_state(spark, table, state)).collect()
+    assert sorted((r["batch_number"], r["rows_read"]) for r in status) == [(1, 300), (2, 300), (3, 300), (4, 115)]
+    assert spark.read.parquet(table).count() == 956
