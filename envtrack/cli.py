@@ -36,6 +36,14 @@ def _parser() -> argparse.ArgumentParser:
     val.add_argument("table")
     val.add_argument("--out", default=None, help="write the report as JSON to this folder")
 
+    win = sub.add_parser("window", help="readings of some devices in a time window [start, end)")
+    win.add_argument("table")
+    win.add_argument("--start", required=True, help="first day (YYYY-MM-DD, UTC)")
+    win.add_argument("--end", required=True, help="day after the last one (YYYY-MM-DD, UTC)")
+    win.add_argument("--device", action="append", default=None, help="device id (repeatable; default: all)")
+    win.add_argument("--valid-only", action="store_true", help="readings without quality flags only")
+    win.add_argument("--out", default=None, help="write the readings as JSON to this folder")
+
     q = sub.add_parser("queries", help="run the published example queries")
     q.add_argument("table")
     q.add_argument("--out", default=None, help="write each result as JSON under this folder")
@@ -80,6 +88,20 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         print(json.dumps(row, default=str))
         return 0 if jobs.is_ready(report) else 1
 
+    if args.command == "window":
+        import datetime as _dt
+
+        from pyspark.sql import functions as F
+
+        start, end = _dt.date.fromisoformat(args.start), _dt.date.fromisoformat(args.end)
+        rows = jobs.read_window(spark, args.table, start, end, args.device)
+        if args.valid_only:
+            rows = rows.where(F.col("is_valid"))
+        if args.out:
+            rows.write.mode("overwrite").json(args.out)  # may be large: one file per task
+        print("readings", rows.count())
+        return 0
+
     table = jobs.read_table(spark, args.table)
     if table.limit(1).count() == 0:
         print("ERROR: the readings table is empty; load data first.", file=sys.stderr)

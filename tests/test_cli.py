@@ -22,5 +22,9 @@ def test_load_validate_queries(spark, scratch):
     assert cli.main(["queries", table, "--out", f"{scratch}/q"], spark) == 0
     assert os.path.isdir(f"{scratch}/q/high_smoke_readings")
     assert spark.read.parquet(table).count() == 956
+    assert cli.main(["window", table, "--start", "2024-01-08", "--end", "2024-01-15", "--device", "dev-0001",
+                     "--out", f"{scratch}/w"], spark) == 0
+    got = spark.read.json(f"{scratch}/w")
+    assert got.count() > 0 and {r[0] for r in got.select("device").distinct().collect()} == {"dev-0001"}
     assert cli.main(["load", f"{scratch}/nowhere", f"{scratch}/t2", "--state", f"{scratch}/s2",
                      "--max-batches", "0"], spark) == 1
