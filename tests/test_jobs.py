@@ -55,6 +55,8 @@ def test_plan_shapes(spark, scratch):
     table = f"{scratch}/t"
     merge_into_table(spark, accepted_readings(classify_rows(raw_readings(spark, SF_SMALL))), table)
     r = spark.read.parquet(table)
+    hp = Q.high_smoke_readings(r)._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(measurements.smoke," in hp  # the p90 threshold reaches the scan
     plan = Q.highest_smoke(r)._jdf.queryExecution().executedPlan().toString()
     assert "TakeOrderedAndProject" in plan
     assert "IsNotNull(measurements.smoke)" in plan
