@@ -8,11 +8,12 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from envtrack.session import shared_dir
 
 #: Text handled at once inside a task, in bytes (a longer document is handled alone).
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -59,3 +60,42 @@ def spans(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     total = int(lengths.sum())
     ends = np.cumsum(lengths)
     return np.arange(total, dtype=np.int64) + np.repeat(starts - (ends - lengths), lengths)
+
+
+def left_join_by_key(rows: DataFrame, per_key: DataFrame, key: str, share: int = 1024) -> DataFrame:
+    """``rows`` left-joined with ``per_key`` (one row for each key), whatever the keys' frequencies.
+
+    A key with more than 1/share of all rows is joined by broadcast: there are fewer than ``share`` of
+    them. All others are shuffled, none of them hot. ``rows`` is read several times: stage it before.
+    """
+    total = rows.count()
+    often = rows.groupBy(key).count().where(F.col("count") > total / share).select(key)
+    heavy = staged(per_key.join(F.broadcast(often), key, "left_semi"), "heavy")
+    rest = rows.join(F.broadcast(heavy), key, "left_anti")
+    return rows.join(F.broadcast(heavy), key).unionByName(rest.join(per_key, key, "left"))
+
+
+def components(edges: DataFrame, left: str, right: str) -> DataFrame:
+    """(node, root) for every node of ``edges``: the least node of its connected component.
+
+    Alternating large-star and small-star steps on the edge table, each written to the shared folder;
+    a node with very many edges is handled by ``left_join_by_key``. Nothing goes through the driver but
+    the count and the check sum that tell when nothing changes any more.
+    """
+    edges = edges.select(F.col(left).alias("u"), F.col(right).alias("v")).where("u <> v")
+    edges = staged(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
+    seen = None
+    while True:
+        state = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+        if state == seen or not state[0]:
+            return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(
+                edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
+        seen = state
+        both = staged(edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))), "edges")
+        least = staged(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "least")
+        large = left_join_by_key(both, least, "u").where("v > u and v <> m").select(
+            F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = staged(large, "edges")
+        least = staged(large.groupBy("u").agg(F.min("v").alias("m")), "least")
+        small = left_join_by_key(large, least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        edges = staged(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), "edges")
