@@ -7,18 +7,54 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from envtrack.llm import encoding
+from envtrack.llm import curve_packing, encoding, exact_dedup, quality, sharding, token_matrix, url_filter
 from envtrack.llm.common import table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+SHARD_BYTES = 1 << 20
 
 
 def op8_bpe_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoding.round_trip_digests(table(spark, sf_dir, "documents"), VOCABULARY)
 
 
+def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op2_curve_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = curve_packing.pack_along_curve(table(spark, sf_dir, "documents"), VOCABULARY, end_id=1, length=2048)
+    return curve_packing.piece_digests(pieces)
+
+
+def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.assign_shards(table(spark, sf_dir, "documents"), SHARD_BYTES)
+
+
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge_pages(table(spark, sf_dir, "pages"), url_filter.RULES)
+
+
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op10_token_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_matrix.pack_matrix(table(spark, sf_dir, "documents"), VOCABULARY)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_exact_dedup": op1_exact_dedup,
+    "op2_curve_packing": op2_curve_packing,
+    "op4_sharding": op4_sharding,
+    "op5_url_filter": op5_url_filter,
+    "op7_quality": op7_quality,
+    "op10_token_matrix": op10_token_matrix,
     "op8_bpe_encoding": op8_bpe_encoding,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op1_exact_dedup": exact_dedup.ORACLE,
+    "op4_sharding": sharding.oracle(SHARD_BYTES),
+    "op5_url_filter": url_filter.ORACLE,
+}
