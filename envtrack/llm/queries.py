@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from envtrack.llm import curve_packing, encoding, exact_dedup, quality, sharding, token_matrix, url_filter
+from envtrack.llm import curve_packing, encoding, exact_dedup, ngram_join, quality, sharding, token_matrix, url_filter
 from envtrack.llm.common import table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -35,6 +35,10 @@ def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_pages(table(spark, sf_dir, "pages"), url_filter.RULES)
 
 
+def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_duplicates(table(spark, sf_dir, "documents"), threshold=0.8, words=5)
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -48,6 +52,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_curve_packing": op2_curve_packing,
     "op4_sharding": op4_sharding,
     "op5_url_filter": op5_url_filter,
+    "op6_ngram_join": op6_ngram_join,
     "op7_quality": op7_quality,
     "op10_token_matrix": op10_token_matrix,
     "op8_bpe_encoding": op8_bpe_encoding,
