@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from envtrack.llm import curve_packing, encoding, exact_dedup, ngram_join, quality, sharding, token_matrix, url_filter
+from envtrack.llm import curve_packing, encoding, exact_dedup, ngram_join, quality, sharding, token_matrix, topk, url_filter
 from envtrack.llm.common import table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -27,6 +28,10 @@ def op2_curve_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return curve_packing.piece_digests(pieces)
 
 
+def op3_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0, k=5)
+
+
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign_shards(table(spark, sf_dir, "documents"), SHARD_BYTES)
 
@@ -50,6 +55,7 @@ def op10_token_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_curve_packing": op2_curve_packing,
+    "op3_top_k": op3_top_k,
     "op4_sharding": op4_sharding,
     "op5_url_filter": op5_url_filter,
     "op6_ngram_join": op6_ngram_join,
@@ -60,6 +66,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLE: dict[str, str] = {
     "op1_exact_dedup": exact_dedup.ORACLE,
+    "op3_top_k": topk.ORACLE,
     "op4_sharding": sharding.oracle(SHARD_BYTES),
     "op5_url_filter": url_filter.ORACLE,
 }
