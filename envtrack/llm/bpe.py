@@ -21,7 +21,8 @@ import unicodedata
 
 import numpy as np
 
-from envtrack.llm.common import CHUNK_BYTES, spans
+from envtrack.llm.common import spans
+from envtrack.llm.words import fold_words
 
 NO_RANK = np.int32(2**31 - 1)
 LETTER, NUMBER, SPACE, OTHER = 1, 2, 3, 4
@@ -32,7 +33,6 @@ WHITE_SPACE = [9, 10, 11, 12, 13, 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B)
 ENDINGS = [b"s", b"t", b"re", b"ve", b"m", b"ll", b"d"]
 #: Distinct words whose ids a worker remembers; when full, it starts again.
 CACHE_WORDS = 1_000_000
-_BASE = 0x9E3779B97F4A7C15
 
 
 def byte_characters() -> dict[int, str]:
@@ -141,10 +141,6 @@ class Bpe:
         into = np.array([vocab[a + b] for a, b in merges], np.int64)
         order = np.argsort(keys, kind="stable")
         self.pair_keys, self.pair_rank, self.pair_into = keys[order], order.astype(np.int32), into[order]
-        rng = np.random.default_rng(20240229)
-        self.mix = rng.integers(1, 2**63, 256, dtype=np.int64).astype(np.uint64) | np.uint64(1)
-        self.power = np.ones(1, np.uint64)
-        self.inverse = np.ones(1, np.uint64)
         self._forget()
 
     # --- merge rounds -------------------------------------------------------------------------
@@ -216,15 +212,6 @@ class Bpe:
         self.known_word = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint8))
         self.known_ids = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64))
 
-    def _powers(self, n: int):
-        if len(self.power) < n:
-            n = max(n, CHUNK_BYTES)
-            base, back = np.uint64(_BASE), np.uint64(pow(_BASE, -1, 2**64))
-            one = np.ones(1, np.uint64)
-            self.power = np.multiply.accumulate(np.concatenate([one, np.full(n, base, np.uint64)]))
-            self.inverse = np.multiply.accumulate(np.concatenate([one, np.full(n, back, np.uint64)]))
-        return self.power, self.inverse
-
     def _encode_raw(self, raw: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the texts between ``bounds`` in ``raw``: (flat ids, ids per text)."""
         texts = len(bounds) - 1
@@ -233,26 +220,11 @@ class Bpe:
         begins = word_starts(raw, bounds[:-1][np.diff(bounds) > 0])
         ends = np.append(begins[1:], len(raw))
         length = ends - begins
-        power, inverse = self._powers(len(raw))
-        total = np.zeros(len(raw) + 1, np.uint64)
-        np.cumsum(self.mix[raw] * power[:len(raw)], out=total[1:])
-        key = (total[ends] - total[begins]) * inverse[begins] + length.astype(np.uint64)
-        del total
-        distinct, first, which = np.unique(key, return_index=True, return_inverse=True)
-        # every word must equal, byte by byte, the word that stands for its key
-        stands = first[which]
-        same = length == length[stands]
-        if same.all():
-            differ = np.flatnonzero(raw != raw[spans(begins[stands], length)])
-            same[np.searchsorted(begins, differ, side="right") - 1] = False
-        if not same.all():  # two words with one key: give each its own
-            words = [raw[b:e].tobytes() for b, e in zip(begins, ends)]
-            ordinal: dict[bytes, int] = {}
-            which = np.array([ordinal.setdefault(w, len(ordinal)) for w in words])
-            first = np.unique(which, return_index=True)[1]
+        first, which, keys = fold_words(raw, begins, length)
+        if keys is None:  # two words with one key: nothing to remember them by
             ids, count = self.merge_words(raw[spans(begins[first], length[first])], length[first])
         else:
-            ids, count = self._known(raw, distinct, begins[first], length[first])
+            ids, count = self._known(raw, keys, begins[first], length[first])
         offset = np.cumsum(count) - count
         per_word = count[which]
         flat = ids[spans(offset[which], per_word)]

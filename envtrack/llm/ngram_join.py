@@ -33,8 +33,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from envtrack.llm.common import CHUNK_BYTES, chunks, components, left_join_by_key, spans, staged, text_buffer
+from envtrack.llm.common import chunks, components, left_join_by_key, spans, staged, text_buffer
 from envtrack.llm.exact_dedup import occupied_bits
+from envtrack.llm.words import word_hashes
 
 #: MinHash values, values of a band, and values compared in one step.
 VALUES, BAND, STEP = 64, 4, 16
@@ -45,10 +46,8 @@ BLOCK_ROWS, BLOCK_GRAMS = 4096, 3 << 19
 DIRECT_PAIRS, DIRECT_TEXTS = 1 << 20, 16
 
 _rng = np.random.default_rng(1905)
-MIX = _rng.integers(1, 2**63, 256, dtype=np.int64).astype(np.uint64) | np.uint64(1)
 PLACE = _rng.integers(1, 2**63, 64, dtype=np.int64).astype(np.uint64) | np.uint64(1)
 MINHASH = _rng.integers(1, 2**63, VALUES, dtype=np.int64).astype(np.uint64) | np.uint64(1)
-_BASE = 0x9E3779B97F4A7C15
 
 
 def _finish(x: np.ndarray) -> np.ndarray:
@@ -57,14 +56,6 @@ def _finish(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-@functools.lru_cache(maxsize=2)
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    one = np.ones(1, np.uint64)
-    base, back = np.uint64(_BASE), np.uint64(pow(_BASE, -1, 2**64))
-    return (np.multiply.accumulate(np.concatenate([one, np.full(n, base)])),
-            np.multiply.accumulate(np.concatenate([one, np.full(n, back)])))
-
-
 def gram_sets(texts: list[str], n: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of each text's distinct word n-grams, ascending, text after text; and how many each has."""
     bodies = [" ".join(t.lower().split()).encode() for t in texts]
@@ -72,10 +63,7 @@ def gram_sets(texts: list[str], n: int) -> tuple[np.ndarray, np.ndarray]:
     raw = np.frombuffer(b" ".join(bodies) + b" ", np.uint8)  # each word is followed by one blank
     gap = np.flatnonzero(raw == 32)
     start = np.append(0, gap[:-1] + 1)
-    power, inverse = _powers(1 << max(len(raw) + 1, CHUNK_BYTES).bit_length())
-    total = np.zeros(len(raw) + 1, np.uint64)
-    np.cumsum(MIX[raw] * power[:len(raw)], out=total[1:])
-    word = _finish((total[gap] - total[start]) * inverse[start])
+    word = _finish(word_hashes(raw, start, gap))
     owner = np.searchsorted(np.cumsum(size), start, side="right")
     real = gap > start  # an empty text leaves an empty word
     word, owner = word[real], owner[real]

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from envtrack.llm import curve_packing, encoding, exact_dedup, ngram_join, quality, sharding, token_matrix, topk, url_filter
+from envtrack.llm import curve_packing, encoding, exact_dedup, lm_scoring, ngram_join, quality, sharding, token_matrix, topk, url_filter
 from envtrack.llm.common import table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -48,6 +48,10 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.score_documents(table(spark, sf_dir, "documents"), VOCABULARY)
+
+
 def op10_token_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_matrix.pack_matrix(table(spark, sf_dir, "documents"), VOCABULARY)
 
@@ -60,6 +64,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_url_filter": op5_url_filter,
     "op6_ngram_join": op6_ngram_join,
     "op7_quality": op7_quality,
+    "op9_lm_scoring": op9_lm_scoring,
     "op10_token_matrix": op10_token_matrix,
     "op8_bpe_encoding": op8_bpe_encoding,
 }
