@@ -32,6 +32,12 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def numbered(docs: DataFrame) -> tuple[DataFrame, str]:
+    """``docs`` written once with a row number that stays, and the number's column name (a new one)."""
+    name = f"row_{uuid.uuid4().hex[:12]}"
+    return staged(docs.withColumn(name, F.monotonically_increasing_id()), "numbered"), name
+
+
 def text_buffer(column) -> tuple[np.ndarray, np.ndarray]:
     """The UTF-8 bytes of an Arrow string column and the n+1 offsets into them; null counts as empty."""
     if isinstance(column, pa.ChunkedArray):

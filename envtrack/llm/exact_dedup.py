@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from envtrack.llm.common import chunks, staged, text_buffer
+from envtrack.llm.common import chunks, numbered, staged, text_buffer
 
 #: Fingerprints in one block of quotients, about.
 BLOCK_FINGERPRINTS = 1 << 20
@@ -81,7 +81,7 @@ class QuotientFilter:
                          filters[0].remainder_bits)
 
 
-def document_digests(docs: DataFrame, bits: int, id_col: str, text_col: str) -> DataFrame:
+def document_digests(docs: DataFrame, bits: int, id_col: str, text_col: str, row_col: str | None) -> DataFrame:
     """id, row, fingerprint (unsigned in a long) and sha (binary) of each document."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -91,12 +91,13 @@ def document_digests(docs: DataFrame, bits: int, id_col: str, text_col: str) ->
                 sha = [hashlib.sha256(text[b:e]).digest() for b, e in zip(at, at[1:])]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(a, z - a), pa.array(fingerprints(sha, bits).view(np.int64)),
-                     pa.array(sha, pa.binary())], names=["id", "fingerprint", "sha"])
+                     pa.array(sha, pa.binary()), batch.column(2).slice(a, z - a)],
+                    names=["id", "fingerprint", "sha", "row"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    out = rows.mapInArrow(run, f"id {kind}, fingerprint bigint, sha binary")
-    return out.withColumn("row", F.monotonically_increasing_id())
+    row = F.col(row_col) if row_col else F.monotonically_increasing_id()
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), row.alias("row"))
+    return rows.mapInArrow(run, f"id {kind}, fingerprint bigint, sha binary, row bigint")
 
 
 def repeated_fingerprints(digests: DataFrame, rows: int, bits: int) -> DataFrame:
@@ -190,9 +191,12 @@ def verified_texts(docs: DataFrame, route: int, vector: np.ndarray, bits: int, t
 
 
 def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                     fingerprint_bits: int = 64) -> DataFrame:
-    """For each document: id, keep_id, group_size, kept, text_sha256 (see the module for the rules)."""
-    digests = staged(document_digests(docs, fingerprint_bits, id_col, text_col), "digests")
+                     fingerprint_bits: int = 64, row_col: str | None = None) -> DataFrame:
+    """For each document: id, keep_id, group_size, kept, text_sha256 (see the module for the rules).
+
+    ``row_col`` names a column of unique row numbers, if there is one; it is returned as well.
+    """
+    digests = staged(document_digests(docs, fingerprint_bits, id_col, text_col, row_col), "digests")
     rows = digests.count()
     repeated = staged(repeated_fingerprints(digests, rows, fingerprint_bits), "repeated")
     route, vector = occupied_bits(repeated, fingerprint_bits)
@@ -208,7 +212,15 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
                       F.when(alone, F.col("id")).otherwise(F.col("keep.id")).alias("keep_id"),
                       F.coalesce("copies", F.lit(1).cast("long")).alias("group_size"),
                       (alone | (F.col("row") == F.col("keep.row"))).alias("kept"),
-                      F.lower(F.hex("sha")).alias("text_sha256"))
+                      F.lower(F.hex("sha")).alias("text_sha256"),
+                      *([F.col("row").alias(row_col)] if row_col else []))
+
+
+def without_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, whole, that stay."""
+    rows, row = numbered(docs)
+    kept = exact_duplicates(rows, id_col, text_col, row_col=row).where("kept").select(row)
+    return rows.join(kept, row, "left_semi").drop(row)
 
 
 ORACLE = """

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from envtrack.llm.common import chunks, components, left_join_by_key, spans, staged, text_buffer
+from envtrack.llm.common import chunks, components, left_join_by_key, numbered, spans, staged, text_buffer
 from envtrack.llm.exact_dedup import occupied_bits
 from envtrack.llm.words import word_hashes
 
@@ -211,7 +211,7 @@ def binary_matrix(column: pa.ChunkedArray, width: int) -> np.ndarray:
     return np.frombuffer(column.buffers()[2], np.uint8)[ends[0]:ends[-1]].reshape(len(column), width)
 
 
-def _measured(docs: DataFrame, n: int, id_col: str, text_col: str) -> DataFrame:
+def _measured(docs: DataFrame, n: int, id_col: str, text_col: str, row_col: str | None) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             _, offsets = text_buffer(batch.column(1))
@@ -225,11 +225,14 @@ def _measured(docs: DataFrame, n: int, id_col: str, text_col: str) -> DataFrame:
                     [batch.column(0).slice(a, z - a), pa.array(names, pa.binary()), pa.array(counts, pa.int64()),
                      pa.array([r.tobytes() for r in (sig & np.uint32(255)).astype(np.uint8)], pa.binary()),
                      pa.ListArray.from_arrays(pa.array(np.arange(len(keys) + 1) * keys.shape[1], pa.int32()),
-                                              keys.ravel())], names=["id", "digest", "grams", "sig", "bands"])
+                                              keys.ravel()), batch.column(2).slice(a, z - a)],
+                    names=["id", "digest", "grams", "sig", "bands", "row"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(run, f"id {kind}, digest binary, grams bigint, sig binary, bands array<bigint>")
+    row = F.col(row_col) if row_col else F.monotonically_increasing_id()
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), row.alias("row"))
+    return rows.mapInArrow(
+        run, f"id {kind}, digest binary, grams bigint, sig binary, bands array<bigint>, row bigint")
 
 
 def _paired_blocks(rows: DataFrame, group: str) -> DataFrame:
@@ -396,17 +399,20 @@ def _links(docs: DataFrame, texts: DataFrame, clusters: DataFrame, n: int, thres
 
 
 def near_duplicates(docs: DataFrame, threshold: float = 0.8, words: int = 5, id_col: str = "doc_id",
-                    text_col: str = "text") -> DataFrame:
-    """For each document: id, class_id, n_links, n_text_links, copies.
+                    text_col: str = "text", row_col: str | None = None) -> DataFrame:
+    """For each document: id, class_id, n_links, n_text_links, copies, kept.
 
     class_id: the smallest id of the class (the document's own id if it links to nothing). n_links: the
-    other documents, copies included, with at least the threshold. n_text_links: the other texts.
+    other documents, copies included, with at least the threshold. n_text_links: the other texts. kept:
+    true for one document of each class, the first of those with the smallest id. ``row_col`` names a
+    column of unique row numbers, if there is one; it is returned as well.
     """
-    measured = staged(_measured(docs, words, id_col, text_col), "grams")
+    measured = staged(_measured(docs, words, id_col, text_col, row_col), "grams")
     lead = F.conv(F.hex(F.substring("digest", 1, 8)), 16, -10).cast("bigint")
     texts = measured.where("grams > 0").groupBy("digest").agg(
-        F.count("*").alias("copies"), F.min("id").alias("least"), F.first("grams").alias("grams"),
-        F.first("sig").alias("sig"), F.first("bands").alias("bands")).withColumn("fingerprint", lead)
+        F.count("*").alias("copies"), F.min(F.struct(F.col("id").isNull().alias("none"), "id", "row")).alias("least"),
+        F.first("grams").alias("grams"), F.first("sig").alias("sig"),
+        F.first("bands").alias("bands")).withColumn("fingerprint", lead)
     texts = staged(texts, "texts")
     forest = staged(_candidates(texts, threshold), "candidates")
     clusters = staged(components(forest, "a", "b").withColumnRenamed("node", "digest"), "clusters")
@@ -415,13 +421,22 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, words: int = 5, id_
     classes = components(found, "digest", "other").withColumnRenamed("node", "digest")
     whole = staged(texts.select("digest", "copies", "least").join(counts, "digest", "left")
                    .join(classes, "digest", "left").withColumn("root", F.coalesce("root", "digest")), "text-classes")
-    smallest = staged(whole.groupBy("root").agg(F.min("least").alias("class_id")), "class-ids")
-    whole = left_join_by_key(whole, smallest, "root").select(
-        "digest", "copies", "class_id", F.coalesce("links", F.lit(0)).alias("links"),
-        F.coalesce("text_links", F.lit(0)).alias("text_links"))
-    out = left_join_by_key(measured.select("id", "digest", "grams"), staged(whole, "text-results"), "digest")
+    smallest = staged(whole.groupBy("root").agg(F.min("least").alias("first")), "class-ids")
+    whole = left_join_by_key(whole, smallest, "root").select("digest", "copies", "first", "links", "text_links")
+    out = left_join_by_key(measured.select("id", "digest", "grams", "row"), staged(whole, "text-results"), "digest")
+    real = F.col("grams") > 0
     return out.select(
-        F.col("id").alias(id_col), F.when(F.col("grams") > 0, F.col("class_id")).otherwise(F.col("id")).alias("class_id"),
-        F.when(F.col("grams") > 0, F.col("links") + F.col("copies") - 1).otherwise(0).cast("bigint").alias("n_links"),
+        F.col("id").alias(id_col), F.when(real, F.col("first.id")).otherwise(F.col("id")).alias("class_id"),
+        F.when(real, F.coalesce("links", F.lit(0)) + F.col("copies") - 1).otherwise(0).cast("bigint").alias("n_links"),
         F.coalesce("text_links", F.lit(0)).cast("bigint").alias("n_text_links"),
-        F.coalesce("copies", F.lit(1)).cast("bigint").alias("copies"))
+        F.when(real, F.col("copies")).otherwise(1).cast("bigint").alias("copies"),
+        (~real | (F.col("row") == F.col("first.row"))).alias("kept"),
+        *([F.col("row").alias(row_col)] if row_col else []))
+
+
+def one_of_each_class(docs: DataFrame, threshold: float = 0.8, words: int = 5, id_col: str = "doc_id",
+                      text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, whole, that stay when one document of each class does."""
+    rows, row = numbered(docs)
+    kept = near_duplicates(rows, threshold, words, id_col, text_col, row).where("kept").select(row)
+    return rows.join(kept, row, "left_semi").drop(row)
