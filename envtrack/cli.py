@@ -30,8 +30,20 @@ def _parser() -> argparse.ArgumentParser:
                       help="cut the CSV file(s) into batches of this many rows (staged once), one batch per trigger")
     load.add_argument("--batches-per-trigger", type=int, default=1,
                       help="with --batch-size and without --max-batches: row batches per micro-batch")
+    load.add_argument("--multi-line", action="store_true", help="quoted cells may hold line breaks (one task a file)")
+    load.add_argument("--source-url", default=None, help="where the readings come from, stored with each of them")
+    load.add_argument("--source-dataset", default=None, help="name of the dataset, stored with each reading")
+    load.add_argument("--report", default=None, help="write the cumulative quality report to this folder")
     load.add_argument("--summary", default=None, help="write the load summary as JSON to this folder")
 
+    sample = sub.add_parser("sample", help="first rows of a CSV file, in file order")
+    sample.add_argument("source", help="a CSV file")
+    sample.add_argument("out", help="folder for the sample")
+    sample.add_argument("--rows", type=int, default=10_000)
+
+    quotes = sub.add_parser("check-quotes", help="lines that only --multi-line reads right")
+    quotes.add_argument("source", help="folder of CSV files")
+
     val = sub.add_parser("validate", help="validation report of the readings table")
     val.add_argument("table")
     val.add_argument("--out", default=None, help="write the report as JSON to this folder")
@@ -51,42 +63,68 @@ def _parser() -> argparse.ArgumentParser:
     return p
 
 
+def _load(args: argparse.Namespace, spark: SparkSession) -> int:
+    from envtrack import schema as S
+    from envtrack.operators.transform import SourceLabels
+    from envtrack.plans import jobs
+    from envtrack.sources.csv import MissingColumnsError
+    from envtrack.sources.manifest import SourceChangedError
+    from envtrack.streaming import load as L
+
+    common = {"max_batches": args.max_batches, "reset": args.reset_checkpoint, "checkpoint_path": args.checkpoint_path,
+              "multi_line": args.multi_line,
+              "labels": SourceLabels(dataset=args.source_dataset or S.SOURCE_DATASET, url=args.source_url)}
+    try:
+        if args.batch_size is not None:
+            summary = L.load_in_row_batches(spark, args.source, args.table, args.state, batch_size=args.batch_size,
+                                            batches_per_trigger=args.batches_per_trigger, **common)
+        else:
+            summary = L.load_readings(spark, args.source, args.table, args.state,
+                                      files_per_batch=args.files_per_batch, **common)
+    except (L.LoadFailed, SourceChangedError, MissingColumnsError, ValueError) as exc:
+        print(f"ERROR: {exc}", file=sys.stderr)
+        return 1
+    if args.summary:
+        jobs.write_reports({"load_summary": jobs.load_summary_frame(spark, summary)}, args.summary)
+    if args.report:
+        paths = L.load_state(spark, args.table, args.state, args.checkpoint_path)
+        jobs.write_reports(L.load_report(spark, paths), args.report)
+    print(json.dumps(summary.as_dict(), default=str))
+    return 0
+
+
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> int:
     args = _parser().parse_args(argv)
     spark = spark or SparkSession.builder.appName(f"envtrack-{args.command}").getOrCreate()
     from envtrack.plans import jobs
 
     if args.command == "load":
-        from envtrack.sources.csv import MissingColumnsError
-        from envtrack.sources.manifest import SourceChangedError
-        from envtrack.streaming.load import LoadFailed, load_in_row_batches, load_readings
+        return _load(args, spark)
+
+    if args.command == "sample":
+        from envtrack.sources.csv import MissingColumnsError, sample_csv
 
         try:
-            if args.batch_size is not None:
-                summary = load_in_row_batches(spark, args.source, args.table, args.state,
-                                              batch_size=args.batch_size, max_batches=args.max_batches,
-                                              reset=args.reset_checkpoint, checkpoint_path=args.checkpoint_path,
-                                              batches_per_trigger=args.batches_per_trigger)
-            else:
-                summary = load_readings(spark, args.source, args.table, args.state, max_batches=args.max_batches,
-                                        reset=args.reset_checkpoint, checkpoint_path=args.checkpoint_path,
-                                        files_per_batch=args.files_per_batch)
-        except (LoadFailed, SourceChangedError, MissingColumnsError, ValueError) as exc:
+            sample_csv(spark, args.source, args.rows, args.out)
+        except (MissingColumnsError, ValueError) as exc:
             print(f"ERROR: {exc}", file=sys.stderr)
             return 1
-        if args.summary:
-            jobs.write_reports({"load_summary": jobs.load_summary_frame(spark, summary)}, args.summary)
-        print(json.dumps(summary.as_dict(), default=str))
         return 0
 
+    if args.command == "check-quotes":
+        from envtrack.sources.csv import unclosed_quotes
+
+        files, lines = unclosed_quotes(spark, args.source).selectExpr("count(*)", "coalesce(sum(lines), 0)").first()
+        print(f"{lines} lines with an unclosed quote in {files} files")
+        return 1 if lines else 0
+
     if args.command == "validate":
         reports = jobs.validation_reports(spark, args.table)
-        report = reports["validation_report"]
         if args.out:
-            jobs.write_reports(reports, args.out)
-        row = report.first().asDict()
-        print(json.dumps(row, default=str))
-        return 0 if jobs.is_ready(report) else 1
+            reports = jobs.write_reports(reports, args.out)
+        row = reports["validation_report"].first()
+        print(json.dumps(row.asDict(), default=str))
+        return 0 if jobs.is_ready(row) else 1
 
     if args.command == "window":
         import datetime as _dt
@@ -108,7 +146,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         return 1
     results = jobs.run_all(spark, args.table, valid_only=args.valid_only)
     if args.out:
-        jobs.write_reports(results, args.out)
+        results = jobs.write_reports(results, args.out)
     for name, df in results.items():
         print(name, df.count())
     return 0

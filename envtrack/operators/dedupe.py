@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from envtrack import schema as S
+from envtrack.sources.readings_table import read_readings, replace_days
 
 _PAYLOAD = [c for c in S.READING_COLUMNS if c != "reading_id"]
 
@@ -31,33 +32,7 @@ def dedupe_readings(readings: DataFrame) -> DataFrame:
             .select("reading_id", *[F.col(f"_best.p.{c}").alias(c) for c in _PAYLOAD]))
 
 
-def table_exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.parquet(path).schema  # noqa: B018 - resolves the file listing only
-        return True
-    except Exception:  # AnalysisException: path does not exist / no files
-        return False
-
-
-def read_days(spark: SparkSession, table_path: str, days: list) -> DataFrame | None:
-    """The stored readings of some days, listing only those day folders (None when none exists).
-
-    A brace glob over ``event_date=<day>`` folders with ``basePath`` keeps partition discovery (the
-    ``event_date`` column) while the file listing touches the named days only, not the whole table.
-    """
-    if not days:
-        return None
-    pattern = f"{table_path.rstrip('/')}/event_date={{{','.join(str(d) for d in sorted(days))}}}"
-    try:
-        df = (spark.read.schema(S.READINGS_SCHEMA).option("basePath", table_path)
-              .parquet(pattern).where(F.col("event_date").isin(days)))
-        df.schema  # noqa: B018 - resolves the listing of the matched folders
-        return df
-    except Exception:  # no folder matched: nothing stored on these days yet
-        return None
-
-
-def upsert_counts(batch: DataFrame, existing: DataFrame | None) -> DataFrame:
+def upsert_counts(batch: DataFrame, existing: DataFrame) -> DataFrame:
     """One row: ``inserted``, ``updated``, ``inserted_or_updated`` for a batch against a table.
 
     inserted = distinct ids of the batch absent from the table; updated = ids present whose stored
@@ -66,12 +41,8 @@ def upsert_counts(batch: DataFrame, existing: DataFrame | None) -> DataFrame:
     """
     ids = dedupe_readings(batch).select("event_date", "reading_id", "ingested_at",
                                         F.col("quality.flags").alias("flags"))
-    if existing is None:
-        return ids.agg(F.count("*").alias("inserted"), F.lit(0).cast("bigint").alias("updated")) \
-            .withColumn("inserted_or_updated", F.col("inserted") + F.col("updated"))
     old = existing.select("event_date", "reading_id", F.col("ingested_at").alias("_old_at"),
                           F.col("quality.flags").alias("_old_flags"))
-    # (day, id) keys: the caller passes only the touched day partitions of the table
     joined = ids.join(old, ["event_date", "reading_id"], "left")
     return joined.agg(
         F.count_if(F.col("_old_at").isNull()).alias("inserted"),
@@ -80,6 +51,16 @@ def upsert_counts(batch: DataFrame, existing: DataFrame | None) -> DataFrame:
     ).withColumn("inserted_or_updated", F.col("inserted") + F.col("updated"))
 
 
+def days_of(batch: DataFrame) -> DataFrame:
+    """The distinct days of a batch, as a frame: their number comes from the data."""
+    return batch.select("event_date").distinct()
+
+
+def stored_on(spark: SparkSession, table: str, days: DataFrame) -> DataFrame:
+    """The readings in force on some days; the days prune the table's folders."""
+    return read_readings(spark, table).join(days, "event_date", "left_semi")
+
+
 def merge_frames(current: DataFrame | None, batch: DataFrame) -> DataFrame:
     """K1 as a frame operation: the stored rows (of the touched days) upserted with a batch.
 
@@ -91,32 +72,23 @@ def merge_frames(current: DataFrame | None, batch: DataFrame) -> DataFrame:
     return dedupe_readings(combined)
 
 
-def merge_into_table(spark: SparkSession, batch: DataFrame, table_path: str,
-                     days: list | None = None, partitions: int | None = None) -> None:
-    """Upsert ``batch`` (readings schema) into the day-partitioned Parquet table at ``table_path``.
+def merge_into_table(spark: SparkSession, batch: DataFrame, table: str, partitions: int | None = None) -> int:
+    """Upsert ``batch`` (readings schema) into the table; returns the number of the commit.
 
-    Only the days touched by the batch are read and rewritten (dynamic partition overwrite; never a
-    static overwrite of the path being read). An id never changes day, because the day is a
-    function of the hashed ``timestamp_unix``, so merging day by day is exact. The write is a pure
-    function of (table, batch): replaying a batch after a crash gives the same table.
+    Only days touched by the batch are read and written anew. An id never changes day, because the day
+    is a function of the hashed ``timestamp_unix``, so merging day by day is exact. The merged days are
+    new folders that one commit puts in force (``sources.readings_table``): a failure at any point
+    leaves the table as it was, and a replay of the batch gives the same readings.
 
-    Layout: after the dedupe (hash aggregate with map-side combine, safe for hot ids) the rows are
+    Layout: after the dedupe (a sort aggregate with map-side combine, safe for hot ids) the rows are
     range-partitioned on (event_date, device, timestamp). Range bounds come from a sample, so tasks
     are balanced even when one day or one device dominates, each day gets a bounded number of
     files, and every file is sorted by device and time, which Parquet min/max statistics turn into
     row-group skipping for device and time filters.
-
-    ``days``: the batch's distinct ``event_date`` values when the caller already has them.
     """
-    if days is None:
-        days = [r[0] for r in batch.select("event_date").distinct().collect()]  # distinct days only
-    current = read_days(spark, table_path, days)
-    merged = merge_frames(current, batch)
-    # without an explicit count AQE sizes the range partitions (advisory partition size); a caller
-    # can pin the number with ``partitions``
+    days = days_of(batch)
+    merged = merge_frames(stored_on(spark, table, days), batch)
+    # without an explicit count AQE sizes the range partitions (advisory partition size)
     keys = ["event_date", "device", "timestamp"]
     ranged = merged.repartitionByRange(partitions, *keys) if partitions else merged.repartitionByRange(*keys)
-    (ranged
-     .sortWithinPartitions("event_date", "device", "timestamp")
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("event_date").parquet(table_path))
+    return replace_days(spark, ranged.sortWithinPartitions(*keys), days, table)

@@ -7,7 +7,7 @@ small per-batch table (one row per batch) instead of rescanning loaded data.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 QUALITY_CONSEQUENCES = (
@@ -19,15 +19,17 @@ QUALITY_CONSEQUENCES = (
 )
 
 
+def batch_counters() -> list[Column]:
+    """A1: the counters of a batch, as aggregates over its classified rows."""
+    accepted = F.col("rejection_reason").isNull()
+    return [F.count("*").alias("rows_read"), F.count_if(accepted).alias("documents_built"),
+            F.count_if(~accepted).alias("invalid_rows"),
+            F.count_if(accepted & ~F.col("quality.is_valid")).alias("rows_with_quality_flags")]
+
+
 def batch_quality_status(classified: DataFrame) -> DataFrame:
     """A1: one row per ``batch_number`` with rows read, documents built, rejected and flagged."""
-    accepted = F.col("rejection_reason").isNull()
-    return (classified.groupBy("batch_number").agg(
-        F.count("*").alias("rows_read"),
-        F.count_if(accepted).alias("documents_built"),
-        F.count_if(~accepted).alias("invalid_rows"),
-        F.count_if(accepted & ~F.col("quality.is_valid")).alias("rows_with_quality_flags"),
-    ).orderBy("batch_number"))
+    return classified.groupBy("batch_number").agg(*batch_counters()).orderBy("batch_number")
 
 
 def rejected_reasons(classified: DataFrame) -> DataFrame:
@@ -58,26 +60,41 @@ def quality_report(batch_status: DataFrame) -> DataFrame:
     )
 
 
+def quality_counts(classified: DataFrame) -> DataFrame:
+    """(kind, key, n): rejections by reason, flags by kind, documents by device (A2-A4), in one pass."""
+    accepted = F.col("rejection_reason").isNull()
+
+    def entry(kind: str, key: Column) -> Column:
+        return F.struct(F.lit(kind).alias("kind"), key.alias("key"))
+
+    found = F.array_compact(F.array(F.when(~accepted, entry("rejected", F.col("rejection_reason"))),
+                                    F.when(accepted, entry("device", F.col("device")))))
+    flags = F.transform(F.coalesce("quality.flags", F.array().cast("array<string>")), lambda f: entry("flag", f))
+    return (classified.select(F.explode(F.concat(found, flags)).alias("e"))
+            .groupBy("e.kind", "e.key").agg(F.count("*").alias("n")))
+
+
+def _by(counts: DataFrame, kind: str, key: str, n: str) -> DataFrame:
+    return (counts.where(F.col("kind") == kind).groupBy(F.col("key").alias(key)).agg(F.sum("n").alias(n))
+            .orderBy(key))
+
+
 def _as_map(counts: DataFrame, key: str, value: str) -> DataFrame:
     """One row, one map column -- only for vocabularies of fixed, small size (flags, reasons)."""
     return counts.agg(F.coalesce(F.map_from_entries(F.collect_list(F.struct(F.col(key), F.col(value)))),
                                  F.create_map().cast("map<string,bigint>")).alias("m"))
 
 
-def quality_report_full(classified: DataFrame, batch_status: DataFrame) -> dict[str, DataFrame]:
-    """The whole report as frames: totals (with the consequences text and the two bounded maps --
-    flag counts and rejection reasons, at most 14 and 4 keys), and the breakdowns as frames. Counts
-    per device stay a frame: their size grows with the number of devices."""
-    readings = classified.where(F.col("rejection_reason").isNull())
-    flags = _as_map(flag_counts(readings), "flag", "occurrences").select(F.col("m").alias("invalid_measurement_values"))
-    reasons = _as_map(rejected_reasons(classified), "rejection_reason", "rows").select(F.col("m").alias("rejected_reasons"))
-    totals = (quality_report(batch_status).withColumn("consequences", F.lit(QUALITY_CONSEQUENCES))
-              .select("*", flags.scalar().alias("invalid_measurement_values"),
-                      reasons.scalar().alias("rejected_reasons")))
-    return {
-        "totals": totals,
-        "invalid_measurement_values": flag_counts(readings),
-        "rejected_reasons": rejected_reasons(classified),
-        "device_counts": device_counts_loaded(readings),
-        "batch_quality_status": batch_status,
-    }
+def quality_report_full(counts: DataFrame, batch_status: DataFrame) -> dict[str, DataFrame]:
+    """A5: the whole report from kept counts (``quality_counts``, summed over batches) and batches.
+
+    The totals carry the consequences text and the two bounded maps -- flag counts and rejection
+    reasons, at most 14 and 4 keys. Counts per device stay a frame: they grow with the devices.
+    """
+    flags = _by(counts, "flag", "flag", "occurrences")
+    reasons = _by(counts, "rejected", "rejection_reason", "rows")
+    totals = quality_report(batch_status).withColumn("consequences", F.lit(QUALITY_CONSEQUENCES)).select(
+        "*", _as_map(flags, "flag", "occurrences").scalar().alias("invalid_measurement_values"),
+        _as_map(reasons, "rejection_reason", "rows").scalar().alias("rejected_reasons"))
+    return {"totals": totals, "invalid_measurement_values": flags, "rejected_reasons": reasons,
+            "device_counts": _by(counts, "device", "device", "documents"), "batch_quality_status": batch_status}

@@ -13,36 +13,34 @@ it stays in the vocabulary.
 from __future__ import annotations
 
 import datetime as _dt
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from envtrack import schema as S
 from envtrack.functions.cells import (
-    bool_from_parts, clean_text, epoch_in_range, epoch_number, epoch_to_micros, float_from_parts, is_missing,
-    issue_from_parts, missing_from_clean, parse_epoch, strict_number,
+    bool_from_parts, clean_text, epoch_in_range, epoch_number, epoch_to_micros, float_from_parts,
+    issue_from_parts, missing_from_clean, strict_number,
 )
 from envtrack.functions.identity import reading_id
 from envtrack.functions.timecols import MICROS_PER_DAY
 
 
-def rejection_reason(ts: Column, device: Column) -> Column:
-    raw = parse_epoch(ts)
-    return (
-        F.when(is_missing(ts), F.lit(S.REJECT_MISSING_TS))
-        .when(~epoch_in_range(raw), F.lit(S.REJECT_INVALID_TS))
-        .when(is_missing(device), F.lit(S.REJECT_MISSING_DEVICE))
-        .when(F.trim(device, F.lit(S.WHITESPACE)) == "", F.lit(S.REJECT_EMPTY_DEVICE))
-    )
-
+@dataclass(frozen=True)
+class SourceLabels:
+    """Where readings come from, stored with each of them."""
+    dataset: str = S.SOURCE_DATASET
+    platform: str = S.SOURCE_PLATFORM
+    url: str | None = None
 
-def source_struct(url: str | None = None) -> Column:
-    return F.struct(F.lit(S.SOURCE_DATASET).alias("dataset"), F.lit(S.SOURCE_PLATFORM).alias("platform"),
-                    F.lit(url).cast("string").alias("url"))
+    def column(self) -> Column:
+        return F.struct(F.lit(self.dataset).alias("dataset"), F.lit(self.platform).alias("platform"),
+                        F.lit(self.url).cast("string").alias("url"))
 
 
 def classify_rows(raw: DataFrame, ingested_at: _dt.datetime | None = None,
-                  keep: list[str] | None = None) -> DataFrame:
+                  keep: list[str] | None = None, labels: SourceLabels | None = None) -> DataFrame:
     """Raw rows -> one row per input row with ``rejection_reason`` and the parsed reading.
 
     ``ingested_at`` is one literal per load run (never ``current_timestamp`` per query), so a
@@ -57,7 +55,7 @@ def classify_rows(raw: DataFrame, ingested_at: _dt.datetime | None = None,
     if ingested_at is None:
         ingested_at = _dt.datetime.now(_dt.timezone.utc)
     out = raw
-    for stage in _classify_stages(tuple(keep or ())):
+    for stage in _classify_stages(tuple(keep or ()), labels or SourceLabels()):
         out = out.select(*stage)
     ingest = F.when(F.col("rejection_reason").isNull(), F.lit(ingested_at).cast("timestamp"))
     cols = [c for c in out.columns if c != "event_date"]
@@ -67,7 +65,7 @@ def classify_rows(raw: DataFrame, ingested_at: _dt.datetime | None = None,
 _STAGE_CACHE: dict = {}
 
 
-def _classify_stages(keep: tuple) -> list[list[Column]]:
+def _classify_stages(keep: tuple, labels: SourceLabels) -> list[list[Column]]:
     """Column expressions of the five stages, built once per (session, kept columns).
 
     Building ~2,000 expression nodes through the Python API costs most of a second per call; the
@@ -76,15 +74,15 @@ def _classify_stages(keep: tuple) -> list[list[Column]]:
     """
     from pyspark import SparkContext
 
-    key = (id(SparkContext._active_spark_context), keep)
+    key = (id(SparkContext._active_spark_context), keep, labels)
     if key not in _STAGE_CACHE:
         if len(_STAGE_CACHE) > 32:
             _STAGE_CACHE.clear()
-        _STAGE_CACHE[key] = _build_stages(list(keep))
+        _STAGE_CACHE[key] = _build_stages(list(keep), labels)
     return _STAGE_CACHE[key]
 
 
-def _build_stages(keep: list[str]) -> list[list[Column]]:
+def _build_stages(keep: list[str], labels: SourceLabels) -> list[list[Column]]:
     keep_cols = [F.col(c) for c in keep]
     keep_names = [F.col(c) for c in keep]
     cells = S.REQUIRED_COLUMNS
@@ -143,7 +141,7 @@ def _build_stages(keep: list[str]) -> list[list[Column]]:
             F.col("_flags").alias("flags"),
             F.size("_flags").cast("int").alias("invalid_measurement_count"),
         )).alias("quality"),
-        F.when(ok, source_struct()).alias("source"),
+        F.when(ok, labels.column()).alias("source"),
         F.date_from_unix_date(F.floor(F.col("_us") / MICROS_PER_DAY).cast("int")).alias("event_date"),
     ]
     return [s1, s2, s3, s4, s5]
@@ -166,5 +164,4 @@ def transform_readings(raw: DataFrame, ingested_at: _dt.datetime | None = None)
     return accepted_readings(classify_rows(raw, ingested_at))
 
 
-__all__ = ["accepted_readings", "classify_rows", "clean_text", "rejected_rows",
-           "rejection_reason", "source_struct", "transform_readings"]
+__all__ = ["SourceLabels", "accepted_readings", "classify_rows", "rejected_rows", "transform_readings"]

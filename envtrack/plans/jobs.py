@@ -6,43 +6,25 @@ path. The load itself is ``envtrack.streaming.load.load_readings``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
-from envtrack import schema as S
 from envtrack.functions.timecols import utc_ntz
 from envtrack.operators import validate as V
 from envtrack.plans import queries as Q
+from envtrack.sources.readings_table import read_readings
 from envtrack.streaming.sinks import write_json_report
 
 
 def read_table(spark: SparkSession, table: str) -> DataFrame:
-    """The readings table; an absent or empty table reads as an empty frame of the right schema."""
-    try:
-        df = spark.read.schema(S.READINGS_SCHEMA).parquet(table)
-        df.schema  # noqa: B018
-        return df
-    except Exception:  # no files yet
-        return spark.createDataFrame([], S.READINGS_SCHEMA)
+    """The readings in force; an absent table reads as an empty one, an unreadable one fails."""
+    return read_readings(spark, table)
 
 
 def read_window(spark: SparkSession, table: str, start, end, devices=None) -> DataFrame:
-    """P25 on a table path: readings of ``[start, end)`` (dates or aware datetimes), listing only
-    the day folders of the window (``operators.dedupe.read_days``) instead of the whole table."""
-    import datetime as _dt
-
-    from envtrack.operators.dedupe import read_days
-
-    def day(v):
-        return v.astimezone(_dt.timezone.utc).date() if isinstance(v, _dt.datetime) and v.tzinfo else \
-            (v.date() if isinstance(v, _dt.datetime) else v)
-
-    first, last = day(start), day(end)
-    days = [first + _dt.timedelta(days=i) for i in range((last - first).days + 1)]
-    stored = read_days(spark, table, days)
-    if stored is None:
-        stored = spark.createDataFrame([], S.READINGS_SCHEMA)
-    return Q.readings_in_window(stored, devices, start, end)
+    """P25 on a table path: readings of ``[start, end)`` (dates or aware datetimes); the days of the
+    window prune the table's folders."""
+    return Q.readings_in_window(read_table(spark, table), devices, start, end)
 
 
 def validate(spark: SparkSession, table: str) -> DataFrame:
@@ -51,20 +33,21 @@ def validate(spark: SparkSession, table: str) -> DataFrame:
 
 
 def validation_reports(spark: SparkSession, table: str) -> dict[str, DataFrame]:
-    """J3 with its attachments: the one-row report and one example reading (S7, smallest id),
-    its timestamps as UTC text and measurements nested as stored."""
+    """J3 with its attachments: the one-row report, statistics, null counts, quality metrics, density,
+    and one example reading (S7, smallest id), its timestamps as UTC text and measurements nested."""
     readings = read_table(spark, table)
     example = V.example_document(readings).select(
         "reading_id", F.date_format(utc_ntz(F.col("timestamp")), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("timestamp"),
         "timestamp_unix", "device", "measurements", "quality", "source",
         F.date_format(utc_ntz(F.col("ingested_at")), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("ingested_at"))
-    return {"validation_report": V.validation_report(readings), "example_document": example}
+    return {"validation_report": V.validation_report(readings), "example_document": example,
+            "basic_statistics": V.basic_statistics(readings), "null_counts": V.null_counts(readings),
+            "quality_metrics": V.quality_metrics(readings), "device_density": V.device_density(readings)}
 
 
-def is_ready(report: DataFrame) -> bool:
+def is_ready(report: Row) -> bool:
     """Exit-status rule of the validation job: data present and ready for queries."""
-    row = report.select("data_present", "ready_for_queries").first()
-    return bool(row and row["data_present"] and row["ready_for_queries"])
+    return bool(report["data_present"] and report["ready_for_queries"])
 
 
 def run_all(spark: SparkSession, table: str, valid_only: bool = False) -> dict[str, DataFrame]:
@@ -74,10 +57,14 @@ def run_all(spark: SparkSession, table: str, valid_only: bool = False) -> dict[s
     return out
 
 
-def write_reports(frames: dict[str, DataFrame], dest: str) -> None:
-    """K5: each report-sized frame as JSON lines under ``dest/<name>``."""
+def write_reports(frames: dict[str, DataFrame], dest: str) -> dict[str, DataFrame]:
+    """K5: each frame as JSON lines under ``dest/<name>``, computed once: returns what was written."""
+    written = {}
     for name, df in frames.items():
-        write_json_report(df, f"{dest.rstrip('/')}/{name}")
+        path = f"{dest.rstrip('/')}/{name}"
+        write_json_report(df, path)
+        written[name] = df.sparkSession.read.schema(df.schema).json(path)
+    return written
 
 
 def load_summary_frame(spark: SparkSession, summary) -> DataFrame:

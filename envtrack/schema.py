@@ -100,12 +100,6 @@ READINGS_SCHEMA = T.StructType([
 
 READING_COLUMNS = [f.name for f in READINGS_SCHEMA.fields]
 
-REJECTED_SCHEMA = T.StructType([
-    T.StructField("batch_id", T.LongType(), True),
-    T.StructField("rejection_reason", T.StringType(), True),
-    T.StructField("row", RAW_SCHEMA, True),
-])
-
 BATCH_STATUS_SCHEMA = T.StructType([
     T.StructField("batch_number", T.LongType(), True),
     T.StructField("rows_read", T.LongType(), True),

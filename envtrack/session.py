@@ -38,25 +38,21 @@ def shared_dir(spark: SparkSession) -> str:
     """Root of the shared folder for checkpoints and state.
 
     Reads ``spark.checkpoint.dir`` from the session. When only an RDD checkpoint folder was set on
-    the context, that one is used. Only when neither is set (tests on one machine) a scratch folder
-    is created once per process and registered, so later calls agree on it.
+    the context, that one is used. When neither is set, a session on one machine (tests) gets a scratch
+    folder, once per process; any other session is refused, as its executors could not see that folder.
     """
     global _LOCAL_FALLBACK
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if _LOCAL_FALLBACK is not None:
-        return _LOCAL_FALLBACK
     context_dir = spark.sparkContext.getCheckpointDir()
-    if context_dir:
-        _LOCAL_FALLBACK = context_dir.rstrip("/")
-        return _LOCAL_FALLBACK
-    _LOCAL_FALLBACK = tempfile.mkdtemp(prefix="envtrack-state-")
-    spark.sparkContext.setCheckpointDir(os.path.join(_LOCAL_FALLBACK, "rdd"))
-    try:
-        spark.conf.set("spark.checkpoint.dir", _LOCAL_FALLBACK)
-    except Exception:  # some deployments reject runtime changes of core settings; the module keeps it
-        pass
+    if context_dir and _LOCAL_FALLBACK is None:
+        return context_dir.rstrip("/")
+    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    if _LOCAL_FALLBACK is None:
+        _LOCAL_FALLBACK = tempfile.mkdtemp(prefix="envtrack-state-")
+        spark.sparkContext.setCheckpointDir(os.path.join(_LOCAL_FALLBACK, "rdd"))
     return _LOCAL_FALLBACK
 
 

@@ -26,11 +26,12 @@ class MissingColumnsError(ValueError):
     """The CSV header lacks required columns."""
 
 
-def check_columns(columns: Sequence[str]) -> None:
-    """Raise ``MissingColumnsError`` when a required column is absent."""
-    missing = [c for c in S.REQUIRED_COLUMNS if c not in columns]
-    if missing:
-        raise MissingColumnsError(f"CSV is missing required columns: {missing}. Expected: {S.REQUIRED_COLUMNS}")
+def require_header(header: Sequence[str], path: str) -> list[str]:
+    """The header's columns, in their order, if none of the nine is absent."""
+    absent = set(S.REQUIRED_COLUMNS).difference(header)
+    if absent:
+        raise MissingColumnsError(f"{path}: the header lacks {', '.join(sorted(absent))}")
+    return list(header)
 
 
 def header_of(spark: SparkSession, path: str) -> list[str]:
@@ -47,21 +48,29 @@ def text_schema(columns: Sequence[str]) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType(), True) for c in columns])
 
 
-def csv_options() -> dict[str, str]:
-    # recursiveFileLookup: every reader sees the same files as the manifest listing, at any depth
-    return {"header": "true", "enforceSchema": "false", "mode": "PERMISSIVE", "multiLine": "false",
-            "recursiveFileLookup": "true"}
+def csv_options(multi_line: bool = False) -> dict[str, str]:
+    """Quoted cells, with the quote doubled inside them.
 
+    With ``multi_line`` a quoted cell may hold line breaks, and a file is read by one task; without it
+    files are split, and ``unclosed_quotes`` counts the lines that would need it.
+    recursiveFileLookup: every reader sees the same files as the manifest listing, at any depth.
+    """
+    return {"header": "true", "enforceSchema": "false", "mode": "PERMISSIVE", "multiLine": str(multi_line).lower(),
+            "quote": '"', "escape": '"', "recursiveFileLookup": "true"}
 
-def read_raw_csv(spark: SparkSession, path: str, header_from: str | None = None) -> DataFrame:
-    """Raw readings from CSV file(s) at ``path`` as nine string columns.
 
-    ``header_from`` names the file whose header defines column order (default: ``path`` itself).
-    """
-    cols = header_of(spark, header_from or path)
-    check_columns(cols)
-    df = spark.read.options(**csv_options()).schema(text_schema(cols)).csv(path)
-    return df.select(*S.REQUIRED_COLUMNS)
+def read_raw_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    """Raw readings of one CSV file as nine string columns, with their place in the file."""
+    columns = require_header(header_of(spark, path), path)
+    return spark.read.options(**csv_options(multi_line)).schema(text_schema(columns)).csv(path)
+
+
+def unclosed_quotes(spark: SparkSession, source: str, pattern: str = "*.csv") -> DataFrame:
+    """(path, lines): files with lines of an odd number of quotes, which only ``multi_line`` reads right."""
+    lines = (spark.read.option("pathGlobFilter", pattern).option("recursiveFileLookup", "true").text(source)
+             .select("value", F.col("_metadata.file_path").alias("path")))
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    return lines.where(quotes % 2 == 1).groupBy("path").agg(F.count("*").alias("lines"))
 
 
 def sample_head(df: DataFrame, n: int, order: Sequence[str | Column]) -> DataFrame:
@@ -71,9 +80,14 @@ def sample_head(df: DataFrame, n: int, order: Sequence[str | Column]) -> DataFra
     return df.orderBy(*order).limit(n).select(*S.REQUIRED_COLUMNS)
 
 
-def write_sample_csv(df: DataFrame, n: int, order: Sequence[str | Column], dest: str) -> None:
-    """Write the first ``n`` rows as one CSV file with a header."""
-    sample_head(df, n, order).coalesce(1).write.mode("overwrite").option("header", True).csv(dest)
+def sample_csv(spark: SparkSession, path: str, n: int, dest: str) -> None:
+    """The first ``n`` rows of a CSV file, in file order, as one CSV file with a header.
+
+    A top-k on the place in the file: each task keeps at most ``n`` rows, and ``n`` rows are written.
+    """
+    rows = with_file_order(read_raw_csv(spark, path))
+    head = sample_head(rows, n, ["_block", "_scan_seq"])
+    head.coalesce(1).write.mode("overwrite").option("header", True).option("escape", '"').csv(dest)
 
 
 def with_file_order(df: DataFrame) -> DataFrame:

@@ -30,22 +30,9 @@ def _event_micros(events: DataFrame) -> F.Column:
     return micros(F.col("ts"))
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin ``df`` over ``min_partitions`` tasks when its scan has fewer splits.
-
-    A small table stored as one file with one row group is read by a single task; spreading its
-    narrow rows once lets the per-row text work use every core. A large input already has many
-    splits and is left alone (no shuffle).
-    """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:  # planning only, no job
-        return df.repartition(target)
-    return df
-
-
 def raw_readings_from_events(events: DataFrame, keep_order: bool = False) -> DataFrame:
     """Nine string columns (``REQUIRED_COLUMNS``), plus ``_part``/``_seq`` when ``keep_order``."""
-    events = spread(events.select("event_id", "ts", "user_id", "event_type", "value", "props"))
+    events = events.select("event_id", "ts", "user_id", "event_type", "value", "props")
     e = events.select(
         F.col("event_id"),
         F.col("user_id"),

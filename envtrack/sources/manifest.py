@@ -10,6 +10,8 @@ read schema has no ``content`` column and file bodies are never read.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,12 +36,19 @@ def changed_files(current: DataFrame, stored: DataFrame) -> DataFrame:
                     F.col("_mtime").alias("loaded_mtime"), F.col("modificationTime").alias("current_mtime")))
 
 
-def guard_unchanged(current: DataFrame, stored: DataFrame | None, limit: int = 20) -> None:
-    """Raise ``SourceChangedError`` naming (up to ``limit``) changed files."""
+def guard_unchanged(current: DataFrame, stored: DataFrame | None, report: str) -> None:
+    """Raise ``SourceChangedError`` if any loaded file looks different now.
+
+    The message has the number of such files, one of their paths, and the folder below ``report``
+    where all of them are listed with both sizes and times.
+    """
     if stored is None:
         return
-    bad = changed_files(current, stored).limit(limit).collect()  # a short error report, not data
-    if bad:
-        names = ", ".join(r["path"] for r in bad)
-        raise SourceChangedError(
-            f"source files changed after they were loaded: {names}. Restore them, or start over with reset=True.")
+    bad = changed_files(current, stored)
+    count, example = bad.agg(F.count("*"), F.min("path")).first()
+    if not count:
+        return
+    where = f"{report}/{uuid.uuid4().hex}"
+    bad.write.parquet(where)
+    raise SourceChangedError(f"{count} source files changed after they were loaded, among them {example}; all are "
+                             f"listed in {where}. Restore them, or start over with reset=True.")

@@ -1,0 +1,74 @@
+"""The readings table: immutable versions of days, and commits that name the versions in force.
+
+``<table>/data/event_date=D/version=V/`` holds one written version of a day; ``<table>/commits/commit=N/``
+lists the days that commit N changed with their new version. A merge writes new folders only, then
+publishes its commit by moving one folder into place. Until that move readers see the old versions, from
+then on the new ones: no state in between can be read, whatever fails. Folders of a failed attempt are
+never named by a commit, and a later attempt uses another version name.
+
+The version in force on a day is that of the day's newest commit. Reading joins the data with that list
+on the partition columns, so that Spark prunes the folders that are not in force.
+"""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from envtrack import schema as S
+from envtrack.sources.storage import publish, read_if_exists
+
+COMMIT_SCHEMA = "event_date date, version string, id_version int, commit bigint"
+STORED_SCHEMA = T.StructType([*S.READINGS_SCHEMA.fields, T.StructField("version", T.StringType())])
+
+
+class IdVersionError(RuntimeError):
+    """The table holds ids made by another version of the identity rule."""
+
+
+def commits(spark: SparkSession, table: str) -> DataFrame | None:
+    return read_if_exists(spark, f"{table.rstrip('/')}/commits", COMMIT_SCHEMA)
+
+
+def last_commit(spark: SparkSession, table: str) -> int:
+    """The newest commit's number, 0 for a table without any; refuses ids of another version."""
+    log = commits(spark, table)
+    if log is None:
+        return 0
+    newest, least, most = log.agg(F.max("commit"), F.min("id_version"), F.max("id_version")).first()
+    if newest is not None and (least, most) != (S.READING_ID_VERSION, S.READING_ID_VERSION):
+        raise IdVersionError(f"{table} holds ids of versions {least} to {most}, this library makes "
+                             f"version {S.READING_ID_VERSION}; load into a new table")
+    return newest or 0
+
+
+def read_readings(spark: SparkSession, table: str) -> DataFrame:
+    """The readings in force (READINGS_SCHEMA); an absent table reads as an empty one."""
+    log = commits(spark, table)
+    if log is None:
+        return spark.createDataFrame([], S.READINGS_SCHEMA)
+    current = log.groupBy("event_date").agg(F.max_by("version", "commit").alias("version"))
+    stored = spark.read.schema(STORED_SCHEMA).parquet(f"{table.rstrip('/')}/data")
+    return stored.join(current, ["event_date", "version"], "left_semi").select(*S.READING_COLUMNS)
+
+
+def replace_days(spark: SparkSession, rows: DataFrame, days: DataFrame, table: str) -> int:
+    """Publish ``rows`` as the new versions of ``days`` (column event_date); returns the newest commit's number.
+
+    ``rows`` must hold all readings of those days, already laid out. A day of ``days`` without a row
+    would lose its readings; callers pass the days of the rows themselves.
+    """
+    root = table.rstrip("/")
+    number = last_commit(spark, root) + 1
+    if days.isEmpty():  # nothing to put in force
+        return number - 1
+    version = f"{number:010d}-{uuid.uuid4().hex[:12]}"
+    (rows.withColumn("version", F.lit(version)).write.mode("append")
+     .partitionBy("event_date", "version").parquet(f"{root}/data"))
+    listed = days.select("event_date").distinct().withColumns(
+        {"version": F.lit(version), "id_version": F.lit(S.READING_ID_VERSION)})
+    publish(listed, f"{root}/pending/{version}", f"{root}/commits/commit={number}")
+    return number

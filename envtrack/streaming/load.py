@@ -1,48 +1,55 @@
-"""Resumable batch load: CSV files -> readings table, on Structured Streaming.
-
-Mapping of the reference's loader onto Spark:
-
-* batches: a file stream with ``maxFilesPerTrigger`` and ``trigger(availableNow=True)``; each
-  micro-batch is handled by ``foreachBatch`` (classify once, persist, then write everything);
-* checkpoint/resume: Spark's offset and commit logs under ``checkpoint``; a second run sees only
-  files it has not committed, and a batch that failed is replayed with the same files;
-* stop after N batches: at batch N+1 the callback raises a marked exception, so batch N+1 stays
-  uncommitted and is the first batch of the next run (nothing lost, nothing repeated);
-* write retries: the merge is retried ``max_attempts`` times, ``delay_seconds`` apart; tasks are
-  retried by Spark itself (``spark.task.maxFailures``);
-* failure: one failure record is appended, the exception propagates, the commit is not written;
-* idempotency: the merge is a pure function of (table, batch), and per-batch outputs overwrite their
-  own ``batch_id`` partition, so a replay leaves the same state;
-* reset: a new *generation* of state folders (checkpoint, rejected rows, batch log, failures) is
-  started; the readings table is kept. Nothing is deleted.
-* changed source: files already loaded must keep their size and modification time.
-
-Granularity: Spark cuts batches *between* files, the reference cut inside one file every 1,000 rows.
-To get row-count batches from one big file, split it first with ``split_into_batch_files``.
-Two loads must not run at the same time against one table.
+"""Resumable batch load: CSV files -> readings table.
+
+Two granularities share one way of handling a batch (``BatchLoad``):
+
+* ``load_readings``: a file stream with ``maxFilesPerTrigger`` and ``trigger(availableNow=True)``; a
+  batch is one or several files, and Spark's offset and commit logs under ``checkpoint`` remember
+  which files are done;
+* ``load_in_row_batches``: batches of a fixed number of rows, numbered in file order through all files
+  (by name). The numbered rows are staged once as Parquet, sorted by batch, so that a range of batches
+  is read by row-group statistics; the last finished batch is published after each step.
+
+What holds for both:
+
+* resume: a second run continues behind the last finished batch; a batch that failed is done again;
+* stop after N batches: the run ends successfully with batch N+1 untouched;
+* the merge is tried ``max_attempts`` times, ``delay_seconds`` apart, unless the error is one that
+  another attempt cannot cure; tasks are retried by Spark itself;
+* failure: one record with the whole error text is appended, the error propagates, nothing is
+  marked as done;
+* repeating a batch is safe: the merge publishes whole versions of days in one step
+  (``sources.readings_table``), and what else a batch writes overwrites its own ``batch_id`` partition;
+* reset: a new *generation* of state folders is started; the readings table is kept, nothing is deleted;
+* source: state belongs to one source path, and files already loaded must keep size and time.
+
+Two loads must not run at the same time against one table; a second commit of one number is refused.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
 import time
+import uuid
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import asdict, dataclass
+from dataclasses import asdict, dataclass, field
 
-from pyspark.errors import StreamingQueryException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException, StreamingQueryException
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from envtrack import schema as S
 from envtrack.operators.batches import assign_batches
-from envtrack.operators.dedupe import merge_into_table, read_days, upsert_counts
-from envtrack.operators.quality import quality_report
-from envtrack.operators.transform import accepted_readings, classify_rows, rejected_rows
+from envtrack.operators.dedupe import days_of, merge_into_table, stored_on, upsert_counts
+from envtrack.operators.quality import batch_counters, quality_counts, quality_report, quality_report_full
+from envtrack.operators.transform import SourceLabels, accepted_readings, classify_rows, rejected_rows
 from envtrack.session import state_path
-from envtrack.sources.csv import check_columns, csv_options, header_of, text_schema, with_file_order
-from envtrack.sources.manifest import guard_unchanged, source_manifest
-from envtrack.streaming.sinks import append_failure, read_or_none, write_batch_partition
+from envtrack.sources.csv import csv_options, header_of, require_header, text_schema, with_file_order
+from envtrack.sources.manifest import SourceChangedError, guard_unchanged, source_manifest
+from envtrack.sources.readings_table import IdVersionError
+from envtrack.sources.storage import publish, read_if_exists
+from envtrack.streaming.sinks import append_failure, write_batch_partition
 
 STOP_MARKER = "envtrack:stop-after-max-batches"
 
@@ -55,7 +62,7 @@ class StopLoad(Exception):
 
 
 class LoadFailed(RuntimeError):
-    """A batch failed after its retries; the checkpoint was not advanced."""
+    """A batch failed after its retries; it was not marked as done."""
 
 
 @dataclass
@@ -82,6 +89,8 @@ class LoadSummary:
         return asdict(self)
 
 
+# --- state ------------------------------------------------------------------------------------
+
 @dataclass
 class LoadPaths:
     root: str
@@ -98,25 +107,47 @@ class LoadPaths:
 
     @property
     def batch_log(self) -> str:
-        """One row per committed batch: counters (A1) and the files it consumed (S3)."""
+        """Counters of each batch (A1)."""
         return f"{self.base}/batch_log"
 
+    @property
+    def manifest(self) -> str:
+        """The files that each batch consumed (S3)."""
+        return f"{self.base}/manifest"
+
+    @property
+    def quality(self) -> str:
+        """Rejections by reason, flags by kind and rows by device of each batch (A2-A4)."""
+        return f"{self.base}/quality"
+
     @property
     def failures(self) -> str:
         return f"{self.base}/failures"
 
+    @property
+    def progress(self) -> str:
+        """The last finished row batch, one published folder for each step."""
+        return f"{self.base}/progress"
 
 
 GEN_SCHEMA = T.StructType([T.StructField("generation", T.IntegerType()),
                            T.StructField("created_at", T.TimestampType())])
+SOURCE_SCHEMA = T.StructType([T.StructField("source", T.StringType()), T.StructField("fingerprint", T.StringType()),
+                              T.StructField("batch_size", T.LongType())])
+BATCH_LOG_SCHEMA = T.StructType([*S.BATCH_STATUS_SCHEMA.fields, T.StructField("source_file", T.StringType()),
+                                 T.StructField("batch_id", T.LongType())])
+MANIFEST_SCHEMA = T.StructType([T.StructField("path", T.StringType()), T.StructField("length", T.LongType()),
+                                T.StructField("modificationTime", T.TimestampType()),
+                                T.StructField("batch_id", T.LongType())])
+QUALITY_SCHEMA = T.StructType([T.StructField("kind", T.StringType()), T.StructField("key", T.StringType()),
+                               T.StructField("n", T.LongType()), T.StructField("batch_id", T.LongType())])
+PROGRESS_SCHEMA = T.StructType([T.StructField("done", T.LongType()), T.StructField("step", T.LongType())])
 
 
 def current_generation(spark: SparkSession, root: str) -> int:
-    gens = read_or_none(spark, f"{root}/generations", GEN_SCHEMA)
-    if gens is None:
-        return 0
-    g = gens.agg(F.max("generation")).first()[0]
-    return int(g) if g is not None else 0
+    gens = read_if_exists(spark, f"{root}/generations", GEN_SCHEMA)
+    newest = gens.agg(F.max("generation")).first()[0] if gens is not None else None
+    return newest or 0
 
 
 def new_generation(spark: SparkSession, root: str) -> int:
@@ -128,244 +159,247 @@ def new_generation(spark: SparkSession, root: str) -> int:
 
 def resolve_paths(spark: SparkSession, state: str | None, table: str, reset: bool,
                   checkpoint_path: str | None) -> LoadPaths:
+    """The state folders of the generation in force (of a new one with ``reset``).
+
+    A checkpoint path of the caller's own belongs to generation 0 as it is and to later generations by
+    a folder below it, so that every run finds the folder that the generation began with.
+    """
     root = (state or state_path(spark, "load", table.strip("/").replace("/", "_").replace(":", "_"))).rstrip("/")
     gen = new_generation(spark, root) if reset else current_generation(spark, root)
-    if not checkpoint_path:
-        checkpoint_path = f"{root}/g{gen}/checkpoint"
-    elif reset:
-        checkpoint_path = f"{checkpoint_path.rstrip('/')}/g{gen}"
-    return LoadPaths(root, gen, checkpoint_path)
+    own = (checkpoint_path or "").rstrip("/")
+    if not own:
+        return LoadPaths(root, gen, f"{root}/g{gen}/checkpoint")
+    return LoadPaths(root, gen, f"{own}/g{gen}" if gen else own)
 
 
-def load_readings(spark: SparkSession, source: str, table: str, state: str | None = None, *,
-                  max_batches: int | None = None, reset: bool = False, checkpoint_path: str | None = None,
-                  files_per_batch: int = 1, max_attempts: int = 3, delay_seconds: float = 2.0,
-                  pattern: str = "*.csv", ingested_at: _dt.datetime | None = None,
-                  batch_number_pattern: str | None = None) -> LoadSummary:
-    """Load every CSV file under ``source`` into the Parquet readings table at ``table``.
+def load_state(spark: SparkSession, table: str, state: str | None = None,
+               checkpoint_path: str | None = None) -> LoadPaths:
+    """Paths of the current generation (for reading rejected rows, status, failures)."""
+    return resolve_paths(spark, state, table, False, checkpoint_path)
 
-    ``batch_number_pattern``: a regex whose group 1 reads a batch number from each file's path; the
-    batch log then gets one row per such batch (several may share a micro-batch) instead of one
-    row per micro-batch.
 
-    Returns a summary; raises ``LoadFailed`` when a batch failed (re-run to retry it),
-    ``SourceChangedError`` when a loaded file changed, ``MissingColumnsError`` on a bad header.
-    """
-    if max_batches is not None and max_batches < 1:
-        raise ValueError("max_batches must be >= 1")
-    if files_per_batch < 1:
-        raise ValueError("files_per_batch must be >= 1")
-    start = _dt.datetime.now(_dt.timezone.utc)
-    t0 = time.perf_counter()
-    paths = resolve_paths(spark, state, table, reset, checkpoint_path)
-    ingested_at = ingested_at or start
+def bind_source(spark: SparkSession, paths: LoadPaths, source: str, fingerprint: str | None = None,
+                batch_size: int | None = None) -> None:
+    """A generation's state belongs to one source (and cut); another one is refused."""
+    recorded = read_if_exists(spark, f"{paths.base}/source", SOURCE_SCHEMA)
+    now = (source.rstrip("/"), fingerprint, batch_size)
+    if recorded is None:
+        publish(spark.createDataFrame([now], SOURCE_SCHEMA).coalesce(1), f"{paths.base}/pending-{uuid.uuid4().hex}",
+                f"{paths.base}/source")
+        return
+    before = tuple(recorded.first())
+    if before != now:
+        raise SourceChangedError(f"this state belongs to source {before[0]} (fingerprint {before[1]}, batch size "
+                                 f"{before[2]}), not to {now[0]} ({now[1]}, {now[2]}); restore it, use another "
+                                 "state, or start over with reset=True")
 
-    steps: dict[str, float] = {}
 
-    def tick(name: str, since: float) -> float:
-        now = time.perf_counter()
-        steps[name] = round(steps.get(name, 0.0) + now - since, 3)
-        return now
+def batch_log_table(spark: SparkSession, paths: LoadPaths) -> DataFrame:
+    """One row for each batch, with the source file of row batches."""
+    log = read_if_exists(spark, paths.batch_log, BATCH_LOG_SCHEMA)
+    return spark.createDataFrame([], BATCH_LOG_SCHEMA) if log is None else log
 
-    t_setup = time.perf_counter()
-    listing = source_manifest(spark, source, pattern)
-    guard_unchanged(listing, manifest_table(spark, paths))
-    first = listing.select(F.min("path")).first()[0]
-    columns = header_of(spark, first) if first else list(S.REQUIRED_COLUMNS)
-    check_columns(columns)
 
-    tick("setup", t_setup)
-    stream = (spark.readStream.options(**csv_options()).schema(text_schema(columns))
-              .option("maxFilesPerTrigger", files_per_batch).option("pathGlobFilter", pattern)
-              .csv(source))
-    stream = stream.select(*S.REQUIRED_COLUMNS, F.struct(
-        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("length"),
-        F.col("_metadata.file_modification_time").alias("modificationTime")).alias("_file"))
+def batch_status_table(spark: SparkSession, paths: LoadPaths) -> DataFrame:
+    """A1 table of the current generation: one row per batch."""
+    return batch_log_table(spark, paths).select(*[f.name for f in S.BATCH_STATUS_SCHEMA.fields])
 
-    run = {"batches": 0, "upserted": 0, "last": None}
 
-    def process(batch: DataFrame, batch_id: int) -> None:
-        if max_batches is not None and run["batches"] >= max_batches:
-            raise StopLoad()
-        batch_number = batch_id + 1
-        classified = classify_rows(batch, ingested_at, keep=["_file"]).persist()
-        rows = docs_n = None
-        t = time.perf_counter()
-        try:
-            # one job: the batch's counters (A1) and the days it touches
-            row = classified.agg(
-                F.count("*").alias("rows_read"),
-                F.count_if(F.col("rejection_reason").isNull()).alias("documents_built"),
-                F.count_if(F.col("rejection_reason").isNotNull()).alias("invalid_rows"),
-                F.count_if(F.col("rejection_reason").isNull() & ~F.col("quality.is_valid")).alias("rows_with_quality_flags"),
-                F.collect_set("event_date").alias("days"),  # distinct days of one batch: small
-                F.collect_set("_file").alias("files"),  # at most files_per_batch entries
-                F.countDistinct("reading_id").alias("distinct_ids"),  # rejected rows have no id
-            ).first()
-            t = tick("classify_and_count", t)
-            rows, docs_n = row["rows_read"], row["documents_built"]
-            if batch_number_pattern:  # one log row per file-level batch (at most files_per_batch)
-                per = classified.groupBy(F.regexp_extract("_file.path", batch_number_pattern, 1)
-                                         .cast("bigint").alias("_bn")).agg(
-                    F.count("*").alias("r"), F.count_if(F.col("rejection_reason").isNull()).alias("d"),
-                    F.count_if(F.col("rejection_reason").isNotNull()).alias("i"),
-                    F.count_if(F.col("rejection_reason").isNull() & ~F.col("quality.is_valid")).alias("q"),
-                    F.collect_set("_file").alias("f")).collect()
-                log_rows = [(x["_bn"], x["r"], x["d"], x["i"], x["q"], [tuple(f) for f in x["f"]]) for x in per]
-            else:
-                log_rows = [(batch_number, rows, docs_n, row["invalid_rows"], row["rows_with_quality_flags"],
-                             [tuple(f) for f in row["files"]])]
-            docs = accepted_readings(classified)
-            days = list(row["days"])
-            # ids never change day: only the touched day folders can hold them (and only they are listed)
-            existing = read_days(spark, table, days)
-            if existing is None:  # nothing stored on these days: every distinct id is an insert
-                upserted = int(row["distinct_ids"])
-            else:
-                upserted = int(upsert_counts(docs, existing).first()["inserted_or_updated"])
-            t = tick("upsert_counts", t)
-            # the three writes read the persisted batch, go to different paths and are each
-            # replay-idempotent, so they run as concurrent Spark jobs; all must finish before the
-            # callback returns (only then does Spark commit the batch)
-            with ThreadPoolExecutor(max_workers=3) as pool:
-                jobs = [
-                    pool.submit(_with_retry, lambda: merge_into_table(spark, docs, table, days=days),
-                                max_attempts, delay_seconds),
-                    pool.submit(write_batch_partition, rejected_rows(classified), paths.rejected, batch_id),
-                    pool.submit(write_batch_partition, spark.createDataFrame(log_rows, BATCH_LOG_SCHEMA),
-                                paths.batch_log, batch_id),
-                ]
-                for job in jobs:
-                    job.result()  # re-raises the first failure
-            t = tick("writes", t)
-        except StopLoad:
-            raise
-        except Exception as exc:
-            append_failure(spark, paths.failures, batch_id, max_attempts, f"{type(exc).__name__}: {exc}",
-                           rows, docs_n)
-            raise
-        finally:
-            classified.unpersist()
-        run["batches"] += 1
-        run["upserted"] += upserted
-        run["last"] = batch_id
+def manifest_table(spark: SparkSession, paths: LoadPaths) -> DataFrame | None:
+    """S3 as recorded: path, size and modification time of every file a batch consumed."""
+    return read_if_exists(spark, paths.manifest, MANIFEST_SCHEMA)
 
-    query = (stream.writeStream.foreachBatch(process)
-             .option("checkpointLocation", paths.checkpoint)
-             .trigger(availableNow=True).start())
-    stopped = False
-    try:
-        query.awaitTermination()
-    except StreamingQueryException as exc:
-        if STOP_MARKER in str(exc):
-            stopped = True
-        else:
-            raise LoadFailed(f"batch failed, checkpoint not advanced: {exc}") from exc
-    finally:
-        if query.isActive:
-            query.stop()
 
-    t_end = time.perf_counter()
-    totals = cumulative_report(spark, paths).first()
-    tick("report", t_end)
-    end = _dt.datetime.now(_dt.timezone.utc)
-    return LoadSummary(
-        batches_processed_this_run=run["batches"], last_batch_id=run["last"],
-        total_rows_seen=int(totals["total_rows_seen"]), rows_loaded=int(totals["rows_loaded"]),
-        rows_rejected=int(totals["rows_rejected"]), rows_with_quality_flags=int(totals["rows_with_quality_flags"]),
-        total_inserted_or_updated_this_run=run["upserted"], stopped_early=stopped, reset_checkpoint=reset,
-        generation=paths.generation, start_time=start.isoformat(), end_time=end.isoformat(),
-        duration_seconds=round(time.perf_counter() - t0, 3), step_seconds=steps, source=source, table=table,
-        checkpoint_path=paths.checkpoint)
-
-
-def _with_retry(fn, max_attempts: int, delay_seconds: float):
-    """T5: run ``fn`` up to ``max_attempts`` times, ``delay_seconds`` apart; re-raise the last error."""
-    last: Exception | None = None
-    for attempt in range(1, max_attempts + 1):
-        try:
-            return fn()
-        except Exception as exc:  # noqa: BLE001 - storage errors come in many classes
-            last = exc
-            if attempt < max_attempts:
-                time.sleep(delay_seconds)
-    assert last is not None
-    raise last
+def cumulative_report(spark: SparkSession, paths: LoadPaths) -> DataFrame:
+    """A5 over the current generation's batches: the totals, one row."""
+    return quality_report(batch_status_table(spark, paths))
 
 
-BATCH_LOG_SCHEMA = T.StructType(S.BATCH_STATUS_SCHEMA.fields + [T.StructField("files", T.ArrayType(T.StructType([
-    T.StructField("path", T.StringType()), T.StructField("length", T.LongType()),
-    T.StructField("modificationTime", T.TimestampType())])))])
+def load_report(spark: SparkSession, paths: LoadPaths) -> dict[str, DataFrame]:
+    """A5 in full, from what the batches kept: nothing is read again from the source."""
+    kept = read_if_exists(spark, paths.quality, QUALITY_SCHEMA)
+    kept = spark.createDataFrame([], QUALITY_SCHEMA) if kept is None else kept
+    return quality_report_full(kept, batch_status_table(spark, paths))
 
 
-def batch_log_table(spark: SparkSession, paths: LoadPaths) -> DataFrame | None:
-    return read_or_none(spark, paths.batch_log)
+# --- one batch --------------------------------------------------------------------------------
 
+#: Errors that the same attempt would meet again.
+LASTING = (AnalysisException, IdVersionError, ValueError, TypeError)
 
-def batch_status_table(spark: SparkSession, paths: LoadPaths) -> DataFrame:
-    """A1 table of the current generation: one row per committed batch."""
-    df = batch_log_table(spark, paths)
-    if df is None:
-        return spark.createDataFrame([], S.BATCH_STATUS_SCHEMA)
-    return df.select(*[f.name for f in S.BATCH_STATUS_SCHEMA.fields])
 
+class GaveUp(RuntimeError):
+    """The last of ``attempts`` failed with the error that this one is raised from."""
 
-def manifest_table(spark: SparkSession, paths: LoadPaths) -> DataFrame | None:
-    """S3 as recorded: path, size and modification time of every file a batch consumed."""
-    df = batch_log_table(spark, paths)
-    if df is None:
-        return None
-    return df.select(F.explode("files").alias("f")).select("f.*")
+    def __init__(self, attempts: int, cause: Exception):
+        super().__init__(f"{type(cause).__name__}: {cause}")
+        self.attempts = attempts
 
 
-def cumulative_report(spark: SparkSession, paths: LoadPaths) -> DataFrame:
-    """A5 over the current generation's batch-status table."""
-    return quality_report(batch_status_table(spark, paths))
+def persistently(action: Callable[[], object], most: int, pause: float) -> object:
+    """T5: the result of ``action``, tried anew after errors that may pass."""
+    made = 0
+    while True:
+        made += 1
+        try:
+            return action()
+        except Exception as error:  # noqa: BLE001 - storage errors come in many classes
+            if made >= most or isinstance(error, LASTING):
+                raise GaveUp(made, error) from error
+        time.sleep(pause)
 
 
-def load_state(spark: SparkSession, table: str, state: str | None = None,
-               checkpoint_path: str | None = None) -> LoadPaths:
-    """Paths of the current generation (for reading rejected rows, status, failures)."""
-    return resolve_paths(spark, state, table, False, checkpoint_path)
+@dataclass
+class BatchLoad:
+    """What one batch of raw rows goes through; the same for files and for row batches."""
+    spark: SparkSession
+    paths: LoadPaths
+    table: str
+    ingested_at: _dt.datetime
+    labels: SourceLabels
+    max_attempts: int
+    delay_seconds: float
+    batches: int = 0
+    upserted: int = 0
+    last: int | None = None
+    steps: dict[str, float] = field(default_factory=dict)
+
+    def timed(self, name: str, action: Callable[[], object]) -> object:
+        since = time.perf_counter()
+        try:
+            return action()
+        finally:
+            self.steps[name] = round(self.steps.get(name, 0.0) + time.perf_counter() - since, 3)
 
+    def run(self, batch: DataFrame, batch_id: int, number: int | None, keep: list[str], consumed: str | None) -> None:
+        """``number``: the batch's number; None if column ``batch_number`` tells several batches apart.
+        ``consumed`` names the column with the file that a row came from, if files are recorded."""
+        classified = classify_rows(batch, self.ingested_at, keep=keep, labels=self.labels).persist()
+        counts, attempts = (None, None), 1
+        try:
+            accepted = F.count_if(F.col("rejection_reason").isNull())
+            counts = tuple(self.timed("classify_and_count", lambda: classified.agg(F.count("*"), accepted).first()))
+            docs = accepted_readings(classified)
+            stored = stored_on(self.spark, self.table, days_of(docs))
+            upserted = self.timed("upsert_counts", lambda: upsert_counts(docs, stored).first()["inserted_or_updated"])
+            self.timed("writes", lambda: self._write(classified, docs, batch_id, number, consumed))
+        except Exception as error:
+            attempts = error.attempts if isinstance(error, GaveUp) else 1
+            append_failure(self.spark, self.paths.failures, batch_id, attempts,
+                           str(error) if isinstance(error, GaveUp) else f"{type(error).__name__}: {error}", *counts)
+            raise
+        finally:
+            classified.unpersist()
+        self.batches += 1
+        self.upserted += int(upserted)
+        self.last = batch_id
+
+    def _write(self, classified: DataFrame, docs: DataFrame, batch_id: int, number: int | None,
+               consumed: str | None) -> None:
+        """All writes read the persisted batch, go to different paths and may be repeated, so they run
+        as concurrent jobs; all must finish before the batch counts as done."""
+        if number is None:
+            log = classified.groupBy("batch_number", "source_file").agg(*batch_counters())
+            rejected = rejected_rows(classified, keep=["batch_number", "source_file"])
+        else:
+            log = classified.agg(*batch_counters()).withColumns({"batch_number": F.lit(number).cast("bigint"),
+                                                              "source_file": F.lit(None).cast("string")})
+            rejected = rejected_rows(classified, keep=[consumed]).withColumn(
+                "source_file", F.regexp_extract(f"{consumed}.path", "[^/]+$", 0)).drop(consumed).withColumn(
+                "batch_number", F.lit(number).cast("bigint"))
+        writes = [(log, self.paths.batch_log), (rejected, self.paths.rejected),
+                  (quality_counts(classified), self.paths.quality)]
+        if consumed is not None:
+            writes.append((classified.select(f"{consumed}.*").distinct(), self.paths.manifest))
+        with ThreadPoolExecutor(max_workers=len(writes) + 1) as pool:
+            jobs = [pool.submit(persistently, lambda: merge_into_table(self.spark, docs, self.table),
+                                self.max_attempts, self.delay_seconds)]
+            jobs += [pool.submit(write_batch_partition, df, path, batch_id) for df, path in writes]
+            for job in jobs:
+                job.result()  # re-raises the first failure
+
+    def summary(self, source: str, start: _dt.datetime, stopped: bool, reset: bool) -> LoadSummary:
+        totals = self.timed("report", lambda: cumulative_report(self.spark, self.paths).first())
+        end = _dt.datetime.now(_dt.timezone.utc)
+        return LoadSummary(
+            batches_processed_this_run=self.batches, last_batch_id=self.last,
+            total_rows_seen=int(totals["total_rows_seen"]), rows_loaded=int(totals["rows_loaded"]),
+            rows_rejected=int(totals["rows_rejected"]),
+            rows_with_quality_flags=int(totals["rows_with_quality_flags"]),
+            total_inserted_or_updated_this_run=self.upserted, stopped_early=stopped, reset_checkpoint=reset,
+            generation=self.paths.generation, start_time=start.isoformat(), end_time=end.isoformat(),
+            duration_seconds=round((end - start).total_seconds(), 3), step_seconds=dict(self.steps), source=source,
+            table=self.table, checkpoint_path=self.paths.checkpoint)
+
+
+def _check_arguments(max_batches: int | None, **least_one: int) -> None:
+    for name, value in {"max_batches": max_batches, **least_one}.items():
+        if value is not None and value < 1:
+            raise ValueError(f"{name} must be >= 1")
+
+
+def _columns_of(spark: SparkSession, listing: DataFrame) -> list[str]:
+    """The columns of the first file's header (all files must agree; Spark checks each one)."""
+    first = listing.select(F.min("path")).first()[0]
+    if first is None:
+        return list(S.REQUIRED_COLUMNS)
+    return require_header(header_of(spark, first), first)
 
-def write_batch_files(raw: DataFrame, dest: str, group, fine: list,
-                      batch_size: int = S.DEFAULT_BATCH_SIZE, within: list[str] | None = None,
-                      partition_by: list[str] | None = None) -> None:
-    """W9 applied: write rows as one CSV file per ``batch_size`` rows, in (group, fine) order.
 
-    Output: ``dest/[partition_by=.../]batch_number=N/part-*.csv`` with a header. Positions come from
-    ``assign_batches`` (no global window, see ``operators.batches``); every batch holds at most
-    ``batch_size`` rows, so the shuffle that makes one file per batch has bounded groups. A file
-    stream with ``maxFilesPerTrigger=1`` over ``dest`` then replays row-count batches.
-    """
-    within = list(within or [])
-    parts = list(partition_by or []) + ["batch_number"]
-    positioned = assign_batches(raw, group, fine, batch_size, within=within)
-    (positioned.repartition(*parts).sortWithinPartitions(*parts, "position")
-     .select(*parts, *S.REQUIRED_COLUMNS)
-     .write.mode("overwrite").option("header", True).partitionBy(*parts).csv(dest))
+# --- batches of files -------------------------------------------------------------------------
 
+def load_readings(spark: SparkSession, source: str, table: str, state: str | None = None, *,
+                  max_batches: int | None = None, reset: bool = False, checkpoint_path: str | None = None,
+                  files_per_batch: int = 1, max_attempts: int = 3, delay_seconds: float = 2.0,
+                  pattern: str = "*.csv", ingested_at: _dt.datetime | None = None,
+                  labels: SourceLabels | None = None, multi_line: bool = False) -> LoadSummary:
+    """Load every CSV file under ``source`` into the readings table at ``table``.
 
-def split_into_batch_files(spark: SparkSession, source: str, dest: str,
-                           batch_size: int = S.DEFAULT_BATCH_SIZE, pattern: str = "*.csv") -> None:
-    """W9 for CSV input: cut every file under ``source`` into ``batch_size``-row files in file order.
+    Files are taken in the order of their modification times. ``labels``: where the readings come
+    from, stored with each of them. ``multi_line``: quoted cells may hold line breaks; files are then
+    read whole by one task each.
 
-    Numbering restarts per file, as the reference numbered the batches of one file. File order =
-    (split start, scan position), taken right at the scan, before any shuffle. Output:
-    ``dest/source_file=<file name>/batch_number=N/part-*.csv``.
+    Returns a summary; raises ``LoadFailed`` when a batch failed (re-run to retry it),
+    ``SourceChangedError`` when a loaded file changed or the state belongs to another source,
+    ``MissingColumnsError`` on a bad header.
     """
-    listing = source_manifest(spark, source, pattern)
-    first = listing.select(F.min("path")).first()[0]
-    cols = header_of(spark, first)
-    check_columns(cols)
-    scan = (spark.read.options(**csv_options()).schema(text_schema(cols)).option("pathGlobFilter", pattern)
-            .csv(source))
-    ordered = with_file_order(scan).withColumn("source_file", F.regexp_extract("_file", "[^/]+$", 0))
-    write_batch_files(ordered, dest, "_block", ["_scan_seq"], batch_size, within=["_file"],
-                      partition_by=["source_file"])
+    _check_arguments(max_batches, files_per_batch=files_per_batch, max_attempts=max_attempts)
+    start = _dt.datetime.now(_dt.timezone.utc)
+    paths = resolve_paths(spark, state, table, reset, checkpoint_path)
+    load = BatchLoad(spark, paths, table, ingested_at or start, labels or SourceLabels(), max_attempts, delay_seconds)
+
+    def prepared() -> DataFrame:
+        bind_source(spark, paths, source)
+        listing = source_manifest(spark, source, pattern)
+        guard_unchanged(listing, manifest_table(spark, paths), f"{paths.base}/changed_files")
+        stream = (spark.readStream.options(**csv_options(multi_line)).schema(text_schema(_columns_of(spark, listing)))
+                  .option("maxFilesPerTrigger", files_per_batch).option("pathGlobFilter", pattern).csv(source))
+        return stream.select(*S.REQUIRED_COLUMNS, F.struct(
+            F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("length"),
+            F.col("_metadata.file_modification_time").alias("modificationTime")).alias("_file"))
+
+    def process(batch: DataFrame, batch_id: int) -> None:
+        if max_batches is not None and load.batches >= max_batches:
+            raise StopLoad()
+        load.run(batch, batch_id, batch_id + 1, ["_file"], "_file")
+
+    query = (load.timed("setup", prepared).writeStream.foreachBatch(process)
+             .option("checkpointLocation", paths.checkpoint).trigger(availableNow=True).start())
+    stopped = False
+    try:
+        query.awaitTermination()
+    except StreamingQueryException as exc:
+        stopped = STOP_MARKER in str(exc)
+        if not stopped:
+            raise LoadFailed(f"batch failed, checkpoint not advanced: {exc}") from exc
+    finally:
+        if query.isActive:
+            query.stop()
+    return load.summary(source, start, stopped, reset)
 
 
+# --- batches of rows --------------------------------------------------------------------------
+
 def source_fingerprint(spark: SparkSession, source: str, pattern: str = "*.csv") -> str:
     """Order-independent fingerprint of a source listing (paths, sizes, modification times).
 
@@ -377,62 +411,91 @@ def source_fingerprint(spark: SparkSession, source: str, pattern: str = "*.csv")
     return f"{row['n']}_{str(row['h'] or 0).replace('-', 'm')}"
 
 
+def numbered_batches(rows: DataFrame, group, fine: list, batch_size: int, file_col: str) -> DataFrame:
+    """Rows with ``position`` and ``batch_number`` within their file and ``ordinal``, the batch's
+    number through all files in the order of their names.
+
+    Positions come from ``assign_batches`` (no global window); only the files' batch counts, one row
+    for each file, are summed in order.
+    """
+    placed = assign_batches(rows, group, fine, batch_size, within=[file_col])
+    files = placed.groupBy(file_col).agg(F.max("batch_number").alias("_b"))
+    before = Window.orderBy(file_col).rowsBetween(Window.unboundedPreceding, -1)
+    files = files.select(F.col(file_col).alias("_name"), F.coalesce(F.sum("_b").over(before), F.lit(0)).alias("_before"))
+    out = placed.join(files, F.col(file_col) == F.col("_name")).drop("_name")
+    return out.withColumn("ordinal", F.col("_before") + F.col("batch_number")).drop("_before")
+
+
+def stage_batches(numbered: DataFrame, dest: str) -> None:
+    """Write numbered rows sorted by batch: a range of batches is found by row-group statistics."""
+    columns = ["ordinal", "batch_number", "position", "source_file", *S.REQUIRED_COLUMNS]
+    ranged = numbered.select(*columns).repartitionByRange("ordinal", "position")
+    pending = f"{dest}-{uuid.uuid4().hex}"
+    publish(ranged.sortWithinPartitions("ordinal", "position"), pending, dest)
+
+
+def _csv_batches(spark: SparkSession, source: str, pattern: str, batch_size: int, multi_line: bool) -> DataFrame:
+    columns = _columns_of(spark, source_manifest(spark, source, pattern))
+    scan = (spark.read.options(**csv_options(multi_line)).schema(text_schema(columns))
+            .option("pathGlobFilter", pattern).csv(source))
+    named = with_file_order(scan).withColumnRenamed("_file", "source_file")
+    return numbered_batches(named, "_block", ["_scan_seq"], batch_size, "source_file")
+
+
+def load_staged_batches(spark: SparkSession, staged: str, load: BatchLoad, max_batches: int | None,
+                        batches_per_trigger: int) -> bool:
+    """The batches behind the last finished one, in order; True if it stopped with batches left."""
+    rows = spark.read.parquet(staged)
+    progress = read_if_exists(spark, load.paths.progress, PROGRESS_SCHEMA)
+    done = (progress.agg(F.max("done")).first()[0] if progress is not None else None) or 0
+    total = rows.agg(F.max("ordinal")).first()[0] or 0
+    goal = total if max_batches is None else min(total, done + max_batches)
+    while done < goal:
+        first, last = done + 1, min(goal, done + batches_per_trigger)
+        part = rows.where(F.col("ordinal").between(first, last))
+        load.run(part, first, None, ["batch_number", "source_file"], None)
+        load.batches += last - first  # run() counted one
+        publish(spark.createDataFrame([(last,)], "done bigint").coalesce(1),
+                f"{load.paths.base}/pending-{uuid.uuid4().hex}", f"{load.paths.progress}/step={first}")
+        done = last
+    return done < total
+
+
 def load_in_row_batches(spark: SparkSession, source: str, table: str, state: str | None = None, *,
                         batch_size: int = S.DEFAULT_BATCH_SIZE, max_batches: int | None = None,
                         reset: bool = False, checkpoint_path: str | None = None, pattern: str = "*.csv",
-                        batches_per_trigger: int = 1, **kwargs) -> LoadSummary:
-    """J1 with the reference's batch granularity: cut the CSV file(s) into ``batch_size``-row batch
-    files once (W9), then load them one file per trigger with resume / stop-after-N / retry.
-
-    The cut is staged under the state folder, keyed by the source fingerprint, and reused by later
-    runs. A source whose fingerprint differs from the one recorded for the current state
-    generation is refused (``SourceChangedError``) unless ``reset``.
-
-    ``batches_per_trigger`` > 1 processes several row batches per micro-batch (far fewer Spark jobs);
-    the batch log still has one row per row batch. With ``max_batches`` one row batch per trigger
-    is used, so the run stops after exactly that many.
+                        batches_per_trigger: int = 1, max_attempts: int = 3, delay_seconds: float = 2.0,
+                        ingested_at: _dt.datetime | None = None, labels: SourceLabels | None = None,
+                        multi_line: bool = False) -> LoadSummary:
+    """J1 in batches of ``batch_size`` rows, in file order: files by name, rows as they stand.
+
+    The numbered rows are staged under the state folder, keyed by the source's fingerprint, and reused
+    by later runs. ``batches_per_trigger`` batches are handled in one step (far fewer Spark jobs); the
+    batch log, the rejected rows and ``max_batches`` still go by row batches.
     """
-    if batches_per_trigger < 1:
-        raise ValueError("batches_per_trigger must be >= 1")
-    from envtrack.sources.manifest import SourceChangedError
-
-    if batch_size < 1:
-        raise ValueError("batch_size must be >= 1")
-    if max_batches is not None and max_batches < 1:
-        raise ValueError("max_batches must be >= 1")
+    _check_arguments(max_batches, batch_size=batch_size, batches_per_trigger=batches_per_trigger,
+                     max_attempts=max_attempts)
+    start = _dt.datetime.now(_dt.timezone.utc)
     paths = resolve_paths(spark, state, table, reset, checkpoint_path)
-    fp = source_fingerprint(spark, source, pattern)
-    fp_schema = T.StructType([T.StructField("fingerprint", T.StringType()), T.StructField("batch_size", T.LongType())])
-    recorded = read_or_none(spark, f"{paths.base}/source_fingerprint", fp_schema)
-    if recorded is not None:
-        prev = recorded.first()
-        if prev is not None and (prev["fingerprint"] != fp or prev["batch_size"] != batch_size):
-            raise SourceChangedError("the source (or batch size) changed after loading started; "
-                                     "restore it, or start over with reset=True")
-    staged = f"{paths.root}/staged/{fp}_{batch_size}"
-    if read_or_none(spark, f"{staged}/_done", fp_schema) is None:
-        split_into_batch_files(spark, source, f"{staged}/files", batch_size, pattern)
-        spark.createDataFrame([(fp, batch_size)], fp_schema).coalesce(1).write.mode("overwrite").parquet(f"{staged}/_done")
-    if recorded is None:
-        spark.createDataFrame([(fp, batch_size)], fp_schema).coalesce(1).write.mode("overwrite") \
-            .parquet(f"{paths.base}/source_fingerprint")
-    # reset was applied above (new generation); the load itself continues in that generation
-    per_trigger = 1 if max_batches is not None else batches_per_trigger
-    return load_readings(spark, f"{staged}/files", table, paths.root, max_batches=max_batches,
-                         checkpoint_path=paths.checkpoint if checkpoint_path else None,
-                         files_per_batch=per_trigger, batch_number_pattern=r"batch_number=([0-9]+)", **kwargs)
+    load = BatchLoad(spark, paths, table, ingested_at or start, labels or SourceLabels(), max_attempts, delay_seconds)
 
+    def prepared() -> str:
+        fingerprint = source_fingerprint(spark, source, pattern)
+        bind_source(spark, paths, source, fingerprint, batch_size)
+        staged = f"{paths.root}/staged/{fingerprint}_{batch_size}"
+        if read_if_exists(spark, staged, "ordinal bigint") is None:
+            stage_batches(_csv_batches(spark, source, pattern, batch_size, multi_line), staged)
+        return staged
 
-def rejected_table(spark: SparkSession, paths: LoadPaths) -> DataFrame | None:
-    return read_or_none(spark, paths.rejected)
-
-
-def assign_file_batches(df: DataFrame, batch_size: int) -> DataFrame:
-    """Batch numbers per file for rows of a CSV scan, in file order (see ``operators.batches``)."""
-    return assign_batches(with_file_order(df), "_block", ["_scan_seq"], batch_size, within=["_file"])
+    staged = load.timed("setup", prepared)
+    try:
+        stopped = load_staged_batches(spark, staged, load, max_batches, batches_per_trigger)
+    except Exception as exc:
+        raise LoadFailed(f"batch failed, not marked as done: {exc}") from exc
+    return load.summary(source, start, stopped, reset)
 
 
-__all__ = ["LoadFailed", "LoadSummary", "StopLoad", "assign_file_batches", "batch_status_table", "manifest_table",
-           "load_in_row_batches", "source_fingerprint",
-           "split_into_batch_files", "write_batch_files",
-           "cumulative_report", "load_readings", "load_state", "split_into_batch_files"]
+__all__ = ["BatchLoad", "LoadFailed", "LoadSummary", "StopLoad", "batch_log_table", "batch_status_table",
+           "cumulative_report", "load_in_row_batches", "load_readings", "load_report", "load_staged_batches",
+           "load_state", "manifest_table", "numbered_batches", "resolve_paths", "source_fingerprint",
+           "stage_batches"]

@@ -33,21 +33,11 @@ FAILURE_SCHEMA = T.StructType([
 
 def append_failure(spark: SparkSession, path: str, batch_id: int, attempts: int, error: str,
                    rows_in_batch: int | None, documents_count: int | None) -> None:
-    """K4: append one failure record (a one-row frame built on the driver)."""
-    row = (batch_id, attempts, error[:4000], _dt.datetime.now(_dt.timezone.utc), rows_in_batch, documents_count)
+    """K4: append one failure record with the whole error text."""
+    row = (batch_id, attempts, error, _dt.datetime.now(_dt.timezone.utc), rows_in_batch, documents_count)
     spark.createDataFrame([row], FAILURE_SCHEMA).coalesce(1).write.mode("append").parquet(path)
 
 
-def read_or_none(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame | None:
-    try:
-        reader = spark.read.schema(schema) if schema is not None else spark.read
-        df = reader.parquet(path)
-        df.schema  # noqa: B018 - forces the listing
-        return df
-    except Exception:  # path missing or empty
-        return None
-
-
 def write_json_report(df: DataFrame, path: str) -> None:
-    """K5: a report-sized frame as JSON lines in one file (only for small results)."""
-    df.coalesce(1).write.mode("overwrite").json(path)
+    """K5: a result as JSON lines; as many files as it has tasks, so that none is gathered into one."""
+    df.write.mode("overwrite").json(path)
