@@ -1,12 +1 @@
-"""Column-expression helpers: cell parsers, time and rounding helpers, reading identity."""
-
-from envtrack.functions.cells import (  # noqa: F401
-    clean_text, epoch_in_range, epoch_seconds, epoch_to_micros, is_missing, parse_bool,
-    parse_epoch, parse_float, strict_number,
-)
-from envtrack.functions.identity import reading_id  # noqa: F401
-from envtrack.functions.numeric import round_even  # noqa: F401
-from envtrack.functions.timecols import (  # noqa: F401
-    bucket_micros, bucket_start, micros, micros_to_ntz, ntz_micros, seconds_between, utc_date,
-    utc_ntz,
-)
+"""functions."""

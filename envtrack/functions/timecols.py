@@ -38,11 +38,6 @@ def utc_ntz(ts: Column) -> Column:
     return micros_to_ntz(micros(ts))
 
 
-def utc_date(ts: Column) -> Column:
-    """UTC calendar date of an instant."""
-    return F.date_from_unix_date(F.floor(micros(ts) / MICROS_PER_DAY).cast("int"))
-
-
 def bucket_micros(ts: Column, seconds: int) -> Column:
     """Start of the epoch-aligned bucket of ``seconds`` width, in microseconds."""
     width = seconds * MICROS_PER_SECOND
@@ -52,8 +47,3 @@ def bucket_micros(ts: Column, seconds: int) -> Column:
 def bucket_start(ts: Column, seconds: int) -> Column:
     """Start of the epoch-aligned bucket as UTC TIMESTAMP_NTZ."""
     return micros_to_ntz(bucket_micros(ts, seconds))
-
-
-def seconds_between(later: Column, earlier: Column) -> Column:
-    """Exact difference of two instants in seconds (double)."""
-    return (micros(later) - micros(earlier)) / float(MICROS_PER_SECOND)

@@ -90,7 +90,14 @@ def assign_batches(df: DataFrame, group: Column | str, fine: list[Column | str],
 
 def sequence_group(part: Column | str, seq: Column | str, bucket_bits: int = 16) -> Column:
     """Group key for rows ordered by (part, seq): ``part`` in the top bits, ``seq >> bucket_bits``
-    below (groups of at most 2^bucket_bits sequence numbers; ``seq`` < 2^44, ``part`` < 2^3)."""
+    below, so that a group has at most 2^bucket_bits sequence numbers.
+
+    ``part`` has 3 bits and ``seq`` 60 - bucket_bits more; a row outside raises an error instead of
+    being numbered wrongly.
+    """
     p = F.col(part) if isinstance(part, str) else part
-    s = F.col(seq) if isinstance(seq, str) else seq
-    return F.shiftleft(p.cast("bigint"), 60 - bucket_bits) + F.shiftright(s.cast("bigint"), bucket_bits)
+    s = (F.col(seq) if isinstance(seq, str) else seq).cast("bigint")
+    p = p.cast("bigint")
+    fits = p.between(0, 7) & s.between(0, (1 << 60) - 1)
+    key = F.shiftleft(p, 60 - bucket_bits) + F.shiftright(s, bucket_bits)
+    return F.when(fits, key).otherwise(F.raise_error(F.lit("part or sequence number out of range")).cast("bigint"))

@@ -12,14 +12,14 @@ time, so a hot device is spread over many tasks); percentiles are exact, by dist
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from envtrack.functions.numeric import round_even
 from envtrack.functions.timecols import bucket_start, micros, utc_ntz
-from envtrack.operators.quantiles import exact_quantiles
+from envtrack.operators.quantiles import quantiles_of_counts, value_counts
 from envtrack.operators.sequence import DEFAULT_CHUNK_SECONDS, with_islands, with_previous
-from envtrack.plans.queries import MEASUREMENT_ORDER, THRESHOLD_FIELDS, alert_thresholds, base
+from envtrack.plans.queries import MEASUREMENT_ORDER, THRESHOLD_FIELDS, alert_threshold, base
 
 def _m(f: str):
     return F.col(f"measurements.{f}")
@@ -42,24 +42,29 @@ def hourly_by_device(readings: DataFrame, bucket_seconds: int = 3600, valid_only
                  F.max(_m("lpg")).alias("max_lpg")))
 
 
-def flags_per_device(readings: DataFrame) -> DataFrame:
-    """How often each quality flag occurs per device."""
-    return (readings.select("device", F.explode("quality.flags").alias("flag"))
+def flags_per_device(readings: DataFrame, valid_only: bool = False) -> DataFrame:
+    """How often each quality flag occurs per device (none among valid readings)."""
+    return (base(readings, valid_only).select("device", F.explode("quality.flags").alias("flag"))
             .groupBy("device", "flag").agg(F.count("*").alias("occurrences")))
 
 
 def device_baselines(readings: DataFrame, fields=tuple(THRESHOLD_FIELDS), valid_only: bool = False) -> DataFrame:
-    """Per-device median and p90 of each field, exact, all in one set of selection passes
-    (group = device, field, p), then pivoted to ``<field>_p50`` / ``<field>_p90`` columns."""
+    """Per-device median and p90 of each field, exact, as ``<field>_p50`` / ``<field>_p90``.
+
+    One count of values per device and field serves both; readings without any value are counted with
+    a null value, so that one scan gives the number of readings too.
+    """
     r = base(readings, valid_only)
-    counts = r.groupBy("device").agg(F.count("*").alias("readings"))
-    stacked = r.select("device", F.explode(F.array(*[
-        F.struct(F.lit(f"{f}_{tag}").alias("_name"), F.lit(p).alias("_p"), _m(f).alias("_x"))
-        for f in fields for tag, p in (("p50", 0.5), ("p90", 0.9))])).alias("_r")).select("device", "_r.*")
-    q = exact_quantiles(stacked, ["device", "_name", "_p"], "_x", "_p")
-    names = [f"{f}_{tag}" for f in fields for tag in ("p50", "p90")]
-    wide = q.groupBy("device").pivot("_name", names).agg(F.first("value"))
-    return counts.join(wide, "device", "left").select("device", "readings", *names)
+    entries = [F.struct(F.lit("").alias("field"), F.lit(0.0).alias("value"))]
+    entries += [F.struct(F.lit(f).alias("field"), _m(f).alias("value")) for f in fields]
+    counts = (r.select("device", F.explode(F.array(*entries)).alias("e")).select("device", "e.*")
+              .groupBy("device", "field", "value").agg(F.count("*").alias("n")))
+    readings_of = counts.where(F.col("field") == "").select("device", F.col("n").alias("readings"))
+    q = quantiles_of_counts(counts.where((F.col("field") != "") & F.col("value").isNotNull()), ["device", "field"],
+                            {"p50": 0.5, "p90": 0.9})
+    names = [(f, p) for f in fields for p in ("p50", "p90")]
+    wide = q.groupBy("device").agg(*[F.max(F.when(F.col("field") == f, F.col(p))).alias(f"{f}_{p}") for f, p in names])
+    return readings_of.join(wide, "device", "left").select("device", "readings", *[f"{f}_{p}" for f, p in names])
 
 
 SPREAD_FIELDS = ["temp", "humidity", "co", "lpg", "smoke"]
@@ -110,22 +115,28 @@ def _with_gaps(readings: DataFrame, chunk_seconds: int) -> DataFrame:
 
 
 def reading_gaps(readings: DataFrame, min_gap_seconds: float = 3600.0,
-                 chunk_seconds: int = DEFAULT_CHUNK_SECONDS) -> DataFrame:
+                 chunk_seconds: int = DEFAULT_CHUNK_SECONDS, valid_only: bool = False) -> DataFrame:
     """Gaps longer than ``min_gap_seconds`` between consecutive readings of a device."""
-    g = _with_gaps(readings, chunk_seconds)
+    g = _with_gaps(base(readings, valid_only), chunk_seconds)
     return (g.where(F.col("gap_seconds") > min_gap_seconds)
             .select("device", utc_ntz(F.col("prev_timestamp")).alias("gap_start"),
                     utc_ntz(F.col("timestamp")).alias("gap_end"), "gap_seconds"))
 
 
-def silent_devices(readings: DataFrame, factor: float = 3.0, chunk_seconds: int = DEFAULT_CHUNK_SECONDS) -> DataFrame:
+def silent_devices(readings: DataFrame, factor: float = 3.0, chunk_seconds: int = DEFAULT_CHUNK_SECONDS,
+                   valid_only: bool = False) -> DataFrame:
     """Per device, last reading, median interval and silence up to the table's newest reading;
-    ``is_silent`` when the silence exceeds ``factor`` x the median interval."""
-    g = _with_gaps(readings, chunk_seconds)
-    last = readings.groupBy("device").agg(F.max("timestamp").alias("_last"))  # straight from the table
-    median = exact_quantiles(g, ["device"], "gap_seconds", 0.5, out="median_interval_seconds")
-    per = last.join(median, "device", "left")
-    as_of = readings.agg(F.max("timestamp")).scalar()
+    ``is_silent`` when the silence exceeds ``factor`` x the median interval.
+
+    The gaps are reduced at once to counts of equal gaps with their newest time; everything else is
+    read off those counts.
+    """
+    counts = _with_gaps(base(readings, valid_only), chunk_seconds).groupBy("device", "gap_seconds").agg(
+        F.count("*").alias("n"), F.max("timestamp").alias("_last"))
+    last = counts.groupBy("device").agg(F.max("_last").alias("_last"))
+    gaps = counts.where(F.col("gap_seconds").isNotNull()).select("device", F.col("gap_seconds").alias("value"), "n")
+    per = last.join(quantiles_of_counts(gaps, ["device"], {"median_interval_seconds": 0.5}), "device", "left")
+    as_of = last.agg(F.max("_last")).scalar()
     silence = (micros(as_of) - micros(F.col("_last"))) / 1e6
     return per.select(
         "device", utc_ntz(F.col("_last")).alias("last_timestamp"), "median_interval_seconds",
@@ -133,24 +144,43 @@ def silent_devices(readings: DataFrame, factor: float = 3.0, chunk_seconds: int
         F.coalesce(silence > F.lit(factor) * F.col("median_interval_seconds"), F.lit(False)).alias("is_silent"))
 
 
-def sparse_devices(readings: DataFrame, ratio: float = 0.5) -> DataFrame:
+def sparse_devices(readings: DataFrame, ratio: float = 0.5, valid_only: bool = False) -> DataFrame:
     """Readings per device against the mean over devices; sparse below ``ratio`` x mean."""
-    per = readings.groupBy("device").agg(F.count("*").alias("readings"))
+    per = base(readings, valid_only).groupBy("device").agg(F.count("*").alias("readings"))
     mean = per.agg(F.avg("readings")).scalar()
     return per.select("device", "readings", round_even(mean, 2).alias("mean_readings"),
                       round_even(F.col("readings") / mean, 4).alias("ratio_to_mean"),
                       (F.col("readings") < F.lit(ratio) * mean).alias("is_sparse"))
 
 
-def dense_bursts(readings: DataFrame, window_seconds: int = 60, min_readings: int = 10) -> DataFrame:
+def dense_bursts(readings: DataFrame, window_seconds: int = 60, min_readings: int = 10,
+                 valid_only: bool = False) -> DataFrame:
     """(device, window) cells holding at least ``min_readings`` readings."""
-    return (readings.groupBy("device", bucket_start(F.col("timestamp"), window_seconds).alias("window_start"))
+    return (base(readings, valid_only).groupBy("device", bucket_start(F.col("timestamp"), window_seconds).alias("window_start"))
             .agg(F.count("*").alias("readings")).where(F.col("readings") >= min_readings))
 
 
-def device_burst_density(readings: DataFrame, window_seconds: int = 60) -> DataFrame:
+def rolling_bursts(readings: DataFrame, window_seconds: int = 60, min_readings: int = 10,
+                   valid_only: bool = False) -> DataFrame:
+    """W6, rolling: readings that end a window of ``window_seconds`` (both ends included) with at least
+    ``min_readings`` readings of their device, wherever the window lies.
+
+    Rows are grouped by device and span of one window's length, and each is also shown to the next span,
+    so that a group holds what two windows hold and a busy device is spread over its spans.
+    """
+    width = window_seconds * 1_000_000
+    r = base(readings, valid_only).select("device", micros(F.col("timestamp")).alias("_us"))
+    own = F.floor(F.col("_us") / width)
+    seen = r.select("device", "_us", own.alias("_own"), F.explode(F.array(own, own + 1)).alias("_span"))
+    back = Window.partitionBy("device", "_span").orderBy("_us").rangeBetween(-width, 0)
+    return (seen.withColumn("readings", F.count("*").over(back))
+            .where((F.col("_span") == F.col("_own")) & (F.col("readings") >= min_readings))
+            .select("device", utc_ntz(F.timestamp_micros("_us")).alias("window_end"), "readings"))
+
+
+def device_burst_density(readings: DataFrame, window_seconds: int = 60, valid_only: bool = False) -> DataFrame:
     """W6 (summary): per device, the most readings seen in one window and in how many windows."""
-    cells = (readings.groupBy("device", bucket_start(F.col("timestamp"), window_seconds).alias("w"))
+    cells = (base(readings, valid_only).groupBy("device", bucket_start(F.col("timestamp"), window_seconds).alias("w"))
              .agg(F.count("*").alias("n")))
     return cells.groupBy("device").agg(F.max("n").alias("max_readings_per_window"),
                                        F.count("*").alias("windows_with_readings"))
@@ -162,13 +192,12 @@ def elevated_periods(readings: DataFrame, field: str = "smoke", threshold=None,
 
     Gaps and islands: a run starts where the previous reading (of the same device) was not
     elevated; the running count of starts numbers the runs; runs are then aggregated. The default
-    threshold is the field's alert threshold (p90), as a scalar subquery.
+    threshold is the field's alert threshold (p90), found by a few jobs when the query is built.
     """
     r = base(readings, valid_only)
     if threshold is None:
-        threshold = alert_thresholds(readings, valid_only).select(field).scalar()
-    else:
-        threshold = F.lit(float(threshold))
+        threshold = alert_threshold(readings, field, valid_only)
+    threshold = F.lit(float(threshold))
     x = r.select("device", "timestamp", "timestamp_unix", _m(field).alias("v"),
                  F.coalesce(_m(field) >= threshold, F.lit(False)).alias("_hi"))
     numbered = with_islands(x, "device", "timestamp", ["timestamp", "timestamp_unix", "v"], "_hi", "period",
@@ -182,10 +211,21 @@ def elevated_periods(readings: DataFrame, field: str = "smoke", threshold=None,
 def device_relative_alerts(readings: DataFrame, field: str = "smoke", valid_only: bool = False) -> DataFrame:
     """Readings at or above their own device's p90 of ``field``.
 
-    The baseline frame has one row per device; the join is left to AQE, which broadcasts it only
-    when its measured size is under the broadcast threshold, and shuffles otherwise.
+    Devices with more than 1/1024 of the values -- there are fewer than 1024 -- meet their readings by
+    broadcast; the other readings are joined on the device, none of them of a busy one. Rows that the
+    broadcast has served carry a key of their own through that join, so the table is scanned once.
     """
-    r = base(readings, valid_only)
-    b = exact_quantiles(r, ["device"], _m(field), 0.9, out="device_p90")
-    return (r.join(b, "device").where(_m(field) >= F.col("device_p90"))
-            .select("device", utc_ntz(F.col("timestamp")).alias("timestamp"), _m(field).alias("value"), "device_p90"))
+    r = base(readings, valid_only).where(_m(field).isNotNull())
+    counts = value_counts(r, ["device"], _m(field))
+    p90 = quantiles_of_counts(counts, ["device"], {"p90": 0.9})
+    sizes = counts.groupBy("device").agg(F.sum("n").alias("n"))
+    per = p90.join(sizes, "device")
+    busy_from = sizes.agg(F.sum("n")).scalar() / 1024
+    busy = per.where(F.col("n") > busy_from).select("device", F.col("p90").alias("_busy"))
+    rest = per.where(F.col("n") <= busy_from).select(F.col("device").alias("_key"), F.col("p90").alias("_rest"))
+    rows = r.select("device", "timestamp", _m(field).alias("value"), "reading_id")
+    met = rows.join(F.broadcast(busy), "device", "left")
+    key = F.when(F.col("_busy").isNull(), F.col("device")).otherwise(F.concat(F.lit("\u0000"), "reading_id"))
+    met = met.withColumn("_at", key).join(rest, F.col("_at") == F.col("_key"), "left")
+    return (met.withColumn("device_p90", F.coalesce("_busy", "_rest")).where(F.col("value") >= F.col("device_p90"))
+            .select("device", utc_ntz(F.col("timestamp")).alias("timestamp"), "value", "device_p90"))

@@ -1,25 +1,17 @@
 """Exact quantiles by distributed selection (the discrete percentile: the value at rank ceil(p * n)).
 
-A sketch (``percentile_approx``) is exact only when its accuracy exceeds the number of values, and
-its partial buffers all travel to the one task that owns the group: for a global percentile over a
-large table that is every task's buffer in one reducer. Selection needs only counts:
-
-1. per group: ``n``, target rank ``k = max(1, ceil(p * n))``, and the value range ``[lo, hi]``;
-2. each pass counts the group's values inside ``[lo, hi]`` per equal-width bucket (2^20 buckets),
-   keeping each bucket's real min and max; a window per group over its (at most 2^20) bucket rows
-   finds the bucket that holds rank ``k``, which becomes the new ``[lo, hi]`` and ``k`` the rank
-   inside it. Counting combines map-side, so a value held by a huge share of rows costs nothing
-   special;
-3. after two passes (the first may be spent on an outlier scale, since each bucket keeps its real
-   min/max; the second narrows by 2^20) a range still holding several values is finished by
-   counting its distinct values (map-side combined) and ranking those: at most about n / 2^20 of
-   them per group, so no window ever sees more than about a million rows even at 10^12 values per
-   group. Never a window over rows. (Adversarial data with many nested outlier scales only makes
-   that last ranking larger; the result stays exact.)
-
-Every step is an aggregate or a join on the group key, all lazy; the state after each pass is used
-once, so the plan grows linearly with the number of passes. Equal to DuckDB's ``quantile_disc`` and
-to ``percentile_approx`` at full accuracy.
+A sketch (``percentile_approx``) is exact only when its accuracy exceeds the number of values, and its
+partial buffers all travel to the one task that owns the group. Selection needs only counts:
+
+1. equal values are counted per group, combined map-side: a value that many rows hold costs one row;
+2. values are mapped to integers that order alike (``functions.numeric.order_image``), whose 64 bits are
+   read in three steps of ``STEP_BITS``: a step counts the group's values by the next bits, a running
+   count over those buckets (at most 2^24 of a group) finds the bucket that holds the wanted rank, and
+   the next step looks only at the values inside it.
+
+After three steps all 64 bits are known, whatever the values: no scale, outlier or infinity needs
+another way. Values are joined to a group's chosen bucket on group *and* bucket, so the values of a large
+group are spread by their buckets. Equal to DuckDB's ``quantile_disc``.
 """
 
 from __future__ import annotations
@@ -29,138 +21,107 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BUCKET_BITS = 20
-PASSES = 2
+from envtrack.functions.numeric import order_image
 
+STEP_BITS = (24, 20, 20)
 
-def _keys(n: int) -> list[str]:
-    return [f"_q{i}" for i in range(n)]
 
+def _prefix(step: int) -> Column:
+    """The image's bits up to and including a step."""
+    return F.shiftright(F.col("_i"), 64 - sum(STEP_BITS[:step + 1]))
 
-def exact_quantiles(df: DataFrame, groups: list[str], value: Column | str, p: float | str,
-                    out: str = "value", passes: int = PASSES) -> DataFrame:
-    """One row per group (with at least one non-null value): ``groups..., out``.
 
-    ``p`` is a number, or the name of one of the ``groups`` columns holding each group's p (so
-    several quantiles share the same passes).
-    """
-    if isinstance(p, str):
-        if p not in groups:
-            raise ValueError("a p column must be one of the group columns")
-    elif not 0.0 <= p <= 1.0:
-        raise ValueError("p must be in [0, 1]")
+def value_counts(df: DataFrame, groups: list[str], value: Column | str) -> DataFrame:
+    """(groups..., value, n): how often each group holds each non-null value."""
+    v = (F.col(value) if isinstance(value, str) else value).cast("double")
+    return (df.select(*groups, v.alias("value")).where(F.col("value").isNotNull())
+            .groupBy(*groups, "value").agg(F.count("*").alias("n")))
+
+
+def quantiles_of_counts(counts: DataFrame, groups: list[str], ps: dict[str, float]) -> DataFrame:
+    """(groups..., one column for each name of ``ps``) from counts (groups..., value, n)."""
     if not groups:
-        raise ValueError("give at least one group column (use exact_quantile_columns for global quantiles)")
-    v_col = F.col(value) if isinstance(value, str) else value
-    keys = _keys(len(groups))
-    vals = df.select(*[F.col(g).alias(k) for g, k in zip(groups, keys)], v_col.cast("double").alias("_v")) \
-        .where(F.col("_v").isNotNull())
-    n_buckets = 1 << BUCKET_BITS
-    p_col = F.col(keys[groups.index(p)]) if isinstance(p, str) else F.lit(p)
-    state = vals.groupBy(*keys).agg(
-        F.greatest(F.ceil(F.first(p_col) * F.count("*")), F.lit(1)).cast("bigint").alias("_k"),
-        F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
-    for _ in range(passes):
-        s = state.select(*[F.col(k).alias(f"_s{k}") for k in keys], "_k", "_lo", "_hi")
-        cond = F.lit(True)
-        for k in keys:
-            cond = cond & (F.col(k) == F.col(f"_s{k}"))
-        joined = vals.join(s, cond, "inner")
-        width = F.col("_hi") - F.col("_lo")
-        bucket = F.when(width <= 0, F.lit(0)).otherwise(
-            F.least(F.floor((F.col("_v") - F.col("_lo")) / width * n_buckets), F.lit(n_buckets - 1))).cast("int")
-        inside = joined.where(F.col("_v").between(F.col("_lo"), F.col("_hi")))
-        hist = inside.groupBy(*keys, "_k", bucket.alias("_b")).agg(
-            F.count("*").alias("_c"), F.min("_v").alias("_bl"), F.max("_v").alias("_bh"))
-        w = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
-        hist = hist.withColumn("_cum", F.sum("_c").over(w))
-        state = (hist.where((F.col("_cum") - F.col("_c") < F.col("_k")) & (F.col("_cum") >= F.col("_k")))
-                 .select(*keys, (F.col("_k") - (F.col("_cum") - F.col("_c"))).alias("_k"),
-                         F.col("_bl").alias("_lo"), F.col("_bh").alias("_hi")))
-    # finish: a one-value range is the answer; otherwise rank the range's distinct values
-    done = state.where(F.col("_lo") == F.col("_hi")).select(*keys, F.col("_lo").alias("_ans"))
-    open_ = state.where(F.col("_lo") < F.col("_hi")).select(*[F.col(k).alias(f"_s{k}") for k in keys], "_k", "_lo", "_hi")
-    cond = F.lit(True)
-    for k in keys:
-        cond = cond & (F.col(k) == F.col(f"_s{k}"))
-    rest = vals.join(open_, cond, "inner").where(F.col("_v").between(F.col("_lo"), F.col("_hi")))
-    distinct = rest.groupBy(*keys, "_k", "_v").agg(F.count("*").alias("_c"))
-    wd = Window.partitionBy(*keys).orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    distinct = distinct.withColumn("_cum", F.sum("_c").over(wd))
-    finished = (distinct.where((F.col("_cum") - F.col("_c") < F.col("_k")) & (F.col("_cum") >= F.col("_k")))
-                .select(*keys, F.col("_v").alias("_ans")))
-    result = done.unionByName(finished)
-    return result.select(*[F.col(k).alias(g) for k, g in zip(keys, groups)], F.col("_ans").alias(out))
-
-
-def exact_quantile_columns(df: DataFrame, fields: dict[str, Column], p: float, passes: int = PASSES) -> DataFrame:
-    """Global quantile of several columns in the same passes: one row, one column per field
-    (null when a field has no values). The fields are stacked into (field, value) rows and the
-    field name is the group key, so no join on a constant key is needed."""
-    names = list(fields)
-    stacked = df.select(F.explode(F.array(*[
-        F.struct(F.lit(n).alias("_f"), c.cast("double").alias("_x")) for n, c in fields.items()])).alias("_r")) \
-        .select("_r._f", "_r._x")
-    q = exact_quantiles(stacked, ["_f"], "_x", p, passes=passes)
-    return q.groupBy().pivot("_f", names).agg(F.first("value"))
-
-
-GLOBAL_BUCKET_BITS = 20
-
-
-def exact_quantile_values(df: DataFrame, fields: dict[str, Column], p: float,
-                          max_passes: int = 8, bucket_bits: int = GLOBAL_BUCKET_BITS) -> dict[str, float | None]:
-    """Global exact quantile of a few columns, returned as numbers (like ``approxQuantile``).
-
-    Same selection as ``exact_quantiles``, but the per-field state (one row per field: a proven
-    bound) goes through the driver between passes, so each pass is one job that filters by literal
-    bounds and counts per bucket, and the loop stops as soon as every field is down to one value.
-    With 2^20 buckets (the window per field sees at most that many non-empty buckets) one pass
-    usually isolates the value. Only the chosen bucket of each field comes back.
+        raise ValueError("give at least one group column (use exact_quantile_values for global quantiles)")
+    if not all(0.0 <= p <= 1.0 for p in ps.values()):
+        raise ValueError("p must be in [0, 1]")
+    keys = [f"_q{i}" for i in range(len(groups))]
+    values = counts.select(*[F.col(g).alias(k) for g, k in zip(groups, keys)], F.col("value").alias("_v"),
+                           order_image(F.col("value")).alias("_i"), F.col("n").alias("_n"))
+    wanted = F.array(*[F.struct(F.lit(name).alias("_name"), F.greatest(
+        F.ceil(F.lit(p) * F.col("_all")), F.lit(1)).cast("bigint").alias("_k")) for name, p in ps.items()])
+    state = None
+    for step in range(len(STEP_BITS)):
+        if state is None:
+            buckets = values.groupBy(*keys, _prefix(step).alias("_b")).agg(F.sum("_n").alias("_c"),
+                                                                          F.min("_v").alias("_v"))
+            per = keys
+        else:
+            chosen = state.select(*[F.col(k).alias(f"_s{k}") for k in keys], "_name", "_k", F.col("_b").alias("_sb"))
+            same = F.col("_sb") == _prefix(step - 1)
+            for k in keys:
+                same = same & F.col(k).eqNullSafe(F.col(f"_s{k}"))
+            inside = values.join(chosen, same)
+            buckets = inside.groupBy(*keys, "_name", "_k", _prefix(step).alias("_b")).agg(
+                F.sum("_n").alias("_c"), F.min("_v").alias("_v"))
+            per = [*keys, "_name"]
+        running = Window.partitionBy(*per).orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
+        buckets = buckets.withColumn("_cum", F.sum("_c").over(running))
+        if state is None:
+            buckets = buckets.withColumn("_all", F.sum("_c").over(Window.partitionBy(*per)))
+            buckets = buckets.select("*", F.explode(wanted).alias("_w")).select("*", "_w.*").drop("_w", "_all")
+        here = (F.col("_cum") - F.col("_c") < F.col("_k")) & (F.col("_cum") >= F.col("_k"))
+        state = buckets.where(here).select(*keys, "_name", "_b", "_v",
+                                           (F.col("_k") - (F.col("_cum") - F.col("_c"))).alias("_k"))
+    return state.groupBy(*[F.col(k).alias(g) for k, g in zip(keys, groups)]).agg(
+        *[F.max(F.when(F.col("_name") == name, F.col("_v"))).alias(name) for name in ps])
+
+
+def exact_quantiles(df: DataFrame, groups: list[str], value: Column | str, p: float, out: str = "value") -> DataFrame:
+    """One row per group (with at least one non-null value): ``groups..., out``."""
+    return quantiles_of_counts(value_counts(df, groups, value), groups, {out: p})
+
+
+def exact_quantile_values(df: DataFrame, fields: dict[str, Column], p: float) -> dict[str, float | None]:
+    """Global exact quantile of a few columns, returned as numbers (like ``approxQuantile``); None for a
+    column without values.
+
+    The steps of ``quantiles_of_counts``, each one job that counts the values of the columns still
+    open inside literal bounds, so that the bounds reach the scan; only the chosen bucket of each
+    column comes back. It ends as soon as every column is down to one value, after three jobs at most.
     """
     if not 0.0 <= p <= 1.0:
         raise ValueError("p must be in [0, 1]")
-    names = list(fields)
-    stacked = df.select(F.explode(F.array(*[
-        F.struct(F.lit(n).alias("_f"), c.cast("double").alias("_v")) for n, c in fields.items()])).alias("_r")) \
-        .select("_r._f", "_r._v").where(F.col("_v").isNotNull())
-    first = {r["_f"]: r for r in stacked.groupBy("_f").agg(
-        F.count("*").alias("n"), F.min("_v").alias("lo"), F.max("_v").alias("hi")).collect()}  # <= len(fields) rows
-    state = {f: [max(1, math.ceil(p * r["n"])), r["lo"], r["hi"]] for f, r in first.items()}
-    n_buckets = 1 << bucket_bits
-    for _ in range(max_passes):
-        open_fields = [f for f, (k, lo, hi) in state.items() if lo < hi]
-        if not open_fields:
+    found: dict[str, float | None] = dict.fromkeys(fields)
+    open_: dict[str, tuple[int | None, float | None, float | None]] = {f: (None, None, None) for f in fields}
+    for step in range(len(STEP_BITS)):
+        if not open_:
             break
-        lo_c = F.lit(None).cast("double")
-        hi_c = F.lit(None).cast("double")
-        k_c = F.lit(None).cast("bigint")
-        for f in open_fields:
-            k, lo, hi = state[f]
-            lo_c = F.when(F.col("_f") == f, F.lit(lo)).otherwise(lo_c)
-            hi_c = F.when(F.col("_f") == f, F.lit(hi)).otherwise(hi_c)
-            k_c = F.when(F.col("_f") == f, F.lit(k)).otherwise(k_c)
-        x = stacked.where(F.col("_f").isin(open_fields)).select("_f", "_v", lo_c.alias("_lo"), hi_c.alias("_hi"),
-                                                               k_c.alias("_k"))
-        x = x.where(F.col("_v").between(F.col("_lo"), F.col("_hi")))
-        bucket = F.least(F.floor((F.col("_v") - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * n_buckets),
-                         F.lit(n_buckets - 1)).cast("int")
-        hist = x.groupBy("_f", "_k", bucket.alias("_b")).agg(F.count("*").alias("_c"), F.min("_v").alias("_bl"),
-                                                           F.max("_v").alias("_bh"))
-        w = Window.partitionBy("_f").orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
-        hist = hist.withColumn("_cum", F.sum("_c").over(w))
-        chosen = hist.where((F.col("_cum") - F.col("_c") < F.col("_k")) & (F.col("_cum") >= F.col("_k"))) \
-            .select("_f", (F.col("_k") - (F.col("_cum") - F.col("_c"))).alias("_k"), "_bl", "_bh").collect()
-        for r in chosen:  # one row per open field
-            state[r["_f"]] = [r["_k"], r["_bl"], r["_bh"]]
-    out: dict[str, float | None] = {f: None for f in names}
-    for f, (k, lo, hi) in state.items():
-        if lo == hi:
-            out[f] = lo
-        else:  # not isolated after max_passes: rank the distinct values left in the range
-            rest = (stacked.where((F.col("_f") == f) & F.col("_v").between(lo, hi))
-                    .groupBy("_v").agg(F.count("*").alias("_c")))
-            wd = Window.orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-            out[f] = rest.withColumn("_cum", F.sum("_c").over(wd)) \
-                .where((F.col("_cum") - F.col("_c") < k) & (F.col("_cum") >= k)).first()["_v"]
-    return out
+        entries = []
+        for f, (_, lo, hi) in open_.items():
+            v = fields[f].cast("double")
+            entries.append(F.struct(F.lit(f).alias("_f"), v.alias("_v")) if lo is None else
+                           F.when(v.between(lo, hi), F.struct(F.lit(f).alias("_f"), v.alias("_v"))))
+        rows = df
+        if step and len(open_) == 1:
+            (f, (_, lo, hi)), = open_.items()
+            rows = df.where(fields[f].between(lo, hi))
+        stacked = rows.select(F.explode(F.array(*entries)).alias("_r")).select("_r._f", "_r._v")
+        values = stacked.where(F.col("_v").isNotNull()).withColumn("_i", order_image(F.col("_v")))
+        buckets = values.groupBy("_f", _prefix(step).alias("_b")).agg(
+            F.count("*").alias("_c"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
+        running = Window.partitionBy("_f").orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
+        rank = F.lit(None).cast("bigint")
+        for f, (k, _, _) in open_.items():
+            here = F.lit(k) if k is not None else F.greatest(F.ceil(F.lit(p) * F.col("_all")), F.lit(1))
+            rank = F.when(F.col("_f") == f, here.cast("bigint")).otherwise(rank)
+        buckets = buckets.select("*", F.sum("_c").over(running).alias("_cum"),
+                                 F.sum("_c").over(Window.partitionBy("_f")).alias("_all")).withColumn("_k", rank)
+        chosen = buckets.where((F.col("_cum") - F.col("_c") < F.col("_k")) & (F.col("_cum") >= F.col("_k"))).select(
+            "_f", (F.col("_k") - (F.col("_cum") - F.col("_c"))).alias("_k"), "_lo", "_hi").collect()  # one a column
+        open_ = {}
+        for r in chosen:
+            if r["_lo"] == r["_hi"] or math.isnan(r["_lo"]):
+                found[r["_f"]] = r["_lo"]
+            else:
+                open_[r["_f"]] = (r["_k"], r["_lo"], r["_hi"])
+    return found

@@ -7,13 +7,11 @@ windowed frame itself (each chunk's first / last row is where ``row_number`` is
 
 * previous row: inside a chunk ``lag``; for a chunk's first row, the last row of the device's
   previous non-empty chunk (``lag`` over the chunk frame);
-* running sum: inside a chunk a running ``sum``; plus the total of all earlier chunks of the device
-  (window over the chunk frame);
 * islands (runs of flagged rows): run starts counted inside each chunk, corrected where a run
   continues across a chunk boundary, offset by the starts of earlier chunks -- one pass.
 
-The chunk width (``chunk_seconds``, one hour by default) bounds what one window partition holds:
-pick it so that one device-chunk fits a task.
+A chunk is bounded by time, not by rows: a window partition holds what one device sends in
+``chunk_seconds`` (ten minutes by default). Results do not depend on the width.
 
 Chunk boundaries follow the ordering timestamp, so all rows of chunk k precede chunk k+1 and the
 result equals the unsplit window. The join back is on (device, chunk), the same keys the chunk
@@ -27,7 +25,7 @@ from pyspark.sql import functions as F
 
 from envtrack.functions.timecols import micros
 
-DEFAULT_CHUNK_SECONDS = 3600
+DEFAULT_CHUNK_SECONDS = 600
 
 
 def _chunked(df: DataFrame, ts: str, chunk_seconds: int) -> DataFrame:
@@ -60,24 +58,6 @@ def with_previous(df: DataFrame, key: str, ts: str, order: list[str], cols: list
     return out.drop(*drop)
 
 
-def with_running_sum(df: DataFrame, key: str, ts: str, order: list[str], value: str, out: str,
-                     chunk_seconds: int = DEFAULT_CHUNK_SECONDS, keep_chunk: bool = False) -> DataFrame:
-    """Add ``out`` = running sum of ``value`` over the key's rows in order (inclusive).
-
-    Chunk totals are the running sums on each chunk's last row (same windowed frame, no rescan).
-    """
-    c = _chunked(df, ts, chunk_seconds)
-    part = Window.partitionBy(key, "_chunk")
-    w = part.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    c = c.select("*", F.sum(value).over(w).alias("_in"), F.row_number().over(part.orderBy(*order)).alias("_rn"),
-                 F.count(F.lit(1)).over(part).alias("_cn"))
-    totals = c.where(F.col("_rn") == F.col("_cn")).select(key, "_chunk", F.col("_in").alias("_t"))
-    offsets = totals.select(key, "_chunk", F.coalesce(F.sum("_t").over(
-        Window.partitionBy(key).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
-    res = c.join(offsets, [key, "_chunk"], "left").withColumn(out, F.col("_in") + F.col("_off"))
-    return res.drop("_in", "_off", "_rn", "_cn", *([] if keep_chunk else ["_chunk"]))
-
-
 def with_islands(df: DataFrame, key: str, ts: str, order: list[str], flag: str, out: str,
                  chunk_seconds: int = DEFAULT_CHUNK_SECONDS) -> DataFrame:
     """Number the maximal runs of consecutive rows (per key, in order) where ``flag`` is true.

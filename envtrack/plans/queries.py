@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from envtrack import schema as S
 from envtrack.functions.numeric import round_even
 from envtrack.functions.timecols import bucket_start, utc_ntz
+from envtrack.operators.quantiles import exact_quantile_values
 
 MEASUREMENT_ORDER = ["co", "humidity", "lpg", "smoke", "temp", "light", "motion"]
 THRESHOLD_FIELDS = ["smoke", "co", "lpg"]
@@ -45,24 +46,30 @@ def _lifted() -> list[Column]:
     return [m(f).alias(f) for f in MEASUREMENT_ORDER]
 
 
+def _thresholds(readings: DataFrame, fields: list[str], valid_only: bool, percentile: float) -> DataFrame:
+    values = exact_quantile_values(base(readings, valid_only), {f: m(f) for f in fields}, percentile)
+    given = [S.DEFAULT_THRESHOLDS[f] if values[f] is None else values[f] for f in fields]
+    return readings.sparkSession.range(0, 1, 1, 1).select(*[
+        round_even(F.lit(float(v)), 6).alias(f) for f, v in zip(fields, given)])
+
+
 def alert_thresholds(readings: DataFrame, valid_only: bool = False,
                      percentile: float = S.ALERT_PERCENTILE) -> DataFrame:
     """One row ``smoke, co, lpg``: p90 of each field over non-null values, rounded to 6 places,
     or the fixed fallback when the field has no values.
 
     The percentile is exact (the value at rank ceil(0.9 * n)) and computed by distributed selection
-    over the three fields at once (``operators.quantiles.exact_quantile_values``): counts per value
-    bucket, never a sketch funnelled into one task. Like ``approxQuantile`` it runs when called (a
-    few small jobs); the returned one-row frame then carries the values as literals, so queries
-    filtering on a threshold get a plain pushed-down comparison.
+    over the fields at once (``operators.quantiles.exact_quantile_values``): counts per value bucket,
+    never a sketch funnelled into one task. Like ``approxQuantile`` it runs when called (three small
+    jobs at most); queries filtering on a threshold get a plain pushed-down comparison.
     """
-    from envtrack.operators.quantiles import exact_quantile_values
+    return _thresholds(readings, THRESHOLD_FIELDS, valid_only, percentile)
 
-    r = base(readings, valid_only)
-    values = exact_quantile_values(r, {f: m(f) for f in THRESHOLD_FIELDS}, percentile)
-    one = readings.sparkSession.range(1)
-    return one.select(*[F.coalesce(round_even(F.lit(values[f]).cast("double"), 6),
-                                   F.lit(S.DEFAULT_THRESHOLDS[f])).alias(f) for f in THRESHOLD_FIELDS])
+
+def alert_threshold(readings: DataFrame, field: str, valid_only: bool = False,
+                    percentile: float = S.ALERT_PERCENTILE) -> float:
+    """The threshold of one field; the other fields are not read."""
+    return _thresholds(readings, [field], valid_only, percentile).first()[0]
 
 
 def latest_readings(readings: DataFrame, limit: int = 5, valid_only: bool = False) -> DataFrame:
@@ -112,7 +119,7 @@ def high_metric_readings(readings: DataFrame, field: str, threshold: float | Col
     """
     r = base(readings, valid_only)
     if threshold is None:
-        threshold = alert_thresholds(readings, valid_only).select(field).scalar()
+        threshold = F.lit(alert_threshold(readings, field, valid_only))
     elif not isinstance(threshold, Column):
         threshold = F.lit(float(threshold))
     return _top_by(r.where(m(field) >= threshold), field, limit, "value")
@@ -233,7 +240,7 @@ def run_all(readings: DataFrame, valid_only: bool = False) -> dict[str, DataFram
     }
     for f in THRESHOLD_FIELDS:
         out[f"high_{f}_readings"] = high_metric_readings(
-            readings, f, thresholds.select(f).scalar(), valid_only=valid_only)
+            readings, f, thresholds.first()[f], valid_only=valid_only)
     return out
 
 

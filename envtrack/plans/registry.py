@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from envtrack import schema as S
-from envtrack.functions.cells import is_missing, parse_bool, parse_epoch, parse_float
+from envtrack.functions.cells import is_missing, parse_bool, parse_float
 from envtrack.functions.timecols import utc_ntz
 from envtrack.operators import health as H
 from envtrack.operators import quality, validate
@@ -109,8 +109,8 @@ def q_missing_counts_raw(spark, sf_dir):
 
 
 @register("parse_float", O.with_raw("SELECT " + ", ".join(
-    f"{O.float_value(f)} AS {f}, {O.issue(f, S.ISSUE_NUMERIC, O.float_value(f))} AS {f}_issue"
-    for f in S.FLOAT_FIELDS) + " FROM raw"))
+    f"{O.float_value(f)} AS {f}, {O.issue(f, "invalid_numeric", O.float_value(f))} AS {f}_issue"
+    for f in O.FLOATS) + " FROM raw"))
 def q_parse_float(spark, sf_dir):
     raw = raw_readings(spark, sf_dir)
     cols = []
@@ -121,8 +121,8 @@ def q_parse_float(spark, sf_dir):
 
 
 @register("parse_bool", O.with_raw("SELECT " + ", ".join(
-    f"{O.bool_value(f)} AS {f}, {O.issue(f, S.ISSUE_BOOLEAN, O.bool_value(f))} AS {f}_issue"
-    for f in S.BOOL_FIELDS) + " FROM raw"))
+    f"{O.bool_value(f)} AS {f}, {O.issue(f, "invalid_boolean", O.bool_value(f))} AS {f}_issue"
+    for f in O.BOOLS) + " FROM raw"))
 def q_parse_bool(spark, sf_dir):
     raw = raw_readings(spark, sf_dir)
     cols = []
@@ -136,15 +136,10 @@ def q_parse_bool(spark, sf_dir):
     "SELECT ts, timestamp_unix, timestamp, timestamp_unix > 1e12 AS is_millis "
     "FROM acc JOIN raw USING (_part, _seq)"))
 def q_epoch_parse(spark, sf_dir):
-    from envtrack.functions.cells import epoch_to_micros
-    from envtrack.operators.transform import rejection_reason
-
-    raw = raw_readings(spark, sf_dir)
-    ok = raw.where(rejection_reason(F.col("ts"), F.col("device")).isNull())
-    x = ok.select("ts", parse_epoch(F.col("ts")).alias("timestamp_unix"))
-    return x.select("ts", "timestamp_unix",
-                    utc_ntz(F.timestamp_micros(epoch_to_micros(F.col("timestamp_unix")))).alias("timestamp"),
-                    (F.col("timestamp_unix") > S.MILLIS_CUTOFF).alias("is_millis"))
+    raw = raw_readings(spark, sf_dir).withColumn("cell", F.col("ts"))
+    ok = classify_rows(raw, REGISTRY_INGESTED_AT, keep=["cell"]).where(F.col("rejection_reason").isNull())
+    return ok.select(F.col("cell").alias("ts"), "timestamp_unix", utc_ntz(F.col("timestamp")).alias("timestamp"),
+                     (F.col("timestamp_unix") > S.MILLIS_CUTOFF).alias("is_millis"))
 
 
 @register("measurements", O.with_readings(
@@ -201,6 +196,19 @@ def q_readings_in_window(spark, sf_dir):
     return Q.readings_in_window(readings(spark, sf_dir), None, WINDOW_START, WINDOW_END)
 
 
+WINDOW_DEVICES = [f"dev-{i:04d}" for i in range(0, 100, 3)]
+
+
+@register("readings_of_devices", O.with_readings(
+    "SELECT device, timestamp, timestamp_unix, co, humidity, lpg, smoke, temp, light, motion, is_valid FROM rd "
+    f"WHERE timestamp >= TIMESTAMP '{WINDOW_START} 00:00:00' AND timestamp < TIMESTAMP '{WINDOW_END} 00:00:00' "
+    "AND length(device) = 8 AND TRY_CAST(substr(device, 5) AS INTEGER) < 100 "
+    "AND TRY_CAST(substr(device, 5) AS INTEGER) % 3 = 0"))
+def q_readings_of_devices(spark, sf_dir):
+    """P25 with its device filter."""
+    return Q.readings_in_window(readings(spark, sf_dir), WINDOW_DEVICES, WINDOW_START, WINDOW_END)
+
+
 PAGE_AFTER = _dt.datetime(2024, 1, 15, tzinfo=_dt.timezone.utc)
 
 
@@ -257,15 +265,50 @@ def q_quality_report(spark, sf_dir):
     return quality.quality_report(quality.batch_quality_status(classified(spark, sf_dir, with_batches=True)))
 
 
+def _full_report(spark, sf_dir) -> dict[str, DataFrame]:
+    c = classified(spark, sf_dir, with_batches=True)
+    return quality.quality_report_full(quality.quality_counts(c), quality.batch_quality_status(c))
+
+
+@register("quality_report_flags", O.with_readings(
+    "SELECT flag, count(*) AS occurrences FROM (SELECT unnest(flags) AS flag FROM acc) GROUP BY flag"))
+def q_quality_report_flags(spark, sf_dir):
+    return _full_report(spark, sf_dir)["invalid_measurement_values"]
+
+
+@register("quality_report_reasons", O.with_parsed(
+    "SELECT rejection_reason, count(*) AS rows FROM cls WHERE rejection_reason IS NOT NULL GROUP BY 1"))
+def q_quality_report_reasons(spark, sf_dir):
+    return _full_report(spark, sf_dir)["rejected_reasons"]
+
+
+@register("quality_report_devices", O.with_readings("SELECT device, count(*) AS documents FROM acc GROUP BY device"))
+def q_quality_report_devices(spark, sf_dir):
+    return _full_report(spark, sf_dir)["device_counts"]
+
+
+@register("quality_report_batches", O.with_parsed(", " + POS_SQL + " " + BATCH_STATUS_SQL))
+def q_quality_report_batches(spark, sf_dir):
+    return _full_report(spark, sf_dir)["batch_quality_status"]
+
+
+_KEYS = "device, timestamp_unix, co, humidity, light, lpg, motion, smoke, temp"
+
+
 @register("upsert_counts", O.with_readings(
-    ", " + POS_SQL.replace("cls c JOIN", "acc c JOIN") + ", firsts AS (SELECT min(batch_number) AS batch_number "
-    "FROM cls_b GROUP BY device, timestamp_unix, co, humidity, light, lpg, motion, smoke, temp) "
-    "SELECT batch_number, count(*) AS inserted_or_updated FROM firsts GROUP BY batch_number"))
+    f", old AS (SELECT DISTINCT {_KEYS} FROM acc WHERE _seq % 3 <> 0), "
+    f"new AS (SELECT DISTINCT {_KEYS} FROM acc WHERE _seq % 2 = 0), "
+    f"both_ AS (SELECT {_KEYS} FROM old INTERSECT SELECT {_KEYS} FROM new) "
+    "SELECT (SELECT count(*) FROM new) - (SELECT count(*) FROM both_) AS inserted, "
+    "(SELECT count(*) FROM both_) AS updated, (SELECT count(*) FROM new) AS inserted_or_updated"))
 def q_upsert_counts(spark, sf_dir):
-    """Per load batch, ids written for the first time (later identical copies change nothing)."""
-    c = classified(spark, sf_dir, with_batches=True).where(F.col("rejection_reason").isNull())
-    firsts = c.groupBy("reading_id").agg(F.min("batch_number").alias("batch_number"))
-    return firsts.groupBy("batch_number").agg(F.count("*").alias("inserted_or_updated"))
+    """K2: every second row, taken in a day later, against a table of two thirds of the rows."""
+    from envtrack.operators.dedupe import upsert_counts
+
+    raw = raw_readings(spark, sf_dir, keep_order=True)
+    old = accepted_readings(classify_rows(raw.where(F.col("_seq") % 3 != 0), REGISTRY_INGESTED_AT))
+    new = classify_rows(raw.where(F.col("_seq") % 2 == 0), REGISTRY_INGESTED_AT + _dt.timedelta(days=1))
+    return upsert_counts(accepted_readings(new), dedupe_readings(old))
 
 
 # --- A: validation ------------------------------------------------------------------------------
@@ -338,9 +381,12 @@ def q_validation_report(spark, sf_dir):
 
 # --- Q: the published queries -------------------------------------------------------------------
 
+FALLBACK = {"smoke": 0.05, "co": 0.01, "lpg": 0.01}
+
+
 def _thr_sql(field: str, valid_only: bool = False) -> str:
     where = f"WHERE {field} IS NOT NULL" + (" AND is_valid" if valid_only else "")
-    return (f"(SELECT coalesce({O.round_even(f'quantile_disc({field}, 0.9)', 6)}, {S.DEFAULT_THRESHOLDS[field]}) "
+    return (f"(SELECT coalesce({O.round_even(f'quantile_disc({field}, 0.9)', 6)}, {FALLBACK[field]}) "
             f"FROM rd {where})")
 
 
@@ -435,46 +481,78 @@ def q_highest_smoke(spark, sf_dir):
 
 @register("upsert_merge", O.with_readings(f"SELECT {FLAT_SQL} FROM rd"))
 def q_upsert_merge(spark, sf_dir):
-    """K1: a table built from load batches 1-5 (1,000 rows each), then the remaining batches merged
-    into it with replace semantics; the result is the table a single full load leaves behind."""
+    """K1: a table of two thirds of the rows, then an overlapping half and the rest merged into it with
+    replace semantics; the result is the table a single full load leaves behind."""
     from envtrack.operators.dedupe import merge_frames
 
-    c = classified(spark, sf_dir, with_batches=True)
-    docs = accepted_readings(c, keep=["batch_number"])
-    first = dedupe_readings(docs.where(F.col("batch_number") <= 5).drop("batch_number"))
-    rest = docs.where(F.col("batch_number") > 5).drop("batch_number")
+    docs = accepted_readings(classify_rows(raw_readings(spark, sf_dir, keep_order=True), REGISTRY_INGESTED_AT,
+                                           keep=["_seq"]), keep=["_seq"])
+    first = dedupe_readings(docs.where(F.col("_seq") % 3 != 0).drop("_seq"))
+    rest = docs.where((F.col("_seq") % 3 == 0) | (F.col("_seq") % 2 == 0)).drop("_seq")
     return flat(merge_frames(first, rest))
 
 
-@register("source_manifest", None)
-def q_source_manifest(spark, sf_dir):
-    """S3: path, size and modification time of the input table files (rows-only check)."""
-    from envtrack.sources.manifest import source_manifest
+# --- T: the resumable load, end to end ------------------------------------------------------
 
-    return source_manifest(spark, sf_dir, "*.parquet")
+def _fresh_folder(spark: SparkSession, name: str) -> str:
+    import uuid
 
+    from envtrack.session import state_path
+
+    return state_path(spark, "registry", f"{name}-{uuid.uuid4().hex}")
 
-# --- T: the resumable load, end to end ------------------------------------------------------
 
 @register("resumable_load", O.with_readings(f"SELECT {FLAT_SQL} FROM rd"))
 def q_resumable_load(spark, sf_dir):
-    """Raw rows -> one CSV file per 1,000-row batch (W9) -> streaming load, one file per trigger
-    (T1) -> the table it leaves behind. Same rows as ``dedupe_readings``.
+    """Raw rows -> CSV files -> streaming load of several files a batch (T1) -> the table it leaves
+    behind. Same rows as ``dedupe_readings``.
 
     Side effect: writes the input files, the table and the load state to a new folder under the
     session's shared state folder (``spark.checkpoint.dir``).
     """
-    import uuid
-
-    from envtrack.session import state_path
-    from envtrack.streaming.load import load_readings, write_batch_files
+    from envtrack.sources.readings_table import read_readings
+    from envtrack.streaming.load import load_readings
 
-    root = state_path(spark, "registry", f"resumable_load-{uuid.uuid4().hex}")
-    raw = raw_readings(spark, sf_dir, keep_order=True)
-    write_batch_files(raw, f"{root}/input", sequence_group("_part", "_seq"), ["_seq"])
-    load_readings(spark, f"{root}/input", f"{root}/readings", f"{root}/state", files_per_batch=1,
+    root = _fresh_folder(spark, "resumable_load")
+    raw = raw_readings(spark, sf_dir, keep_order=True).repartitionByRange(4, "_part", "_seq")
+    raw.select(*S.REQUIRED_COLUMNS).write.option("header", True).option("escape", '"').csv(f"{root}/input")
+    load_readings(spark, f"{root}/input", f"{root}/readings", f"{root}/state", files_per_batch=2,
                   delay_seconds=0, ingested_at=REGISTRY_INGESTED_AT)
-    return flat(spark.read.parquet(f"{root}/readings"))
+    return flat(read_readings(spark, f"{root}/readings"))
+
+
+@register("batch_log", O.with_parsed(
+    ", n AS (SELECT _part, _seq, CAST(ceil(row_number() OVER (PARTITION BY _part ORDER BY _seq) / 1000.0) AS BIGINT) "
+    "AS batch_number FROM raw) SELECT 'part-' || _part AS source_file, batch_number, count(*) AS rows_read, "
+    "count_if(rejection_reason IS NULL) AS documents_built, count_if(rejection_reason IS NOT NULL) AS invalid_rows, "
+    "count_if(rejection_reason IS NULL AND len(flags) > 0) AS rows_with_quality_flags "
+    "FROM cls JOIN n USING (_part, _seq) GROUP BY ALL"))
+def q_batch_log(spark, sf_dir):
+    """T1 by rows: the counters of every 1,000-row batch of two inputs, loaded four batches a step."""
+    from envtrack.operators.transform import SourceLabels
+    from envtrack.streaming import load as L
+
+    root = _fresh_folder(spark, "batch_log")
+    raw = raw_readings(spark, sf_dir, keep_order=True).withColumn("source_file", F.concat(F.lit("part-"), "_part"))
+    rows = L.numbered_batches(raw, sequence_group("_part", "_seq"), ["_seq"], S.DEFAULT_BATCH_SIZE, "source_file")
+    L.stage_batches(rows, f"{root}/staged")
+    paths = L.resolve_paths(spark, f"{root}/state", f"{root}/readings", False, None)
+    load = L.BatchLoad(spark, paths, f"{root}/readings", REGISTRY_INGESTED_AT, SourceLabels(), 1, 0)
+    L.load_staged_batches(spark, f"{root}/staged", load, None, 4)
+    return L.batch_log_table(spark, paths).drop("batch_id")
+
+
+@register("csv_round_trip", O.with_raw(
+    "SELECT ts, 'a \"' || device || '\", b' AS device, " + ", ".join(f for f in O.FLOATS + O.BOOLS) + " FROM raw"))
+def q_csv_round_trip(spark, sf_dir):
+    """Rows written as CSV with quotes and commas in a cell, and read back by the loader's reader."""
+    from envtrack.sources.csv import csv_options, text_schema
+
+    path = _fresh_folder(spark, "csv_round_trip")
+    raw = raw_readings(spark, sf_dir).withColumn("device", F.concat(F.lit('a "'), "device", F.lit('", b')))
+    raw.write.option("header", True).option("escape", '"').option("emptyValue", "").csv(path)
+    back = spark.read.options(**csv_options()).schema(text_schema(S.REQUIRED_COLUMNS)).csv(path)
+    return back.select(*[F.coalesce(F.col(c), F.lit("")).alias(c) for c in S.REQUIRED_COLUMNS])
 
 
 # --- health: time buckets, baselines, sequences ---------------------------------------------
@@ -563,20 +641,98 @@ def q_sparse_devices(spark, sf_dir):
     return H.sparse_devices(readings(spark, sf_dir))
 
 
+BURST_SECONDS, BURST_READINGS = 6 * 3600, 2
+
+
 @register("dense_bursts", O.with_readings(
-    f"SELECT device, {_bucket_sql(60)} AS window_start, count(*) AS readings FROM rd GROUP BY ALL "
-    "HAVING count(*) >= 10"))
+    f"SELECT device, {_bucket_sql(BURST_SECONDS)} AS window_start, count(*) AS readings FROM rd GROUP BY ALL "
+    f"HAVING count(*) >= {BURST_READINGS}"))
 def q_dense_bursts(spark, sf_dir):
-    return H.dense_bursts(readings(spark, sf_dir))
+    return H.dense_bursts(readings(spark, sf_dir), BURST_SECONDS, BURST_READINGS)
+
+
+@register("rolling_bursts", O.with_readings(
+    ", w AS (SELECT device, timestamp AS window_end, count(*) OVER (PARTITION BY device ORDER BY epoch_us(timestamp) "
+    f"RANGE BETWEEN {BURST_SECONDS * 1_000_000} PRECEDING AND CURRENT ROW) AS readings FROM rd) "
+    f"SELECT * FROM w WHERE readings >= {BURST_READINGS}"))
+def q_rolling_bursts(spark, sf_dir):
+    return H.rolling_bursts(readings(spark, sf_dir), BURST_SECONDS, BURST_READINGS)
 
 
-@register("device_burst_density", O.with_readings(
-    "SELECT device, max(n) AS max_readings_per_window, count(*) AS windows_with_readings FROM "
-    f"(SELECT device, {_bucket_sql(60)} AS w, count(*) AS n FROM rd GROUP BY ALL) GROUP BY device"))
+_BURST_DENSITY_SQL = ("SELECT device, max(n) AS max_readings_per_window, count(*) AS windows_with_readings FROM "
+                      f"(SELECT device, {_bucket_sql(60)} AS w, count(*) AS n FROM %s GROUP BY ALL) GROUP BY device")
+
+
+@register("device_burst_density", O.with_readings(_BURST_DENSITY_SQL % "rd"))
 def q_device_burst_density(spark, sf_dir):
     return H.device_burst_density(readings(spark, sf_dir))
 
 
+# --- P26: the same operators over valid readings only ---------------------------------------------
+
+VALID_SQL = "valid AS (SELECT * FROM rd WHERE is_valid)"
+
+
+@register("device_burst_density_valid_only", O.with_readings(", " + VALID_SQL + " " + _BURST_DENSITY_SQL % "valid"))
+def q_device_burst_density_valid(spark, sf_dir):
+    return H.device_burst_density(readings(spark, sf_dir), valid_only=True)
+
+
+@register("sparse_devices_valid_only", O.with_readings(
+    ", " + VALID_SQL + ", per AS (SELECT device, count(*) AS readings FROM valid GROUP BY device), "
+    "m AS (SELECT avg(readings) AS mean FROM per) "
+    f"SELECT device, readings, {O.round_even('mean', 2)} AS mean_readings, "
+    f"{O.round_even('readings / mean', 4)} AS ratio_to_mean, readings < 0.5 * mean AS is_sparse FROM per, m"))
+def q_sparse_devices_valid(spark, sf_dir):
+    return H.sparse_devices(readings(spark, sf_dir), valid_only=True)
+
+
+@register("reading_gaps_valid_only", O.with_readings(
+    ", " + VALID_SQL + ", " + GAPS_SQL.replace("FROM rd", "FROM valid")
+    + " SELECT device, prev_ts AS gap_start, timestamp AS gap_end, gap_seconds FROM g WHERE gap_seconds > 3600.0"))
+def q_reading_gaps_valid(spark, sf_dir):
+    return H.reading_gaps(readings(spark, sf_dir), valid_only=True)
+
+
+# --- numbers outside the usual range ----------------------------------------------------------------
+
+def extreme_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Readings whose smoke and temperature hold huge and infinite values."""
+    raw, n = raw_readings(spark, sf_dir, keep_order=True), F.col("_seq")
+    raw = raw.withColumns({
+        "smoke": F.when(n % 5 == 0, "inf").when(n % 5 == 1, "3e12").otherwise(F.col("smoke")),
+        "temp": F.when(n % 7 == 0, "-inf").when(n % 7 == 1, "3e12").when(n % 7 == 2, "1e300").otherwise(F.col("temp"))})
+    return dedupe_readings(accepted_readings(classify_rows(raw, REGISTRY_INGESTED_AT)))
+
+
+@register("extreme_statistics", O.with_extremes(" UNION ALL ".join(
+    f"SELECT '{f}' AS field, min({f}) AS min, max({f}) AS max, {O.round_even(f'avg({f})', 4)} AS avg, "
+    f"count({f}) AS non_null_count FROM rd" for f in validate.STAT_FIELDS)))
+def q_extreme_statistics(spark, sf_dir):
+    return validate.basic_statistics(extreme_readings(spark, sf_dir))
+
+
+@register("extreme_thresholds", O.with_extremes(
+    "SELECT " + ", ".join(f"{_thr_sql(f)} AS {f}" for f in Q.THRESHOLD_FIELDS)))
+def q_extreme_thresholds(spark, sf_dir):
+    return Q.alert_thresholds(extreme_readings(spark, sf_dir))
+
+
+@register("extreme_baselines", O.with_extremes(
+    "SELECT device, count(*) AS readings, " + ", ".join(
+        f"quantile_disc({f}, 0.5) AS {f}_p50, quantile_disc({f}, 0.9) AS {f}_p90" for f in ("smoke", "temp"))
+    + " FROM rd GROUP BY device"))
+def q_extreme_baselines(spark, sf_dir):
+    return H.device_baselines(extreme_readings(spark, sf_dir), fields=("smoke", "temp"))
+
+
+@register("extreme_average_temperature", O.with_extremes(
+    f"SELECT device, {O.round_even('avg(temp)', 2)} AS avg_temp, count(*) AS readings FROM rd "
+    "WHERE temp IS NOT NULL GROUP BY device"))
+def q_extreme_average_temperature(spark, sf_dir):
+    return Q.avg_temperature_by_device(extreme_readings(spark, sf_dir))
+
+
 _SEQ_ORDER = "PARTITION BY device ORDER BY timestamp, timestamp_unix, v ASC NULLS FIRST"
 
 
