@@ -30,7 +30,8 @@ from envtrack.operators.transform import accepted_readings, classify_rows  # noq
 from envtrack.plans import queries as Q  # noqa: E402
 from envtrack.session import build_session  # noqa: E402
 from envtrack.sources.fixtures import raw_readings  # noqa: E402
-from envtrack.streaming.load import load_readings  # noqa: E402
+from envtrack.sources.readings_table import read_readings  # noqa: E402
+from envtrack.streaming.load import load_in_row_batches, load_readings  # noqa: E402
 
 
 def timed(fn):
@@ -80,10 +81,24 @@ def main() -> None:
     best = min(load_runs, key=lambda x: x[0])
     times["load"], summary = best
 
+    # the same rows with the defaults (one file a batch), and the first batches of 1,000 rows
+    t0 = time.perf_counter()
+    load_readings(spark, src, os.path.join(scratch, "readings_default"), os.path.join(scratch, "state_default"),
+                  delay_seconds=0)
+    default_load = time.perf_counter() - t0
+    t0 = time.perf_counter()
+    steps = load_in_row_batches(spark, src, os.path.join(scratch, "readings_rows"), os.path.join(scratch, "state_rows"),
+                                max_batches=5, delay_seconds=0)
+    row_batches = time.perf_counter() - t0 - steps.step_seconds["setup"]
+    t0 = time.perf_counter()
+    load_in_row_batches(spark, src, os.path.join(scratch, "readings_steps"), os.path.join(scratch, "state_steps"),
+                        batches_per_trigger=50, delay_seconds=0)
+    stepped = time.perf_counter() - t0
+
     def transform():
         run_noop(dedupe_readings(accepted_readings(classify_rows(raw_readings(spark, sf_dir)))))
 
-    readings = spark.read.parquet(table)
+    readings = read_readings(spark, table)
     jobs = {
         "transform_from_events": transform,
         "alert_thresholds": lambda: run_noop(Q.alert_thresholds(readings)),
@@ -121,6 +136,9 @@ def main() -> None:
         "load_steps": summary.step_seconds,
         "load_runs": [round(t, 3) for t, _ in load_runs],
         "load_cold_sf0.01": round(cold, 3),
+        "load_one_file_a_batch": round(default_load, 3),
+        "sec_per_1000_row_batch": round(row_batches / 5, 3),
+        "load_50_row_batches_a_step": round(stepped, 3),
         "rows_loaded": summary.rows_loaded,
         "table_rows": readings.count(),
         "cpus": cpus,

@@ -5,7 +5,7 @@ import os
 import pytest
 
 from envtrack import schema as S
-from envtrack.sources.csv import MissingColumnsError, read_raw_csv, sample_head, write_sample_csv
+from envtrack.sources.csv import MissingColumnsError, read_raw_csv, sample_csv, sample_head, unclosed_quotes
 
 
 def _write(path, header, rows):
@@ -21,8 +21,7 @@ def test_read_by_name_with_extra_columns(spark, scratch):
            "motion": "false", "lpg": "0.1", "light": "true", "humidity": "50.0", "co": "1.0"}
     _write(f"{scratch}/a.csv", header, [[row[h] for h in header]])
     df = read_raw_csv(spark, f"{scratch}/a.csv")
-    assert df.columns == S.REQUIRED_COLUMNS
-    got = df.first().asDict()
+    got = df.select(*S.REQUIRED_COLUMNS).first().asDict()
     assert got == {c: row[c] for c in S.REQUIRED_COLUMNS}
 
 
@@ -40,9 +39,32 @@ def test_sample_head(spark, scratch):
     assert [r["ts"] for r in head] == [r[0] for r in rows[:10]]
     with pytest.raises(ValueError):
         sample_head(df, 0, ["ts"])
-    write_sample_csv(df, 5, ["ts"], f"{scratch}/sample")
+    sample_csv(spark, f"{scratch}/c.csv", 5, f"{scratch}/sample")
     files = [f for f in os.listdir(f"{scratch}/sample") if f.endswith(".csv")]
     assert len(files) == 1
     with open(f"{scratch}/sample/{files[0]}") as fh:
         lines = fh.read().strip().split("\n")
     assert lines[0] == ",".join(S.REQUIRED_COLUMNS) and len(lines) == 6
+
+
+def test_quotes_inside_cells(spark, scratch):
+    with open(f"{scratch}/q.csv", "w") as fh:
+        fh.write(",".join(S.REQUIRED_COLUMNS) + "\n")
+        fh.write('1594512094.0,"d ""x"", 1",1,1,true,1,true,1,1\n')
+        fh.write('1594512095.0,"two\nlines",1,1,true,1,true,1,1\n')
+    whole = read_raw_csv(spark, f"{scratch}/q.csv", multi_line=True).collect()
+    assert [r["device"] for r in whole] == ['d "x", 1', "two\nlines"]
+    assert read_raw_csv(spark, f"{scratch}/q.csv").first()["device"] == 'd "x", 1'
+    assert [(r["lines"]) for r in unclosed_quotes(spark, scratch, "q.csv").collect()] == [2]
+
+
+def test_sample_keeps_file_order_over_many_splits(spark, scratch):
+    rows = [[str(1594512094 + (i * 37) % 500), f"dev-{i}", "1", "1", "true", "1", "true", "1", "1"] for i in range(500)]
+    _write(f"{scratch}/d.csv", S.REQUIRED_COLUMNS, rows)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2k")
+    try:
+        sample_csv(spark, f"{scratch}/d.csv", 333, f"{scratch}/s")
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    got = spark.read.option("header", True).csv(f"{scratch}/s").collect()
+    assert [r["device"] for r in got] == [f"dev-{i}" for i in range(333)]

@@ -12,6 +12,8 @@ from envtrack.operators.transform import accepted_readings, classify_rows
 from envtrack.sources.csv import MissingColumnsError
 from envtrack.sources.fixtures import raw_readings
 from envtrack.sources.manifest import SourceChangedError
+from envtrack.sources.readings_table import read_readings
+from envtrack.sources import readings_table, storage
 from envtrack.streaming import load as L
 
 from conftest import SF_SMALL
@@ -31,7 +33,7 @@ def write_parts(pdf, folder, n=5, columns=None):
 
 
 def table_ids(spark, table):
-    return {(r[0], r[1]) for r in spark.read.parquet(table).select("device", "timestamp_unix").collect()}
+    return {(r[0], r[1]) for r in read_readings(spark, table).select("device", "timestamp_unix").collect()}
 
 
 def test_resume_two_two_rest(spark, scratch, raw_pdf):
@@ -51,9 +53,9 @@ def test_resume_two_two_rest(spark, scratch, raw_pdf):
 
     one_shot = dedupe_readings(accepted_readings(classify_rows(raw_readings(spark, SF_SMALL))))
     expected = {(r[0], r[1]) for r in one_shot.select("device", "timestamp_unix").collect()}
-    assert spark.read.parquet(table).count() == 956
+    assert read_readings(spark, table).count() == 956
     assert table_ids(spark, table) == expected
-    assert spark.read.parquet(table).select("reading_id").distinct().count() == 956
+    assert read_readings(spark, table).select("reading_id").distinct().count() == 956
 
     paths = L.load_state(spark, table, state)
     rejected = spark.read.parquet(paths.rejected)
@@ -84,19 +86,19 @@ def test_failed_write_does_not_advance(spark, scratch, raw_pdf, monkeypatch):
 
     s = L.load_readings(spark, src, table, state, delay_seconds=0)
     assert s.batches_processed_this_run == 2 and s.rows_loaded == 970
-    assert spark.read.parquet(table).count() == 956
+    assert read_readings(spark, table).count() == 956
 
 
 def test_replay_and_reset_keep_data(spark, scratch, raw_pdf):
     src, table, state = f"{scratch}/src", f"{scratch}/readings", f"{scratch}/state"
     write_parts(raw_pdf, src, n=3)
     L.load_readings(spark, src, table, state, delay_seconds=0)
-    before = spark.read.parquet(table).select("reading_id").collect()
+    before = read_readings(spark, table).select("reading_id").collect()
     s = L.load_readings(spark, src, table, state, reset=True, delay_seconds=0)
     assert s.generation == 1 and s.batches_processed_this_run == 3
     assert s.total_rows_seen == 1015  # counters restart with the new generation
     assert s.total_inserted_or_updated_this_run == 956  # newer ingest time replaces every reading
-    after = spark.read.parquet(table).select("reading_id").collect()
+    after = read_readings(spark, table).select("reading_id").collect()
     assert sorted(before) == sorted(after)
 
 
@@ -119,7 +121,7 @@ def test_header_order_free_and_missing_column(spark, scratch, raw_pdf):
     cols = ["temp", "extra", "device", "ts", "smoke", "motion", "lpg", "light", "humidity", "co"]
     pdf[cols].to_csv(f"{src}/reordered.csv", index=False)
     s = L.load_readings(spark, src, table, state, delay_seconds=0)
-    assert s.rows_loaded == 970 and spark.read.parquet(table).count() == 956
+    assert s.rows_loaded == 970 and read_readings(spark, table).count() == 956
 
     bad = f"{scratch}/bad"
     os.makedirs(bad)
@@ -153,8 +155,8 @@ def test_second_file_with_other_column_order_fails_loudly(spark, scratch, raw_pd
     with pytest.raises(L.LoadFailed):
         L.load_readings(spark, src, table, state, delay_seconds=0, max_attempts=1)
     # the first file was committed; nothing from the second file reached the table
-    assert spark.read.parquet(table).count() > 0
-    devices = {r[0] for r in spark.read.parquet(table).select("device").collect()}
+    assert read_readings(spark, table).count() > 0
+    devices = {r[0] for r in read_readings(spark, table).select("device").collect()}
     assert all(d.startswith("dev-") for d in devices)
 
 
@@ -164,7 +166,7 @@ def test_any_split_gives_the_same_table(spark, scratch, raw_pdf, n_files, per_ba
     write_parts(raw_pdf.sample(frac=1.0, random_state=n_files), src, n=n_files)  # row order shuffled too
     s = L.load_readings(spark, src, table, state, files_per_batch=per_batch, delay_seconds=0)
     assert (s.total_rows_seen, s.rows_loaded, s.rows_rejected) == (1015, 970, 45)
-    got = spark.read.parquet(table).select("reading_id", "device", "timestamp_unix", "quality.flags")
+    got = read_readings(spark, table).select("reading_id", "device", "timestamp_unix", "quality.flags")
     one_shot = dedupe_readings(accepted_readings(classify_rows(raw_readings(spark, SF_SMALL))))
     want = one_shot.select("reading_id", "device", "timestamp_unix", "quality.flags")
     assert sorted(got.collect()) == sorted(want.collect())
@@ -189,7 +191,7 @@ def test_crash_after_rejects_replays_without_duplicates(spark, scratch, raw_pdf,
     assert s.batches_processed_this_run == 1 and s.total_rows_seen == 1015
     paths = L.load_state(spark, table, state)
     assert spark.read.parquet(paths.rejected).count() == 45
-    assert spark.read.parquet(table).count() == 956
+    assert read_readings(spark, table).count() == 956
 
 
 def test_custom_checkpoint_location(spark, scratch, raw_pdf):
@@ -202,29 +204,20 @@ def test_custom_checkpoint_location(spark, scratch, raw_pdf):
     assert s.batches_processed_this_run == 1 and s.total_rows_seen == 1015
 
 
-def test_split_into_batch_files_keeps_file_order(spark, scratch, raw_pdf):
-    src, dest = f"{scratch}/one", f"{scratch}/batches"
+def test_staged_batches_keep_file_order(spark, scratch, raw_pdf):
+    src, dest = f"{scratch}/one", f"{scratch}/staged"
     os.makedirs(src)
     raw_pdf[S.REQUIRED_COLUMNS].to_csv(f"{src}/all.csv", index=False)
     # small splits: the file is read by many tasks, yet batches must follow file order
     spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")
     try:
-        L.split_into_batch_files(spark, src, dest, batch_size=100)
+        L.stage_batches(L._csv_batches(spark, src, "*.csv", 100, False), dest)
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
-    dest = f"{dest}/source_file=all.csv"
-    dirs = sorted((d for d in os.listdir(dest) if d.startswith("batch_number=")), key=lambda d: int(d.split("=")[1]))
-    assert len(dirs) == 11
-    import pandas as pd
-
-    expected = raw_pdf[S.REQUIRED_COLUMNS].fillna("").astype(str).reset_index(drop=True)
-    for i, d in enumerate(dirs):
-        files = [f for f in os.listdir(f"{dest}/{d}") if f.endswith(".csv")]
-        assert len(files) == 1
-        got = pd.read_csv(f"{dest}/{d}/{files[0]}", dtype=str, keep_default_na=False)
-        want = expected.iloc[i * 100:(i + 1) * 100].reset_index(drop=True)
-        assert len(got) == len(want)
-        assert (got["ts"].tolist(), got["smoke"].tolist()) == (want["ts"].tolist(), want["smoke"].tolist())
+    got = spark.read.parquet(dest).orderBy("ordinal", "position").toPandas()
+    want = raw_pdf[S.REQUIRED_COLUMNS].fillna("").astype(str).reset_index(drop=True)
+    assert got["ordinal"].tolist() == [i // 100 + 1 for i in range(len(want))]
+    assert (got["ts"].fillna("").tolist(), got["smoke"].fillna("").tolist()) == (want["ts"].tolist(), want["smoke"].tolist())
 
 
 def test_empty_source(spark, scratch):
@@ -246,8 +239,8 @@ def test_row_batches_from_one_csv_like_the_reference(spark, scratch, raw_pdf):
     s3 = L.load_in_row_batches(spark, src, table, state, batch_size=300, delay_seconds=0, ingested_at=at)
     assert s3.batches_processed_this_run == 0
     status = L.batch_status_table(spark, L.load_state(spark, table, state))
-    assert sorted(r["rows_read"] for r in status.collect()) == [115, 300, 300, 300]
-    assert spark.read.parquet(table).count() == 956
+    assert sorted((r["batch_number"], r["rows_read"]) for r in status.collect()) == [(1, 300), (2, 300), (3, 300), (4, 115)]
+    assert read_readings(spark, table).count() == 956
     time.sleep(1.1)
     with open(f"{src}/all.csv", "a") as fh:
         fh.write("1594512094.0,dev-x,1,1,true,1,true,1,1\n")
@@ -262,7 +255,7 @@ def test_files_in_nested_folders_are_loaded(spark, scratch, raw_pdf):
     write_parts(raw_pdf, f"{src}/day1", n=2)
     write_parts(raw_pdf, f"{src}/day2/late", n=1)
     s = L.load_readings(spark, src, table, state, files_per_batch=3, delay_seconds=0)
-    assert s.total_rows_seen == 2 * 1015 and spark.read.parquet(table).count() == 956
+    assert s.total_rows_seen == 2 * 1015 and read_readings(spark, table).count() == 956
 
 
 def test_row_batches_from_nested_source(spark, scratch, raw_pdf):
@@ -277,8 +270,152 @@ def test_row_batches_several_per_trigger(spark, scratch, raw_pdf):
     src, table, state = f"{scratch}/src", f"{scratch}/readings", f"{scratch}/state"
     os.makedirs(src)
     raw_pdf[S.REQUIRED_COLUMNS].to_csv(f"{src}/all.csv", index=False)
-    s = L.load_in_row_batches(spark, src, table, state, batch_size=300, batches_per_trigger=4, delay_seconds=0)
-    assert s.batches_processed_this_run == 1 and s.total_rows_seen == 1015 and s.rows_loaded == 970
+    s = L.load_in_row_batches(spark, src, table, state, batch_size=300, batches_per_trigger=3, delay_seconds=0)
+    assert s.batches_processed_this_run == 4 and s.total_rows_seen == 1015 and s.rows_loaded == 970
     status = L.batch_status_table(spark, L.load_state(spark, table, state)).collect()
     assert sorted((r["batch_number"], r["rows_read"]) for r in status) == [(1, 300), (2, 300), (3, 300), (4, 115)]
-    assert spark.read.parquet(table).count() == 956
+    assert read_readings(spark, table).count() == 956
+
+
+def test_row_batches_run_in_order_from_file_to_file(spark, scratch, raw_pdf):
+    """With many write tasks and several files: batches 1 to 3, then from 4; a log row for each."""
+    src, table, state = f"{scratch}/src", f"{scratch}/readings", f"{scratch}/state"
+    write_parts(raw_pdf, src, n=2)  # 508 and 507 rows
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        s1 = L.load_in_row_batches(spark, src, table, state, batch_size=200, max_batches=2, delay_seconds=0)
+        s2 = L.load_in_row_batches(spark, src, table, state, batch_size=200, batches_per_trigger=3, delay_seconds=0)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert (s1.batches_processed_this_run, s1.total_rows_seen, s1.stopped_early) == (2, 400, True)
+    assert (s2.batches_processed_this_run, s2.total_rows_seen, s2.stopped_early) == (4, 1015, False)
+    paths = L.load_state(spark, table, state)
+    log = {(r["source_file"].rsplit("/", 1)[-1], r["batch_number"]): r["rows_read"]
+           for r in L.batch_log_table(spark, paths).collect()}
+    assert log == {("part-00.csv", 1): 200, ("part-00.csv", 2): 200, ("part-00.csv", 3): 108,
+                   ("part-01.csv", 1): 200, ("part-01.csv", 2): 200, ("part-01.csv", 3): 107}
+    rejected = spark.read.parquet(paths.rejected)
+    assert rejected.count() == 45 and {"batch_number", "source_file"} <= set(rejected.columns)
+    assert read_readings(spark, table).count() == 956
+
+
+def test_an_error_while_listing_fails_the_batch(spark, scratch, raw_pdf, monkeypatch):
+    """Stored readings must not be taken for absent: the batch fails, and the next run loses nothing."""
+    src, table, state = f"{scratch}/src", f"{scratch}/readings", f"{scratch}/state"
+    write_parts(raw_pdf, src, n=3)
+    L.load_readings(spark, src, table, state, max_batches=1, delay_seconds=0)
+    real = readings_table.read_if_exists
+
+    def unreadable(spark, path, schema):
+        if path.endswith("/commits"):
+            raise OSError("listing failed")
+        return real(spark, path, schema)
+
+    monkeypatch.setattr(readings_table, "read_if_exists", unreadable)
+    with pytest.raises(L.LoadFailed):
+        L.load_readings(spark, src, table, state, max_attempts=1, delay_seconds=0)
+    monkeypatch.undo()
+    L.load_readings(spark, src, table, state, delay_seconds=0)
+    assert read_readings(spark, table).count() == 956
+
+
+@pytest.mark.parametrize("when", ["before", "after"])
+def test_a_half_done_commit_changes_nothing(spark, scratch, raw_pdf, monkeypatch, when):
+    """Fail between writing the new versions and putting them in force, and right behind that."""
+    src, table, state = f"{scratch}/src", f"{scratch}/readings", f"{scratch}/state"
+    write_parts(raw_pdf.sample(frac=1.0, random_state=1), src, n=2)  # both files touch all days
+    at = dt.datetime(2026, 1, 1, tzinfo=dt.timezone.utc)
+    L.load_readings(spark, src, table, state, max_batches=1, delay_seconds=0, ingested_at=at)
+    before = sorted(read_readings(spark, table).select("reading_id").collect())
+    real = readings_table.publish
+
+    def broken(df, pending, final):
+        if when == "after":
+            real(df, pending, final)
+        raise OSError("connection lost")
+
+    monkeypatch.setattr(readings_table, "publish", broken)
+    with pytest.raises(L.LoadFailed):
+        L.load_readings(spark, src, table, state, max_attempts=1, delay_seconds=0, ingested_at=at)
+    monkeypatch.undo()
+    if when == "before":
+        assert sorted(read_readings(spark, table).select("reading_id").collect()) == before
+    L.load_readings(spark, src, table, state, delay_seconds=0, ingested_at=at)
+    clean = f"{scratch}/clean"
+    L.load_readings(spark, src, clean, f"{scratch}/state2", delay_seconds=0, ingested_at=at)
+    assert sorted(read_readings(spark, table).collect()) == sorted(read_readings(spark, clean).collect())
+
+
+def test_a_published_folder_is_never_replaced(spark, scratch):
+    one = spark.range(3)
+    storage.publish(one, f"{scratch}/p1", f"{scratch}/final")
+    with pytest.raises(FileExistsError):
+        storage.publish(one, f"{scratch}/p2", f"{scratch}/final")
+    assert spark.read.parquet(f"{scratch}/final").count() == 3
+
+
+def test_reset_with_a_custom_checkpoint_goes_on(spark, scratch, raw_pdf):
+    src, table, state, ckpt = f"{scratch}/src", f"{scratch}/readings", f"{scratch}/state", f"{scratch}/ckpt"
+    write_parts(raw_pdf, src, n=3)
+    L.load_readings(spark, src, table, state, checkpoint_path=ckpt, delay_seconds=0)
+    s = L.load_readings(spark, src, table, state, checkpoint_path=ckpt, reset=True, max_batches=1, delay_seconds=0)
+    assert s.batches_processed_this_run == 1
+    s = L.load_readings(spark, src, table, state, checkpoint_path=ckpt, delay_seconds=0)
+    assert s.batches_processed_this_run == 2 and s.total_rows_seen == 1015
+
+
+def test_another_source_is_refused(spark, scratch, raw_pdf):
+    src, table, state = f"{scratch}/src", f"{scratch}/readings", f"{scratch}/state"
+    write_parts(raw_pdf, src, n=1)
+    write_parts(raw_pdf, f"{scratch}/other", n=1)
+    L.load_readings(spark, src, table, state, delay_seconds=0)
+    with pytest.raises(SourceChangedError):
+        L.load_readings(spark, f"{scratch}/other", table, state, delay_seconds=0)
+
+
+def test_long_errors_and_many_changed_files_are_kept_whole(spark, scratch, raw_pdf, monkeypatch):
+    src, table, state = f"{scratch}/src", f"{scratch}/readings", f"{scratch}/state"
+    write_parts(raw_pdf, src, n=30)
+    text = "x" * 9000
+    monkeypatch.setattr(L, "merge_into_table", lambda *a: (_ for _ in ()).throw(OSError(text)))
+    with pytest.raises(L.LoadFailed):
+        L.load_readings(spark, src, table, state, files_per_batch=30, max_attempts=2, delay_seconds=0)
+    monkeypatch.undo()
+    failure = spark.read.parquet(L.load_state(spark, table, state).failures).first()
+    assert text in failure["error"] and failure["attempts"] == 2
+    L.load_readings(spark, src, table, state, files_per_batch=30, delay_seconds=0)
+    time.sleep(1.1)
+    for i in range(25):
+        with open(f"{src}/part-{i:02d}.csv", "a") as fh:
+            fh.write("1594512094.0,dev-x,1,1,true,1,true,1,1\n")
+    with pytest.raises(SourceChangedError, match="^25 source files") as found:
+        L.load_readings(spark, src, table, state, delay_seconds=0)
+    listed = str(found.value).split("listed in ")[1].split(". Restore")[0]
+    assert spark.read.parquet(listed).count() == 25
+
+
+def test_an_error_that_stays_is_not_tried_again():
+    calls = []
+
+    def wrong():
+        calls.append(1)
+        raise ValueError("no")
+
+    with pytest.raises(L.GaveUp) as found:
+        L.persistently(wrong, 5, 0)
+    assert len(calls) == found.value.attempts == 1
+
+
+def test_load_report_sums_what_the_batches_kept(spark, scratch, raw_pdf):
+    src, table, state = f"{scratch}/src", f"{scratch}/readings", f"{scratch}/state"
+    write_parts(raw_pdf, src, n=3)
+    labels = L.SourceLabels(dataset="d", url="http://example.org/d")
+    L.load_readings(spark, src, table, state, delay_seconds=0, labels=labels)
+    report = L.load_report(spark, L.load_state(spark, table, state))
+    totals = report["totals"].first()
+    assert (totals["total_rows_seen"], totals["batches"]) == (1015, 3) and totals["consequences"]
+    assert totals["rejected_reasons"] == {"missing_ts": 12, "invalid_ts": 11, "missing_device": 22}
+    assert totals["invalid_measurement_values"]["invalid_numeric_lpg"] == 12
+    assert sum(r["documents"] for r in report["device_counts"].collect()) == 970
+    assert {tuple(r) for r in read_readings(spark, table).select("source.dataset", "source.url").distinct().collect()} \
+        == {("d", "http://example.org/d")}

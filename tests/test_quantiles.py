@@ -6,7 +6,7 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from envtrack.operators.quantiles import exact_quantile_columns, exact_quantiles
+from envtrack.operators.quantiles import exact_quantiles
 
 
 @pytest.fixture(scope="module")
@@ -42,18 +42,6 @@ def test_grouped_matches_quantile_disc(spark, data, p):
     assert got == want
 
 
-def test_global_columns(spark, data):
-    df = spark.createDataFrame(data, "g string, v double, w double")
-    row = exact_quantile_columns(df, {"v": F.col("v"), "w": F.col("w"), "none": F.lit(None)}, 0.9).first()
-    con = duckdb.connect()
-    con.execute("CREATE TABLE t (g VARCHAR, v DOUBLE, w DOUBLE)")
-    con.executemany("INSERT INTO t VALUES (?, ?, ?)", data)
-    want = con.sql("SELECT quantile_disc(v, 0.9), quantile_disc(w, 0.9) FROM t").fetchall()[0]
-    assert (row["v"], row["w"], row["none"]) == (want[0], want[1], None)
-    plan = exact_quantile_columns(df, {"v": F.col("v")}, 0.9)._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastNestedLoopJoin" not in plan and "CartesianProduct" not in plan
-
-
 def test_extreme_outliers_stay_exact(spark):
     import random as _r
 
@@ -68,14 +56,50 @@ def test_extreme_outliers_stay_exact(spark):
         assert exact_quantiles(df, ["g"], "v", p).first()["value"] == srt[k - 1]
 
 
-def test_eager_values_match_lazy(spark, data):
+def test_eager_values_match_grouped(spark, data):
     from envtrack.operators.quantiles import exact_quantile_values
 
-    df = spark.createDataFrame(data, "g string, v double, w double")
+    df = spark.createDataFrame(data, "g string, v double, w double").withColumn("all", F.lit("x"))
     for p in (0.0, 0.5, 0.9, 1.0):
         got = exact_quantile_values(df, {"v": F.col("v"), "w": F.col("w"), "none": F.lit(None)}, p)
-        lazy = exact_quantile_columns(df, {"v": F.col("v"), "w": F.col("w")}, p).first()
-        assert got == {"v": lazy["v"], "w": lazy["w"], "none": None}
+        want = {f: exact_quantiles(df, ["all"], f, p).first()["value"] for f in ("v", "w")}
+        assert got == {**want, "none": None}
     vals = [0.5] * 1000 + [1e300, -1e300]
     odd = spark.createDataFrame([(v,) for v in vals], "v double")
     assert exact_quantile_values(odd, {"v": F.col("v")}, 0.9)["v"] == 0.5
+
+
+def test_infinities_and_three_jobs_at_most(spark, monkeypatch):
+    from pyspark.sql import DataFrame
+
+    from envtrack.operators.quantiles import exact_quantile_values
+
+    inf = float("inf")
+    vals = [inf, -inf, 3e12, 0.0, -0.0, 1.0, 1.0000000000000002, 5e-324, 2.0**-1022] + [i / 7 for i in range(500)]
+    df = spark.createDataFrame([("a", v) for v in vals], "g string, v double")
+    jobs, real = [], DataFrame.collect
+    monkeypatch.setattr(DataFrame, "collect", lambda self: jobs.append(1) or real(self))
+    for p in (0.0, 0.001, 0.5, 0.9, 0.999, 1.0):
+        want = sorted(vals)[max(1, -(-int(p * 1e6) * len(vals) // 10**6)) - 1]
+        jobs.clear()
+        assert exact_quantile_values(df, {"v": F.col("v")}, p)["v"] == want
+        assert len(jobs) <= 3
+        assert exact_quantiles(df, ["g"], "v", p).first()["value"] == want
+    only = spark.createDataFrame([(inf,)] * 5, "v double")
+    assert exact_quantile_values(only, {"v": F.col("v")}, 0.9) == {"v": inf}
+
+
+def test_order_image_orders_like_doubles(spark):
+    import struct
+
+    from envtrack.functions.numeric import order_image
+
+    rnd = random.Random(2)
+    vals = [struct.unpack("<d", rnd.randbytes(8))[0] for _ in range(3000)]
+    vals = [v for v in vals if v == v] + [2.0**e for e in range(-1074, 1024)] + [0.0, float("inf"), float("-inf")]
+    vals += [struct.unpack("<d", struct.pack("<q", struct.unpack("<q", struct.pack("<d", 2.0**e))[0] - 1))[0]
+             for e in range(-1022, 1024)]
+    rows = spark.createDataFrame([(v,) for v in vals], "v double").select("v", order_image(F.col("v")).alias("i")).collect()
+    for r in rows:
+        bits = struct.unpack("<q", struct.pack("<d", abs(r["v"])))[0]
+        assert r["i"] == (bits if r["v"] >= 0 else -bits)

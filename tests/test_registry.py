@@ -8,14 +8,15 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from envtrack.plans import registry
 
 from conftest import SF_SMALL
 
 FORBIDDEN = ["PythonUDF", "ArrowEvalPython", "BatchEvalPython", "CartesianProduct", "BroadcastNestedLoopJoin"]
-SKIP_PLAN = {"resumable_load"}  # runs a whole streaming load when called
+SKIP_PLAN = {"resumable_load", "batch_log"}  # run a whole load when called
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - SKIP_PLAN))
+@pytest.mark.parametrize("name", sorted(set(registry.QUERIES) - SKIP_PLAN))
 def test_plan_hygiene(spark, name):
     df = entry.queries()[name](spark, SF_SMALL)
     plan = df._jdf.queryExecution().executedPlan().toString()
@@ -48,7 +49,9 @@ def duck():
 @pytest.mark.parametrize("name", ["classify_rows", "dedupe_readings", "batch_quality_status", "upsert_counts",
                                   "alert_thresholds", "high_smoke_readings", "avg_temperature_by_device",
                                   "readings_by_day", "validation_report", "basic_statistics", "elevated_periods",
-                                  "silent_devices", "downsample", "device_baselines", "upsert_merge"])
+                                  "silent_devices", "downsample", "device_baselines", "upsert_merge", "rolling_bursts",
+                                  "extreme_thresholds", "extreme_baselines", "device_relative_alerts", "batch_log",
+                                  "csv_round_trip", "quality_report_devices"])
 def test_matches_duckdb(spark, duck, name):
     df = entry.queries()[name](spark, SF_SMALL)
     rows = [tuple(r) for r in df.collect()]

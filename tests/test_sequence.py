@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from envtrack.functions.timecols import micros
 from envtrack.operators import health as H
-from envtrack.operators.sequence import with_previous, with_running_sum
+from envtrack.operators.sequence import with_previous
 from envtrack.plans import registry
 
 from conftest import SF_SMALL
@@ -18,16 +18,14 @@ def readings(spark):
 
 
 @pytest.mark.parametrize("chunk", [60, 3600, 86400 * 40])
-def test_previous_and_running_sum_match_plain_window(spark, readings, chunk):
+def test_previous_matches_plain_window(spark, readings, chunk):
     x = readings.select("device", "timestamp", "timestamp_unix", micros(F.col("timestamp")).alias("us"),
                         (F.col("measurements.smoke") >= 0.05).cast("int").alias("hi"))
     order = ["timestamp", "timestamp_unix"]
     got = with_previous(x, "device", "timestamp", order, ["us"], chunk_seconds=chunk)
-    got = with_running_sum(got, "device", "timestamp", order, "hi", "run", chunk_seconds=chunk)
     w = Window.partitionBy("device").orderBy(*order)
-    want = x.select("*", F.lag("us").over(w).alias("prev_us"),
-                    F.sum("hi").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("run"))
-    cols = ["device", "timestamp_unix", "us", "prev_us", "run"]
+    want = x.select("*", F.lag("us").over(w).alias("prev_us"))
+    cols = ["device", "timestamp_unix", "us", "prev_us"]
     assert sorted(got.select(*cols).collect()) == sorted(want.select(*cols).collect())
 
 
@@ -105,3 +103,32 @@ def test_islands_and_previous_property(spark, events, chunk):
             want[s] = (island if hi else None, prev_seq)
             prev_hi, prev_seq = hi, s
     assert result == want
+
+
+def test_rolling_bursts_match_a_plain_range_window(spark, readings):
+    x = readings.select("device", "timestamp", micros(F.col("timestamp")).alias("us"))
+    for seconds, least in ((60, 1), (3600, 2), (86400, 3)):
+        w = Window.partitionBy("device").orderBy("us").rangeBetween(-seconds * 1_000_000, 0)
+        want = x.select("device", F.count("*").over(w).alias("readings")).where(F.col("readings") >= least)
+        got = H.rolling_bursts(readings, seconds, least).select("device", "readings")
+        assert sorted(got.collect()) == sorted(want.collect())
+
+
+def test_one_device_with_most_readings(spark):
+    """Baselines, silence and alerts of a device that holds nearly all rows."""
+    rows = spark.range(4000).selectExpr(
+        "if(id % 50 = 0, concat('d', id % 7), 'busy') AS device", "timestamp_seconds(1704067200 + id * 60) AS timestamp",
+        "double(1704067200 + id * 60) AS timestamp_unix",
+        "named_struct('co', 1.0D, 'humidity', 1.0D, 'light', true, 'lpg', double(id % 5), 'motion', true, 'smoke', "
+        "double((id * 7919) % 1000), 'temp', 1.0D) AS measurements",
+        "named_struct('is_valid', true, 'flags', array(''), 'invalid_measurement_count', 0) AS quality",
+        "string(id) AS reading_id")
+    smoke: dict[str, list[float]] = {}
+    for r in rows.select("device", "measurements.smoke").collect():
+        smoke.setdefault(r["device"], []).append(r["smoke"])
+    p90 = {d: sorted(v)[-(-9 * len(v) // 10) - 1] for d, v in smoke.items()}
+    assert {r["device"]: r["smoke_p90"] for r in H.device_baselines(rows).collect()} == p90
+    found = H.device_relative_alerts(rows).collect()
+    assert len(found) == sum(x >= p90[d] for d, v in smoke.items() for x in v)
+    assert all(r["device_p90"] == p90[r["device"]] for r in found)
+    assert {r["device"] for r in H.silent_devices(rows).collect()} == set(smoke)
