@@ -32,7 +32,7 @@ WHITE_SPACE = [9, 10, 11, 12, 13, 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B)
 #: The endings that the word pattern cuts off after an apostrophe.
 ENDINGS = [b"s", b"t", b"re", b"ve", b"m", b"ll", b"d"]
 #: Distinct words whose ids a worker remembers; when full, it starts again.
-CACHE_WORDS = 1_000_000
+CACHE_WORDS = 400_000
 
 
 def byte_characters() -> dict[int, str]:

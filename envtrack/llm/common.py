@@ -28,7 +28,7 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/llm/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -68,17 +68,17 @@ def spans(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.arange(total, dtype=np.int64) + np.repeat(starts - (ends - lengths), lengths)
 
 
-def left_join_by_key(rows: DataFrame, per_key: DataFrame, key: str, share: int = 1024) -> DataFrame:
+def left_join_by_key(rows: DataFrame, per_key: DataFrame, key: str, count: str, share: int = 1024) -> DataFrame:
     """``rows`` left-joined with ``per_key`` (one row for each key), whatever the keys' frequencies.
 
-    A key with more than 1/share of all rows is joined by broadcast: there are fewer than ``share`` of
-    them. All others are shuffled, none of them hot. ``rows`` is read several times: stage it before.
+    Column ``count`` of ``per_key`` has the number of rows with the key. A key with more than 1/share of
+    them all is joined by broadcast: there are fewer than ``share`` of those. All others are shuffled,
+    none of them hot. Both tables are read several times: stage them before.
     """
-    total = rows.count()
-    often = rows.groupBy(key).count().where(F.col("count") > total / share).select(key)
-    heavy = staged(per_key.join(F.broadcast(often), key, "left_semi"), "heavy")
+    total = per_key.agg(F.coalesce(F.sum(count), F.lit(0))).first()[0]
+    heavy, light = per_key.where(F.col(count) * share > total), per_key.where(F.col(count) * share <= total)
     rest = rows.join(F.broadcast(heavy), key, "left_anti")
-    return rows.join(F.broadcast(heavy), key).unionByName(rest.join(per_key, key, "left"))
+    return rows.join(F.broadcast(heavy), key).unionByName(rest.join(light, key, "left"))
 
 
 def components(edges: DataFrame, left: str, right: str) -> DataFrame:
@@ -86,7 +86,7 @@ def components(edges: DataFrame, left: str, right: str) -> DataFrame:
 
     Alternating large-star and small-star steps on the edge table, each written to the shared folder;
     a node with very many edges is handled by ``left_join_by_key``. Nothing goes through the driver but
-    the count and the check sum that tell when nothing changes any more.
+    the counts and the check sum that tell when nothing changes any more.
     """
     edges = edges.select(F.col(left).alias("u"), F.col(right).alias("v")).where("u <> v")
     edges = staged(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
@@ -97,11 +97,13 @@ def components(edges: DataFrame, left: str, right: str) -> DataFrame:
             return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(
                 edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
         seen = state
-        both = staged(edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))), "edges")
-        least = staged(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "least")
-        large = left_join_by_key(both, least, "u").where("v > u and v <> m").select(
+        both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        least = staged(both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
+                       .select("u", F.least("u", "m").alias("m"), "n"), "least")
+        large = left_join_by_key(both, least, "u", "n").where("v > u and v <> m").select(
             F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         large = staged(large, "edges")
-        least = staged(large.groupBy("u").agg(F.min("v").alias("m")), "least")
-        small = left_join_by_key(large, least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        least = staged(large.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")), "least")
+        small = left_join_by_key(large, least, "u", "n").where("v <> m").select(
+            F.col("v").alias("u"), F.col("m").alias("v"))
         edges = staged(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), "edges")

@@ -336,8 +336,9 @@ def _links(docs: DataFrame, texts: DataFrame, clusters: DataFrame, n: int, thres
     sizes = clusters.join(texts.select("digest", "grams", "copies", "fingerprint"), "digest")
     sizes = staged(sizes, "cluster-texts")
     spread = sizes.groupBy("root").agg(F.greatest(F.ceil(F.count("*") / BLOCK_ROWS),
-                                                  F.ceil(F.sum("grams") / BLOCK_GRAMS)).cast("int").alias("nb"))
-    placed = left_join_by_key(sizes, staged(spread, "cluster-blocks"), "root")
+                                                  F.ceil(F.sum("grams") / BLOCK_GRAMS)).cast("int").alias("nb"),
+                                        F.count("*").alias("members"))
+    placed = left_join_by_key(sizes, staged(spread, "cluster-blocks"), "root", "members")
     placed = placed.select("digest", "root", "copies", "nb", F.pmod(F.xxhash64("digest"), "nb").cast("int").alias("b"))
     route, vector = occupied_bits(sizes, 64)
     shared = docs.sparkSession.sparkContext.broadcast(vector)
@@ -421,9 +422,9 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, words: int = 5, id_
     classes = components(found, "digest", "other").withColumnRenamed("node", "digest")
     whole = staged(texts.select("digest", "copies", "least").join(counts, "digest", "left")
                    .join(classes, "digest", "left").withColumn("root", F.coalesce("root", "digest")), "text-classes")
-    smallest = staged(whole.groupBy("root").agg(F.min("least").alias("first")), "class-ids")
-    whole = left_join_by_key(whole, smallest, "root").select("digest", "copies", "first", "links", "text_links")
-    out = left_join_by_key(measured.select("id", "digest", "grams", "row"), staged(whole, "text-results"), "digest")
+    smallest = staged(whole.groupBy("root").agg(F.min("least").alias("first"), F.count("*").alias("members")), "class-ids")
+    whole = left_join_by_key(whole, smallest, "root", "members").select("digest", "copies", "first", "links", "text_links")
+    out = left_join_by_key(measured.select("id", "digest", "grams", "row"), staged(whole, "text-results"), "digest", "copies")
     real = F.col("grams") > 0
     return out.select(
         F.col("id").alias(id_col), F.when(real, F.col("first.id")).otherwise(F.col("id")).alias("class_id"),

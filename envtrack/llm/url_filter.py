@@ -114,7 +114,9 @@ def judge_pages(pages: DataFrame, rules: list[Rule], id_col: str = "page_id", ur
         bad = ruled.where("own.verdict = 'block'").select("root").distinct()
         hit = alias.join(bad, "root", "left_semi").select(F.col("node").alias("address"), F.lit(True).alias("hit"))
         open_ = staged(judged.where("own is null and address is not null"), "open-pages")
-        out = left_join_by_key(open_, staged(hit, "blocked"), "address").unionByName(
+        pages_of = open_.groupBy("address").agg(F.count("*").alias("pages"))
+        hit = staged(hit.join(pages_of, "address"), "blocked")
+        out = left_join_by_key(open_, hit, "address", "pages").unionByName(
             judged.where("own is not null or address is null"), allowMissingColumns=True)
     verdict = F.coalesce("own.verdict", F.when(F.col("hit"), "block"), F.lit("allow"))
     return out.select(F.col("id").alias(id_col), "host", "path", F.col("own.rule").alias("rule"),

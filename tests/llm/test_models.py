@@ -107,10 +107,11 @@ def small_model():
     flat, counts = bpe.encode(raw, offsets)
     size = len(bpe.token_length)
     model = lm_scoring.Model(np.bincount(flat, minlength=size).astype(float), bpe)
-    windows, _ = lm_scoring.windows_of(flat, counts, size)
-    pairs = lm_scoring.pairs_of(windows, size)
+    windows, _ = lm_scoring.windows_of(flat, counts, size, size + 1, size + 2)
+    pairs, often = lm_scoring.pairs_of(flat, counts, size)
+    assert often.sum() == len(flat) + len(counts)
     dense = np.zeros((attention.SYMBOLS + 2) * attention.SYMBOLS)
-    np.add.at(dense, model.symbol[pairs // (size + 3)] * attention.SYMBOLS + model.symbol[pairs % (size + 3)], 1)
+    np.add.at(dense, model.symbol[pairs // (size + 3)] * attention.SYMBOLS + model.symbol[pairs % (size + 3)], often)
     model.tables = attention.Tables.from_counts(dense.reshape(-1, attention.SYMBOLS))
     return model, flat, counts, windows
 
