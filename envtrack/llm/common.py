@@ -20,15 +20,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def staged(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` to the shared folder (spark.checkpoint.dir) and read it back.
+def staged(df: DataFrame, label: str, *folders: str) -> DataFrame:
+    """Write ``df`` to the shared folder (spark.checkpoint.dir), by ``folders``, and read it back.
 
     Cuts the lineage the way a checkpoint does, so that a lost executor costs a re-read and not a
     recomputation, and later stages scan only the columns that they need.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/llm/{label}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.option("compression", "zstd").partitionBy(*folders).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

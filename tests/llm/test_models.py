@@ -124,6 +124,30 @@ def test_every_id_is_a_target_once():
     assert (np.sort(real) == np.sort(flat)).all() and (targets == size + 1).sum() == len(counts)
 
 
+def test_every_training_window_is_dealt_once(spark):
+    docs = table(spark, SF_SMALL, "documents").unionByName(awkward_documents(spark).select("doc_id", "text"), True)
+    marked = lm_scoring._marked(docs, "doc_id", "text")
+    bpe = load(VOCABULARY)
+    size = len(bpe.token_length)
+    raw, offsets = text_buffer(marked.where("not held_out").select("text").toArrow().column(0))
+    expected, _ = lm_scoring.windows_of(*bpe.encode(raw, offsets), size, size + 1, size + 2)
+    rows = lm_scoring._dealt(marked, VOCABULARY, 3, 2).collect()
+    assert {(r.turn, r.part) for r in rows} == {(t, p) for t in range(3) for p in range(2)}
+    found = np.concatenate([lm_scoring.windows_of_runs(
+        np.frombuffer(r.codes, "<u2").astype(np.int32), np.frombuffer(r.lengths, "<i4").astype(np.int64), size, size + 2)
+        for r in rows])
+    assert sorted(w.tobytes() for w in found) == sorted(w.tobytes() for w in expected)
+
+
+def test_rounds_and_copies_grow_with_the_corpus():
+    per_copy = []
+    for windows in (1, 10**5, 10**7, 10**9):
+        rounds, parts = lm_scoring.rounds_and_copies(windows)
+        assert rounds >= 3 and rounds * parts * lm_scoring.SLICE_WINDOWS >= windows
+        per_copy.append(windows / parts)
+    assert per_copy == sorted(set(per_copy))
+
+
 def test_probabilities_sum_to_one():
     model, *_ = small_model()
     rng = np.random.default_rng(0)
