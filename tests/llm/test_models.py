@@ -124,6 +124,14 @@ def test_every_id_is_a_target_once():
     assert (np.sort(real) == np.sort(flat)).all() and (targets == size + 1).sum() == len(counts)
 
 
+def test_every_id_is_scored_with_16_to_63_ids_before_it():
+    ids = np.arange(1000)
+    windows, _ = lm_scoring.windows_of(ids, np.array([1000]), 2000, 2001, 2002)
+    seen = [place + 1 for w in windows for place in range(attention.CONTEXT, attention.WINDOW)
+            if w[place + 1] != 2002 and w[0] != 2002]
+    assert min(seen) >= 17 and max(seen) >= 64  # the place before a target is the input that predicts it
+
+
 def test_every_training_window_is_dealt_once(spark):
     docs = table(spark, SF_SMALL, "documents").unionByName(awkward_documents(spark).select("doc_id", "text"), True)
     marked = lm_scoring._marked(docs, "doc_id", "text")
