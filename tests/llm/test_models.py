@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from cases import awkward_documents, awkward_labels
 from conftest import SF_MID, SF_SMALL
@@ -168,6 +169,72 @@ def test_probabilities_sum_to_one():
     assert np.exp(model.within[:model.size][model.symbol[:model.size] == lm_scoring.RARE]).sum() == pytest.approx(1)
 
 
+def test_whole_vocabulary_is_predicted_from_the_context(spark):
+    docs = spark.createDataFrame([(i, t) for i in range(0, 300) for t in ["zebra quantum", "walrus nebula"]], "doc_id int, text string")
+    docs = docs.unionByName(table(spark, SF_SMALL, "documents").select("doc_id", "text").limit(300))
+    marked = lm_scoring._marked(docs, "doc_id", "text")
+    bpe = load(VOCABULARY)
+    size = len(bpe.token_length)
+    counts = np.zeros(size)
+    counts[:1100] = 10**9  # so that the words above are none of the symbols
+    blocks = lm_scoring.staged(lm_scoring._blocks(marked, VOCABULARY), "test-blocks")
+    model = lm_scoring.train(marked, VOCABULARY, blocks, counts, bpe)
+
+    def ids(text):
+        return bpe.encode(*text_buffer(pa.array([text])))[0]
+
+    for right, wrong in (("zebra quantum", "walrus quantum"), ("walrus nebula", "zebra nebula")):
+        (a, b), (c, d) = ((ids(t), np.array([len(ids(t))])) for t in (right, wrong))
+        lead_a, lead_c = ids(right.split()[0]), ids(wrong.split()[0])
+        assert (model.symbol[a] == lm_scoring.RARE).any()
+        right_gain = model.log10(a, b)[0] - model.log10(lead_a, np.array([len(lead_a)]))[0]
+        wrong_gain = model.log10(c, d)[0] - model.log10(lead_c, np.array([len(lead_c)]))[0]
+        assert right_gain > wrong_gain + 0.5
+
+
+def test_chances_of_all_ids_sum_to_one_with_tail_and_pairs():
+    model, *_ = small_model()
+    rng = np.random.default_rng(0)
+    p = {k: v + rng.standard_normal(v.shape).astype(np.float32) * 0.05 for k, v in model.parameters.items()}
+    model.tables.set_tail(model.within[model.tail])
+    codes = attention.TAIL + len(model.tail)
+    every = np.array([*model.code[:model.size], lm_scoring.END])
+    for before in (5, codes - 7):  # a symbol and an id of the tail
+        after = np.array([3, codes - 9, codes - 2])
+        key, share = before * codes + after, np.array([0.2, 0.1, 0.3])
+        if before < attention.TAIL:
+            key, share = key[1:], share[1:]
+        rest = np.ones(codes)
+        rest[before] -= share.sum()
+        model.tables.pairs = attention.Pairs(key, share, rest)
+        windows = np.full((len(every), attention.WINDOW + 1), attention.PAD, np.int32)
+        windows[:, 3:attention.CONTEXT] = rng.integers(0, codes, attention.CONTEXT - 3)
+        windows[:, attention.CONTEXT], windows[:, attention.CONTEXT + 1] = before, every
+        assert np.exp(attention.log_chances(p, model.tables, windows)).sum() == pytest.approx(1, abs=2e-4)
+
+
+def test_gradients_of_the_tail():
+    model, _, _, windows = small_model()
+    model.tables.set_tail(model.within[model.tail])
+    rng = np.random.default_rng(1)
+    p = {k: (v + rng.standard_normal(v.shape) * 0.05).astype(np.float64) for k, v in model.parameters.items()}
+    w = rng.integers(0, attention.TAIL + len(model.tail), (3, attention.WINDOW + 1))
+    w[(w >= attention.SYMBOLS) & (w < attention.TAIL)] = 1
+    g = attention.gradients(p, model.tables, w)
+    assert set(g) == set(p)
+    for name in (n for n in p if n.startswith("tail")):
+        at = np.unravel_index(np.abs(g[name]).argmax(), p[name].shape)
+        old, values = p[name][at], []
+        for step in (1e-3, -1e-3):
+            p[name][at] = old + step
+            values.append(-attention.forward(p, model.tables, w)[0].mean())
+        p[name][at] = old
+        assert g[name][at] != 0 and (values[0] - values[1]) / 2e-3 == pytest.approx(g[name][at], rel=0.05)
+    chance = attention.log_chances({k: v.astype(np.float32) for k, v in p.items()}, model.tables, w)
+    logp, real, _ = attention.forward(p, model.tables, w)
+    assert np.allclose(chance, np.bincount(real // attention.SCORED, weights=logp), rtol=1e-4)
+
+
 def test_training_improves_and_gradients_are_right():
     model, _, _, windows = small_model()
     w = model.symbol[windows]
