@@ -148,6 +148,21 @@ def test_every_training_window_is_dealt_once(spark):
     assert sorted(w.tobytes() for w in found) == sorted(w.tobytes() for w in expected)
 
 
+def test_copies_of_a_text_spread_over_rounds_and_copies(spark):
+    docs = spark.range(3000).selectExpr("id as doc_id", "if(id % 3 = 0, concat('text number ', id), 'the one text') as text")
+    rows = lm_scoring._dealt(lm_scoring._marked(docs, "doc_id", "text"), VOCABULARY, 3, 4).collect()
+    size = len(load(VOCABULARY).token_length)
+    equal, held = {}, [0] * 12
+    for r in rows:
+        windows = lm_scoring.windows_of_runs(np.frombuffer(r.codes, "<u2").astype(np.int32),
+                                             np.frombuffer(r.lengths, "<i4").astype(np.int64), size, size + 2)
+        held[r.turn * 4 + r.part] += len(windows)
+        for w in windows:
+            equal.setdefault(w.tobytes(), [0] * 12)[r.turn * 4 + r.part] += 1
+    copies = max(equal.values(), key=sum)
+    assert sum(copies) > 1500 and max(copies) < 1.5 * sum(copies) / 12 and max(held) < 1.5 * sum(held) / 12
+
+
 def test_rounds_and_copies_grow_with_the_corpus():
     per_copy = []
     for windows in (1, 10**5, 10**7, 10**9):
