@@ -424,8 +424,10 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, words: int = 5, id_
                    .join(classes, "digest", "left").withColumn("root", F.coalesce("root", "digest")), "text-classes")
     smallest = staged(whole.groupBy("root").agg(F.min("least").alias("first"), F.count("*").alias("members")), "class-ids")
     whole = left_join_by_key(whole, smallest, "root", "members").select("digest", "copies", "first", "links", "text_links")
-    out = left_join_by_key(measured.select("id", "digest", "grams", "row"), staged(whole, "text-results"), "digest", "copies")
     real = F.col("grams") > 0
+    rows = measured.select("id", "digest", "grams", "row")
+    out = left_join_by_key(rows.where(real), staged(whole, "text-results"), "digest", "copies")
+    out = out.unionByName(rows.where(~real), allowMissingColumns=True)  # all of one digest, which no text has
     return out.select(
         F.col("id").alias(id_col), F.when(real, F.col("first.id")).otherwise(F.col("id")).alias("class_id"),
         F.when(real, F.coalesce("links", F.lit(0)) + F.col("copies") - 1).otherwise(0).cast("bigint").alias("n_links"),

@@ -159,6 +159,24 @@ def test_components_with_a_hub(spark):
     assert {root[f"n{i}"] for i in range(300)} == {"hub"} and {root[f"c{i}"] for i in range(41)} == {"c0"}
 
 
+def test_rows_without_grams_are_not_joined(spark, monkeypatch):
+    joined = []
+
+    def watched(rows, per_key, key, count):
+        if "grams" in rows.columns:
+            joined.append(rows.where("grams <= 0").count())
+        return left_join_by_key(rows, per_key, key, count)
+
+    monkeypatch.setattr(ngram_join, "left_join_by_key", watched)
+    docs = spark.range(300).selectExpr("id as doc_id", "case id % 6 when 0 then '' when 3 then null else "
+                                       "concat('some words of text number ', id % 50, ' and its end') end as text")
+    rows = ngram_join.near_duplicates(docs).collect()
+    assert joined and not any(joined) and len(rows) == 300
+    empty = [r for r in rows if r.doc_id % 3 == 0]
+    assert all(r.class_id == r.doc_id and r.kept and (r.n_links, r.n_text_links, r.copies) == (0, 0, 1) for r in empty)
+    assert all(r.copies > 1 for r in rows if r.doc_id % 3)
+
+
 def test_left_join_with_a_hot_key(spark):
     rows = spark.range(4000).selectExpr("id", "if(id % 3 = 0, 0, id) as k")
     other = spark.range(0, 4000, 2).selectExpr("id as k", "id * 2 as v")
