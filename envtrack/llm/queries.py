@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from envtrack.llm import curve_packing, encoding, exact_dedup, lm_scoring, ngram_join, quality, sharding, token_matrix, topk, url_filter
+from envtrack.llm import curve_packing, divergence, encoding, exact_dedup, lm_scoring, ngram_join, quality, sharding, token_matrix, topk, url_filter, variants
 from envtrack.llm.common import table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -56,6 +56,14 @@ def op10_token_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_matrix.pack_matrix(table(spark, sf_dir, "documents"), VOCABULARY)
 
 
+def op12_divergence_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"), least=30, most=50)
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.variants(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_curve_packing": op2_curve_packing,
@@ -67,6 +75,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_lm_scoring": op9_lm_scoring,
     "op10_token_matrix": op10_token_matrix,
     "op8_bpe_encoding": op8_bpe_encoding,
+    "op12_divergence_audit": op12_divergence_audit,
+    "op13_spelling_variants": op13_spelling_variants,
 }
 
 ORACLE: dict[str, str] = {
@@ -74,4 +84,5 @@ ORACLE: dict[str, str] = {
     "op3_top_k": topk.ORACLE,
     "op4_sharding": sharding.oracle(SHARD_BYTES),
     "op5_url_filter": url_filter.ORACLE,
+    "op12_divergence_audit": divergence.ORACLE,
 }

@@ -28,6 +28,11 @@ def word_hashes(raw: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> np.nda
     return (total[ends] - total[begins]) * inverse[begins] + (ends - begins).astype(np.uint64)
 
 
+def letter_powers(exponents: np.ndarray) -> np.ndarray:
+    """The factor by which a byte that stands so many places behind the first enters a word's hash."""
+    return _powers(max(int(exponents.max(initial=0)) + 1, CHUNK_BYTES).bit_length())[0][exponents]
+
+
 def fold_words(raw: np.ndarray, begins: np.ndarray, lengths: np.ndarray):
     """(first, which, keys): the word that stands for each distinct one, and each word's distinct one.
 
