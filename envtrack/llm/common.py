@@ -68,6 +68,30 @@ def spans(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.arange(total, dtype=np.int64) + np.repeat(starts - (ends - lengths), lengths)
 
 
+def whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    """Tables of whole groups from rows sorted by ``keys``: a group that is open at a batch's end is carried on."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        columns = [batch.column(batch.schema.get_field_index(k)).to_numpy() for k in keys]
+        differs = np.zeros(batch.num_rows, bool)
+        for column in columns:
+            differs |= column != column[-1]
+        cut = int(np.flatnonzero(differs)[-1]) + 1 if differs.any() else 0
+        if not cut and held:
+            last = [held[-1].column(batch.schema.get_field_index(k))[-1].as_py() for k in keys]
+            if any(x != column[0] for x, column in zip(last, columns)):
+                yield pa.Table.from_batches(held)
+                held = []
+        if cut:
+            yield pa.Table.from_batches([*held, batch.slice(0, cut)])
+            held = []
+        held.append(batch.slice(cut))
+    if held:
+        yield pa.Table.from_batches(held)
+
+
 def left_join_by_key(rows: DataFrame, per_key: DataFrame, key: str, count: str, share: int = 1024) -> DataFrame:
     """``rows`` left-joined with ``per_key`` (one row for each key), whatever the keys' frequencies.
 

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from envtrack.llm import curve_packing, divergence, encoding, exact_dedup, lm_scoring, ngram_join, quality, sharding, token_matrix, topk, url_filter, variants
+from envtrack.llm import curve_packing, divergence, encoding, exact_dedup, graph_search, lm_scoring, ngram_join, quality, sharding, token_matrix, topk, url_filter, variants
 from envtrack.llm.common import table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -56,6 +56,10 @@ def op10_token_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_matrix.pack_matrix(table(spark, sf_dir, "documents"), VOCABULARY)
 
 
+def op11_graph_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return graph_search.nearest(table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0, k=20)
+
+
 def op12_divergence_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(table(spark, sf_dir, "documents"), least=30, most=50)
 
@@ -75,6 +79,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_lm_scoring": op9_lm_scoring,
     "op10_token_matrix": op10_token_matrix,
     "op8_bpe_encoding": op8_bpe_encoding,
+    "op11_graph_search": op11_graph_search,
     "op12_divergence_audit": op12_divergence_audit,
     "op13_spelling_variants": op13_spelling_variants,
 }
