@@ -30,7 +30,7 @@ from envtrack.operators.transform import accepted_readings, classify_rows  # noq
 from envtrack.plans import queries as Q  # noqa: E402
 from envtrack.session import build_session  # noqa: E402
 from envtrack.sources.fixtures import raw_readings  # noqa: E402
-from envtrack.sources.readings_table import read_readings  # noqa: E402
+from envtrack.sources.table import read_readings  # noqa: E402
 from envtrack.streaming.load import load_in_row_batches, load_readings  # noqa: E402
 
 

@@ -1,4 +1,4 @@
-"""Dedupe by reading id, and the idempotent merge of a batch into the readings table.
+"""Dedupe by reading id, and the repeatable upsert of a batch into the readings table.
 
 Skew: one reading may be copied millions of times (a replayed file, a stuck sensor). A window
 ``row_number() over (partition by reading_id)`` would put every copy of that id into one task.
@@ -12,24 +12,25 @@ wording -- missing vs. invalid for a null value -- can differ).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from envtrack import schema as S
-from envtrack.sources.readings_table import read_readings, replace_days
 
-_PAYLOAD = [c for c in S.READING_COLUMNS if c != "reading_id"]
+def dedupe_readings(readings: DataFrame, also: list[str] | None = None) -> DataFrame:
+    """One row per ``reading_id``, newest wins (partial aggregation handles hot ids).
 
-
-def dedupe_readings(readings: DataFrame) -> DataFrame:
-    """One row per ``reading_id``, newest wins (partial aggregation handles hot ids)."""
+    ``also`` names columns that are functions of the id, to be grouped by as well.
+    """
+    keys = ["reading_id", *(also or [])]
+    payload = [c for c in S.READING_COLUMNS if c not in keys]
     best = F.max(F.struct(
         F.col("ingested_at").alias("_k1"),
         F.array_join(F.col("quality.flags"), ",").alias("_k2"),
-        F.struct(*[F.col(c) for c in _PAYLOAD]).alias("p"),
+        F.struct(*[F.col(c) for c in payload]).alias("p"),
     )).alias("_best")
-    return (readings.groupBy("reading_id").agg(best)
-            .select("reading_id", *[F.col(f"_best.p.{c}").alias(c) for c in _PAYLOAD]))
+    return (readings.groupBy(*keys).agg(best)
+            .select(*[c if c in keys else F.col(f"_best.p.{c}").alias(c) for c in S.READING_COLUMNS]))
 
 
 def upsert_counts(batch: DataFrame, existing: DataFrame) -> DataFrame:
@@ -51,14 +52,13 @@ def upsert_counts(batch: DataFrame, existing: DataFrame) -> DataFrame:
     ).withColumn("inserted_or_updated", F.col("inserted") + F.col("updated"))
 
 
-def days_of(batch: DataFrame) -> DataFrame:
-    """The distinct days of a batch, as a frame: their number comes from the data."""
-    return batch.select("event_date").distinct()
-
+def settled(readings: DataFrame) -> DataFrame:
+    """``dedupe_readings`` of stored rows, grouped by day, device and time as well.
 
-def stored_on(spark: SparkSession, table: str, days: DataFrame) -> DataFrame:
-    """The readings in force on some days; the days prune the table's folders."""
-    return read_readings(spark, table).join(days, "event_date", "left_semi")
+    All three are functions of the id, so that the groups are the same, and filters on them pass below
+    the aggregate and reach the scan.
+    """
+    return dedupe_readings(readings, ["event_date", "device", "timestamp"])
 
 
 def merge_frames(current: DataFrame | None, batch: DataFrame) -> DataFrame:
@@ -70,25 +70,3 @@ def merge_frames(current: DataFrame | None, batch: DataFrame) -> DataFrame:
     if current is not None:
         combined = current.select(*S.READING_COLUMNS).unionByName(combined)
     return dedupe_readings(combined)
-
-
-def merge_into_table(spark: SparkSession, batch: DataFrame, table: str, partitions: int | None = None) -> int:
-    """Upsert ``batch`` (readings schema) into the table; returns the number of the commit.
-
-    Only days touched by the batch are read and written anew. An id never changes day, because the day
-    is a function of the hashed ``timestamp_unix``, so merging day by day is exact. The merged days are
-    new folders that one commit puts in force (``sources.readings_table``): a failure at any point
-    leaves the table as it was, and a replay of the batch gives the same readings.
-
-    Layout: after the dedupe (a sort aggregate with map-side combine, safe for hot ids) the rows are
-    range-partitioned on (event_date, device, timestamp). Range bounds come from a sample, so tasks
-    are balanced even when one day or one device dominates, each day gets a bounded number of
-    files, and every file is sorted by device and time, which Parquet min/max statistics turn into
-    row-group skipping for device and time filters.
-    """
-    days = days_of(batch)
-    merged = merge_frames(stored_on(spark, table, days), batch)
-    # without an explicit count AQE sizes the range partitions (advisory partition size)
-    keys = ["event_date", "device", "timestamp"]
-    ranged = merged.repartitionByRange(partitions, *keys) if partitions else merged.repartitionByRange(*keys)
-    return replace_days(spark, ranged.sortWithinPartitions(*keys), days, table)

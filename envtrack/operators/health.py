@@ -61,7 +61,7 @@ def device_baselines(readings: DataFrame, fields=tuple(THRESHOLD_FIELDS), valid_
               .groupBy("device", "field", "value").agg(F.count("*").alias("n")))
     readings_of = counts.where(F.col("field") == "").select("device", F.col("n").alias("readings"))
     q = quantiles_of_counts(counts.where((F.col("field") != "") & F.col("value").isNotNull()), ["device", "field"],
-                            {"p50": 0.5, "p90": 0.9})
+                            {"p50": 0.5, "p90": 0.9}, rows=r.select("device").withColumn("field", F.lit("")))
     names = [(f, p) for f in fields for p in ("p50", "p90")]
     wide = q.groupBy("device").agg(*[F.max(F.when(F.col("field") == f, F.col(p))).alias(f"{f}_{p}") for f, p in names])
     return readings_of.join(wide, "device", "left").select("device", "readings", *[f"{f}_{p}" for f, p in names])
@@ -131,11 +131,12 @@ def silent_devices(readings: DataFrame, factor: float = 3.0, chunk_seconds: int
     The gaps are reduced at once to counts of equal gaps with their newest time; everything else is
     read off those counts.
     """
-    counts = _with_gaps(base(readings, valid_only), chunk_seconds).groupBy("device", "gap_seconds").agg(
+    r = base(readings, valid_only)
+    counts = _with_gaps(r, chunk_seconds).groupBy("device", "gap_seconds").agg(
         F.count("*").alias("n"), F.max("timestamp").alias("_last"))
     last = counts.groupBy("device").agg(F.max("_last").alias("_last"))
     gaps = counts.where(F.col("gap_seconds").isNotNull()).select("device", F.col("gap_seconds").alias("value"), "n")
-    per = last.join(quantiles_of_counts(gaps, ["device"], {"median_interval_seconds": 0.5}), "device", "left")
+    per = last.join(quantiles_of_counts(gaps, ["device"], {"median_interval_seconds": 0.5}, rows=r), "device", "left")
     as_of = last.agg(F.max("_last")).scalar()
     silence = (micros(as_of) - micros(F.col("_last"))) / 1e6
     return per.select(
@@ -211,21 +212,11 @@ def elevated_periods(readings: DataFrame, field: str = "smoke", threshold=None,
 def device_relative_alerts(readings: DataFrame, field: str = "smoke", valid_only: bool = False) -> DataFrame:
     """Readings at or above their own device's p90 of ``field``.
 
-    Devices with more than 1/1024 of the values -- there are fewer than 1024 -- meet their readings by
-    broadcast; the other readings are joined on the device, none of them of a busy one. Rows that the
-    broadcast has served carry a key of their own through that join, so the table is scanned once.
+    The readings meet their device's p90 in a plain join: adaptive execution broadcasts the devices if
+    they turn out to be few, and otherwise splits the readings of a busy device among tasks.
     """
     r = base(readings, valid_only).where(_m(field).isNotNull())
-    counts = value_counts(r, ["device"], _m(field))
-    p90 = quantiles_of_counts(counts, ["device"], {"p90": 0.9})
-    sizes = counts.groupBy("device").agg(F.sum("n").alias("n"))
-    per = p90.join(sizes, "device")
-    busy_from = sizes.agg(F.sum("n")).scalar() / 1024
-    busy = per.where(F.col("n") > busy_from).select("device", F.col("p90").alias("_busy"))
-    rest = per.where(F.col("n") <= busy_from).select(F.col("device").alias("_key"), F.col("p90").alias("_rest"))
-    rows = r.select("device", "timestamp", _m(field).alias("value"), "reading_id")
-    met = rows.join(F.broadcast(busy), "device", "left")
-    key = F.when(F.col("_busy").isNull(), F.col("device")).otherwise(F.concat(F.lit("\u0000"), "reading_id"))
-    met = met.withColumn("_at", key).join(rest, F.col("_at") == F.col("_key"), "left")
-    return (met.withColumn("device_p90", F.coalesce("_busy", "_rest")).where(F.col("value") >= F.col("device_p90"))
+    p90 = quantiles_of_counts(value_counts(r, ["device"], _m(field)), ["device"], {"device_p90": 0.9}, rows=r)
+    rows = r.select("device", "timestamp", _m(field).alias("value"))
+    return (rows.join(p90, "device").where(F.col("value") >= F.col("device_p90"))
             .select("device", utc_ntz(F.col("timestamp")).alias("timestamp"), "value", "device_p90"))

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from envtrack.functions.timecols import utc_ntz
 from envtrack.operators import validate as V
 from envtrack.plans import queries as Q
-from envtrack.sources.readings_table import read_readings
+from envtrack.sources.table import read_readings
 from envtrack.streaming.sinks import write_json_report
 
 

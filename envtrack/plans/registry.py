@@ -510,7 +510,7 @@ def q_resumable_load(spark, sf_dir):
     Side effect: writes the input files, the table and the load state to a new folder under the
     session's shared state folder (``spark.checkpoint.dir``).
     """
-    from envtrack.sources.readings_table import read_readings
+    from envtrack.sources.table import read_readings
     from envtrack.streaming.load import load_readings
 
     root = _fresh_folder(spark, "resumable_load")
@@ -528,18 +528,13 @@ def q_resumable_load(spark, sf_dir):
     "count_if(rejection_reason IS NULL AND len(flags) > 0) AS rows_with_quality_flags "
     "FROM cls JOIN n USING (_part, _seq) GROUP BY ALL"))
 def q_batch_log(spark, sf_dir):
-    """T1 by rows: the counters of every 1,000-row batch of two inputs, loaded four batches a step."""
-    from envtrack.operators.transform import SourceLabels
-    from envtrack.streaming import load as L
+    """T1 by rows: the counters of every 1,000-row batch of two inputs, all in one aggregate."""
+    from envtrack.streaming.load import counters_by_batch, numbered_batches
 
-    root = _fresh_folder(spark, "batch_log")
     raw = raw_readings(spark, sf_dir, keep_order=True).withColumn("source_file", F.concat(F.lit("part-"), "_part"))
-    rows = L.numbered_batches(raw, sequence_group("_part", "_seq"), ["_seq"], S.DEFAULT_BATCH_SIZE, "source_file")
-    L.stage_batches(rows, f"{root}/staged")
-    paths = L.resolve_paths(spark, f"{root}/state", f"{root}/readings", False, None)
-    load = L.BatchLoad(spark, paths, f"{root}/readings", REGISTRY_INGESTED_AT, SourceLabels(), 1, 0)
-    L.load_staged_batches(spark, f"{root}/staged", load, None, 4)
-    return L.batch_log_table(spark, paths).drop("batch_id")
+    rows = numbered_batches(raw, sequence_group("_part", "_seq"), ["_seq"], S.DEFAULT_BATCH_SIZE, "source_file")
+    classified = classify_rows(rows, REGISTRY_INGESTED_AT, keep=["source_file", "batch_number"])
+    return counters_by_batch(classified)
 
 
 @register("csv_round_trip", O.with_raw(

@@ -7,7 +7,7 @@ mixed in another is parsed the same way in both).
 Header handling: the header of a file is read first and checked against ``REQUIRED_COLUMNS``
 (order free, extra columns allowed). The read schema is then built in *that file's* order with
 ``enforceSchema=false``, so Spark checks each file's header by name; columns are selected by name
-afterwards. A fixed schema with the default ``enforceSchema=true`` would bind columns by position
+afterwards. Files of several orders are read by one scan for each order (``read_files``). A fixed schema with the default ``enforceSchema=true`` would bind columns by position
 and silently swap two reordered columns, so it is never used.
 """
 
@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from envtrack import schema as S
+from envtrack.sources.storage import first_line
 
 
 class MissingColumnsError(ValueError):
@@ -35,13 +36,42 @@ def require_header(header: Sequence[str], path: str) -> list[str]:
 
 
 def header_of(spark: SparkSession, path: str) -> list[str]:
-    """Column names of one CSV file's header line (reads only the first line of that file)."""
+    """Column names of one CSV file's header line; none for an empty file."""
     import csv as _csv
 
-    first = spark.read.text(path).limit(1).collect()  # the header line only, not data
-    if not first:
-        return []
-    return [name.strip() for name in next(_csv.reader([first[0][0]]))]
+    line = first_line(spark, path)
+    return [] if line is None else [name.strip() for name in next(_csv.reader([line]), [])]
+
+
+def by_header(spark: SparkSession, paths: Sequence[str]) -> dict[tuple[str, ...], list[str]]:
+    """S2 for several files: the files of each column order; a header without a required column is refused.
+
+    One line is read from each file; the caller bounds their number (the files of one batch).
+    """
+    found: dict[tuple[str, ...], list[str]] = {}
+    for path in paths:
+        header = header_of(spark, path)
+        if header:  # an empty file has no rows either
+            found.setdefault(tuple(require_header(header, path)), []).append(path)
+    return found
+
+
+def literal_path(path: str) -> str:
+    """A path as Spark's readers take it when they must not look for patterns in it."""
+    return "".join("\\" + c if c in "{}[]*?\\" else c for c in path)
+
+
+def read_files(spark: SparkSession, paths: Sequence[str], multi_line: bool = False) -> DataFrame | None:
+    """Raw readings of files whatever the order of their columns: one scan for each order, united by name.
+
+    ``_file`` has each row's file. None if all files are empty.
+    """
+    out = None
+    for columns, same in by_header(spark, paths).items():
+        scan = spark.read.options(**csv_options(multi_line)).schema(text_schema(columns)).csv([literal_path(p) for p in same])
+        rows = scan.select(*S.REQUIRED_COLUMNS, F.col("_metadata.file_path").alias("_file"))
+        out = rows if out is None else out.unionByName(rows)
+    return out
 
 
 def text_schema(columns: Sequence[str]) -> T.StructType:

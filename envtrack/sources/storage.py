@@ -1,4 +1,4 @@
-"""Paths in the store that Spark reads: existence, and the one-step move that commits a folder.
+"""Paths in the store that Spark reads: whether they exist, and whether a write came to its end.
 
 Whether a path exists is asked of the file system. Nothing here turns an error into "not there": a
 listing that fails, fails.
@@ -6,9 +6,13 @@ listing that fails, fails.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from envtrack.session import state_path
+
 
 def _path(spark: SparkSession, path: str):
     jvm = spark._jvm
@@ -28,15 +32,27 @@ def read_if_exists(spark: SparkSession, path: str, schema: T.StructType | str) -
     return spark.read.schema(schema).parquet(path)
 
 
-def publish(df: DataFrame, pending: str, final: str) -> None:
-    """Write ``df`` below ``pending``, then move the folder to ``final`` in one step.
+def is_complete(spark: SparkSession, path: str) -> bool:
+    """Whether a write to ``path`` came to its end (Spark leaves its mark with the last step of the job)."""
+    return exists(spark, f"{path}/_SUCCESS")
+
+
+def kept(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once to the shared folder (spark.checkpoint.dir) and read back: whatever follows sees
+    the same rows, and a lost executor costs a read, not a recomputation."""
+    path = state_path(df.sparkSession, "work", f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
-    Readers of ``final`` see all of it or nothing. A folder that is already there is never replaced.
-    """
-    spark = df.sparkSession
-    df.write.parquet(pending)
-    fs, source = _path(spark, pending)
-    _, target = _path(spark, final)
-    fs.mkdirs(target.getParent())
-    if fs.exists(target) or not fs.rename(source, target):
-        raise FileExistsError(f"{final} was written by someone else, or the store refused to move {pending}")
+
+def first_line(spark: SparkSession, path: str) -> str | None:
+    """The first line of a text file (of a compressed one too); None if it has no bytes."""
+    fs, p = _path(spark, path)
+    jvm = spark._jvm
+    codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(spark._jsc.hadoopConfiguration()).getCodec(p)
+    raw = fs.open(p)
+    try:
+        stream = raw if codec is None else codec.createInputStream(raw)
+        return jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8")).readLine()
+    finally:
+        raw.close()

@@ -7,48 +7,48 @@ Two granularities share one way of handling a batch (``BatchLoad``):
   which files are done;
 * ``load_in_row_batches``: batches of a fixed number of rows, numbered in file order through all files
   (by name). The numbered rows are staged once as Parquet, sorted by batch, so that a range of batches
-  is read by row-group statistics; the last finished batch is published after each step.
+  is read by row-group statistics; the last finished batch is written down after each step.
 
 What holds for both:
 
 * resume: a second run continues behind the last finished batch; a batch that failed is done again;
 * stop after N batches: the run ends successfully with batch N+1 untouched;
-* the merge is tried ``max_attempts`` times, ``delay_seconds`` apart, unless the error is one that
+* the upsert is tried ``max_attempts`` times, ``delay_seconds`` apart, unless the error is one that
   another attempt cannot cure; tasks are retried by Spark itself;
 * failure: one record with the whole error text is appended, the error propagates, nothing is
   marked as done;
-* repeating a batch is safe: the merge publishes whole versions of days in one step
-  (``sources.readings_table``), and what else a batch writes overwrites its own ``batch_id`` partition;
+* repeating a batch is safe: all that a batch writes, its readings too, overwrites partitions of its own
+  (``sources.table``) by Spark's dynamic partition overwrite, and copies are settled on reading;
 * reset: a new *generation* of state folders is started; the readings table is kept, nothing is deleted;
 * source: state belongs to one source path, and files already loaded must keep size and time.
 
-Two loads must not run at the same time against one table; a second commit of one number is refused.
+Loads with states of their own write parts of their own and may share a table; one state serves one load
+at a time.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+import hashlib
 import time
-import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import asdict, dataclass, field
 
 from pyspark.errors import AnalysisException, StreamingQueryException
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from envtrack import schema as S
-from envtrack.operators.batches import assign_batches
-from envtrack.operators.dedupe import days_of, merge_into_table, stored_on, upsert_counts
+from envtrack.operators.batches import assign_batches, group_offsets
 from envtrack.operators.quality import batch_counters, quality_counts, quality_report, quality_report_full
 from envtrack.operators.transform import SourceLabels, accepted_readings, classify_rows, rejected_rows
 from envtrack.session import state_path
-from envtrack.sources.csv import csv_options, header_of, require_header, text_schema, with_file_order
+from envtrack.sources.csv import csv_options, header_of, read_files, require_header, text_schema, with_file_order
 from envtrack.sources.manifest import SourceChangedError, guard_unchanged, source_manifest
-from envtrack.sources.readings_table import IdVersionError
-from envtrack.sources.storage import publish, read_if_exists
+from envtrack.sources.storage import is_complete, kept, read_if_exists
+from envtrack.sources.table import IdVersionError, changes, check_version, layout_bounds, merge_into_table
 from envtrack.streaming.sinks import append_failure, write_batch_partition
 
 STOP_MARKER = "envtrack:stop-after-max-batches"
@@ -126,9 +126,13 @@ class LoadPaths:
 
     @property
     def progress(self) -> str:
-        """The last finished row batch, one published folder for each step."""
+        """The last finished row batch, one partition for each step."""
         return f"{self.base}/progress"
 
+    def part(self, batch_id: int) -> str:
+        """The name of a batch's part in the table: of this state and generation, in the batches' order."""
+        return f"{hashlib.md5(self.root.encode()).hexdigest()[:12]}-{self.generation:06d}-{batch_id:015d}"
+
 
 GEN_SCHEMA = T.StructType([T.StructField("generation", T.IntegerType()),
                            T.StructField("created_at", T.TimestampType())])
@@ -136,11 +140,14 @@ SOURCE_SCHEMA = T.StructType([T.StructField("source", T.StringType()), T.StructF
                               T.StructField("batch_size", T.LongType())])
 BATCH_LOG_SCHEMA = T.StructType([*S.BATCH_STATUS_SCHEMA.fields, T.StructField("source_file", T.StringType()),
                                  T.StructField("batch_id", T.LongType())])
+LOG_ROW = ("batch_number bigint, rows_read bigint, documents_built bigint, invalid_rows bigint, "
+           "rows_with_quality_flags bigint, source_file string")
 MANIFEST_SCHEMA = T.StructType([T.StructField("path", T.StringType()), T.StructField("length", T.LongType()),
                                 T.StructField("modificationTime", T.TimestampType()),
                                 T.StructField("batch_id", T.LongType())])
 QUALITY_SCHEMA = T.StructType([T.StructField("kind", T.StringType()), T.StructField("key", T.StringType()),
                                T.StructField("n", T.LongType()), T.StructField("batch_id", T.LongType())])
+FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"  # of the binaryFile source
 PROGRESS_SCHEMA = T.StructType([T.StructField("done", T.LongType()), T.StructField("step", T.LongType())])
 
 
@@ -181,12 +188,11 @@ def load_state(spark: SparkSession, table: str, state: str | None = None,
 def bind_source(spark: SparkSession, paths: LoadPaths, source: str, fingerprint: str | None = None,
                 batch_size: int | None = None) -> None:
     """A generation's state belongs to one source (and cut); another one is refused."""
-    recorded = read_if_exists(spark, f"{paths.base}/source", SOURCE_SCHEMA)
-    now = (source.rstrip("/"), fingerprint, batch_size)
-    if recorded is None:
-        publish(spark.createDataFrame([now], SOURCE_SCHEMA).coalesce(1), f"{paths.base}/pending-{uuid.uuid4().hex}",
-                f"{paths.base}/source")
+    at, now = f"{paths.base}/source", (source.rstrip("/"), fingerprint, batch_size)
+    if not is_complete(spark, at):
+        spark.createDataFrame([now], SOURCE_SCHEMA).coalesce(1).write.mode("overwrite").parquet(at)
         return
+    recorded = read_if_exists(spark, at, SOURCE_SCHEMA)
     before = tuple(recorded.first())
     if before != now:
         raise SourceChangedError(f"this state belongs to source {before[0]} (fingerprint {before[1]}, batch size "
@@ -194,6 +200,11 @@ def bind_source(spark: SparkSession, paths: LoadPaths, source: str, fingerprint:
                                  "state, or start over with reset=True")
 
 
+def counters_by_batch(classified: DataFrame) -> DataFrame:
+    """A1 of rows numbered by ``numbered_batches``: the counters of every batch in one aggregate."""
+    return classified.groupBy("source_file", "batch_number").agg(*batch_counters())
+
+
 def batch_log_table(spark: SparkSession, paths: LoadPaths) -> DataFrame:
     """One row for each batch, with the source file of row batches."""
     log = read_if_exists(spark, paths.batch_log, BATCH_LOG_SCHEMA)
@@ -260,7 +271,7 @@ class BatchLoad:
     max_attempts: int
     delay_seconds: float
     batches: int = 0
-    upserted: int = 0
+    first: int | None = None
     last: int | None = None
     steps: dict[str, float] = field(default_factory=dict)
 
@@ -271,48 +282,46 @@ class BatchLoad:
         finally:
             self.steps[name] = round(self.steps.get(name, 0.0) + time.perf_counter() - since, 3)
 
-    def run(self, batch: DataFrame, batch_id: int, number: int | None, keep: list[str], consumed: str | None) -> None:
+    def run(self, batch: DataFrame, batch_id: int, number: int | None, keep: list[str],
+            listing: DataFrame | None = None) -> None:
         """``number``: the batch's number; None if column ``batch_number`` tells several batches apart.
-        ``consumed`` names the column with the file that a row came from, if files are recorded."""
+        ``listing`` has the files that the batch consumed, if files are recorded."""
         classified = classify_rows(batch, self.ingested_at, keep=keep, labels=self.labels).persist()
-        counts, attempts = (None, None), 1
+        totals, attempts = None, 1
         try:
-            accepted = F.count_if(F.col("rejection_reason").isNull())
-            counts = tuple(self.timed("classify_and_count", lambda: classified.agg(F.count("*"), accepted).first()))
-            docs = accepted_readings(classified)
-            stored = stored_on(self.spark, self.table, days_of(docs))
-            upserted = self.timed("upsert_counts", lambda: upsert_counts(docs, stored).first()["inserted_or_updated"])
-            self.timed("writes", lambda: self._write(classified, docs, batch_id, number, consumed))
+            totals = self.timed("classify_and_count", lambda: classified.agg(*batch_counters(), *layout_bounds()).first())
+            self.timed("writes", lambda: self._write(classified, totals.asDict(), batch_id, number, listing))
         except Exception as error:
             attempts = error.attempts if isinstance(error, GaveUp) else 1
+            counts = (None, None) if totals is None else (totals["rows_read"], totals["documents_built"])
             append_failure(self.spark, self.paths.failures, batch_id, attempts,
                            str(error) if isinstance(error, GaveUp) else f"{type(error).__name__}: {error}", *counts)
             raise
         finally:
             classified.unpersist()
         self.batches += 1
-        self.upserted += int(upserted)
+        self.first = batch_id if self.first is None else self.first
         self.last = batch_id
 
-    def _write(self, classified: DataFrame, docs: DataFrame, batch_id: int, number: int | None,
-               consumed: str | None) -> None:
+    def _write(self, classified: DataFrame, totals: dict, batch_id: int, number: int | None,
+               listing: DataFrame | None) -> None:
         """All writes read the persisted batch, go to different paths and may be repeated, so they run
         as concurrent jobs; all must finish before the batch counts as done."""
         if number is None:
-            log = classified.groupBy("batch_number", "source_file").agg(*batch_counters())
+            log = counters_by_batch(classified)
             rejected = rejected_rows(classified, keep=["batch_number", "source_file"])
         else:
-            log = classified.agg(*batch_counters()).withColumns({"batch_number": F.lit(number).cast("bigint"),
-                                                              "source_file": F.lit(None).cast("string")})
-            rejected = rejected_rows(classified, keep=[consumed]).withColumn(
-                "source_file", F.regexp_extract(f"{consumed}.path", "[^/]+$", 0)).drop(consumed).withColumn(
-                "batch_number", F.lit(number).cast("bigint"))
+            row = [totals[c] for c in ("rows_read", "documents_built", "invalid_rows", "rows_with_quality_flags")]
+            log = self.spark.createDataFrame([(number, *row, None)], LOG_ROW).coalesce(1)
+            rejected = rejected_rows(classified, keep=["_file"]).withColumns(
+                {"source_file": F.regexp_extract("_file", "[^/]+$", 0), "batch_number": F.lit(number).cast("bigint")}).drop("_file")
         writes = [(log, self.paths.batch_log), (rejected, self.paths.rejected),
                   (quality_counts(classified), self.paths.quality)]
-        if consumed is not None:
-            writes.append((classified.select(f"{consumed}.*").distinct(), self.paths.manifest))
+        if listing is not None:
+            writes.append((listing, self.paths.manifest))
+        docs, part = accepted_readings(classified), self.paths.part(batch_id)
         with ThreadPoolExecutor(max_workers=len(writes) + 1) as pool:
-            jobs = [pool.submit(persistently, lambda: merge_into_table(self.spark, docs, self.table),
+            jobs = [pool.submit(persistently, lambda: merge_into_table(docs, self.table, part, totals),
                                 self.max_attempts, self.delay_seconds)]
             jobs += [pool.submit(write_batch_partition, df, path, batch_id) for df, path in writes]
             for job in jobs:
@@ -320,13 +329,15 @@ class BatchLoad:
 
     def summary(self, source: str, start: _dt.datetime, stopped: bool, reset: bool) -> LoadSummary:
         totals = self.timed("report", lambda: cumulative_report(self.spark, self.paths).first())
+        changed = 0 if self.first is None else self.timed("upsert_counts", lambda: changes(
+            self.spark, self.table, self.paths.part(self.first), self.paths.part(self.last)))
         end = _dt.datetime.now(_dt.timezone.utc)
         return LoadSummary(
             batches_processed_this_run=self.batches, last_batch_id=self.last,
             total_rows_seen=int(totals["total_rows_seen"]), rows_loaded=int(totals["rows_loaded"]),
             rows_rejected=int(totals["rows_rejected"]),
             rows_with_quality_flags=int(totals["rows_with_quality_flags"]),
-            total_inserted_or_updated_this_run=self.upserted, stopped_early=stopped, reset_checkpoint=reset,
+            total_inserted_or_updated_this_run=changed, stopped_early=stopped, reset_checkpoint=reset,
             generation=self.paths.generation, start_time=start.isoformat(), end_time=end.isoformat(),
             duration_seconds=round((end - start).total_seconds(), 3), step_seconds=dict(self.steps), source=source,
             table=self.table, checkpoint_path=self.paths.checkpoint)
@@ -339,8 +350,8 @@ def _check_arguments(max_batches: int | None, **least_one: int) -> None:
 
 
 def _columns_of(spark: SparkSession, listing: DataFrame) -> list[str]:
-    """The columns of the first file's header (all files must agree; Spark checks each one)."""
-    first = listing.select(F.min("path")).first()[0]
+    """The columns of the first file that is not empty, in its order."""
+    first = listing.where("length > 0").select(F.min("path")).first()[0]
     if first is None:
         return list(S.REQUIRED_COLUMNS)
     return require_header(header_of(spark, first), first)
@@ -355,7 +366,8 @@ def load_readings(spark: SparkSession, source: str, table: str, state: str | Non
                   labels: SourceLabels | None = None, multi_line: bool = False) -> LoadSummary:
     """Load every CSV file under ``source`` into the readings table at ``table``.
 
-    Files are taken in the order of their modification times. ``labels``: where the readings come
+    Files are taken in the order of their modification times, each with the column order of its own
+    header. ``labels``: where the readings come
     from, stored with each of them. ``multi_line``: quoted cells may hold line breaks; files are then
     read whole by one task each.
 
@@ -369,19 +381,22 @@ def load_readings(spark: SparkSession, source: str, table: str, state: str | Non
     load = BatchLoad(spark, paths, table, ingested_at or start, labels or SourceLabels(), max_attempts, delay_seconds)
 
     def prepared() -> DataFrame:
+        check_version(spark, table)
         bind_source(spark, paths, source)
         listing = source_manifest(spark, source, pattern)
         guard_unchanged(listing, manifest_table(spark, paths), f"{paths.base}/changed_files")
-        stream = (spark.readStream.options(**csv_options(multi_line)).schema(text_schema(_columns_of(spark, listing)))
-                  .option("maxFilesPerTrigger", files_per_batch).option("pathGlobFilter", pattern).csv(source))
-        return stream.select(*S.REQUIRED_COLUMNS, F.struct(
-            F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("length"),
-            F.col("_metadata.file_modification_time").alias("modificationTime")).alias("_file"))
+        _columns_of(spark, listing)  # refuse a wrong source before anything is written
+        stream = (spark.readStream.format("binaryFile").schema(FILE_SCHEMA).option("pathGlobFilter", pattern)
+                  .option("recursiveFileLookup", "true").option("maxFilesPerTrigger", files_per_batch).load(source))
+        return stream.select("path", "length", "modificationTime")  # no file's content is read here
 
-    def process(batch: DataFrame, batch_id: int) -> None:
+    def process(files: DataFrame, batch_id: int) -> None:
         if max_batches is not None and load.batches >= max_batches:
             raise StopLoad()
-        load.run(batch, batch_id, batch_id + 1, ["_file"], "_file")
+        paths_of = [r["path"] for r in files.select("path").orderBy("path").collect()]  # files_per_batch at most
+        rows = read_files(spark, paths_of, multi_line)
+        rows = spark.createDataFrame([], text_schema([*S.REQUIRED_COLUMNS, "_file"])) if rows is None else rows
+        load.run(rows, batch_id, batch_id + 1, ["_file"], files)
 
     query = (load.timed("setup", prepared).writeStream.foreachBatch(process)
              .option("checkpointLocation", paths.checkpoint).trigger(availableNow=True).start())
@@ -415,23 +430,22 @@ def numbered_batches(rows: DataFrame, group, fine: list, batch_size: int, file_c
     """Rows with ``position`` and ``batch_number`` within their file and ``ordinal``, the batch's
     number through all files in the order of their names.
 
-    Positions come from ``assign_batches`` (no global window); only the files' batch counts, one row
-    for each file, are summed in order.
+    Positions come from ``assign_batches`` (no global window). The files' batch counts are put in the order
+    of their names by a range sort and summed by the same tree, so that no task sees all files.
     """
     placed = assign_batches(rows, group, fine, batch_size, within=[file_col])
-    files = placed.groupBy(file_col).agg(F.max("batch_number").alias("_b"))
-    before = Window.orderBy(file_col).rowsBetween(Window.unboundedPreceding, -1)
-    files = files.select(F.col(file_col).alias("_name"), F.coalesce(F.sum("_b").over(before), F.lit(0)).alias("_before"))
-    out = placed.join(files, F.col(file_col) == F.col("_name")).drop("_name")
-    return out.withColumn("ordinal", F.col("_before") + F.col("batch_number")).drop("_before")
+    files = placed.groupBy(F.col(file_col).alias("_name")).agg(F.max("batch_number").alias("_b"))
+    files = kept(files.orderBy("_name").withColumn("_at", F.monotonically_increasing_id()), "files")
+    before = files.join(group_offsets(files, "_at", "_b", []), F.col("_at") == F.col("_og")).select("_name", "_off")
+    return placed.join(before, F.col(file_col) == F.col("_name")).withColumn(
+        "ordinal", F.col("_off") + F.col("batch_number")).drop("_name", "_off")
 
 
 def stage_batches(numbered: DataFrame, dest: str) -> None:
     """Write numbered rows sorted by batch: a range of batches is found by row-group statistics."""
     columns = ["ordinal", "batch_number", "position", "source_file", *S.REQUIRED_COLUMNS]
     ranged = numbered.select(*columns).repartitionByRange("ordinal", "position")
-    pending = f"{dest}-{uuid.uuid4().hex}"
-    publish(ranged.sortWithinPartitions("ordinal", "position"), pending, dest)
+    ranged.sortWithinPartitions("ordinal", "position").write.mode("overwrite").parquet(dest)
 
 
 def _csv_batches(spark: SparkSession, source: str, pattern: str, batch_size: int, multi_line: bool) -> DataFrame:
@@ -453,10 +467,10 @@ def load_staged_batches(spark: SparkSession, staged: str, load: BatchLoad, max_b
     while done < goal:
         first, last = done + 1, min(goal, done + batches_per_trigger)
         part = rows.where(F.col("ordinal").between(first, last))
-        load.run(part, first, None, ["batch_number", "source_file"], None)
+        load.run(part, first, None, ["batch_number", "source_file"])
         load.batches += last - first  # run() counted one
-        publish(spark.createDataFrame([(last,)], "done bigint").coalesce(1),
-                f"{load.paths.base}/pending-{uuid.uuid4().hex}", f"{load.paths.progress}/step={first}")
+        (spark.createDataFrame([(last, first)], PROGRESS_SCHEMA).coalesce(1).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("step").parquet(load.paths.progress))
         done = last
     return done < total
 
@@ -464,7 +478,7 @@ def load_staged_batches(spark: SparkSession, staged: str, load: BatchLoad, max_b
 def load_in_row_batches(spark: SparkSession, source: str, table: str, state: str | None = None, *,
                         batch_size: int = S.DEFAULT_BATCH_SIZE, max_batches: int | None = None,
                         reset: bool = False, checkpoint_path: str | None = None, pattern: str = "*.csv",
-                        batches_per_trigger: int = 1, max_attempts: int = 3, delay_seconds: float = 2.0,
+                        batches_per_trigger: int = 1000, max_attempts: int = 3, delay_seconds: float = 2.0,
                         ingested_at: _dt.datetime | None = None, labels: SourceLabels | None = None,
                         multi_line: bool = False) -> LoadSummary:
     """J1 in batches of ``batch_size`` rows, in file order: files by name, rows as they stand.
@@ -480,10 +494,11 @@ def load_in_row_batches(spark: SparkSession, source: str, table: str, state: str
     load = BatchLoad(spark, paths, table, ingested_at or start, labels or SourceLabels(), max_attempts, delay_seconds)
 
     def prepared() -> str:
+        check_version(spark, table)
         fingerprint = source_fingerprint(spark, source, pattern)
         bind_source(spark, paths, source, fingerprint, batch_size)
         staged = f"{paths.root}/staged/{fingerprint}_{batch_size}"
-        if read_if_exists(spark, staged, "ordinal bigint") is None:
+        if not is_complete(spark, staged):
             stage_batches(_csv_batches(spark, source, pattern, batch_size, multi_line), staged)
         return staged
 

@@ -12,8 +12,9 @@ from envtrack.operators.transform import accepted_readings, classify_rows
 from envtrack.sources.csv import MissingColumnsError
 from envtrack.sources.fixtures import raw_readings
 from envtrack.sources.manifest import SourceChangedError
-from envtrack.sources.readings_table import read_readings
-from envtrack.sources import readings_table, storage
+from envtrack.sources.table import read_readings
+from envtrack.sources import storage
+from envtrack.sources import table as tables
 from envtrack.streaming import load as L
 
 from conftest import SF_SMALL
@@ -145,19 +146,35 @@ def test_bad_arguments(spark, scratch):
         L.load_readings(spark, scratch, f"{scratch}/t", max_batches=0)
 
 
-def test_second_file_with_other_column_order_fails_loudly(spark, scratch, raw_pdf):
+@pytest.mark.parametrize("per_batch", [1, 3])
+def test_three_files_in_three_column_orders(spark, scratch, raw_pdf, per_batch):
+    """Every file is read by its own header; the table is that of a load in one order."""
     src, table, state = f"{scratch}/src", f"{scratch}/readings", f"{scratch}/state"
     os.makedirs(src)
-    half = len(raw_pdf) // 2
-    raw_pdf.iloc[:half][S.REQUIRED_COLUMNS].to_csv(f"{src}/a.csv", index=False)
-    swapped = ["device", "ts"] + S.REQUIRED_COLUMNS[2:]
-    raw_pdf.iloc[half:][swapped].to_csv(f"{src}/b.csv", index=False)
-    with pytest.raises(L.LoadFailed):
-        L.load_readings(spark, src, table, state, delay_seconds=0, max_attempts=1)
-    # the first file was committed; nothing from the second file reached the table
-    assert read_readings(spark, table).count() > 0
-    devices = {r[0] for r in read_readings(spark, table).select("device").collect()}
-    assert all(d.startswith("dev-") for d in devices)
+    third = -(-len(raw_pdf) // 3)
+    orders = [S.REQUIRED_COLUMNS, S.REQUIRED_COLUMNS[::-1], ["device", "extra", *[c for c in S.REQUIRED_COLUMNS if c != "device"]]]
+    pdf = raw_pdf.assign(extra='x "y", z')
+    for i, order in enumerate(orders):
+        pdf.iloc[i * third:(i + 1) * third][order].to_csv(f"{src}/p{i}[{{x}}].csv", index=False)
+    open(f"{src}/a-empty.csv", "w").close()
+    s = L.load_readings(spark, src, table, state, files_per_batch=per_batch, delay_seconds=0)
+    assert (s.total_rows_seen, s.rows_loaded, s.rows_rejected) == (1015, 970, 45)
+    got = read_readings(spark, table).select("reading_id", "device", "timestamp_unix", "quality.flags")
+    want = dedupe_readings(accepted_readings(classify_rows(raw_readings(spark, SF_SMALL)))).select(
+        "reading_id", "device", "timestamp_unix", "quality.flags")
+    assert sorted(got.collect()) == sorted(want.collect())
+    rejected = spark.read.parquet(L.load_state(spark, table, state).rejected)
+    assert rejected.select("source_file").distinct().count() <= 3
+
+
+def test_a_later_file_without_a_column_fails_its_batch(spark, scratch, raw_pdf):
+    src, table, state = f"{scratch}/src", f"{scratch}/readings", f"{scratch}/state"
+    write_parts(raw_pdf, src, n=1)
+    time.sleep(0.05)
+    raw_pdf[[c for c in S.REQUIRED_COLUMNS if c != "temp"]].to_csv(f"{src}/z.csv", index=False)
+    with pytest.raises(L.LoadFailed, match="temp"):
+        L.load_readings(spark, src, table, state, delay_seconds=0)
+    assert read_readings(spark, table).count() == 956
 
 
 @pytest.mark.parametrize("n_files,per_batch", [(1, 1), (3, 2), (7, 1)])
@@ -304,54 +321,120 @@ def test_an_error_while_listing_fails_the_batch(spark, scratch, raw_pdf, monkeyp
     src, table, state = f"{scratch}/src", f"{scratch}/readings", f"{scratch}/state"
     write_parts(raw_pdf, src, n=3)
     L.load_readings(spark, src, table, state, max_batches=1, delay_seconds=0)
-    real = readings_table.read_if_exists
+    real = tables.read_if_exists
 
     def unreadable(spark, path, schema):
-        if path.endswith("/commits"):
+        if path == table:
             raise OSError("listing failed")
         return real(spark, path, schema)
 
-    monkeypatch.setattr(readings_table, "read_if_exists", unreadable)
-    with pytest.raises(L.LoadFailed):
+    monkeypatch.setattr(tables, "read_if_exists", unreadable)
+    with pytest.raises((OSError, L.LoadFailed)):
         L.load_readings(spark, src, table, state, max_attempts=1, delay_seconds=0)
     monkeypatch.undo()
     L.load_readings(spark, src, table, state, delay_seconds=0)
     assert read_readings(spark, table).count() == 956
 
 
-@pytest.mark.parametrize("when", ["before", "after"])
-def test_a_half_done_commit_changes_nothing(spark, scratch, raw_pdf, monkeypatch, when):
-    """Fail between writing the new versions and putting them in force, and right behind that."""
+@pytest.mark.parametrize("written", ["nothing", "half", "all"])
+def test_a_half_done_batch_changes_nothing_in_the_end(spark, scratch, raw_pdf, monkeypatch, written):
+    """Fail before a batch's readings are written, when half of them are, and right behind that."""
     src, table, state = f"{scratch}/src", f"{scratch}/readings", f"{scratch}/state"
     write_parts(raw_pdf.sample(frac=1.0, random_state=1), src, n=2)  # both files touch all days
     at = dt.datetime(2026, 1, 1, tzinfo=dt.timezone.utc)
     L.load_readings(spark, src, table, state, max_batches=1, delay_seconds=0, ingested_at=at)
-    before = sorted(read_readings(spark, table).select("reading_id").collect())
-    real = readings_table.publish
+    before = {r[0] for r in read_readings(spark, table).select("reading_id").collect()}
+    real = L.merge_into_table
 
-    def broken(df, pending, final):
-        if when == "after":
-            real(df, pending, final)
+    def broken(docs, *rest):
+        if written != "nothing":
+            real(docs.where("timestamp_unix % 2 < 1") if written == "half" else docs, *rest)
         raise OSError("connection lost")
 
-    monkeypatch.setattr(readings_table, "publish", broken)
+    monkeypatch.setattr(L, "merge_into_table", broken)
     with pytest.raises(L.LoadFailed):
         L.load_readings(spark, src, table, state, max_attempts=1, delay_seconds=0, ingested_at=at)
     monkeypatch.undo()
-    if when == "before":
-        assert sorted(read_readings(spark, table).select("reading_id").collect()) == before
+    seen = [r[0] for r in read_readings(spark, table).select("reading_id").collect()]
+    assert len(seen) == len(set(seen)) and before <= set(seen)
     L.load_readings(spark, src, table, state, delay_seconds=0, ingested_at=at)
     clean = f"{scratch}/clean"
-    L.load_readings(spark, src, clean, f"{scratch}/state2", delay_seconds=0, ingested_at=at)
+    L.load_readings(spark, src, clean, f"{scratch}/state2", files_per_batch=2, delay_seconds=0, ingested_at=at)
     assert sorted(read_readings(spark, table).collect()) == sorted(read_readings(spark, clean).collect())
 
 
-def test_a_published_folder_is_never_replaced(spark, scratch):
-    one = spark.range(3)
-    storage.publish(one, f"{scratch}/p1", f"{scratch}/final")
-    with pytest.raises(FileExistsError):
-        storage.publish(one, f"{scratch}/p2", f"{scratch}/final")
-    assert spark.read.parquet(f"{scratch}/final").count() == 3
+def test_an_unfinished_write_is_done_again(spark, scratch):
+    spark.range(3).write.parquet(f"{scratch}/whole")
+    os.makedirs(f"{scratch}/half")
+    assert storage.is_complete(spark, f"{scratch}/whole") and not storage.is_complete(spark, f"{scratch}/half")
+    assert not storage.is_complete(spark, f"{scratch}/absent")
+
+
+def test_two_states_share_a_table(spark, scratch, raw_pdf):
+    """Loads with states of their own never overwrite each other's parts; copies are settled."""
+    table = f"{scratch}/readings"
+    for name, pdf in (("a", raw_pdf.iloc[:700]), ("b", raw_pdf.iloc[300:])):
+        write_parts(pdf, f"{scratch}/{name}", n=2)
+        L.load_readings(spark, f"{scratch}/{name}", table, f"{scratch}/state-{name}", delay_seconds=0)
+    got = read_readings(spark, table)
+    assert got.count() == got.select("reading_id").distinct().count() == 956
+
+
+def test_compaction_keeps_the_readings_and_drops_the_copies(spark, scratch, raw_pdf):
+    src, table, state = f"{scratch}/src", f"{scratch}/readings", f"{scratch}/state"
+    write_parts(raw_pdf.sample(frac=1.0, random_state=2), src, n=3)
+    L.load_readings(spark, src, table, state, delay_seconds=0)
+    L.load_readings(spark, src, table, state, reset=True, delay_seconds=0)
+    tables.compact(spark, table, f"{scratch}/compacted")
+    stored = tables.stored_parts(spark, f"{scratch}/compacted")
+    assert stored.count() == 956 < tables.stored_parts(spark, table).count()
+    assert tables.days_written(stored).where("several").isEmpty()
+    assert sorted(read_readings(spark, f"{scratch}/compacted").collect()) == sorted(read_readings(spark, table).collect())
+
+
+def test_filters_reach_the_scan_through_the_settling(spark, scratch, raw_pdf):
+    src, table, state = f"{scratch}/src", f"{scratch}/readings", f"{scratch}/state"
+    write_parts(raw_pdf.sample(frac=1.0, random_state=3), src, n=2)
+    L.load_readings(spark, src, table, state, delay_seconds=0)
+    day = read_readings(spark, table).selectExpr("min(event_date)").first()[0]
+    plan = read_readings(spark, table).where(f"event_date = date'{day}' and device = 'dev-1'")
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    scans = [line for line in text.splitlines() if "FileScan" in line and "reading_id" in line]
+    assert len(scans) == 2 and all("EqualTo(device,dev-1)" in x and "event_date" in x.split("PartitionFilters")[1]
+                                   for x in scans)
+
+
+def test_layout_skips_row_groups_by_value_and_by_device(spark, scratch):
+    """K7: fewer row groups can hold readings with much smoke than in the order of device and time."""
+    import glob
+
+    import pyarrow.parquet as pq
+
+    rows = dedupe_readings(accepted_readings(classify_rows(raw_readings(spark, SF_SMALL.replace("0.001", "0.1")))))
+    threshold = rows.selectExpr("percentile(measurements.smoke, 0.99)").first()[0]
+    spark.conf.set("parquet.block.size", "16384")
+    spark.conf.set("parquet.block.size.row.check.min", "100")
+    try:
+        tables.write_part(rows, f"{scratch}/new", "b", partitions=64)
+        order = ["event_date", "device", "timestamp"]
+        rows.repartitionByRange(64, *order).sortWithinPartitions(*order).write.partitionBy("event_date").parquet(f"{scratch}/old")
+    finally:
+        spark.conf.unset("parquet.block.size")
+        spark.conf.unset("parquet.block.size.row.check.min")
+
+    def share(path):
+        groups, hit = 0, 0
+        for f in glob.glob(f"{path}/**/*.parquet", recursive=True):
+            meta = pq.ParquetFile(f).metadata
+            at = next(i for i in range(meta.num_columns) if meta.row_group(0).column(i).path_in_schema == "measurements.smoke")
+            for g in range(meta.num_row_groups):
+                groups, stats = groups + 1, meta.row_group(g).column(at).statistics
+                hit += stats is not None and stats.has_min_max and stats.max >= threshold
+        return hit / groups, groups
+
+    (new, n), (old, m) = share(f"{scratch}/new"), share(f"{scratch}/old")
+    assert min(n, m) >= 32 and new < 0.6 * old
+    assert read_readings(spark, f"{scratch}/new").count() == rows.count()
 
 
 def test_reset_with_a_custom_checkpoint_goes_on(spark, scratch, raw_pdf):

@@ -103,3 +103,33 @@ def test_order_image_orders_like_doubles(spark):
     for r in rows:
         bits = struct.unpack("<q", struct.pack("<d", abs(r["v"])))[0]
         assert r["i"] == (bits if r["v"] >= 0 else -bits)
+
+
+@pytest.mark.parametrize("bound", [0, 2, 60])
+def test_groups_beyond_the_bound_are_narrowed(spark, data, monkeypatch, bound):
+    """Some or all groups have more values than one task may put in order."""
+    from envtrack.operators import quantiles
+
+    con = duckdb.connect()
+    con.execute("CREATE TABLE t (g VARCHAR, v DOUBLE, w DOUBLE)")
+    con.executemany("INSERT INTO t VALUES (?, ?, ?)", data)
+    monkeypatch.setattr(quantiles, "ORDERED_VALUES", bound)
+    df = spark.createDataFrame(data, "g string, v double, w double")
+    for p in (0.5, 0.9):
+        got = {r["g"]: r["value"] for r in exact_quantiles(df, ["g"], "v", p).collect()}
+        assert got == dict(con.sql(f"SELECT g, quantile_disc(v, {p}) FROM t WHERE v IS NOT NULL GROUP BY g").fetchall())
+        want = con.sql(f"SELECT quantile_disc(v, {p}), quantile_disc(w, {p}) FROM t").fetchone()
+        found = quantiles.exact_quantile_values(df, {"v": F.col("v"), "w": F.col("w")}, p)
+        assert (found["v"], found["w"]) == want
+
+
+def test_bounds_from_another_frame_spare_the_counting(spark, data, monkeypatch):
+    from envtrack.operators import quantiles
+
+    df = spark.createDataFrame(data, "g string, v double, w double")
+    counts = quantiles.value_counts(df, ["g"], "v")
+    want = {r["g"]: r["m"] for r in quantiles.quantiles_of_counts(counts, ["g"], {"m": 0.5}).collect()}
+    for bound in (3, 10_000):
+        monkeypatch.setattr(quantiles, "ORDERED_VALUES", bound)
+        got = {r["g"]: r["m"] for r in quantiles.quantiles_of_counts(counts, ["g"], {"m": 0.5}, rows=df).collect()}
+        assert got == want
