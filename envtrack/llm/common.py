@@ -20,16 +20,36 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+#: Spark's own setting: a finished query's shuffle files are removed at once, not when the driver happens to
+#: collect its garbage. What is staged is never computed again from its plan.
+FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def staged(df: DataFrame, label: str, *folders: str) -> DataFrame:
     """Write ``df`` to the shared folder (spark.checkpoint.dir), by ``folders``, and read it back.
 
     Cuts the lineage the way a checkpoint does, so that a lost executor costs a re-read and not a
-    recomputation, and later stages scan only the columns that they need.
+    recomputation, and later stages scan only the columns that they need. The write's shuffle files go
+    with its end; ``released`` removes the folder itself.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/llm/{label}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").partitionBy(*folders).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    before = spark.conf.get(FREE_SHUFFLES, "false")
+    spark.conf.set(FREE_SHUFFLES, "true")
+    try:
+        df.write.option("compression", "zstd").partitionBy(*folders).parquet(path)
+    finally:
+        spark.conf.set(FREE_SHUFFLES, before)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.staged_path = path
+    return out
+
+
+def released(df: DataFrame) -> None:
+    """Remove the folder of a ``staged`` frame that nothing reads any more (of an iteration's earlier state)."""
+    spark = df.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(df.staged_path)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def numbered(docs: DataFrame) -> tuple[DataFrame, str]:
@@ -97,7 +117,8 @@ def left_join_by_key(rows: DataFrame, per_key: DataFrame, key: str, count: str,
 
     Column ``count`` of ``per_key`` has the number of rows with the key. A key with more than 1/share of
     them all is joined by broadcast: there are fewer than ``share`` of those. All others are shuffled,
-    none of them hot. Both tables are read several times: stage them before.
+    none of them hot -- which holds only if ``per_key`` has every key of ``rows``: a frequent key that it
+    lacks goes to one task. Both tables are read several times: stage them before.
     """
     total = per_key.agg(F.coalesce(F.sum(count), F.lit(0))).first()[0]
     heavy, light = per_key.where(F.col(count) * share > total), per_key.where(F.col(count) * share <= total)
@@ -120,14 +141,16 @@ def components(edges: DataFrame, left: str, right: str) -> DataFrame:
         if state == seen or not state[0]:
             return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(
                 edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
-        seen = state
+        seen, old = state, edges
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = staged(both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
                        .select("u", F.least("u", "m").alias("m"), "n"), "least")
         large = left_join_by_key(both, least, "u", "n").where("v > u and v <> m").select(
             F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        large = staged(large, "edges")
+        large, first = staged(large, "edges"), least
         least = staged(large.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")), "least")
         small = left_join_by_key(large, least, "u", "n").where("v <> m").select(
             F.col("v").alias("u"), F.col("m").alias("v"))
         edges = staged(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), "edges")
+        for frame in (old, first, large, least):
+            released(frame)

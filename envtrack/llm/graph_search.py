@@ -35,13 +35,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from envtrack.llm.common import left_join_by_key, spans, staged, whole_groups
+from envtrack.llm.common import left_join_by_key, released, spans, staged, whole_groups
 
 DEGREE, SAMPLE, FRESH_SHARE, BEAM = 32, 16, 0.03, 192
 CELL_BITS, PARTITION_NODES, ORDERS, PLANES = 12, 1 << 16, 2, 16
 SLAB = 512
-LISTS = "node bigint, others array<bigint>, scores array<float>, fresh array<boolean>, turn array<int>"
-STATE = "q bigint, ids array<bigint>, scores array<double>, open array<boolean>"
+NAMES = ["node", "others", "scores", "fresh", "turn", "code", "scale"]
+LISTS = "node bigint, others array<bigint>, scores array<float>, fresh array<boolean>, turn array<int>, code binary, scale float"
+FOUND = "q bigint, ids array<bigint>, scores array<double>, open array<boolean>"
 
 
 def _lists(values: np.ndarray, sizes: np.ndarray, kind: pa.DataType) -> pa.ListArray:
@@ -114,9 +115,23 @@ def numbered_nodes(found: DataFrame, number: int, width: int, peak: float) -> Da
     kind = found.schema["x"].dataType.simpleString()
     keyed = found.select("hash", "x").mapInArrow(
         run, f"hash bigint, x {kind}, code binary, scale float, " + ", ".join(f"key{i} bigint" for i in range(ORDERS)))
+    return in_order(keyed, ["key0", "hash"], number, "node").drop("key0")
+
+
+def in_order(rows: DataFrame, keys: list[str], number: int, name: str) -> DataFrame:
+    """``rows`` sorted and numbered from 0 in column ``name``, without gaps however they are dealt to tasks.
+
+    A row's number is its place in its partition and the rows of the partitions before; those counts, one
+    row for each partition, are the only data that is broadcast."""
     parts = max(1, math.ceil(number / PARTITION_NODES))
-    dealt = keyed.repartitionByRange(parts, "key0", "hash").sortWithinPartitions("key0", "hash")
-    return staged(dealt.withColumn("node", F.monotonically_increasing_id()).drop("key0"), "points")
+    dealt = rows.repartitionByRange(parts, *keys).sortWithinPartitions(*keys)
+    placed = staged(dealt.withColumn("place", F.monotonically_increasing_id()), name)
+    sizes = placed.groupBy(F.shiftright("place", 33).alias("part")).agg(F.count("*").alias("n")).orderBy("part").collect()
+    before = list(zip((r["part"] for r in sizes), itertools.accumulate((r["n"] for r in sizes), initial=0)))
+    offsets = rows.sparkSession.createDataFrame(before, "part bigint, before bigint")
+    inside = F.col("place").bitwiseAND(F.lit((1 << 33) - 1))
+    return placed.withColumn("part", F.shiftright("place", 33)).join(F.broadcast(offsets), "part").withColumn(
+        name, F.col("before") + inside).drop("part", "before", "place")
 
 
 def _codes(code, scale) -> np.ndarray:
@@ -142,12 +157,13 @@ def _block_lists(degree: int):
         return pa.table({"node": pa.array(node), "others": _lists(others, sizes, pa.int64()),
                          "scores": _lists(np.concatenate(scores), sizes, pa.float32()),
                          "fresh": _lists(np.ones(len(others), bool), sizes, pa.bool_()),
-                         "turn": _lists(np.zeros(len(others), np.int32), sizes, pa.int32())})
+                         "turn": _lists(np.zeros(len(others), np.int32), sizes, pa.int32()),
+                         "code": pa.nulls(n, pa.binary()), "scale": pa.nulls(n, pa.float32())})
     return run
 
 
 def merged_lists(rows: DataFrame, degree: int, sample: int) -> DataFrame:
-    """One list of the ``degree`` best others for each node, from lists with a turn and proposals without.
+    """One list of the ``degree`` best others for each node, from lists and proposals, which have no code.
 
     Entries whose turn has come (below ``sample``) are no longer fresh; ``turn`` numbers the fresh entries
     and the others of a list, best first.
@@ -158,6 +174,7 @@ def merged_lists(rows: DataFrame, degree: int, sample: int) -> DataFrame:
             score, fresh = _flat(group.column("scores"))[0], _flat(group.column("fresh"))[0].astype(bool)
             turn, turns = _flat(group.column("turn"))
             node = np.repeat(group.column("node").to_numpy(), sizes)
+            own = np.flatnonzero(group.column("code").is_valid().to_numpy(zero_copy_only=False))
             old = np.repeat(turns > 0, sizes)
             fresh[old] &= turn >= sample
             order = np.lexsort((~old, other, node))  # of equal entries the list's own
@@ -167,17 +184,18 @@ def merged_lists(rows: DataFrame, degree: int, sample: int) -> DataFrame:
             rank = np.arange(len(order)) - np.searchsorted(node[order], node[order])
             order = order[rank < degree]
             node, other, score, fresh = node[order], other[order], score[order], fresh[order]
-            begin = np.flatnonzero(np.append(True, node[1:] != node[:-1])[:len(node)])
-            sizes = np.diff(np.append(begin, len(node)))
-            before = np.cumsum(fresh) - fresh
-            place = np.arange(len(node))
-            ahead = np.repeat(before[begin], sizes) if len(begin) else before
-            start = np.repeat(begin, sizes)
-            turn = np.where(fresh, before - ahead, place - start - (before - ahead))
+            listed = group.column("node").to_numpy()[own]  # every node has one row of its own, in ascending order
+            begin = np.searchsorted(node, listed)
+            sizes = np.searchsorted(node, listed, side="right") - begin
+            ahead = np.repeat(np.concatenate([[0], np.cumsum(fresh)])[begin], sizes)
+            before, start = np.cumsum(fresh) - fresh - ahead, np.repeat(begin, sizes)
+            turn = np.where(fresh, before, np.arange(len(node)) - start - before)
+            take = pa.array(own)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(node[begin]), _lists(other, sizes, pa.int64()), _lists(score, sizes, pa.float32()),
-                 _lists(fresh, sizes, pa.bool_()), _lists(turn.astype(np.int32), sizes, pa.int32())],
-                names=["node", "others", "scores", "fresh", "turn"])
+                [pa.array(listed), _lists(other, sizes, pa.int64()), _lists(score, sizes, pa.float32()),
+                 _lists(fresh, sizes, pa.bool_()), _lists(turn.astype(np.int32), sizes, pa.int32()),
+                 group.column("code").take(take).combine_chunks(), group.column("scale").take(take).combine_chunks()],
+                names=NAMES)
 
     return rows.repartition("node").sortWithinPartitions("node").mapInArrow(run, LISTS)
 
@@ -214,7 +232,8 @@ def _proposals(members: DataFrame, degree: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(member[at[g[run_begin], i[run_begin]]]), _lists(member[at[g, j]], count, pa.int64()),
                      _lists(score[g, i, j], count, pa.float32()), _lists(np.ones(len(g), bool), count, pa.bool_()),
-                     _lists(np.zeros(0, np.int32), none, pa.int32())], names=["node", "others", "scores", "fresh", "turn"])
+                     _lists(np.zeros(0, np.int32), none, pa.int32()), pa.nulls(len(count), pa.binary()),
+                     pa.nulls(len(count), pa.float32())], names=NAMES)
 
     return members.repartition("center").sortWithinPartitions("center").mapInArrow(run, LISTS)
 
@@ -229,16 +248,15 @@ def links(lists: DataFrame) -> DataFrame:
 def neighbour_graph(points: DataFrame, degree: int, sample: int, fresh_share: float, number: int) -> DataFrame:
     """The lists of all nodes, by blocks of two orders and then rounds of neighbours of neighbours."""
     codes = points.select("node", "code", "scale")
-    parts = max(1, math.ceil(number / PARTITION_NODES))
-    blocks = [codes.withColumn("block", F.shiftright("node", CELL_BITS))]
-    for i in range(1, ORDERS):
-        dealt = points.select("node", "code", "scale", f"key{i}").repartitionByRange(parts, f"key{i}", "node")
-        blocks.append(staged(dealt.sortWithinPartitions(f"key{i}", "node").select("node", "code", "scale", F.shiftright(
-            F.monotonically_increasing_id(), CELL_BITS).alias("block")), "order"))
-    first = None
-    for block in blocks:
-        found = block.groupBy("block").applyInArrow(_block_lists(degree), LISTS)
-        first = found if first is None else first.unionByName(found)
+    empty = [F.array().cast(kind).alias(name) for name, kind in (("others", "array<bigint>"), ("scores", "array<float>"),
+                                                                 ("fresh", "array<boolean>"), ("turn", "array<int>"))]
+    orders = [codes.withColumn("at", F.col("node"))]
+    orders += [in_order(points.select("node", "code", "scale", f"key{i}"), [f"key{i}", "node"], number, "at")
+               for i in range(1, ORDERS)]
+    first = codes.select("node", *empty, "code", "scale")
+    for order in orders:
+        block = order.select("node", "code", "scale", F.shiftright("at", CELL_BITS).alias("block"))
+        first = first.unionByName(block.groupBy("block").applyInArrow(_block_lists(degree), LISTS))
     lists = staged(merged_lists(first, degree, 0), "lists")
     while True:
         fresh = lists.agg(F.sum(F.size(F.filter("fresh", lambda x: x)))).first()[0] or 0
@@ -251,9 +269,10 @@ def neighbour_graph(points: DataFrame, degree: int, sample: int, fresh_share: fl
             entries.select(F.col("other").alias("center"), F.col("node").alias("member"), "fresh", "score").withColumn(
                 "place", F.row_number().over(back)).where(F.col("place") <= sample).drop("place", "score"))
         last = F.when(F.size("scores") < degree, F.lit(float("-inf"))).otherwise(F.element_at("scores", -1)).cast("float")
-        known = codes.join(lists.select("node", last.alias("last")), "node").withColumnRenamed("node", "member")
+        known = lists.select(F.col("node").alias("member"), "code", "scale", last.alias("last"))
         proposed = _proposals(members.join(known, "member"), degree)
-        lists = staged(merged_lists(lists.unionByName(proposed), degree, sample), "lists")
+        lists, done = staged(merged_lists(lists.unionByName(proposed), degree, sample), "lists"), lists
+        released(done)
 
 
 def adjacency(lists: DataFrame, degree: int) -> DataFrame:
@@ -268,31 +287,36 @@ def adjacency(lists: DataFrame, degree: int) -> DataFrame:
 
 # ---------------------------------------------------------------- the search
 
-def _requests(rows: DataFrame) -> DataFrame:
-    """(cell, q, x, floor, wanted): what each query asks for in each cell, what it holds already left out."""
-    kind = rows.schema["x"].dataType.simpleString()
+def _requests(rows: DataFrame, beam: int, kind: str) -> DataFrame:
+    """(cell, q, x, floor, wanted): what each query asks for in each cell, what it holds already left out.
 
+    ``rows`` has for each query its state, with its vector, and the neighbours of nodes that it visits.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            wanted, sizes = _flat(batch.column("wanted"))
-            held, held_sizes = _flat(batch.column("ids"))
-            place = np.arange(batch.num_rows)
-            q, w = np.repeat(place, sizes), wanted.astype(np.int64)
-            q_all, w_all = np.concatenate([np.repeat(place, held_sizes), q]), np.concatenate([held, w]).astype(np.int64)
-            order = np.lexsort((w_all, q_all))  # what is held stands before what is wanted
-            new = np.append(True, (q_all[order][1:] != q_all[order][:-1]) | (w_all[order][1:] != w_all[order][:-1]))
-            keep = order[new[:len(order)] & (order >= len(held))]
-            q, w = q_all[keep], w_all[keep]
-            cell = w >> CELL_BITS
+        for group in whole_groups(batches, ["q"]):
+            q_of, is_state = group.column("q").to_numpy(), group.column("x").is_valid().to_numpy(zero_copy_only=False)
+            ids, sizes = _flat(group.column("ids"))
+            q, held = np.repeat(q_of, sizes), np.repeat(is_state, sizes)
+            order = np.lexsort((~held, ids, q))  # what is held stands before what is wanted
+            new = np.append(True, (q[order][1:] != q[order][:-1]) | (ids[order][1:] != ids[order][:-1]))[:len(order)]
+            keep = order[new & ~held[order]]
+            q, ids = q[keep], ids[keep].astype(np.int64)
+            cell = ids >> CELL_BITS
             begin = np.flatnonzero(np.append(True, (q[1:] != q[:-1]) | (cell[1:] != cell[:-1]))[:len(q)])
             count = np.diff(np.append(begin, len(q)))
-            take = pa.array(q[begin])
+            states = np.flatnonzero(is_state)  # one for each query, in ascending order
+            scores, of_state = _flat(group.column("scores").take(pa.array(states)))
+            floor = np.full(len(states), -np.inf)
+            full = of_state >= beam
+            floor[full] = scores[(np.cumsum(of_state) - 1)[full]]
+            at = np.searchsorted(q_of[states], q[begin])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(cell[begin]), batch.column("q").take(take), batch.column("x").take(take),
-                 batch.column("floor").take(take), _lists((w & ((1 << CELL_BITS) - 1)).astype(np.int16), count, pa.int16())],
+                [pa.array(cell[begin]), pa.array(q[begin]), group.column("x").take(pa.array(states[at])).combine_chunks(),
+                 pa.array(floor[at]), _lists((ids & ((1 << CELL_BITS) - 1)).astype(np.int16), count, pa.int16())],
                 names=["cell", "q", "x", "floor", "wanted"])
 
-    return rows.mapInArrow(run, f"cell bigint, q bigint, x {kind}, floor double, wanted array<smallint>")
+    return rows.repartition("q").sortWithinPartitions("q").mapInArrow(
+        run, f"cell bigint, q bigint, x {kind}, floor double, wanted array<smallint>")
 
 
 def _scored(width: int):
@@ -318,48 +342,55 @@ def _scored(width: int):
     return run
 
 
-def _best(rows: DataFrame, beam: int) -> DataFrame:
-    """Each query's ``beam`` best nodes; rows that were held before have been visited."""
+def _best(rows: DataFrame, beam: int, state: str) -> DataFrame:
+    """Each query's ``beam`` best nodes; rows that were held before, which have the vector, have been visited."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in whole_groups(batches, ["q"]):
             ids, sizes = _flat(group.column("ids"))
-            scores, open_ = _flat(group.column("scores"))[0], _flat(group.column("open"))[0]
+            scores, open_ = _flat(group.column("scores"))[0], _flat(group.column("open"))[0].astype(bool)
             q = np.repeat(group.column("q").to_numpy(), sizes)
             order = np.lexsort((ids, -scores, q))
             rank = np.arange(len(order)) - np.searchsorted(q[order], q[order])
             order = order[rank < beam]
             q = q[order]
-            begin = np.flatnonzero(np.append(True, q[1:] != q[:-1])[:len(q)])
-            count = np.diff(np.append(begin, len(q)))
+            own = np.flatnonzero(group.column("x").is_valid().to_numpy(zero_copy_only=False))
+            asking = group.column("q").to_numpy()[own]
+            count = np.searchsorted(q, asking, side="right") - np.searchsorted(q, asking)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(q[begin]), _lists(ids[order], count, pa.int64()), _lists(scores[order], count, pa.float64()),
-                 _lists(open_[order].astype(bool), count, pa.bool_())], names=["q", "ids", "scores", "open"])
+                [pa.array(asking), group.column("x").take(pa.array(own)).combine_chunks(), _lists(ids[order], count, pa.int64()),
+                 _lists(scores[order], count, pa.float64()), _lists(open_[order], count, pa.bool_())],
+                names=["q", "x", "ids", "scores", "open"])
 
-    return rows.repartition("q").sortWithinPartitions("q").mapInArrow(run, STATE)
+    return rows.repartition("q").sortWithinPartitions("q").mapInArrow(run, state)
 
 
 def greedy_search(points: DataFrame, graph: DataFrame, queries: DataFrame, width: int, beam: int) -> DataFrame:
     """q, ids, scores: the best nodes found from each node of ``queries`` (column q), itself among them."""
+    kind = points.schema["x"].dataType.simpleString()
+    columns = f"q bigint, x {kind}, ids array<bigint>, scores array<double>, open array<boolean>"
+
     def begin(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x, one = _matrix(batch.column(1), width), np.ones(batch.num_rows, np.int64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), _lists(batch.column(0).to_numpy(), one, pa.int64()), _lists(dots(x, x), one, pa.float64()),
-                 _lists(one.astype(bool), one, pa.bool_())], names=["q", "ids", "scores", "open"])
+                [batch.column(0), batch.column(1), _lists(batch.column(0).to_numpy(), one, pa.int64()),
+                 _lists(dots(x, x), one, pa.float64()), _lists(one.astype(bool), one, pa.bool_())],
+                names=["q", "x", "ids", "scores", "open"])
 
-    vectors = staged(queries.join(points.select(F.col("node").alias("q"), "x"), "q"), "queries")
-    state = staged(vectors.select("q", "x").mapInArrow(begin, STATE), "state")
+    started = queries.join(points.select(F.col("node").alias("q"), "x"), "q").select("q", "x").mapInArrow(begin, columns)
+    state = staged(started, "state")
     cells = points.select(F.shiftright("node", CELL_BITS).alias("cell"), "node", "x")
+    nothing = F.lit(None)
     while not state.where(F.exists("open", lambda x: x)).isEmpty():
         at = F.explode(F.filter(F.arrays_zip("ids", "open"), lambda e: e["open"])).alias("e")
-        visited = state.select("q", at).select("q", F.col("e.ids").alias("node")).join(graph, "node")
-        wanted = visited.groupBy("q").agg(F.array_distinct(F.flatten(F.collect_list("others"))).alias("wanted"))
-        floor = F.when(F.size("scores") < beam, F.lit(float("-inf"))).otherwise(F.element_at("scores", -1))
-        asked = _requests(wanted.join(state.select("q", "ids", floor.alias("floor")), "q").join(vectors, "q")
-                          .select("q", "x", "ids", "floor", "wanted"))
-        found = asked.groupBy("cell").cogroup(cells.groupBy("cell")).applyInArrow(_scored(width), STATE)
+        wanted = state.select("q", at).select("q", F.col("e.ids").alias("node")).join(graph, "node").select(
+            "q", nothing.cast(kind).alias("x"), F.col("others").alias("ids"), nothing.cast("array<double>").alias("scores"))
+        asked = _requests(state.drop("open").unionByName(wanted), beam, kind)
+        found = asked.groupBy("cell").cogroup(cells.groupBy("cell")).applyInArrow(_scored(width), FOUND)
         held = state.withColumn("open", F.transform("open", lambda x: F.lit(False)))
-        state = staged(_best(held.unionByName(found), beam), "state")
+        found = found.withColumn("x", nothing.cast(kind))
+        state, done = staged(_best(held.unionByName(found), beam, columns), "state"), state
+        released(done)
     return state.select("q", "ids", "scores")
 
 
