@@ -9,8 +9,8 @@ The components are dealt to a few lists; an entry's score is the sum of its scor
 3. Their full scores are resolved exactly; each partition passes on its best k (ties to the smaller id),
    and the best k of all are the answer, whatever the number of ties.
 
-Queries are taken in blocks of about ``QUERY_BLOCK``, the only data that is broadcast; each block's
-answers are written to the shared folder. Components become floor(scale * x). Products are summed in
+Queries are taken in blocks of about ``QUERY_BLOCK``, the only data that is broadcast; all blocks' answers
+are written below one folder and read once, so that the plan does not grow with the blocks. Components become floor(scale * x). Products are summed in
 doubles where all sums are below 2^53, in 64-bit integers below 2^63, and in Python integers otherwise
 (a score beyond 64 bits is held at the limit).
 
@@ -22,6 +22,7 @@ null ids are no queries and lose every tie; an empty table gives an empty table.
 from __future__ import annotations
 
 import math
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,8 +31,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from envtrack.llm.common import staged
+from envtrack.session import shared_dir
 
-QUERY_BLOCK, ROWS, LISTS = 1024, 2048, 4
+QUERY_BLOCK, ROWS, LISTS = 4096, 512, 4
 NO_ID = np.int64(2**63 - 1)
 LIMIT = 2**63 - 1
 
@@ -145,7 +147,7 @@ def top_k(vectors: DataFrame, is_query, k: int = 5, scale: int = 256, id_col: st
     queries = rows.where(is_query)
     blocks = max(1, math.ceil(queries.count() / QUERY_BLOCK))
     queries = staged(queries.withColumn("block", F.pmod(F.xxhash64("row"), F.lit(blocks))), "queries")
-    out = None
+    path, written = f"{shared_dir(spark)}/llm/answers-{uuid.uuid4().hex}", False
     for block in range(blocks):
         asked = queries.where(F.col("block") == block).toArrow()
         if not asked.num_rows:
@@ -154,10 +156,10 @@ def top_k(vectors: DataFrame, is_query, k: int = 5, scale: int = 256, id_col: st
         first = _top(_entries(rows, held, width or 0, int(largest or 0), k, None), k)
         kth = {r[0]: r[1] for r in first.where(F.col("rank") == k).select("query", "score").collect()}
         cutoffs = np.array([kth.get(int(r), -LIMIT) for r in held[0]], np.int64)
-        answers = staged(_top(_entries(rows, held, width or 0, int(largest or 0), k, cutoffs), k), "answers")
-        out = answers if out is None else out.unionByName(answers)
-    if out is None:
-        out = spark.createDataFrame([], "query bigint, row bigint, id bigint, score bigint, rank int")
+        _top(_entries(rows, held, width or 0, int(largest or 0), k, cutoffs), k).write.mode("append").parquet(path)
+        written = True
+    kind = "query bigint, row bigint, id bigint, score bigint, rank int"
+    out = spark.read.schema(kind).parquet(path) if written else spark.createDataFrame([], kind)
     names = queries.select(F.col("row").alias("query"), F.col("id").alias("query_id"))
     return out.join(names, "query").select("query_id", F.col("rank").cast("int"), F.col("id").alias(id_col), "score")
 

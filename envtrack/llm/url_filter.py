@@ -3,7 +3,8 @@
 A page's own verdict is that of the longest rule that fits its host and path. Canonical links and
 immediate refreshes in the pages' HTML are edges between URLs; the connected components of those edges
 are sets of aliases. A page without a rule of its own is blocked if any alias of its URL is blocked by
-a rule, and allowed otherwise. An explicit allow rule takes precedence over a block that comes from an
+a rule, and allowed otherwise. What rules say of an alias goes by paths as they are written, of pages or
+of link targets: an empty path is not taken for ``/`` there. An explicit allow rule takes precedence over a block that comes from an
 alias, as does every rule of the page's own.
 
 Only URLs that take part in an edge enter the component steps, and only the blocked ones among them
@@ -109,14 +110,15 @@ def judge_pages(pages: DataFrame, rules: list[Rule], id_col: str = "page_id", ur
         out = judged.withColumn("hit", F.lit(None).cast("boolean"))
     else:
         alias = staged(components(edges, "address", "to"), "aliases")
-        parts = host_and_path(F.concat(F.lit("://"), F.col("node")))
-        ruled = alias.withColumn("own", own_rule(*parts, rules))
-        bad = ruled.where("own.verdict = 'block'").select("root").distinct()
+        targets = edges.select(F.col("to").alias("node"), own_rule(*host_and_path(F.col("target")), rules).alias("own"))
+        blocked = judged.select(F.col("address").alias("node"), "own").unionByName(targets).where(
+            "own.verdict = 'block'").select("node").distinct()
+        bad = alias.join(blocked, "node", "left_semi").select("root").distinct()
         hit = alias.join(bad, "root", "left_semi").select(F.col("node").alias("address"), F.lit(True).alias("hit"))
         open_ = staged(judged.where("own is null and address is not null"), "open-pages")
         pages_of = open_.groupBy("address").agg(F.count("*").alias("pages"))
-        hit = staged(hit.join(pages_of, "address"), "blocked")
-        out = left_join_by_key(open_, hit, "address", "pages").unionByName(
+        per_address = staged(pages_of.join(hit, "address", "left"), "addresses")  # of every open page, hit or not
+        out = left_join_by_key(open_, per_address, "address", "pages").unionByName(
             judged.where("own is not null or address is null"), allowMissingColumns=True)
     verdict = F.coalesce("own.verdict", F.when(F.col("hit"), "block"), F.lit("allow"))
     return out.select(F.col("id").alias(id_col), "host", "path", F.col("own.rule").alias("rule"),
@@ -152,17 +154,16 @@ goal AS (
     ELSE host || regexp_replace(CASE WHEN path = '' THEN '/' ELSE path END, '[^/]*$', '') || link END AS rest
   FROM links WHERE link <> '' AND link NOT LIKE '#%'
     AND (link LIKE '%://%' OR NOT regexp_matches(link, '^[A-Za-z][A-Za-z0-9+.-]*:'))),
-e AS (
+gp AS (
   SELECT node AS a, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
-    'abcdefghijklmnopqrstuvwxyz') || CASE WHEN regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) = '' THEN '/'
-    ELSE regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) END || regexp_extract(rest, '^[^?#]*(\?[^#]*)', 1) AS b
-  FROM goal),
+    'abcdefghijklmnopqrstuvwxyz') AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path,
+    regexp_extract(rest, '^[^?#]*(\?[^#]*)', 1) AS query FROM goal),
+e AS (SELECT a, host || CASE WHEN path = '' THEN '/' ELSE path END || query AS b, host, path FROM gp),
 u AS (SELECT a, b FROM e UNION SELECT b, a FROM e),
 reach(a, b) AS (SELECT a, b FROM u UNION SELECT r.a, u.b FROM reach r JOIN u ON r.b = u.a),
-n AS (SELECT DISTINCT b, regexp_extract(b, '^[^/?#]*') AS host, regexp_extract(b, '^[^/?#]*([^?#]*)', 1) AS path
-      FROM reach),
+n AS (SELECT node AS b, host, path FROM k UNION SELECT b, host, path FROM e),
 nv AS (SELECT b, arg_max(verdict, length(rh || rp)) AS verdict FROM n JOIN rules
-  ON (n.host = rh OR ends_with(n.host, '.' || rh)) AND starts_with(n.path, rp) GROUP BY b),
+  ON (n.host = rh OR ends_with(n.host, '.' || rh)) AND starts_with(n.path, rp) GROUP BY b, host, path),
 hit AS (SELECT DISTINCT a FROM reach JOIN nv USING (b) WHERE verdict = 'block'),
 own AS (SELECT page_id, arg_max(rh || rp, length(rh || rp)) AS rule, arg_max(verdict, length(rh || rp)) AS verdict
   FROM k JOIN rules ON (k.host = rh OR ends_with(k.host, '.' || rh)) AND starts_with(k.path, rp) GROUP BY page_id)

@@ -79,3 +79,38 @@ def test_sql_agrees_on_links(spark):
 def test_no_python_on_the_main_path(spark):
     plan = url_filter.judge_pages(awkward_pages(spark), url_filter.RULES)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def linked(target):
+    return f'<link rel="canonical" href="{target}">'
+
+
+def against_sql(spark, rows):
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    con = duckdb.connect()
+    con.register("pages", pages.toPandas())
+    found = url_filter.judge_pages(pages, url_filter.RULES).select("page_id", "host", "path", "rule", "verdict").collect()
+    assert sorted((tuple(r) for r in found), key=str) == sorted(con.sql(url_filter.ORACLE).fetchall(), key=str)
+    return {r.page_id: (r.rule, r.verdict) for r in found}
+
+
+def test_a_path_that_was_made_up_blocks_nothing(spark):
+    """An empty path is not ``/``: neither the page nor what it links to is blocked by a rule on ``/``."""
+    verdict = against_sql(spark, [(1, "http://a.net", None), (2, "http://b.net", linked("http://ok.org/x")),
+                                  (3, "http://ok.org/x", None), (4, "http://c.org/y", linked("http://d.net/")),
+                                  (5, "http://e.org/z", linked("http://f.net")), (6, "http://d.net", linked("/"))])
+    assert verdict[1] == verdict[2] == verdict[3] == verdict[5] == (None, "allow")
+    assert verdict[4] == verdict[6] == (None, "block")  # d.net/ as it is written
+
+
+def test_links_with_a_url_on_a_third_of_the_pages(spark):
+    """Chains, circles and one very common URL that no rule blocks."""
+    rows = [(i, "http://common.org/start", linked("/start") if i % 2 else None) for i in range(300)]
+    for i in range(300, 600):
+        host = ["x.org", "y.org", "z.net", "example.com"][i % 4]
+        target = f"http://{['x.org', 'y.org', 'z.net', 'example.com'][(i + 1) % 4]}/{'de/' if i % 5 else ''}{i + 1}"
+        rows.append((i, f"http://{host}/{'de/' if (i - 1) % 5 else ''}{i}", linked(target) if i % 7 else None))
+    verdict = against_sql(spark, rows)
+    assert all(verdict[i] == (None, "allow") for i in range(300))
+    assert {v for i, (_, v) in verdict.items() if i >= 300} == {"allow", "block"}
+    assert any(rule is None and v == "block" for rule, v in verdict.values())
