@@ -20,7 +20,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from envtrack.llm.common import staged
+from envtrack.llm.common import left_join_by_key, numbered, staged
 
 #: Bits of each of the two hashes, bits of a further round, and bits below the expected depth.
 HASH_BITS, ROUND_BITS, MARGIN_BITS = 60, 8, 3
@@ -28,13 +28,14 @@ HASH_BITS, ROUND_BITS, MARGIN_BITS = 60, 8, 3
 ROW_FACTOR = 0x9E3779B97F4A7C1
 
 
-def _keys(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def _keys(docs: DataFrame, id_col: str, text_col: str, row_col: str | None) -> DataFrame:
     name = F.coalesce(F.col(id_col).cast("string"), F.lit(""))
-    rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.octet_length(text_col), F.lit(0)).alias("size"),
+    number = F.col(row_col) if row_col else F.monotonically_increasing_id()
+    rows = docs.select(F.col(id_col).alias("id"), number.alias("row"), F.coalesce(F.octet_length(text_col), F.lit(0)).alias("size"),
                        F.conv(F.substring(F.md5(name), 1, 15), 16, 10).cast("bigint").alias("key"))
-    row = F.monotonically_increasing_id().cast("decimal(20,0)")
+    row = F.col("row").cast("decimal(20,0)")
     image = (row * F.lit(ROW_FACTOR).cast("decimal(18,0)")) % F.lit(1 << HASH_BITS).cast("decimal(20,0)")
-    return rows.select("id", (F.col("size").cast("bigint") + 1).alias("bytes"), "key",
+    return rows.select("id", "row", (F.col("size").cast("bigint") + 1).alias("bytes"), "key",
                        image.cast("bigint").alias("row_key"))
 
 
@@ -45,8 +46,8 @@ def _cell(depth: int) -> Column:
     return F.concat_ws(".", "key", F.shiftright("row_key", 2 * HASH_BITS - depth))
 
 
-def _round(rows: DataFrame, depth: int, to: int, limit: int) -> tuple[DataFrame, DataFrame]:
-    """Splits oversized buckets at ``depth``: (cell -> shard table, oversized cells at ``to``)."""
+def _round(rows: DataFrame, depth: int, to: int, limit: int) -> DataFrame:
+    """Splits oversized buckets at ``depth``: each cell at ``to`` with its documents and its shard, if it has one."""
     word = F.col("key") if to <= HASH_BITS else F.col("row_key")
     high = F.lit(0) if to <= HASH_BITS else F.col("key")
     skip = (HASH_BITS if to <= HASH_BITS else 2 * HASH_BITS) - to
@@ -65,40 +66,48 @@ def _round(rows: DataFrame, depth: int, to: int, limit: int) -> tuple[DataFrame,
     place = F.col("s.node").cast("string") if to <= HASH_BITS else F.concat_ws(".", "high", "s.node")
     found = shard.select("name", F.concat_ws(":", "s.depth", place).alias("shard"), F.col("s.depth").alias("depth"),
                          "s.shard_bytes", "s.shard_docs")
-    return found, cells.where((F.col("bytes") > limit) & (F.col("docs") > 1)).select("name")
+    return cells.select("name", "docs").join(found, "name", "left")
 
 
-def assign_shards(docs: DataFrame, byte_limit: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """For each document: id, bytes, shard (depth and prefix), depth, shard_bytes and shard_docs."""
-    rows = staged(_keys(docs, id_col, text_col), "shard-keys")
+def assign_shards(docs: DataFrame, byte_limit: int, id_col: str = "doc_id", text_col: str = "text",
+                  row_col: str | None = None) -> DataFrame:
+    """For each document: id, bytes, shard (depth and prefix), depth, shard_bytes and shard_docs.
+
+    ``row_col`` names a column of unique row numbers, if there is one; it is returned as well.
+    """
+    rows = staged(_keys(docs, id_col, text_col, row_col), "shard-keys")
     total, count = rows.agg(F.coalesce(F.sum("bytes"), F.lit(0)), F.count("*")).first()
-    columns = ["id", "bytes", "shard", "depth", "shard_bytes", "shard_docs"]
+    columns = [F.col("id").alias(id_col), "bytes", "shard", "depth", "shard_bytes", "shard_docs",
+               *([F.col("row").alias(row_col)] if row_col else [])]
     if total <= byte_limit or count <= 1:
         out = rows.withColumns({"shard": F.lit("0:0"), "depth": F.lit(0), "shard_bytes": F.lit(total).cast("bigint"),
                                 "shard_docs": F.lit(count).cast("bigint")})
-        return out.select(*columns).withColumnRenamed("id", id_col)
+        return out.select(*columns)
     depth, to = 0, min(HASH_BITS, MARGIN_BITS + max(1, math.ceil(math.log2(total / byte_limit))))
-    parts: list[DataFrame] = []
+    out = None
     while True:
         rows = rows.withColumn("name", _cell(to))
-        shards, oversized = _round(rows, depth, to, byte_limit)
-        shards = staged(shards, "directory")
-        parts.append(rows.join(shards, "name").select(*columns))
-        if to == 2 * HASH_BITS or oversized.isEmpty():
-            break
-        rows = staged(rows.join(oversized, "name", "left_semi").drop("name"), "shard-keys")
+        cells = staged(_round(rows, depth, to, byte_limit), "directory")
+        placed = left_join_by_key(rows, cells, "name", "docs")  # all rows of an id are one cell until the row's bits
+        part = placed.where("shard is not null").select(*columns)
+        out = part if out is None else out.unionByName(part)
+        if to == 2 * HASH_BITS or cells.where("shard is null").isEmpty():
+            return out
+        rows = staged(placed.where("shard is null").select("id", "row", "bytes", "key", "row_key"), "shard-keys")
         depth = to
         to = min(to + ROUND_BITS, HASH_BITS if to < HASH_BITS else 2 * HASH_BITS)
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out.withColumnRenamed("id", id_col)
 
 
-def write_shards(docs: DataFrame, shards: DataFrame, path: str, id_col: str = "doc_id") -> None:
-    """The documents below ``path``, one folder for each shard (ids must be unique)."""
-    placed = docs.join(shards.select(id_col, "shard"), id_col)
+def write_shards(docs: DataFrame, byte_limit: int, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The documents, whole, below ``path``, one folder ``shard=`` for each shard; returns what was assigned.
+
+    Documents are followed by a row number, so that repeated and null ids keep each of their rows.
+    """
+    rows, row = numbered(docs)
+    shards = staged(assign_shards(rows, byte_limit, id_col, text_col, row), "shards")
+    placed = rows.join(shards.select(row, "shard"), row).drop(row)
     placed.repartition("shard").write.partitionBy("shard").parquet(path)
+    return shards.drop(row)
 
 
 def oracle(byte_limit: int) -> str:
