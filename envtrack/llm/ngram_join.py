@@ -40,8 +40,9 @@ from envtrack.llm.words import word_hashes
 #: MinHash values, values of a band, and values compared in one step.
 VALUES, BAND, STEP = 64, 4, 16
 TOLERANCE = 1e-5
-#: Rows of a block of a bucket or cluster, and n-grams of a block of a cluster.
-BLOCK_ROWS, BLOCK_GRAMS = 4096, 3 << 19
+#: Rows of a block of a bucket, and rows and n-grams of a block of a cluster: what a task settles at once is a
+#: pair of blocks, so that these bound the work and not only the memory.
+BUCKET_ROWS, BLOCK_ROWS, BLOCK_GRAMS = 1024, 512, 3 << 19
 #: Pairs compared directly, and texts of an n-gram that are paired directly rather than by a product.
 DIRECT_PAIRS, DIRECT_TEXTS = 1 << 20, 16
 
@@ -250,8 +251,9 @@ def _candidates(texts: DataFrame, threshold: float) -> DataFrame:
     total = texts.count() * (VALUES // BAND)
     sizes = staged(buckets.groupBy("key").agg(F.count("*").alias("m")).where("m > 1"), "buckets")
     heavy, light = sizes.where(F.col("m") > total / 1024), sizes.where(F.col("m") <= total / 1024)
-    rows = buckets.join(F.broadcast(heavy), "key").unionByName(buckets.join(light, "key"))
-    rows = rows.withColumn("nb", F.ceil(F.col("m") / BLOCK_ROWS).cast("int"))
+    rest = buckets.join(F.broadcast(heavy), "key", "left_anti")  # no row of a heavy bucket is shuffled by its key
+    rows = buckets.join(F.broadcast(heavy), "key").unionByName(rest.join(light, "key"))
+    rows = rows.withColumn("nb", F.ceil(F.col("m") / BUCKET_ROWS).cast("int"))
     rows = rows.withColumn("b", F.pmod(F.xxhash64("digest"), "nb").cast("int")).drop("m")
     rows = rows.join(texts.select("digest", "sig"), "digest")
 

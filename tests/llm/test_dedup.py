@@ -228,7 +228,34 @@ def test_equal_ids_are_split_by_row(spark):
 
 def test_shards_are_written_whole(spark, scratch):
     docs = table(spark, SF_SMALL, "documents")
-    shards = sharding.assign_shards(docs, 100_000)
-    sharding.write_shards(docs, shards, scratch + "/shards")
+    shards = sharding.write_shards(docs, 100_000, scratch + "/shards")
     back = spark.read.parquet(scratch + "/shards")
     assert back.count() == docs.count() and back.select("shard").distinct().count() == shards.select("shard").distinct().count()
+
+
+def test_repeated_and_null_ids_are_written_once_each(spark, scratch):
+    docs = spark.createDataFrame([(5, "x" * 99), (5, "x" * 99), (5, "y" * 50), (5, "z"), (6, "one"), (None, "no id"), (None, None)],
+                                 "doc_id long, text string").repartition(3)
+    sharding.write_shards(docs, 120, scratch + "/shards")
+    back = spark.read.parquet(scratch + "/shards").select("doc_id", "text").collect()
+    assert sorted(map(tuple, back), key=str) == sorted(map(tuple, docs.collect()), key=str)
+
+
+def test_a_cluster_of_several_blocks_is_counted_whole(spark, monkeypatch):
+    """Blocks of a few rows: every pair of blocks meets, and no link is lost or counted twice."""
+    monkeypatch.setattr(ngram_join, "BLOCK_ROWS", 4)
+    monkeypatch.setattr(ngram_join, "BUCKET_ROWS", 3)
+    base = prose(99, 90).split()
+    texts = []
+    for i in range(30):
+        words = list(base)
+        words[i * 3] = f"other{i}"
+        texts.append((i, " ".join(words)))
+    texts += [(100 + i, texts[3][1]) for i in range(5)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(5)
+    found = {r.doc_id: (r.class_id, r.n_links, r.kept) for r in ngram_join.near_duplicates(docs).collect()}
+    sets = {i: set(grams(t)) for i, t in texts}
+    for i in found:
+        links = sum(j != i and len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]) for j in sets)
+        assert found[i][1] == links
+    assert {c for c, _, _ in found.values()} == {0} and sum(k for *_, k in found.values()) == 1
