@@ -159,12 +159,23 @@ def document_features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     return rows.mapInArrow(run, f"id {kind}, features array<double>").withColumnRenamed("id", id_col)
 
 
+def marked(labels: DataFrame, id_col: str = "doc_id", label_col: str = "quality") -> DataFrame:
+    """id and label of what may be learned from; an id that is repeated with one label counts once."""
+    return labels.where(F.col(label_col).isin(0, 1) & ~held_out(id_col)).select(
+        id_col, F.col(label_col).alias("label")).distinct()
+
+
+def labelled_texts(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", rows: int = TRAIN_ROWS) -> DataFrame:
+    """The documents that ``train`` would take, found on ids alone: ``rows`` ids at most, by the same order."""
+    ids = docs.select(id_col).join(marked(labels, id_col), id_col).distinct()
+    chosen = ids.orderBy(F.xxhash64(id_col), "label").limit(rows).select(id_col).distinct()
+    return docs.join(F.broadcast(chosen), id_col, "left_semi")
+
+
 def train(measured: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col: str = "quality",
           rows: int = TRAIN_ROWS) -> QualityModel:
     """The model of the labelled rows outside the held-out fold; at most ``rows`` come to the driver."""
-    marked = labels.where(F.col(label_col).isin(0, 1) & ~held_out(id_col)).select(
-        id_col, F.col(label_col).alias("label"))
-    sample = (measured.join(marked, id_col).select("features", "label", F.xxhash64(id_col).alias("h"))
+    sample = (measured.join(marked(labels, id_col, label_col), id_col).select("features", "label", F.xxhash64(id_col).alias("h"))
               .orderBy("h", "label", "features").limit(rows).select("features", "label").collect())
     x = np.array([r[0] for r in sample], float).reshape(len(sample), len(FEATURES))
     return fit(x, np.array([r[1] == 1 for r in sample], bool))
@@ -192,7 +203,7 @@ def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def keep_good(docs: DataFrame, labels: DataFrame, text_col: str = "text") -> DataFrame:
     """The rows, whole, of the documents that the classifier predicts to be good: no shuffle of texts."""
-    model = train(document_features(docs, text_col=text_col), labels)
+    model = train(document_features(labelled_texts(docs, labels), text_col=text_col), labels)
     at = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
