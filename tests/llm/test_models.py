@@ -287,3 +287,76 @@ def test_the_future_is_not_seen():
     by_place[real] = logp
     first, second = by_place.reshape(2, -1)[:, :attention.SCORED - 10]
     assert np.allclose(first, second, atol=1e-5)
+
+
+def plain_features(text):
+    """The style measures of one text, written down one by one."""
+    raw = text.encode()
+    n = max(1, len(raw))
+    kinds = [range(65, 91), range(97, 123), b"0123456789", b" \t", b"\n\r", b".?", b",;:", b"'\"()-",
+             b"!#$%&*+/<=>@[\\]^_`{}~", b"|", range(128, 256)]
+    out = [math.log1p(len(raw)), *(sum(b in k for b in raw) / n for k in map(set, kinds))]
+    out.append(-sum(c / n * math.log2(c / n) for c in Counter(raw).values()))
+    words = raw.split()
+    if not words:
+        return out + [0.0] * 8
+    m, tally = len(words), Counter(words)
+    symbols = set(b"!#$%&*+/<=>@[\\]^_`{}~|")
+    lines = [x for x in raw.split(b"\n") if x]
+    return out + [math.log1p(sum(len(w) for w in words) / m), len(tally) / m,
+                  sum(a == b for a, b in zip(words, words[1:])) / m, max(tally.values()) / m,
+                  sum(w[-1] in symbols for w in words) / m,
+                  sum(len(w) < 4 and not w.isalpha() and all(b < 128 for b in w) for w in words) / m,
+                  math.log1p(len(raw) / len(lines)), len(set(lines)) / len(lines)]
+
+
+def test_features_are_those_of_a_plain_computation(spark):
+    docs = awkward_documents(spark).select("doc_id", "text").unionByName(
+        table(spark, SF_SMALL, "documents").select("doc_id", "text")).repartition(3)
+    rows = quality.document_features(docs.withColumnRenamed("doc_id", "key"), "key")
+    found = sorted((str(r[0]), tuple(round(x, 9) for x in r[1])) for r in rows.collect())
+    want = sorted((str(r.doc_id), tuple(round(x, 9) for x in plain_features(r.text or ""))) for r in docs.collect())
+    assert found == want and len(quality.FEATURES) == len(found[0][1])
+
+
+def test_fit_ranks_preference_pairs_and_cuts_at_the_quantile_of_fewest_errors():
+    rng = np.random.default_rng(3)
+    x = rng.standard_normal((600, len(quality.FEATURES)))
+    good = x[:, 3] - 2 * np.abs(x[:, 5]) > -1.2  # not linear in the measures
+    model = quality.fit(x, good)
+    strength = model.strength(x)
+    pairs = strength[good][:, None] > strength[~good][None, :]
+    assert pairs.mean() > 0.97
+    errors = [((strength >= c) != good).sum() for c in np.append(strength, np.inf)]
+    assert ((model.score(x) >= 0.7) != good).sum() == min(errors)
+    loss = -np.log(1 / (1 + np.exp(-(strength[good][:, None] - strength[~good][None, :])))).mean()
+    assert loss < 0.2 < math.log(2)
+
+
+def test_labels_and_documents_with_repeated_ids_do_not_multiply(spark):
+    docs = spark.createDataFrame([(i % 40, f"Some text, number {i % 40}. It goes on and on.") for i in range(200)], "doc_id int, text string")
+    labels = spark.createDataFrame([(i % 40, i % 2) for i in range(400)], "doc_id int, quality int")
+    assert quality.marked(labels).groupBy("doc_id").count().where("count > 1").isEmpty()
+    assert quality.labelled_texts(docs, labels, rows=10).select("doc_id").distinct().count() == 10
+
+
+def test_scores_of_large_weights_are_those_of_the_plain_forward_pass():
+    model, _, _, windows = small_model()
+    w = model.symbol[windows][:8]
+    for factor in (1, 200, 5000):
+        p = {k: v * np.float32(factor) if k in ("query", "class_head") else v for k, v in model.parameters.items()}
+        rng = np.random.default_rng(4)
+        p["class_head"] = p["class_head"] + rng.standard_normal(p["class_head"].shape).astype(np.float32) * factor / 20
+        logp, real, _ = attention.forward({k: v.astype(np.float64) for k, v in p.items()}, model.tables, w)
+        plain = np.bincount(real // attention.SCORED, weights=logp, minlength=len(w))
+        got = attention.log_chances(p, model.tables, w)
+        assert np.isfinite(got).all() and np.allclose(got, plain, rtol=2e-3, atol=0.05)
+
+
+def test_the_trained_model_beats_counts_alone_on_held_out_texts(spark):
+    """Attention does work: with its trained output taken away, held-out texts are less likely."""
+    docs = table(spark, SF_MID, "documents").select("doc_id", "text")
+    rows = lm_scoring.score_documents(docs, VOCABULARY).where("held_out").select("score", "base_score", "n_tokens").collect()
+    model = -sum(r.score for r in rows) / sum(r.n_tokens for r in rows)
+    base = -sum(r.base_score for r in rows) / sum(r.n_tokens for r in rows)
+    assert model < base
