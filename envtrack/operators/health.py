@@ -209,6 +209,30 @@ def elevated_periods(readings: DataFrame, field: str = "smoke", threshold=None,
             .select("device", "period_start", "period_end", "readings", "max_value"))
 
 
+def gap_tolerant_periods(readings: DataFrame, field: str = "smoke", threshold=None, quiet_seconds: float = 1800.0,
+                         chunk_seconds: int = DEFAULT_CHUNK_SECONDS, valid_only: bool = False) -> DataFrame:
+    """W7 with gaps: periods of readings of a device with ``field >= threshold``, each less than
+    ``quiet_seconds`` behind the one before; what lies between them does not end a period.
+
+    Session windows, in two levels: sessions inside each (device, chunk), so that a busy device is spread over
+    its chunks, and then sessions of those sessions, of which there are few, each as long as it is and the
+    quiet gap behind it. The widths of chunks make no difference to the result.
+    """
+    r = base(readings, valid_only)
+    if threshold is None:
+        threshold = alert_threshold(readings, field, valid_only)
+    quiet = int(round(quiet_seconds * 1e6))
+    high = r.where(_m(field) >= F.lit(float(threshold))).select("device", "timestamp", _m(field).alias("v"))
+    inner = high.groupBy("device", F.floor(micros(F.col("timestamp")) / (chunk_seconds * 1_000_000)).alias("_chunk"),
+                         F.session_window("timestamp", f"{quiet} microseconds").alias("_w")).agg(
+        F.min("timestamp").alias("_from"), F.max("timestamp").alias("_to"), F.count("*").alias("_n"), F.max("v").alias("_max"))
+    length = F.concat((micros(F.col("_to")) - micros(F.col("_from")) + quiet).cast("string"), F.lit(" microseconds"))
+    parts = inner.select("device", "_from", "_to", "_n", "_max")
+    return parts.groupBy("device", F.session_window("_from", length).alias("_w")).agg(
+        utc_ntz(F.min("_from")).alias("period_start"), utc_ntz(F.max("_to")).alias("period_end"),
+        F.sum("_n").alias("readings"), F.max("_max").alias("max_value")).drop("_w")
+
+
 def device_relative_alerts(readings: DataFrame, field: str = "smoke", valid_only: bool = False) -> DataFrame:
     """Readings at or above their own device's p90 of ``field``.
 

@@ -113,22 +113,30 @@ def device_density(readings: DataFrame) -> DataFrame:
     return _density_from_counts(per).drop("unique_devices")
 
 
+def device_parts(readings: DataFrame, *also: str) -> DataFrame:
+    """Per device (and ``also``): what the validation report is made of, counts and bounds that add up."""
+    return readings.groupBy(*also, "device").agg(
+        F.count("*").alias("n"), F.min("timestamp").alias("first"), F.max("timestamp").alias("last"),
+        F.count_if(F.col("quality").isNotNull()).alias("q"),
+        F.count_if(F.col("quality.is_valid") == F.lit(False)).alias("inv"),
+        F.count_if(F.size(F.col("quality.flags")) > 0).alias("fl"))
+
+
 def validation_report(readings: DataFrame) -> DataFrame:
     """One row with the figures and the validity / readiness verdicts.
 
     Structural checks that the reference made on one sample document (device, timestamp and a
     nested measurements object present) are checked here on the table schema, which Spark fixes.
+    A two-level aggregate, no join: per-device parts (map-side combined), then one global row.
     """
     fields = measurement_fields(readings)
     has_fields = set(EXPECTED_MEASUREMENT_FIELDS).issubset(fields)
     schema_ok = has_fields and {"device", "timestamp", "measurements"}.issubset(set(readings.columns))
+    return report_of_devices(device_parts(readings), fields, schema_ok)
 
-    # two-level aggregate, no join: per-device partials (map-side combined), then one global row
-    per = readings.groupBy("device").agg(
-        F.count("*").alias("n"), F.min("timestamp").alias("first"), F.max("timestamp").alias("last"),
-        F.count_if(F.col("quality").isNotNull()).alias("q"),
-        F.count_if(F.col("quality.is_valid") == F.lit(False)).alias("inv"),
-        F.count_if(F.size(F.col("quality.flags")) > 0).alias("fl"))
+
+def report_of_devices(per: DataFrame, fields: list[str], schema_ok: bool) -> DataFrame:
+    """The report from one row of ``device_parts`` for each device."""
     named = F.col("device").isNotNull() & (F.col("device") != "")
     j = per.agg(
         F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("total_documents"),

@@ -751,3 +751,162 @@ def q_device_relative_alerts(spark, sf_dir):
 
 
 __all__ = ["ORACLE", "QUERIES", "classified", "flat", "loaded", "readings"]
+
+
+_QUIET_US = 1_800_000_000
+
+
+@register("gap_tolerant_periods", O.with_readings(
+    f", x AS (SELECT device, timestamp, smoke AS v FROM rd WHERE smoke >= {_thr_sql('smoke')}), "
+    "p AS (SELECT *, lag(timestamp) OVER (PARTITION BY device ORDER BY timestamp) AS before FROM x), "
+    f"s AS (SELECT *, sum(CASE WHEN epoch_us(timestamp) - epoch_us(before) < {_QUIET_US} THEN 0 ELSE 1 END) OVER "
+    "(PARTITION BY device ORDER BY timestamp ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS period FROM p) "
+    "SELECT device, min(timestamp) AS period_start, max(timestamp) AS period_end, count(*) AS readings, "
+    "max(v) AS max_value FROM s GROUP BY device, period"))
+def q_gap_tolerant_periods(spark, sf_dir):
+    return H.gap_tolerant_periods(readings(spark, sf_dir))
+
+
+# --- files with headers of their own, kept summaries, standing queries ------------------------
+
+@register("mixed_headers", O.with_readings(f"SELECT {FLAT_SQL} FROM rd"))
+def q_mixed_headers(spark, sf_dir):
+    """The raw rows as CSV files in three column orders, one with a column more, loaded as one source."""
+    from envtrack.sources.table import read_readings
+    from envtrack.streaming.load import load_readings
+
+    root = _fresh_folder(spark, "mixed_headers")
+    raw = raw_readings(spark, sf_dir, keep_order=True)
+    orders = [S.REQUIRED_COLUMNS, S.REQUIRED_COLUMNS[::-1], ["extra", *sorted(S.REQUIRED_COLUMNS)]]
+    for i, order in enumerate(orders):
+        part = raw.where(F.col("_seq") % 3 == i).withColumn("extra", F.lit('not "read", ever'))
+        part.select(*order).write.option("header", True).option("escape", '"').csv(f"{root}/input/{i}")
+    load_readings(spark, f"{root}/input", f"{root}/readings", f"{root}/state", files_per_batch=1000, delay_seconds=0,
+                  ingested_at=REGISTRY_INGESTED_AT)
+    return flat(read_readings(spark, f"{root}/readings"))
+
+
+def _table_of_parts(spark: SparkSession, sf_dir: str, name: str, parts: list) -> str:
+    """A new readings table of the accepted rows, copies among the parts included, one batch for each
+    condition on the raw rows in ``parts``; written in that order."""
+    from envtrack.sources.table import merge_into_table
+
+    root = _fresh_folder(spark, name)
+    docs = accepted_readings(classify_rows(raw_readings(spark, sf_dir, keep_order=True), REGISTRY_INGESTED_AT, keep=["_seq"]),
+                             keep=["_seq"])
+    for i, condition in enumerate(parts):
+        merge_into_table(docs.where(condition).drop("_seq"), f"{root}/readings", f"batch-{i:06d}")
+    return root
+
+
+@register("compacted_table", O.with_readings(f"SELECT {FLAT_SQL} FROM rd"))
+def q_compacted_table(spark, sf_dir):
+    """K1: three overlapping batches, settled and written anew as a table without copies."""
+    from envtrack.sources.table import compact, stored_parts
+
+    root = _table_of_parts(spark, sf_dir, "compacted", ["_seq % 3 <> 0", "_seq % 2 = 0", "_seq % 5 <> 1 or _seq % 3 = 0"])
+    compact(spark, f"{root}/readings", f"{root}/compacted")
+    return flat(stored_parts(spark, f"{root}/compacted"))
+
+
+@register("kept_validation_report", ORACLE["validation_report"])
+def q_kept_validation_report(spark, sf_dir):
+    """A6-A16 from per-day parts: made for a first batch, then renewed for the days that a second one touched."""
+    from envtrack.plans import summaries
+    from envtrack.sources.table import merge_into_table
+
+    root = _table_of_parts(spark, sf_dir, "kept_report", ["_seq % 3 <> 0"])
+    summaries.refresh(spark, f"{root}/readings", f"{root}/summaries")
+    merge_into_table(loaded(spark, sf_dir), f"{root}/readings", "batch-000001")
+    summaries.refresh(spark, f"{root}/readings", f"{root}/summaries")
+    return summaries.validation_report(spark, f"{root}/summaries")
+
+
+@register("kept_quantiles", O.with_readings(
+    ", l AS (SELECT device, 'co' AS field, co AS v FROM rd UNION ALL SELECT device, 'lpg', lpg FROM rd "
+    "UNION ALL SELECT device, 'smoke', smoke FROM rd) SELECT device, field, count(*) AS n, TRUE AS p50_within, "
+    "TRUE AS p90_within FROM l WHERE v IS NOT NULL GROUP BY ALL"))
+def q_kept_quantiles(spark, sf_dir):
+    """A13/A19 from sketches kept by day and device: whether each estimate's rank is within the stated error
+    (twice that, as some hundred sketches are looked at and each holds it with 99 of 100)."""
+    from envtrack.plans import summaries
+    from envtrack.sources.table import read_readings
+
+    root = _table_of_parts(spark, sf_dir, "kept_quantiles", ["true"])
+    summaries.refresh(spark, f"{root}/readings", f"{root}/summaries")
+    ps = {"p50": 0.5, "p90": 0.9}
+    found = summaries.kept_quantiles(spark, f"{root}/summaries", ps, by_device=True)
+    entries = F.array(*[F.struct(F.lit(f).alias("field"), F.col(f"measurements.{f}").alias("v")) for f in Q.THRESHOLD_FIELDS])
+    values = read_readings(spark, f"{root}/readings").select("device", F.explode(entries).alias("e")).select(
+        "device", "e.*").where("v is not null")
+    ranks = values.join(found, ["device", "field"]).groupBy("device", "field", "n").agg(
+        *[x for p in ps for x in (F.count_if(F.col("v") < F.col(p)).alias(f"{p}_below"),
+                                  F.count_if(F.col("v") <= F.col(p)).alias(f"{p}_upto"))])
+    slack = 2 * summaries.RANK_ERROR * F.col("n") + 1
+    return ranks.select("device", "field", "n", *[
+        ((F.col(f"{p}_below") <= q * F.col("n") + slack) & (F.col(f"{p}_upto") >= q * F.col("n") - slack)).alias(f"{p}_within")
+        for p, q in ps.items()])
+
+
+@register("kept_distinct_devices", O.with_readings(
+    "SELECT count(DISTINCT device) AS devices, TRUE AS within FROM rd "
+    f"WHERE event_date >= DATE '{WINDOW_START}' AND event_date < DATE '{WINDOW_END}'"))
+def q_kept_distinct_devices(spark, sf_dir):
+    """A10 of a range of days from one sketch a day, against the exact number (5 % of it, three standard errors)."""
+    from envtrack.plans import summaries
+    from envtrack.sources.table import read_readings
+
+    root = _table_of_parts(spark, sf_dir, "kept_devices", ["true"])
+    summaries.refresh(spark, f"{root}/readings", f"{root}/summaries")
+    exact = read_readings(spark, f"{root}/readings").where(F.col("event_date").between(
+        F.lit(WINDOW_START), F.lit(WINDOW_END - _dt.timedelta(days=1)))).agg(F.count_distinct("device").alias("devices"))
+    found = summaries.kept_distinct_devices(spark, f"{root}/summaries", WINDOW_START, WINDOW_END)
+    return exact.select("devices", (F.abs(found.scalar() - F.col("devices")) <= 0.05 * F.col("devices")).alias("within"))
+
+
+@register("streamed_first_copies", O.with_readings(f"SELECT DISTINCT timestamp, {_KEYS} FROM acc"))
+def q_streamed_first_copies(spark, sf_dir):
+    """W1 on a stream of two overlapping batches, the later readings first."""
+    from envtrack.streaming import live
+
+    root = _table_of_parts(spark, sf_dir, "streamed_copies", ["_seq % 3 <> 0", "_seq % 3 = 0 or _seq % 2 = 0"])
+    out = live.run(live.first_copies(live.arriving(spark, f"{root}/readings"), "400 days"), f"{root}/out", f"{root}/checkpoint")
+    return out.select(utc_ntz(F.col("timestamp")).alias("timestamp"), "device", "timestamp_unix",
+                      *[F.col(f"measurements.{f}").alias(f) for f in ("co", "humidity", "light", "lpg", "motion", "smoke", "temp")])
+
+
+_HOUR_US = 3_600_000_000
+
+
+@register("streamed_window_alerts", O.with_readings(
+    f", w AS (SELECT device, make_timestamp(CAST(floor(epoch_us(timestamp) / {_HOUR_US}) AS BIGINT) * {_HOUR_US}) AS window_start, "
+    "count(*) AS readings, count_if(smoke >= 0.02) AS elevated, max(smoke) AS max_value FROM rd GROUP BY ALL) "
+    "SELECT device, window_start, window_start + INTERVAL 1 HOUR AS window_end, readings, elevated, max_value FROM w "
+    "WHERE elevated >= 1 AND window_start + INTERVAL 1 HOUR <= (SELECT max(timestamp) - INTERVAL 1 DAY FROM rd)"))
+def q_streamed_window_alerts(spark, sf_dir):
+    """W7 by hourly windows of a stream: every window that the watermark has passed, once."""
+    from envtrack.streaming import live
+
+    root = _table_of_parts(spark, sf_dir, "streamed_windows", ["true"])
+    alerts = live.window_alerts(live.arriving(spark, f"{root}/readings"), "smoke", 0.02, "1 hour", lateness="1 day")
+    return live.run(alerts, f"{root}/out", f"{root}/checkpoint")
+
+
+@register("standing_silence_alarms", f"SELECT device, last_timestamp FROM ({ORACLE['silent_devices']}) WHERE is_silent")
+def q_standing_silence_alarms(spark, sf_dir):
+    """W3 as a standing alarm, over the older half of the readings and then the newer one: the devices whose
+    alarm is still up are those that ``silent_devices`` finds."""
+    from envtrack.sources.table import write_part
+    from envtrack.streaming import live
+
+    root = _fresh_folder(spark, "silence")
+    rows = readings(spark, sf_dir)
+    limits = H.silent_devices(rows).where("median_interval_seconds is not null").select(
+        "device", (F.col("median_interval_seconds") * 3).alias("limit_seconds"))
+    half = rows.agg(F.avg("timestamp_unix")).first()[0]
+    for i, part in enumerate((F.col("timestamp_unix") < half, F.col("timestamp_unix") >= half)):
+        write_part(rows.where(part), f"{root}/readings", f"batch-{i}")
+        events = live.run(live.silence_alarms(live.arriving(spark, f"{root}/readings"), limits), f"{root}/out", f"{root}/checkpoint")
+    last = events.groupBy("device").agg(F.max_by("event", F.struct("at", F.col("event") == "raised")).alias("event"),
+                                        F.max("last_timestamp").alias("last_timestamp"))
+    return last.where("event = 'raised'").select("device", "last_timestamp")
