@@ -55,12 +55,12 @@ def test_window_alerts_of_a_replay_are_those_of_the_table(spark, scratch, order)
     rows = [(i * 97, f"d{i % 4}", (i * 7919) % 100 / 100 if i % 11 else None) for i in range(300)]
     for at, n in enumerate(order):
         merge_into_table(docs(spark, rows[n::3]), f"{scratch}/t", f"b{at}")
-        got = live.run(live.window_alerts(live.arriving(spark, f"{scratch}/t"), "smoke", 0.7, "10 minutes", "5 minutes", 2, "9 hours"),
+        got = live.run(live.window_alerts(live.arriving(spark, f"{scratch}/t"), "smoke", 0.7, "10 minutes", "5 minutes", 1, "9 hours"),
                        f"{scratch}/out", f"{scratch}/ckpt")
     merge_into_table(docs(spark, [(9 * 86_400, "late", 0.9)]), f"{scratch}/t", "b9")  # lets the watermark pass all of them
-    got = live.run(live.window_alerts(live.arriving(spark, f"{scratch}/t"), "smoke", 0.7, "10 minutes", "5 minutes", 2, "9 hours"),
+    got = live.run(live.window_alerts(live.arriving(spark, f"{scratch}/t"), "smoke", 0.7, "10 minutes", "5 minutes", 1, "9 hours"),
                    f"{scratch}/out", f"{scratch}/ckpt")
-    want = live.window_alerts(read_readings(spark, f"{scratch}/t").where("device <> 'late'"), "smoke", 0.7, "10 minutes", "5 minutes", 2)
+    want = live.window_alerts(read_readings(spark, f"{scratch}/t").where("device <> 'late'"), "smoke", 0.7, "10 minutes", "5 minutes", 1)
     assert want.count() > 20 and sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
 
 
