@@ -42,7 +42,7 @@ VALUES, BAND, STEP = 64, 4, 16
 TOLERANCE = 1e-5
 #: Rows of a block of a bucket, and rows and n-grams of a block of a cluster: what a task settles at once is a
 #: pair of blocks, so that these bound the work and not only the memory.
-BUCKET_ROWS, BLOCK_ROWS, BLOCK_GRAMS = 1024, 512, 3 << 19
+BUCKET_ROWS, BLOCK_ROWS, BLOCK_GRAMS = 512, 512, 3 << 19
 #: Pairs compared directly, and texts of an n-gram that are paired directly rather than by a product.
 DIRECT_PAIRS, DIRECT_TEXTS = 1 << 20, 16
 
