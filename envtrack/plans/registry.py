@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from envtrack import schema as S
 from envtrack.functions.cells import is_missing, parse_bool, parse_float
-from envtrack.functions.timecols import utc_ntz
+from envtrack.functions.timecols import micros, utc_ntz
 from envtrack.operators import health as H
 from envtrack.operators import quality, validate
 from envtrack.operators.batches import assign_batches, sequence_group
@@ -903,8 +903,9 @@ def q_standing_silence_alarms(spark, sf_dir):
     rows = readings(spark, sf_dir)
     limits = H.silent_devices(rows).where("median_interval_seconds is not null").select(
         "device", (F.col("median_interval_seconds") * 3).alias("limit_seconds"))
-    half = rows.agg(F.avg("timestamp_unix")).first()[0]
-    for i, part in enumerate((F.col("timestamp_unix") < half, F.col("timestamp_unix") >= half)):
+    at = micros(F.col("timestamp"))  # raw epochs are in seconds or milliseconds and do not order the readings
+    half = rows.agg(F.avg(at)).first()[0]
+    for i, part in enumerate((at < half, at >= half)):
         write_part(rows.where(part), f"{root}/readings", f"batch-{i}")
         events = live.run(live.silence_alarms(live.arriving(spark, f"{root}/readings"), limits), f"{root}/out", f"{root}/checkpoint")
     last = events.groupBy("device").agg(F.max_by("event", F.struct("at", F.col("event") == "raised")).alias("event"),
