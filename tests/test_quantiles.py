@@ -118,7 +118,7 @@ def test_groups_beyond_the_bound_are_narrowed(spark, data, monkeypatch, bound):
     for p in (0.5, 0.9):
         got = {r["g"]: r["value"] for r in exact_quantiles(df, ["g"], "v", p).collect()}
         assert got == dict(con.sql(f"SELECT g, quantile_disc(v, {p}) FROM t WHERE v IS NOT NULL GROUP BY g").fetchall())
-        want = con.sql(f"SELECT quantile_disc(v, {p}), quantile_disc(w, {p}) FROM t").fetchone()
+        want, = con.sql(f"SELECT quantile_disc(v, {p}), quantile_disc(w, {p}) FROM t").fetchall()
         found = quantiles.exact_quantile_values(df, {"v": F.col("v"), "w": F.col("w")}, p)
         assert (found["v"], found["w"]) == want
 
