@@ -140,7 +140,7 @@ def test_every_training_window_is_dealt_once(spark):
     size = len(bpe.token_length)
     raw, offsets = text_buffer(marked.where("not held_out").select("text").toArrow().column(0))
     expected, _ = lm_scoring.windows_of(*bpe.encode(raw, offsets), size, size + 1, size + 2)
-    rows = lm_scoring._dealt(marked, VOCABULARY, 3, 2).collect()
+    rows = lm_scoring._dealt(lm_scoring._blocks(marked, VOCABULARY), size, 3, 2).collect()
     assert {(r.turn, r.part) for r in rows} == {(t, p) for t in range(3) for p in range(2)}
     found = np.concatenate([lm_scoring.windows_of_runs(
         np.frombuffer(r.codes, "<u2").astype(np.int32), np.frombuffer(r.lengths, "<i4").astype(np.int64), size, size + 2)
@@ -150,8 +150,8 @@ def test_every_training_window_is_dealt_once(spark):
 
 def test_copies_of_a_text_spread_over_rounds_and_copies(spark):
     docs = spark.range(3000).selectExpr("id as doc_id", "if(id % 3 = 0, concat('text number ', id), 'the one text') as text")
-    rows = lm_scoring._dealt(lm_scoring._marked(docs, "doc_id", "text"), VOCABULARY, 3, 4).collect()
     size = len(load(VOCABULARY).token_length)
+    rows = lm_scoring._dealt(lm_scoring._blocks(lm_scoring._marked(docs, "doc_id", "text"), VOCABULARY), size, 3, 4).collect()
     equal, held = {}, [0] * 12
     for r in rows:
         windows = lm_scoring.windows_of_runs(np.frombuffer(r.codes, "<u2").astype(np.int32),
@@ -193,7 +193,7 @@ def test_whole_vocabulary_is_predicted_from_the_context(spark):
     counts = np.zeros(size)
     counts[:1100] = 10**9  # so that the words above are none of the symbols
     blocks = lm_scoring.staged(lm_scoring._blocks(marked, VOCABULARY), "test-blocks")
-    model = lm_scoring.train(marked, VOCABULARY, blocks, counts, bpe)
+    model = lm_scoring.train(blocks, counts, bpe)
 
     def ids(text):
         return bpe.encode(*text_buffer(pa.array([text])))[0]
