@@ -41,8 +41,16 @@ def kept(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once to the shared folder (spark.checkpoint.dir) and read back: whatever follows sees
     the same rows, and a lost executor costs a read, not a recomputation."""
     path = state_path(df.sparkSession, "work", f"{name}-{uuid.uuid4().hex}")
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.kept_path = path
+    return out
+
+
+def released(df: DataFrame) -> None:
+    """Remove the folder of a ``kept`` frame that nothing reads any more."""
+    fs, p = _path(df.sparkSession, df.kept_path)
+    fs.delete(p, True)
 
 
 def first_line(spark: SparkSession, path: str) -> str | None:

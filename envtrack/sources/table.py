@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 from envtrack import schema as S
 from envtrack.functions.timecols import micros
 from envtrack.operators.dedupe import dedupe_readings, settled
-from envtrack.sources.storage import read_if_exists
+from envtrack.sources.storage import kept, read_if_exists, released
 
 PARTITIONS = ["id_version", "event_date", "batch"]
 STORED_SCHEMA = T.StructType([*S.READINGS_SCHEMA.fields, T.StructField("id_version", T.IntegerType()),
@@ -135,16 +135,24 @@ def merge_into_table(batch: DataFrame, table: str, name: str, bounds: dict | Non
 
     The batch's own copies are settled before it is written (a sort aggregate with map-side combine, safe
     for hot ids); copies in other batches are settled when the table is read (``read_readings``). Nothing
-    that is stored is read or written anew, whatever days the batch touches.
+    that is stored is read or written anew, whatever days the batch touches. Without ``bounds`` the settled
+    rows are kept until they are written, as the bounds, the ranges and the write each read them.
     """
-    write_part(dedupe_readings(batch), table, name, bounds)
+    if bounds is not None:
+        return write_part(dedupe_readings(batch), table, name, bounds)
+    rows = kept(dedupe_readings(batch), "batch")
+    write_part(rows, table, name)
+    released(rows)
 
 
 def compact(spark: SparkSession, table: str, into: str) -> None:
     """Write the readings of ``table`` as the table ``into``, one part a day and no copies left.
 
-    Batches that come later are written to either; a reader of ``table`` is not disturbed."""
-    write_part(read_readings(spark, table), into, COMPACTED)
+    Batches that come later are written to either; a reader of ``table`` is not disturbed. The copies are
+    settled once: bounds, ranges and the write read the rows that are kept meanwhile."""
+    rows = kept(read_readings(spark, table), "settled")
+    write_part(rows, into, COMPACTED)
+    released(rows)
 
 
 def changes(spark: SparkSession, table: str, first: str, last: str) -> int:
