@@ -545,9 +545,9 @@ def q_batch_log(spark, sf_dir):
     from envtrack.streaming.load import counters_by_batch, numbered_batches
 
     raw = raw_readings(spark, sf_dir, keep_order=True).withColumn("source_file", F.concat(F.lit("part-"), "_part"))
-    rows = numbered_batches(raw, sequence_group("_part", "_seq"), ["_seq"], S.DEFAULT_BATCH_SIZE, "source_file")
-    classified = classify_rows(rows, REGISTRY_INGESTED_AT, keep=["source_file", "batch_number"])
-    return counters_by_batch(classified)
+    slim = classify_rows(raw, REGISTRY_INGESTED_AT, keep=["source_file", *ORDER_COLUMNS]).select(
+        "source_file", *ORDER_COLUMNS, "rejection_reason", F.struct(F.col("quality.is_valid").alias("is_valid")).alias("quality"))
+    return counters_by_batch(numbered_batches(slim, sequence_group("_part", "_seq"), ["_seq"], S.DEFAULT_BATCH_SIZE, "source_file"))
 
 
 @register("csv_round_trip", O.with_raw(
