@@ -913,9 +913,9 @@ def q_standing_silence_alarms(spark, sf_dir):
     from envtrack.streaming import live
 
     root = _fresh_folder(spark, "silence")
-    rows = readings(spark, sf_dir)
-    limits = H.silent_devices(rows).where("median_interval_seconds is not null").select(
-        "device", (F.col("median_interval_seconds") * 3).alias("limit_seconds"))
+    rows = kept(readings(spark, sf_dir), "readings")
+    limits = kept(H.silent_devices(rows).where("median_interval_seconds is not null").select(
+        "device", (F.col("median_interval_seconds") * 3).alias("limit_seconds")), "limits")
     at = micros(F.col("timestamp"))  # raw epochs are in seconds or milliseconds and do not order the readings
     half = rows.agg(F.avg(at)).first()[0]
     for i, part in enumerate((at < half, at >= half)):
