@@ -451,12 +451,12 @@ def _high_sql(field: str, valid_only: bool = False) -> str:
 
 @register("high_smoke_readings", _high_sql("smoke"))
 def q_high_smoke(spark, sf_dir):
-    return Q.high_smoke_readings(readings(spark, sf_dir))
+    return Q.high_smoke_readings(computed_once(readings(spark, sf_dir), "smoke"))
 
 
 @register("high_co_readings", _high_sql("co"))
 def q_high_co(spark, sf_dir):
-    return Q.high_co_readings(readings(spark, sf_dir))
+    return Q.high_co_readings(computed_once(readings(spark, sf_dir), "co"))
 
 
 @register("high_lpg_readings", _high_sql("lpg"))
@@ -466,7 +466,7 @@ def q_high_lpg(spark, sf_dir):
 
 @register("high_smoke_valid_only", _high_sql("smoke", valid_only=True))
 def q_high_smoke_valid_only(spark, sf_dir):
-    return Q.high_smoke_readings(readings(spark, sf_dir), valid_only=True)
+    return Q.high_smoke_readings(computed_once(readings(spark, sf_dir), "smoke"), valid_only=True)
 
 
 @register("readings_by_day", O.with_readings(
