@@ -406,7 +406,7 @@ def _thr_sql(field: str, valid_only: bool = False) -> str:
 @register("alert_thresholds", O.with_readings(
     "SELECT " + ", ".join(f"{_thr_sql(f)} AS {f}" for f in Q.THRESHOLD_FIELDS)))
 def q_alert_thresholds(spark, sf_dir):
-    return Q.alert_thresholds(readings(spark, sf_dir))
+    return Q.alert_thresholds(computed_once(readings(spark, sf_dir), *Q.THRESHOLD_FIELDS))
 
 
 LIFT_SQL = "co, humidity, lpg, smoke, temp, light, motion"
@@ -589,7 +589,7 @@ def q_flags_per_device(spark, sf_dir):
         f"quantile_disc({f}, 0.5) AS {f}_p50, quantile_disc({f}, 0.9) AS {f}_p90" for f in Q.THRESHOLD_FIELDS)
     + " FROM rd GROUP BY device"))
 def q_device_baselines(spark, sf_dir):
-    return H.device_baselines(readings(spark, sf_dir))
+    return H.device_baselines(computed_once(readings(spark, sf_dir), *Q.THRESHOLD_FIELDS))
 
 
 @register("spread_by_device", O.with_readings(" UNION ALL ".join(
@@ -638,7 +638,7 @@ def q_reading_gaps(spark, sf_dir):
     "(epoch_us(a) - epoch_us(last)) / 1e6 AS silence_seconds, "
     "coalesce((epoch_us(a) - epoch_us(last)) / 1e6 > 3.0 * med, FALSE) AS is_silent FROM per, bounds"))
 def q_silent_devices(spark, sf_dir):
-    return H.silent_devices(readings(spark, sf_dir))
+    return H.silent_devices(computed_once(readings(spark, sf_dir)))
 
 
 @register("sparse_devices", O.with_readings(
@@ -723,7 +723,7 @@ def q_extreme_statistics(spark, sf_dir):
 @register("extreme_thresholds", O.with_extremes(
     "SELECT " + ", ".join(f"{_thr_sql(f)} AS {f}" for f in Q.THRESHOLD_FIELDS)))
 def q_extreme_thresholds(spark, sf_dir):
-    return Q.alert_thresholds(extreme_readings(spark, sf_dir))
+    return Q.alert_thresholds(computed_once(extreme_readings(spark, sf_dir), *Q.THRESHOLD_FIELDS))
 
 
 @register("extreme_baselines", O.with_extremes(
@@ -731,7 +731,7 @@ def q_extreme_thresholds(spark, sf_dir):
         f"quantile_disc({f}, 0.5) AS {f}_p50, quantile_disc({f}, 0.9) AS {f}_p90" for f in ("smoke", "temp"))
     + " FROM rd GROUP BY device"))
 def q_extreme_baselines(spark, sf_dir):
-    return H.device_baselines(extreme_readings(spark, sf_dir), fields=("smoke", "temp"))
+    return H.device_baselines(computed_once(extreme_readings(spark, sf_dir), "smoke", "temp"), fields=("smoke", "temp"))
 
 
 @register("extreme_average_temperature", O.with_extremes(
@@ -752,7 +752,7 @@ _SEQ_ORDER = "PARTITION BY device ORDER BY timestamp, timestamp_unix, v ASC NULL
     "SELECT device, min(timestamp) AS period_start, max(timestamp) AS period_end, count(*) AS readings, "
     "max(v) AS max_value FROM s WHERE hi GROUP BY device, period"))
 def q_elevated_periods(spark, sf_dir):
-    return H.elevated_periods(readings(spark, sf_dir))
+    return H.elevated_periods(computed_once(readings(spark, sf_dir), "smoke"))
 
 
 @register("device_relative_alerts", O.with_readings(
@@ -760,7 +760,7 @@ def q_elevated_periods(spark, sf_dir):
     "SELECT rd.device, rd.timestamp, rd.smoke AS value, b.device_p90 FROM rd JOIN b USING (device) "
     "WHERE rd.smoke >= b.device_p90"))
 def q_device_relative_alerts(spark, sf_dir):
-    return H.device_relative_alerts(readings(spark, sf_dir))
+    return H.device_relative_alerts(computed_once(readings(spark, sf_dir), "smoke"))
 
 
 __all__ = ["ORACLE", "QUERIES", "classified", "flat", "loaded", "readings"]
@@ -777,7 +777,7 @@ _QUIET_US = 1_800_000_000
     "SELECT device, min(timestamp) AS period_start, max(timestamp) AS period_end, count(*) AS readings, "
     "max(v) AS max_value FROM s GROUP BY device, period"))
 def q_gap_tolerant_periods(spark, sf_dir):
-    return H.gap_tolerant_periods(readings(spark, sf_dir))
+    return H.gap_tolerant_periods(computed_once(readings(spark, sf_dir), "smoke"))
 
 
 # --- files with headers of their own, kept summaries, standing queries ------------------------
