@@ -368,3 +368,43 @@ def test_the_trained_model_beats_counts_alone_on_held_out_texts(spark):
     model.parameters = attention.initial(len(model.tail))  # corrections of zero: the counts alone
     counted = model.log10(flat, sizes).sum()
     assert trained > 0.95 * counted
+
+
+def test_sums_of_exponentials_that_leave_the_range_are_taken_again_without_their_maxima():
+    rng = np.random.default_rng(5)
+    for factor, offset in ((1, 0), (1, 200), (1, -200), (300, 0)):
+        logits = (rng.standard_normal((40, 8)) * factor + offset).astype(np.float32)
+        wanted = rng.integers(0, 8, 40)
+        exact = logits.astype(np.float64) - logits.max(axis=1, keepdims=True)
+        exact -= np.log(np.exp(exact).sum(axis=1, keepdims=True))
+        with np.errstate(over="ignore", invalid="ignore"):
+            logp, chance = attention._chances(logits, wanted)
+        assert np.allclose(logp, exact[np.arange(40), wanted], rtol=1e-5, atol=1e-4)
+        assert np.allclose(chance, np.exp(exact), atol=1e-5)
+
+
+def test_weighted_values_leave_out_padding_and_the_range_does_no_harm():
+    rng = np.random.default_rng(6)
+    padded = np.zeros((2, 5), bool)
+    padded[0, :2] = True
+    v = np.ones((2, 5, attention.WIDTH + 1), np.float32)
+    v[:, :, :-1] = rng.standard_normal((2, 5, attention.WIDTH))
+    v[padded] = 0
+    for offset in (0, 150, -150):
+        att = (rng.standard_normal((2, 3, 5)) + offset).astype(np.float32)
+        weights = np.exp(att.astype(np.float64) - offset) * ~padded[:, None, :]
+        exact = weights @ v[:, :, :-1] / weights.sum(axis=2, keepdims=True)
+        with np.errstate(over="ignore", invalid="ignore"):
+            mixed = attention._weighted(att, v, padded)[1]
+        assert np.allclose(mixed[:, :, :-1] / mixed[:, :, -1:], exact, atol=1e-4)
+
+
+@pytest.mark.parametrize("most", [3, 50])
+def test_rows_are_summed_by_their_numbers(most):
+    rng = np.random.default_rng(7)
+    at = np.repeat(np.arange(30), rng.integers(1, most, 30))
+    rng.shuffle(at)
+    values = rng.standard_normal((len(at), 4, 3))
+    found, sums = attention._rows(at, values)
+    assert found.tolist() == list(range(30))
+    assert np.allclose(sums, [values[at == i].sum(axis=0) for i in range(30)])
