@@ -12,7 +12,9 @@ wording -- missing vs. invalid for a null value -- can differ).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from envtrack import schema as S
@@ -70,3 +72,10 @@ def merge_frames(current: DataFrame | None, batch: DataFrame) -> DataFrame:
     if current is not None:
         combined = current.select(*S.READING_COLUMNS).unionByName(combined)
     return dedupe_readings(combined)
+
+
+def merge_into_table(spark: SparkSession, batch: DataFrame, table: str) -> None:
+    """Upsert ``batch`` into the readings table as a new part of its own (``sources.table.merge_into_table``)."""
+    from envtrack.sources import table as readings  # which imports this module
+
+    readings.merge_into_table(batch, table, f"batch-{uuid.uuid4().hex}")
